@@ -1,0 +1,21 @@
+"""Keep what is parsed once in the plan once.
+
+A struct of expensive fields that is read in many places would be folded into each of them; flat
+columns are not."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def stage(df: DataFrame, name: str, struct: Column, fields: Sequence[str]) -> DataFrame:
+    """Add the fields of a struct expression as flat columns."""
+    return df.withColumns({f"{name}__{f}": struct[f] for f in fields})
+
+
+def staged(name: str, fields: Sequence[str]) -> Column:
+    """The struct again, as a cheap view of the flat columns."""
+    return F.struct(*[F.col(f"{name}__{f}").alias(f) for f in fields])

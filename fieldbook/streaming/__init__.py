@@ -1,0 +1,2 @@
+"""The row-local expressions of :mod:`fieldbook.functions` run on streaming DataFrames as they are;
+there are no stateful stream operators."""
