@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from fieldbook.functions.binding import let
 from fieldbook.functions.issues import collect_issues, flag, no_issues, union_issues
 from fieldbook.functions.numbers import parse_double, round_half_up
 
@@ -45,21 +46,31 @@ def _in_range(lat: Column, lng: Column) -> Column:
 
 def validate_round(lat: Column, lng: Column) -> Column:
     """Round to six decimals and check the ranges; a pair that only fits swapped is swapped."""
-    la, lo = round_half_up(lat, DIGITS), round_half_up(lng, DIGITS)
-    zero = (la == 0.0) & (lo == 0.0)
-    good = _in_range(la, lo)
-    swapped = ~zero & ~good & ~la.between(-90.0, 90.0) & _in_range(lo, la)
-    ok = zero | good | swapped
-    return result(
-        F.when(zero, 0.0).when(good, la).when(swapped, lo),
-        F.when(zero, 0.0).when(good, lo).when(swapped, la),
-        collect_issues(
-            flag(~ok, "COORDINATE_OUT_OF_RANGE"),
-            flag((la != lat) | (lo != lng), "COORDINATE_ROUNDED"),
-            flag(swapped, "PRESUMED_SWAPPED_COORDINATE"),
-            flag(zero, "ZERO_COORDINATE"),
+
+    def check(r: Column) -> Column:
+        la, lo = r["lat"], r["lng"]
+        zero = (la == 0.0) & (lo == 0.0)
+        good = _in_range(la, lo)
+        swapped = ~good & ~la.between(-90.0, 90.0) & _in_range(lo, la)
+        ok = F.coalesce(good | swapped, F.lit(False))
+        return result(
+            F.when(zero, 0.0).when(good, la).when(swapped, lo),
+            F.when(zero, 0.0).when(good, lo).when(swapped, la),
+            collect_issues(
+                flag(~ok, "COORDINATE_OUT_OF_RANGE"),
+                flag((la != r["lat0"]) | (lo != r["lng0"]), "COORDINATE_ROUNDED"),
+                flag(swapped, "PRESUMED_SWAPPED_COORDINATE"),
+                flag(zero, "ZERO_COORDINATE"),
+            ),
+            ok,
+        )
+
+    return let(
+        F.struct(
+            round_half_up(lat, DIGITS).alias("lat"), round_half_up(lng, DIGITS).alias("lng"),
+            lat.alias("lat0"), lng.alias("lng0"),
         ),
-        F.coalesce(ok, F.lit(False)),
+        check,
     )
 
 
@@ -79,47 +90,62 @@ def _degrees(d: Column, m: Column | None, s: Column | None, sign: Column) -> Col
 def parse_dms(c: Column, is_lat: bool) -> Column:
     """Degrees of one spelled coordinate, with an optional direction letter at either end."""
     letters = "NS" if is_lat else "EOW"
-    v = F.upper(F.trim(c))
-    first, last = F.substring(v, 1, 1), F.substring(v, -1, 1)
-    front, back = F.contains(F.lit(letters), first), F.contains(F.lit(letters), last)
-    direction = F.when(front, first).when(back, last).otherwise("N")
-    body = F.when(front, F.substring(v, 2, 1 << 30)).when(
-        back, F.substring(v, F.lit(1), F.length(v) - 1)
-    ).otherwise(v)
-    sign = F.when(direction.isin("N", "E", "O"), 1.0).otherwise(-1.0)
-    return F.when(
-        F.length(v) > 3,
-        F.when(
-            body.rlike(_DMS_ONE),
-            _degrees(*[F.regexp_extract(body, _DMS_ONE, i) for i in (1, 2, 3)], sign),
+
+    def cut(v: Column) -> Column:
+        first, last = F.substring(v, 1, 1), F.substring(v, -1, 1)
+        front, back = F.contains(F.lit(letters), first), F.contains(F.lit(letters), last)
+        return F.when(
+            F.length(v) > 3,
+            F.struct(
+                F.when(front, first).when(back, last).otherwise("N").alias("dir"),
+                F.when(front, F.substring(v, 2, 1 << 30))
+                .when(back, F.substring(v, F.lit(1), F.length(v) - 1))
+                .otherwise(v)
+                .alias("body"),
+            ),
         )
-        .when(
-            body.rlike(_DM_ONE),
-            _degrees(*[F.regexp_extract(body, _DM_ONE, i) for i in (1, 2)], None, sign),
+
+    def read(r: Column) -> Column:
+        body = r["body"]
+        sign = F.when(r["dir"].isin("N", "E", "O"), 1.0).otherwise(-1.0)
+
+        def groups(pattern: str, n: int) -> list[Column]:
+            return [F.regexp_extract(body, pattern, i + 1) if i < n else None for i in range(3)]
+
+        return (
+            F.when(body.rlike(_DMS_ONE), _degrees(*groups(_DMS_ONE, 3), sign))
+            .when(body.rlike(_DM_ONE), _degrees(*groups(_DM_ONE, 2), sign))
+            .when(body.rlike(_D_ONE), _degrees(*groups(_D_ONE, 1), sign))
         )
-        .when(body.rlike(_D_ONE), _degrees(F.regexp_extract(body, _D_ONE, 1), None, None, sign)),
-    )
+
+    return let(let(F.upper(F.trim(c)), cut), read)
 
 
 def read_lat_lng(lat: Column, lng: Column) -> Column:
     """Struct of the two numbers as read, both plain or both spelled, not yet validated."""
-    plain_lat, plain_lng = parse_double(lat), parse_double(lng)
-    plain = plain_lat.isNotNull() & plain_lng.isNotNull()
-    s_lat, s_lng = parse_dms(lat, True), parse_dms(lng, False)
-    spelled = s_lat.isNotNull() & s_lng.isNotNull()
-    return F.struct(
-        F.when(plain, plain_lat).when(spelled, s_lat).alias("lat"),
-        F.when(plain, plain_lng).when(spelled, s_lng).alias("lng"),
-        F.coalesce((lat != "") & (lng != ""), F.lit(False)).alias("given"),
+    given = F.coalesce((lat != "") & (lng != ""), F.lit(False))
+
+    def plain_or_spelled(p: Column) -> Column:
+        plain = p["lat"].isNotNull() & p["lng"].isNotNull()
+        # Most coordinates are plain numbers; the spelled forms are tried for the rest only.
+        return F.when(plain, p).otherwise(
+            F.struct(parse_dms(lat, True).alias("lat"), parse_dms(lng, False).alias("lng"))
+        )
+
+    numbers = F.struct(parse_double(lat).alias("lat"), parse_double(lng).alias("lng"))
+    return let(
+        F.when(given, let(numbers, plain_or_spelled)),
+        lambda r: F.struct(r["lat"].alias("lat"), r["lng"].alias("lng"), given.alias("given")),
     )
 
 
 def check_read(c: Column) -> Column:
     """Validate what :func:`read_lat_lng` or :func:`read_verbatim_pair` gave."""
-    return (
-        F.when(~c["given"], _failed())
-        .when(c["lat"].isNull() | c["lng"].isNull() | F.isnan(c["lat"]) | F.isnan(c["lng"]), _failed("COORDINATE_INVALID"))
-        .otherwise(validate_round(c["lat"], c["lng"]))
+    return let(
+        c,
+        lambda r: F.when(~r["given"], _failed())
+        .when(F.coalesce(F.isnan(r["lat"]) | F.isnan(r["lng"]), F.lit(True)) | r["lat"].isNull() | r["lng"].isNull(), _failed("COORDINATE_INVALID"))
+        .otherwise(validate_round(r["lat"], r["lng"])),
     )
 
 
@@ -134,28 +160,40 @@ def read_verbatim_pair(c: Column) -> Column:
     def g(i: int) -> Column:
         return F.regexp_extract(c, _DMS_PAIR, i)
 
-    dir1, dir2 = F.upper(g(4)), F.upper(g(8))
-    sign1 = F.when(dir1.isin("N", "E", "O"), 1.0).otherwise(-1.0)
-    sign2 = F.when(dir2.isin("N", "E", "O"), 1.0).otherwise(-1.0)
-    c1 = _degrees(g(1), g(2), g(3), sign1)
-    c2 = _degrees(g(5), g(6), g(7), sign2)
-    lat1, lat2 = dir1.isin("N", "S"), dir2.isin("N", "S")
-    pair = c.rlike(_DMS_PAIR)
+    def half(start: int, letter: Column) -> Column:
+        sign = F.when(letter.isin("N", "E", "O"), 1.0).otherwise(-1.0)
+        return F.struct(letter.isin("N", "S").alias("is_lat"), _degrees(g(start), g(start + 1), g(start + 2), sign).alias("v"))
+
+    def spelled(r: Column) -> Column:
+        a, b = r["a"], r["b"]
+        return F.struct(
+            F.when(a["is_lat"] & ~b["is_lat"], a["v"]).when(~a["is_lat"] & b["is_lat"], b["v"]).alias("lat"),
+            F.when(a["is_lat"] & ~b["is_lat"], b["v"]).when(~a["is_lat"] & b["is_lat"], a["v"]).alias("lng"),
+            F.lit(True).alias("given"),
+        )
 
-    delim = F.coalesce(
+    delimiter = F.coalesce(
         *[
             F.when(F.length(c) - F.length(F.replace(c, F.lit(d), F.lit(""))) == 1, F.lit(d))
             for d in (",", ";", "/", " ")
         ]
     )
-    at = F.instr(c, delim)
-    left = F.when(F.length(c) > 4, F.substring(c, F.lit(1), at - 1))
-    right = F.when(F.length(c) > 4, F.substring(c, at + 1, F.length(c)))
-    split = read_lat_lng(left, right)
-    return F.struct(
-        F.when(pair & lat1 & ~lat2, c1).when(pair & ~lat1 & lat2, c2).when(~pair, split["lat"]).alias("lat"),
-        F.when(pair & lat1 & ~lat2, c2).when(pair & ~lat1 & lat2, c1).when(~pair, split["lng"]).alias("lng"),
-        F.coalesce(c != "", F.lit(False)).alias("given"),
+    cut = F.when(F.length(c) > 4, F.instr(c, delimiter))
+    null = F.lit(None).cast("double")
+    halves = let(
+        cut,
+        lambda at: let(
+            F.struct(F.substring(c, F.lit(1), at - 1).alias("a"), F.substring(c, at + 1, F.length(c)).alias("b")),
+            lambda h: F.when(at > 0, read_lat_lng(h["a"], h["b"])).otherwise(
+                F.struct(null.alias("lat"), null.alias("lng"), F.lit(True).alias("given"))
+            ),
+        ),
+    )
+    pair = F.struct(half(1, F.upper(g(4))).alias("a"), half(5, F.upper(g(8))).alias("b"))
+    return (
+        F.when(F.coalesce(c == "", F.lit(True)), F.struct(null.alias("lat"), null.alias("lng"), F.lit(False).alias("given")))
+        .when(c.rlike(_DMS_PAIR), let(pair, spelled))
+        .otherwise(halves)
     )
 
 
@@ -165,19 +203,24 @@ def parse_verbatim_pair(c: Column) -> Column:
 
 def parse_point(c: Column) -> Column:
     """A POINT(lng lat) footprint; anything else fails without an issue."""
-    v = validate_round(
+    read = validate_round(
         F.regexp_extract(c, POINT, 2).try_cast("double"), F.regexp_extract(c, POINT, 1).try_cast("double")
     )
-    return F.when(c.rlike(POINT) & v["ok"], v).otherwise(_failed())
+    return F.when(c.rlike(POINT), let(read, lambda r: F.when(r["ok"], r).otherwise(_failed()))).otherwise(_failed())
 
 
 def pick_coordinates(*candidates: Column, fallback: Column | None = None) -> Column:
     """The first candidate that succeeded; if none did, the issues of all of them.
 
     The fallback comes last and adds no issues of its own."""
-    hits = [F.when(c["ok"], c) for c in candidates]
-    if fallback is not None:
-        hits.append(F.when(fallback["ok"], fallback))
     null = F.lit(None).cast("double")
-    failed = result(null, null, union_issues(*[c["issues"] for c in candidates]), F.lit(False))
-    return F.coalesce(*hits, failed)
+
+    def choose(all_: Column) -> Column:
+        pooled = union_issues(F.flatten(F.transform(all_, lambda c: c["issues"])))
+        return F.coalesce(
+            F.get(F.filter(all_, lambda c: c["ok"]), F.lit(0)),
+            F.when(fallback["ok"], fallback) if fallback is not None else F.lit(None),
+            result(null, null, pooled, F.lit(False)),
+        )
+
+    return let(F.array(*candidates), choose)

@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from fieldbook.functions.binding import let
 from fieldbook.functions.issues import collect_issues, flag
 
 #: Orders in which an all-digit day and month are tried.  Empty: only where there is no doubt.
@@ -29,6 +30,9 @@ _YMD_LOOSE = r"^(\d{4})([-/.])(\d{1,2})(?:\2(\d{1,2}))?$"
 _COMPACT = r"^(\d{4})(\d{2})(\d{2})$"
 _ORDINAL = r"^(\d{4})-(\d{3})$"
 _AB_YEAR = r"^(\d{1,2})([-/.])(\d{1,2})\2(\d{4})$"
+# Both orders give the same day, or only one of them gives any.
+_FIRST_IS_DAY = r"^(?:1[3-9]|[23]\d)[-/.]|^0?(\d{1,2})[-/.]0?\1[-/.]"
+_SECOND_IS_DAY = r"^\d{1,2}[-/.](?:1[3-9]|[23]\d)[-/.]"
 _DAY_NAME_YEAR = r"^(\d{1,2})(?:st|nd|rd|th)?[ .-]+([A-Za-z]{3,9})[ .,-]+(\d{4})$"
 _NAME_DAY_YEAR = r"^([A-Za-z]{3,9})[ .-]+(\d{1,2})(?:st|nd|rd|th)?[ ,]+(\d{4})$"
 _NAME_YEAR = r"^([A-Za-z]{3,9})[ .,-]+(\d{4})$"
@@ -38,73 +42,57 @@ def _pad2(c: Column) -> Column:
     return F.lpad(c, 2, "0")
 
 
-def _month_of_name(c: Column) -> Column:
-    at = F.instr(F.lit(_MONTHS), F.lower(F.substring(c, 1, 3)))
-    return F.when(at % 3 == 1, _pad2(((at + 2) / 3).cast("int").cast("string")))
+def _part(parts: Column, i: int) -> Column:
+    return F.nullif(F.get(parts, F.lit(i)), F.lit(""))
 
 
-def _ymd(y: Column, m: Column, d: Column | None = None) -> Column:
-    return F.concat_ws("-", y, _pad2(m)) if d is None else F.concat(y, F.lit("-"), _pad2(m), F.lit("-"), _pad2(d))
+def _month(c: Column) -> Column:
+    """Two digits of a month given as a number or by name."""
+    by_name = F.lit(_MONTHS)
+    at = F.instr(by_name, F.lower(F.substring(c, 1, 3)))
+    return F.when(c.rlike("^[0-9]"), _pad2(c)).when(at % 3 == 1, _pad2(((at + 2) / 3).cast("int").cast("string")))
 
 
-def _iso_text(s: Column, orderings: Sequence[str]) -> Column:
-    """Rewrite any known spelling into canonical text, field values still unchecked."""
-
-    def g(pattern: str, i: int) -> Column:
-        return F.regexp_extract(s, pattern, i)
-
-    iso_seconds = F.when(g(_ISO, 6) == "", "00").otherwise(g(_ISO, 6))
-    iso = F.when(
-        g(_ISO, 4) != "",
-        F.concat(
-            F.substring(s, 1, 10), F.lit("T"), g(_ISO, 4), F.lit(":"), g(_ISO, 5), F.lit(":"),
-            iso_seconds, F.lit("."), F.rpad(F.substring(g(_ISO, 7), 1, 3), 3, "0"),
-        ),
-    ).otherwise(
-        # The part before any offset.
-        F.regexp_extract(s, r"^(\d{4}(?:-\d{2}(?:-\d{2})?)?)", 1)
-    )
-    loose = F.when(
-        g(_YMD_LOOSE, 4) != "", _ymd(g(_YMD_LOOSE, 1), g(_YMD_LOOSE, 3), g(_YMD_LOOSE, 4))
-    ).otherwise(_ymd(g(_YMD_LOOSE, 1), g(_YMD_LOOSE, 3)))
-    ordinal_n = g(_ORDINAL, 2).try_cast("int")
-    ordinal = F.when(
-        ordinal_n.between(1, 366), ordinal_date(g(_ORDINAL, 1), ordinal_n)
-    )
-
-    a, b, y = g(_AB_YEAR, 1), g(_AB_YEAR, 3), g(_AB_YEAR, 4)
-    dmy, mdy = _ymd(y, b, a), _ymd(y, a, b)
+def _fields(s: Column, orderings: Sequence[str]) -> Column:
+    """Any known spelling as ``y|m|d|H|M|S|fraction`` text; what is missing is empty."""
     if orderings:
-        spelled = [dmy if o == DMY else mdy for o in orderings]
-        ab = F.coalesce(*[F.when(x.try_cast("date").isNotNull(), x) for x in spelled])
+        spelled = [F.regexp_replace(s, _AB_YEAR, "$4|$3|$1" if o == DMY else "$4|$1|$3") for o in orderings]
+        day_month = F.coalesce(
+            *[F.when(F.regexp_replace(x, r"\|", "-").try_cast("date").isNotNull(), x) for x in spelled]
+        )
     else:
-        an, bn = a.try_cast("int"), b.try_cast("int")
-        ab = F.when((an > 12) | (an == bn), dmy).when(bn > 12, mdy)
+        day_month = (
+            F.when(s.rlike(_FIRST_IS_DAY), F.regexp_replace(s, _AB_YEAR, "$4|$3|$1"))
+            .when(s.rlike(_SECOND_IS_DAY), F.regexp_replace(s, _AB_YEAR, "$4|$1|$3"))
+        )
+    ordinal = ordinal_date(F.substring(s, 1, 4), F.substring(s, 6, 3).try_cast("int"))
+    return (
+        F.when(s.rlike(_ISO), F.regexp_replace(s, _ISO, "$1|$2|$3|$4|$5|$6|$7"))
+        .when(s.rlike(_YMD_LOOSE), F.regexp_replace(s, _YMD_LOOSE, "$1|$3|$4"))
+        .when(s.rlike(_COMPACT), F.regexp_replace(s, _COMPACT, "$1|$2|$3"))
+        .when(s.rlike(_ORDINAL), F.regexp_replace(ordinal, "-", "|"))
+        .when(s.rlike(_AB_YEAR), day_month)
+        .when(s.rlike(_DAY_NAME_YEAR), F.regexp_replace(s, _DAY_NAME_YEAR, "$3|$2|$1"))
+        .when(s.rlike(_NAME_DAY_YEAR), F.regexp_replace(s, _NAME_DAY_YEAR, "$3|$1|$2"))
+        .when(s.rlike(_NAME_YEAR), F.regexp_replace(s, _NAME_YEAR, "$2|$1"))
+    )
 
+
+def _assembled(parts: Column) -> Column:
+    """Canonical text of the fields, their values still unchecked."""
+    y, m, d = _part(parts, 0), _part(parts, 1), _part(parts, 2)
+    hour = _part(parts, 3)
+    time = F.concat(
+        F.lit("T"), hour, F.lit(":"), _part(parts, 4), F.lit(":"), F.coalesce(_part(parts, 5), F.lit("00")),
+        F.lit("."), F.rpad(F.substring(F.coalesce(_part(parts, 6), F.lit("")), 1, 3), 3, "0"),
+    )
+    month = F.concat(F.lit("-"), _month(m))
+    day = F.concat(F.lit("-"), _pad2(d))
     return (
-        F.when(s.rlike(_ISO), iso)
-        .when(s.rlike(_YMD_LOOSE), loose)
-        .when(s.rlike(_COMPACT), F.regexp_replace(s, _COMPACT, "$1-$2-$3"))
-        .when(s.rlike(_ORDINAL), ordinal)
-        .when(s.rlike(_AB_YEAR), ab)
-        .when(
-            s.rlike(_DAY_NAME_YEAR),
-            F.concat(
-                g(_DAY_NAME_YEAR, 3), F.lit("-"), _month_of_name(g(_DAY_NAME_YEAR, 2)),
-                F.lit("-"), _pad2(g(_DAY_NAME_YEAR, 1)),
-            ),
-        )
-        .when(
-            s.rlike(_NAME_DAY_YEAR),
-            F.concat(
-                g(_NAME_DAY_YEAR, 3), F.lit("-"), _month_of_name(g(_NAME_DAY_YEAR, 1)),
-                F.lit("-"), _pad2(g(_NAME_DAY_YEAR, 2)),
-            ),
-        )
-        .when(
-            s.rlike(_NAME_YEAR),
-            F.concat(g(_NAME_YEAR, 2), F.lit("-"), _month_of_name(g(_NAME_YEAR, 1))),
-        )
+        F.when(m.isNull(), y)
+        .when(d.isNull(), F.concat(y, month))
+        .when(hour.isNull(), F.concat(y, month, day))
+        .otherwise(F.concat(y, month, day, time))
     )
 
 
@@ -121,7 +109,8 @@ def _checked(iso: Column) -> Column:
 
 def parse_date(c: Column, orderings: Sequence[str] = ()) -> Column:
     """Any known spelling of a date as canonical text, else null.  Offsets are dropped."""
-    return _checked(_iso_text(F.trim(c), orderings))
+    fields = let(F.trim(c), lambda s: _fields(s, orderings))
+    return let(let(F.split(fields, r"\|"), _assembled), _checked)
 
 
 def ordinal_date(year: Column, day_of_year: Column) -> Column:
@@ -132,16 +121,18 @@ def ordinal_date(year: Column, day_of_year: Column) -> Column:
 
 def partial_from_parts(year: Column, month: Column, day: Column) -> Column:
     """Canonical text out of separate year, month and day; null where a given part is no part."""
-    y = F.when(F.trim(year).rlike(r"^\d{4}$"), F.trim(year))
-    m = F.when(F.trim(month).rlike(r"^\d{1,2}$"), _pad2(F.trim(month)))
-    d = F.when(F.trim(day).rlike(r"^\d{1,2}$"), _pad2(F.trim(day)))
-    has_m, has_d = F.coalesce(F.trim(month) != "", F.lit(False)), F.coalesce(F.trim(day) != "", F.lit(False))
-    return _checked(
-        F.when(has_m & has_d, F.concat(y, F.lit("-"), m, F.lit("-"), d))
-        .when(has_m, F.concat(y, F.lit("-"), m))
-        .when(has_d, F.lit(None).cast("string"))
-        .otherwise(y)
+    y, m, d = F.trim(year), F.trim(month), F.trim(day)
+    has_m, has_d = F.coalesce(m != "", F.lit(False)), F.coalesce(d != "", F.lit(False))
+    number = r"^\d{1,2}$"
+    iso = F.when(
+        y.rlike(r"^\d{4}$") & (~has_m | m.rlike(number)) & (~has_d | (has_m & d.rlike(number))),
+        F.concat(
+            y,
+            F.when(has_m, F.concat(F.lit("-"), _pad2(m))).otherwise(""),
+            F.when(has_d, F.concat(F.lit("-"), _pad2(d))).otherwise(""),
+        ),
     )
+    return let(iso, _checked)
 
 
 def earliest(iso: Column) -> Column:
@@ -169,20 +160,17 @@ def latest(iso: Column) -> Column:
 
 # --- ranges ------------------------------------------------------------------------------------
 
-_RANGE = r"^\s*([^/]+?)\s*/\s*([^/]+?)\s*$"
+_RANGE = r"^\s*\d{4}[^/]*/[^/]+$"
 
 
 def _looks_like_range(s: Column) -> Column:
     # A bare year, a slash and one or two digits is a year and month.
-    return s.rlike(_RANGE) & s.rlike(r"^\s*\d{4}") & ~s.rlike(r"^\s*\d{4}/\d{1,2}\s*$")
+    return s.rlike(_RANGE) & ~s.rlike(r"^\s*\d{4}/\d{1,2}\s*$")
 
 
-def range_parts(c: Column) -> tuple[Column, Column]:
-    """Both ends of ``from/to`` text; the end may leave out what it shares with the start."""
-    is_range = _looks_like_range(c)
-    left, right = F.regexp_extract(c, _RANGE, 1), F.regexp_extract(c, _RANGE, 2)
+def _full_end(left: Column, right: Column) -> Column:
     n = F.length(left)
-    right = (
+    return (
         F.when(right.rlike(r"^\d{1,2}$") & (n == 10), F.concat(F.substring(left, 1, 8), _pad2(right)))
         .when(right.rlike(r"^\d{1,2}$") & (n == 7), F.concat(F.substring(left, 1, 5), _pad2(right)))
         .when(right.rlike(r"^\d{2}-\d{2}$") & (n == 10), F.concat(F.substring(left, 1, 5), right))
@@ -192,7 +180,16 @@ def range_parts(c: Column) -> tuple[Column, Column]:
         )
         .otherwise(right)
     )
-    return F.when(is_range, left).otherwise(c), F.when(is_range, right).otherwise(c)
+
+
+def range_parts(c: Column) -> Column:
+    """Both ends of ``from/to`` text, as an array; the end may leave out what it shares with the
+    start.  Text that is no range has one end."""
+    ends = let(
+        F.transform(F.split(c, "/"), lambda p: F.trim(p)),
+        lambda p: F.array(F.get(p, F.lit(0)), _full_end(F.get(p, F.lit(0)), F.get(p, F.lit(1)))),
+    )
+    return F.when(_looks_like_range(c), ends).otherwise(F.array(c))
 
 
 def read_date_range(
@@ -203,73 +200,101 @@ def read_date_range(
     start_day: Column,
     end_day: Column,
     *,
-    upper: Column | str,
-    lower: str = EARLIEST_RECORDED,
     orderings: Sequence[str] = (),
     preprocess: Callable[[Column], Column] | None = None,
 ) -> Column:
-    """First step of :func:`parse_date_range`: what the text and the parts say, unreconciled.
-
-    Stage it as a column of its own before :func:`resolve_range`, so that the parsing shows up
-    once in the plan."""
+    """What the text and the separate parts say, unreconciled."""
     text = preprocess(date) if preprocess else date
-    left, right = range_parts(text)
-    given = F.coalesce(F.trim(text) != "", F.lit(False))
-    t_from, t_to = parse_date(left, orderings), parse_date(right, orderings)
-    t_ok = (t_from.isNotNull() & t_to.isNotNull()) & (earliest(t_from) <= latest(t_to))
-
+    ends = F.transform(range_parts(text), lambda p: parse_date(p, orderings))
     parts = partial_from_parts(year, month, day)
-    parts_given = F.coalesce(F.trim(F.concat_ws("", year, month, day)) != "", F.lit(False))
-    sd, ed = F.trim(start_day).try_cast("int"), F.trim(end_day).try_cast("int")
-    doy_from, doy_to = ordinal_date(parts, sd), ordinal_date(parts, F.coalesce(ed, sd))
-    use_doy = (F.length(parts) == 4) & doy_from.isNotNull() & doy_to.isNotNull() & (doy_from <= doy_to)
-    p_from = F.when(use_doy, doy_from).otherwise(parts)
-    p_to = F.when(use_doy, doy_to).otherwise(parts)
+    first, last = F.trim(start_day).try_cast("int"), F.trim(end_day).try_cast("int")
+    days = let(
+        parts,
+        lambda p: F.when(
+            (F.length(p) == 4) & first.isNotNull(),
+            F.array(ordinal_date(p, first), ordinal_date(p, F.coalesce(last, first))),
+        ),
+    )
+    return F.struct(
+        ends.alias("text"),
+        parts.alias("parts"),
+        days.alias("days"),
+        F.coalesce(F.trim(text) != "", F.lit(False)).alias("text_given"),
+        F.coalesce(F.trim(F.concat_ws("", year, month, day)) != "", F.lit(False)).alias("parts_given"),
+    )
 
+
+def _ends(read: Column) -> Column:
+    """From and to of the text and of the parts, each pair only where it is in order."""
+    text, days, parts = read["text"], read["days"], read["parts"]
+    t_from, t_to = F.get(text, F.lit(0)), F.element_at(text, -1)
+    d_from, d_to = F.get(days, F.lit(0)), F.get(days, F.lit(1))
+    t_ok = earliest(t_from) <= latest(t_to)
+    d_ok = F.coalesce(d_from <= d_to, F.lit(False))
     return F.struct(
-        F.when(t_ok, t_from).alias("t_from"),
-        F.when(t_ok, t_to).alias("t_to"),
-        p_from.alias("p_from"),
-        p_to.alias("p_to"),
-        given.alias("t_given"),
-        parts_given.alias("p_given"),
-        F.lit(lower).alias("lower"),
-        (F.lit(upper) if isinstance(upper, str) else upper).alias("upper"),
+        F.when(t_ok, t_from).alias("tf"),
+        F.when(t_ok, t_to).alias("tt"),
+        F.when(d_ok, d_from).otherwise(parts).alias("pf"),
+        F.when(d_ok, d_to).otherwise(parts).alias("pt"),
+        read["text_given"].alias("text_given"),
+        read["parts_given"].alias("parts_given"),
     )
 
 
-def resolve_range(c: Column) -> Column:
-    """Second step of :func:`parse_date_range`."""
-    tf, tt, pf, pt = c["t_from"], c["t_to"], c["p_from"], c["p_to"]
+def _chosen(e: Column) -> Column:
+    tf, tt, pf, pt = e["tf"], e["tt"], e["pf"], e["pt"]
     both = tf.isNotNull() & pf.isNotNull()
-    apart = both & ((earliest(pf) > latest(tt)) | (latest(pt) < earliest(tf)))
-    finer = both & (tf == tt) & (F.length(pf) > F.length(tf))
-    use_parts = tf.isNull() | F.coalesce(finer, F.lit(False))
-    start = F.when(F.coalesce(apart, F.lit(False)), None).when(use_parts, pf).otherwise(tf)
-    end = F.when(F.coalesce(apart, F.lit(False)), None).when(use_parts, pt).otherwise(tt)
-    unlikely = (F.substring(earliest(start), 1, 10) < c["lower"]) | (
-        F.substring(earliest(end), 1, 10) > c["upper"]
-    )
-    keep = ~F.coalesce(unlikely, F.lit(False))
-    bad = (c["t_given"] & tf.isNull()) | (c["p_given"] & pf.isNull())
+    apart = F.coalesce(both & ((earliest(pf) > latest(tt)) | (latest(pt) < earliest(tf))), F.lit(False))
+    finer = F.coalesce(both & (tf == tt) & (F.length(pf) > F.length(tf)), F.lit(False))
+    by_parts = tf.isNull() | finer
+    bad = (e["text_given"] & tf.isNull()) | (e["parts_given"] & pf.isNull())
     return F.struct(
-        F.when(keep, start).alias("from"),
-        F.when(keep, end).alias("to"),
-        collect_issues(
-            flag(apart, "RECORDED_DATE_MISMATCH"),
-            flag(bad, "RECORDED_DATE_INVALID"),
-            flag(unlikely, "RECORDED_DATE_UNLIKELY"),
-        ).alias("issues"),
+        F.when(~apart, F.when(by_parts, pf).otherwise(tf)).alias("from"),
+        F.when(~apart, F.when(by_parts, pt).otherwise(tt)).alias("to"),
+        apart.alias("apart"),
+        bad.alias("bad"),
     )
 
 
-def parse_date_range(*columns: Column, **options) -> Column:
+def parse_date_range(
+    year: Column,
+    month: Column,
+    day: Column,
+    date: Column,
+    start_day: Column,
+    end_day: Column,
+    *,
+    upper: Column | str,
+    lower: str = EARLIEST_RECORDED,
+    orderings: Sequence[str] = (),
+    preprocess: Callable[[Column], Column] | None = None,
+) -> Column:
     """The event date as a struct of canonical ``from`` and ``to`` and the issue list.
 
-    Takes what :func:`read_date_range` takes.  Text wins over separate parts where they agree and
-    it is at least as precise; parts that contradict the text fail the whole.  Days of the year
-    refine a bare year.  Dates outside ``[lower, upper]`` are unlikely and dropped."""
-    return resolve_range(read_date_range(*columns, **options))
+    Text wins over separate parts where they agree and it is at least as precise; parts that
+    contradict the text fail the whole.  Days of the year refine a bare year.  Dates outside
+    ``[lower, upper]`` are unlikely and dropped."""
+    top = F.lit(upper) if isinstance(upper, str) else upper
+
+    def bounded(c: Column) -> Column:
+        unlikely = F.coalesce(
+            (F.substring(earliest(c["from"]), 1, 10) < lower) | (F.substring(earliest(c["to"]), 1, 10) > top),
+            F.lit(False),
+        )
+        return F.struct(
+            F.when(~unlikely, c["from"]).alias("from"),
+            F.when(~unlikely, c["to"]).alias("to"),
+            collect_issues(
+                flag(c["apart"], "RECORDED_DATE_MISMATCH"),
+                flag(c["bad"], "RECORDED_DATE_INVALID"),
+                flag(unlikely, "RECORDED_DATE_UNLIKELY"),
+            ).alias("issues"),
+        )
+
+    read = read_date_range(
+        year, month, day, date, start_day, end_day, orderings=orderings, preprocess=preprocess
+    )
+    return let(let(let(read, _ends), _chosen), bounded)
 
 
 def common_ymd(start: Column, end: Column) -> Column:
@@ -308,15 +333,18 @@ def bounded_date(
     c: Column, lower: str, upper: Column | str, prefix: str, orderings: Sequence[str] = ()
 ) -> Column:
     """Struct of a date within its bounds and an issue ``{prefix}_UNLIKELY`` or ``_INVALID``."""
-    iso = parse_date(c, orderings)
-    day = F.substring(earliest(iso), 1, 10)
-    inside = day.between(F.lit(lower), F.lit(upper) if isinstance(upper, str) else upper)
-    return F.struct(
-        F.when(inside, iso).alias("value"),
-        F.when(~inside, f"{prefix}_UNLIKELY")
-        .when(c.isNotNull() & iso.isNull(), f"{prefix}_INVALID")
-        .alias("issue"),
-    )
+    top = F.lit(upper) if isinstance(upper, str) else upper
+
+    def check(iso: Column) -> Column:
+        inside = F.substring(earliest(iso), 1, 10).between(F.lit(lower), top)
+        return F.struct(
+            F.when(inside, iso).alias("value"),
+            F.when(~inside, f"{prefix}_UNLIKELY")
+            .when(c.isNotNull() & iso.isNull(), f"{prefix}_INVALID")
+            .alias("issue"),
+        )
+
+    return let(parse_date(c, orderings), check)
 
 
 # --- plain ISO text ----------------------------------------------------------------------------
@@ -327,19 +355,19 @@ _OFFSET = r"(Z|[+-]\d{2}(?::?\d{2}){0,2})$"
 
 def parse_partial(c: Column) -> Column:
     """ISO text of any precision as canonical text; a leading 0000 stands for 1970."""
-    s = F.regexp_replace(c, r"^0000", "1970")
-    return F.when(s.rlike(_STRICT), _checked(_iso_text(s, ())))
+    return let(F.regexp_replace(c, r"^0000", "1970"), lambda s: F.when(s.rlike(_STRICT), parse_date(s)))
 
 
 def _offset_seconds(c: Column) -> Column:
     off = F.when(F.contains(c, F.lit("T")), F.regexp_extract(c, _OFFSET, 1))
-    digits = F.regexp_replace(off, r"[^0-9]", "")
-    secs = (
-        F.coalesce(F.substring(digits, 1, 2).try_cast("int"), F.lit(0)) * 3600
-        + F.coalesce(F.substring(digits, 3, 2).try_cast("int"), F.lit(0)) * 60
-        + F.coalesce(F.substring(digits, 5, 2).try_cast("int"), F.lit(0))
+    digits = F.rpad(F.regexp_replace(off, r"[^0-9]", ""), 6, "0")
+    secs = let(
+        digits,
+        lambda d: F.substring(d, 1, 2).cast("int") * 3600
+        + F.substring(d, 3, 2).cast("int") * 60
+        + F.substring(d, 5, 2).cast("int"),
     )
-    return F.when(F.startswith(off, F.lit("-")), -secs).otherwise(F.coalesce(secs, F.lit(0)))
+    return F.coalesce(F.when(F.startswith(off, F.lit("-")), -secs).otherwise(secs), F.lit(0))
 
 
 def _epoch(instant: Column, c: Column, ignore_offset: bool) -> Column:
@@ -349,12 +377,12 @@ def _epoch(instant: Column, c: Column, ignore_offset: bool) -> Column:
 
 def earliest_epoch(c: Column, ignore_offset: bool = True) -> Column:
     """Epoch second (UTC) of the first instant of ISO text."""
-    return _epoch(earliest(parse_partial(c)), c, ignore_offset)
+    return _epoch(let(parse_partial(c), earliest), c, ignore_offset)
 
 
 def latest_epoch(c: Column, ignore_offset: bool = True) -> Column:
     """Epoch second (UTC) of the last instant of ISO text."""
-    return _epoch(latest(parse_partial(c)), c, ignore_offset)
+    return _epoch(let(parse_partial(c), latest), c, ignore_offset)
 
 
 def iso_millis(c: Column) -> Column:

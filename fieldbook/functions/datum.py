@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldbook.functions.binding import let
 from fieldbook.functions.issues import collect_issues, flag
 from fieldbook.functions.numbers import round_half_up
 
@@ -89,17 +90,23 @@ def shift_to_wgs84(lat: Column, lng: Column, given: Column, datum: Column) -> Co
     )
     la, lo = molodensky(lat, lng, *[datum[k] for k in ("a", "inv_f", "dx", "dy", "dz")])
     keep = F.coalesce(same, F.lit(True))
-    la = F.when(keep, lat).otherwise(round_half_up(la, DIGITS))
-    lo = F.when(keep, lng).otherwise(round_half_up(lo, DIGITS))
-    far = (F.abs(la - lat) > SUSPICIOUS_SHIFT) | (F.abs(lo - lng) > SUSPICIOUS_SHIFT)
-    return F.struct(
-        F.when(far, lat).otherwise(la).alias("lat"),
-        F.when(far, lng).otherwise(lo).alias("lng"),
-        collect_issues(
-            flag(far, "COORDINATE_REPROJECTION_SUSPICIOUS"),
-            flag(~far & ((la != lat) | (lo != lng)), "COORDINATE_REPROJECTED"),
-            flag(blank | unknown, "GEODETIC_DATUM_ASSUMED_WGS84"),
-            flag(unknown, "GEODETIC_DATUM_INVALID"),
-        ).alias("issues"),
-        (blank | (~unknown & ~far)).alias("ok"),
+    moved = F.struct(
+        F.when(keep, lat).otherwise(round_half_up(la, DIGITS)).alias("lat"),
+        F.when(keep, lng).otherwise(round_half_up(lo, DIGITS)).alias("lng"),
     )
+
+    def judge(m: Column) -> Column:
+        far = (F.abs(m["lat"] - lat) > SUSPICIOUS_SHIFT) | (F.abs(m["lng"] - lng) > SUSPICIOUS_SHIFT)
+        return F.struct(
+            F.when(far, lat).otherwise(m["lat"]).alias("lat"),
+            F.when(far, lng).otherwise(m["lng"]).alias("lng"),
+            collect_issues(
+                flag(far, "COORDINATE_REPROJECTION_SUSPICIOUS"),
+                flag(~far & ((m["lat"] != lat) | (m["lng"] != lng)), "COORDINATE_REPROJECTED"),
+                flag(blank | unknown, "GEODETIC_DATUM_ASSUMED_WGS84"),
+                flag(unknown, "GEODETIC_DATUM_INVALID"),
+            ).alias("issues"),
+            (blank | (~unknown & ~far)).alias("ok"),
+        )
+
+    return let(moved, judge)

@@ -27,7 +27,7 @@ WKT = (
     r"|(?:POINT|LINESTRING|POLYGON|MULTIPOINT|MULTILINESTRING|MULTIPOLYGON|GEOMETRYCOLLECTION)\s+EMPTY"
     r")\s*$"
 )
-_COLLECTION = r"(?i)^\s*GEOMETRYCOLLECTION\s*\((?:[-+0-9.eE,()\s]|POINT|LINESTRING|POLYGON|MULTI|Z|M)++\)\s*$"
+_COLLECTION = r"(?i)^\s*GEOMETRYCOLLECTION\s*\((?:[-+0-9.eE,()\s]|POINT|LINESTRING|POLYGON|MULTI|Z|M)++$"
 
 
 def valid_wkt(c: Column) -> Column:

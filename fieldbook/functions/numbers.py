@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from fieldbook.functions.binding import let
 from fieldbook.functions.issues import collect_issues, flag
 from fieldbook.functions.terms import trimmed
 
@@ -55,10 +56,16 @@ def parse_count(c: Column) -> Column:
 
 def parse_double(c: Column) -> Column:
     """A double with a dot, a decimal comma, or thousands commas and a dot."""
-    v = trimmed(c)
-    return F.when(v.rlike(_PLAIN) | v.rlike(_SPECIAL), v.try_cast("double")).when(
-        v.rlike(_DECIMAL_COMMA), F.replace(v, F.lit(","), F.lit(".")).try_cast("double")
-    ).when(v.rlike(_GROUPED), F.replace(v, F.lit(","), F.lit("")).try_cast("double"))
+
+    def read(v: Column) -> Column:
+        return (
+            F.when(v.rlike(_PLAIN), v.try_cast("double"))
+            .when(v.rlike(_DECIMAL_COMMA), F.replace(v, F.lit(","), F.lit(".")).try_cast("double"))
+            .when(v.rlike(_GROUPED), F.replace(v, F.lit(","), F.lit("")).try_cast("double"))
+            .when(v.rlike(_SPECIAL), v.try_cast("double"))
+        )
+
+    return let(trimmed(c), read)
 
 
 def finite(c: Column) -> Column:
@@ -67,7 +74,7 @@ def finite(c: Column) -> Column:
 
 def finite_double(c: Column) -> Column:
     """A double that is neither infinite nor NaN."""
-    return finite(parse_double(c))
+    return let(parse_double(c), finite)
 
 
 def relative_quantity(quantity: Column, quantity_type: Column, size: Column, unit: Column) -> Column:
@@ -80,14 +87,19 @@ def parse_metres(c: Column) -> Column:
     """A length as metres; feet, inches and metric multiples are converted."""
     number = F.replace(F.regexp_extract(c, _METRES, 1), F.lit(","), F.lit(".")).try_cast("double")
     unit = F.lower(F.regexp_extract(c, _METRES, 2))
-    converted = (
-        F.when(unit.isin("ft", "feet", "foot", "'"), number * _FOOT)
-        .when(unit.isin("in", "inch", "inches", '"'), number * _INCH)
-        .when(unit == "km", number * 1000.0)
-        .when(unit == "cm", number / 100.0)
-        .when(unit == "mm", number / 1000.0)
-    )
-    return F.coalesce(round_half_up(converted, 2), number)
+
+    def convert(r: Column) -> Column:
+        n, u = r["n"], r["u"]
+        scaled = (
+            F.when(u.isin("ft", "feet", "foot", "'"), n * _FOOT)
+            .when(u.isin("in", "inch", "inches", '"'), n * _INCH)
+            .when(u == "km", n * 1000.0)
+            .when(u == "cm", n / 100.0)
+            .when(u == "mm", n / 1000.0)
+        )
+        return F.when(u.isin("", "m") | n.isNull(), n).otherwise(F.coalesce(let(scaled, lambda v: round_half_up(v, 2)), n))
+
+    return let(F.struct(number.alias("n"), unit.alias("u")), convert)
 
 
 def not_metric(c: Column) -> Column:
@@ -101,42 +113,48 @@ def range_midpoint(low: Column, high: Column, kind: str) -> Column:
     """Midpoint and accuracy of a range given as text; ``kind`` is ELEVATION or DEPTH.
 
     Fails (null value, no issues) where neither end is a length or the midpoint is impossible."""
-    lo, hi = parse_metres(low), parse_metres(high)
-    a, b = F.coalesce(lo, hi), F.coalesce(hi, lo)
     bounds = ELEVATION_RANGE if kind == "ELEVATION" else DEPTH_RANGE
-    mid = (a + b) / 2.0
-    ok = mid.between(*bounds)
-    issues = collect_issues(
-        flag(lo > hi, f"{kind}_MIN_MAX_SWAPPED"),
-        flag(not_metric(low) | not_metric(high), f"{kind}_NOT_METRIC"),
-        flag(
-            (low.isNotNull() & lo.isNull()) | (high.isNotNull() & hi.isNull()), f"{kind}_NON_NUMERIC"
-        ),
-    )
-    return F.when(
-        ok,
-        F.struct(
-            mid.alias("value"), (F.abs(b - a) / 2.0).alias("accuracy"), issues.alias("issues")
-        ),
-    )
+    foreign = F.coalesce(not_metric(low), F.lit(False)) | F.coalesce(not_metric(high), F.lit(False))
+
+    def build(r: Column) -> Column:
+        lo, hi = r["lo"], r["hi"]
+        a, b = F.coalesce(lo, hi), F.coalesce(hi, lo)
+        mid = (a + b) / 2.0
+        issues = collect_issues(
+            flag(lo > hi, f"{kind}_MIN_MAX_SWAPPED"),
+            flag(foreign, f"{kind}_NOT_METRIC"),
+            flag((low.isNotNull() & lo.isNull()) | (high.isNotNull() & hi.isNull()), f"{kind}_NON_NUMERIC"),
+        )
+        return F.when(
+            mid.between(*bounds),
+            F.struct(mid.alias("value"), (F.abs(b - a) / 2.0).alias("accuracy"), issues.alias("issues")),
+        )
+
+    return let(F.struct(parse_metres(low).alias("lo"), parse_metres(high).alias("hi")), build)
 
 
 def uncertainty(c: Column) -> Column:
     """Absolute coordinate uncertainty within its exclusive bounds, else the issue."""
-    v = F.abs(parse_metres(c))
-    ok = F.coalesce((v > UNCERTAINTY_BOUNDS[0]) & (v < UNCERTAINTY_BOUNDS[1]), F.lit(False))
     given = F.coalesce(c != "", F.lit(False))
-    return F.struct(
-        F.when(ok, v).alias("value"),
-        flag(given & ~ok, "COORDINATE_UNCERTAINTY_METERS_INVALID").alias("issue"),
-    )
+
+    def check(v: Column) -> Column:
+        ok = F.coalesce((v > UNCERTAINTY_BOUNDS[0]) & (v < UNCERTAINTY_BOUNDS[1]), F.lit(False))
+        return F.struct(
+            F.when(ok, v).alias("value"),
+            flag(given & ~ok, "COORDINATE_UNCERTAINTY_METERS_INVALID").alias("issue"),
+        )
+
+    return let(F.abs(parse_metres(c)), check)
 
 
 def precision(c: Column) -> Column:
     """Coordinate precision within its inclusive bounds, else the issue."""
-    v = parse_double(c)
-    ok = F.coalesce(v.between(*PRECISION_BOUNDS), F.lit(False))
-    return F.struct(
-        F.when(ok, v).alias("value"),
-        flag(c.isNotNull() & ~ok, "COORDINATE_PRECISION_INVALID").alias("issue"),
-    )
+
+    def check(v: Column) -> Column:
+        ok = F.coalesce(v.between(*PRECISION_BOUNDS), F.lit(False))
+        return F.struct(
+            F.when(ok, v).alias("value"),
+            flag(c.isNotNull() & ~ok, "COORDINATE_PRECISION_INVALID").alias("issue"),
+        )
+
+    return let(parse_double(c), check)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from fieldbook.functions.binding import let
 from fieldbook.functions.issues import flag
 from fieldbook.functions.terms import PIPE_OR_COMMA, split_values, value_set
 
@@ -58,30 +59,42 @@ def _value_group(pattern: str) -> int:
 
 def clean_name(c: Column) -> Column:
     """Collapse blanks; a name all in capitals keeps only its first one."""
-    v = F.trim(F.regexp_replace(c, r"[\s\x{A0}]+", " "))
-    shout = F.regexp_like(F.replace(v, F.lit(" "), F.lit("")), F.lit(r"^\p{Lu}+$"))
-    return F.when(shout, F.concat(F.upper(F.substring(v, 1, 1)), F.lower(F.substring(v, 2, 1 << 30)))).otherwise(v)
+
+    def shout(v: Column) -> Column:
+        loud = F.regexp_like(F.replace(v, F.lit(" "), F.lit("")), F.lit(r"^\p{Lu}+$"))
+        small = F.concat(F.upper(F.substring(v, 1, 1)), F.lower(F.substring(v, 2, 1 << 30)))
+        return F.when(loud, small).otherwise(v)
+
+    return let(F.trim(F.regexp_replace(c, r"[\s\x{A0}]+", " ")), shout)
 
 
 def sex_from_text(c: Column) -> Column:
     """The sex named in a phrase.  The first pattern that matches decides, and gives nothing
     where its matches disagree."""
-    v = F.lower(c)
-    out = None
-    for pattern in reversed(SEX_PATTERNS):
-        found = F.array_distinct(F.regexp_extract_all(v, F.lit(pattern), F.lit(_value_group(pattern))))
-        one = F.when(F.size(found) == 1, F.get(found, 0))
-        out = F.when(F.size(found) > 0, one) if out is None else F.when(F.size(found) > 0, one).otherwise(out)
-    return out
+
+    def search(v: Column) -> Column:
+        # Per pattern its distinct values; the first pattern that has any decides.
+        found = F.array(
+            *[
+                F.array_distinct(F.regexp_extract_all(v, F.lit(p), F.lit(_value_group(p))))
+                for p in SEX_PATTERNS
+            ]
+        )
+        first = F.get(F.filter(found, lambda f: F.size(f) > 0), F.lit(0))
+        return let(first, lambda f: F.when(F.size(f) == 1, F.get(f, F.lit(0))))
+
+    # Every pattern holds one of these words.
+    return F.when(F.lower(c).rlike("sex|male"), let(F.lower(c), search))
 
 
 def life_stage_from_text(c: Column) -> Column:
     """The life stage named in a phrase; phrases on determination are left out."""
-    v = F.lower(c)
-    found = [
-        F.nullif(F.regexp_extract(v, p, _value_group(p)), F.lit("")) for p in LIFE_STAGE_PATTERNS
-    ]
-    return F.when(~F.contains(v, F.lit(LIFE_STAGE_EXCLUDED)), F.coalesce(*found))
+
+    def search(v: Column) -> Column:
+        found = [F.nullif(F.regexp_extract(v, p, _value_group(p)), F.lit("")) for p in LIFE_STAGE_PATTERNS]
+        return F.when(~F.contains(v, F.lit(LIFE_STAGE_EXCLUDED)), F.coalesce(*found))
+
+    return let(F.lower(c), search)
 
 
 def _agent(v: Column) -> Column:
@@ -118,12 +131,15 @@ def reference_uri(c: Column) -> Column:
 
 def license_name(c: Column) -> Column:
     """Licence constant of a licence address, else UNSPECIFIED."""
-    v = F.regexp_replace(F.lower(F.trim(c)), r"^https?://(?:www\.)?", "")
-    out = F.when(v.isNull(), "UNSPECIFIED")
-    for name, pattern in LICENSES:
-        out = out.when(v.rlike(pattern), name)
-    # Any other well-formed address is a licence, though not one that is supported.
-    return out.when(v.rlike(r"^[^\s<>\"{}|\\^`]+$"), "UNSUPPORTED").otherwise("UNSPECIFIED")
+
+    def read(v: Column) -> Column:
+        out = F.when(v.isNull(), "UNSPECIFIED")
+        for name, pattern in LICENSES:
+            out = out.when(v.rlike(pattern), name)
+        # Any other well-formed address is a licence, though not one that is supported.
+        return out.when(v.rlike(r"^[^\s<>\"{}|\\^`]+$"), "UNSUPPORTED").otherwise("UNSPECIFIED")
+
+    return let(F.regexp_replace(F.lower(F.trim(c)), r"^https?://(?:www\.)?", ""), read)
 
 
 def typified_name(name: Column, status: Column) -> Column:

@@ -5,13 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldbook.functions.coords import check_read, parse_point, pick_coordinates, read_lat_lng, read_verbatim_pair
+from fieldbook.functions.binding import let
+from fieldbook.functions.coords import parse_lat_lng, parse_point, parse_verbatim_pair, pick_coordinates
 from fieldbook.functions.datum import datum_table, normalise_datum, shift_to_wgs84
 from fieldbook.functions.issues import no_issues, union_issues
 from fieldbook.functions.terms import trimmed
-from fieldbook.operators.staging import stage, staged
-
-_READ = ("lat", "lng", "given")
 
 
 def parse_coordinates(df: DataFrame, out: str = "coords") -> DataFrame:
@@ -22,15 +20,12 @@ def parse_coordinates(df: DataFrame, out: str = "coords") -> DataFrame:
         return trimmed(F.col(name))
 
     keep = df.columns
-    df = stage(df, "_dec", read_lat_lng(t("decimalLatitude"), t("decimalLongitude")), _READ)
-    df = stage(df, "_ver", read_lat_lng(t("verbatimLatitude"), t("verbatimLongitude")), _READ)
-    df = stage(df, "_pair", read_verbatim_pair(t("verbatimCoordinates")), _READ)
     df = df.withColumns(
         {
-            "_c1": check_read(staged("_dec", _READ)),
-            "_c2": check_read(staged("_ver", _READ)),
-            "_c3": check_read(staged("_pair", _READ)),
-            f"{out}_point": parse_point(t("footprintWKT")),
+            "_c1": parse_lat_lng(t("decimalLatitude"), t("decimalLongitude")),
+            "_c2": parse_lat_lng(t("verbatimLatitude"), t("verbatimLongitude")),
+            "_c3": let(t("verbatimCoordinates"), parse_verbatim_pair),
+            f"{out}_point": let(t("footprintWKT"), parse_point),
         }
     )
     picked = pick_coordinates(F.col("_c1"), F.col("_c2"), F.col("_c3"), fallback=F.col(f"{out}_point"))

@@ -15,17 +15,14 @@ from fieldbook.functions.dates import (
     common_ymd,
     day_of_year,
     event_date,
-    read_date_range,
-    resolve_range,
+    parse_date_range,
 )
 from fieldbook.functions.issues import collect_issues, merge_issues
 from fieldbook.functions.terms import term
 from fieldbook.operators.identification import identification_fallback
 from fieldbook.operators.records import carry_ids, has_terms
-from fieldbook.operators.staging import stage, staged
 
 _PARTS = ("year", "month", "day", "eventDate", "startDayOfYear", "endDayOfYear")
-_READ = ("t_from", "t_to", "p_from", "p_to", "t_given", "p_given", "lower", "upper")
 
 
 def created(run_ts: datetime) -> Column:
@@ -52,20 +49,16 @@ def temporal_view(
         pre(term("modified")).alias("t_modified"),
         pre(term("dateIdentified", identification="_ident")).alias("t_dateIdentified"),
     )
-    df = stage(
-        df,
-        "_d",
-        read_date_range(*[F.col(f"t_{t}") for t in _PARTS], upper=upper, orderings=orderings, preprocess=preprocess),
-        _READ,
-    )
-    df = stage(df, "_r", resolve_range(staged("_d", _READ)), ("from", "to", "issues"))
-    start, end = F.col("_r__from"), F.col("_r__to")
     df = df.withColumns(
         {
+            "_r": parse_date_range(
+                *[F.col(f"t_{t}") for t in _PARTS], upper=upper, orderings=orderings, preprocess=preprocess
+            ),
             "_m": bounded_date(F.col("t_modified"), EARLIEST_MODIFIED, upper, "MODIFIED_DATE", orderings),
             "_i": bounded_date(F.col("t_dateIdentified"), EARLIEST_IDENTIFIED, upper, "IDENTIFIED_DATE", orderings),
         }
     )
+    start, end = F.col("_r.from"), F.col("_r.to")
     ymd = common_ymd(start, end)
     return df.select(
         "id",
@@ -81,5 +74,5 @@ def temporal_view(
         F.col("_m.value").alias("modified"),
         F.col("_i.value").alias("dateIdentified"),
         F.lit(None).cast("string").alias("datePrecision"),
-        merge_issues(F.col("_r__issues"), collect_issues(F.col("_m.issue"), F.col("_i.issue"))).alias("issues"),
+        merge_issues(F.col("_r.issues"), collect_issues(F.col("_m.issue"), F.col("_i.issue"))).alias("issues"),
     )

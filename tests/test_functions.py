@@ -282,7 +282,7 @@ def test_pick(values):
             coords.parse_lat_lng(a, b), coords.parse_verbatim_pair(c), fallback=coords.parse_point(F.lit("POINT(1 2)"))
         )
 
-    assert [_pair(x) for x in values(pick, ["1", "x"], ["1", "1"], ["5,6", "5,6"])] == [(1.0, 1.0, [], True), (5.0, 6.0, [], True)]
+    assert [_pair(x) for x in values(pick, ["1", "x"], ["1", "1"], ["5.0,6.0", "5.0,6.0"])] == [(1.0, 1.0, [], True), (5.0, 6.0, [], True)]
     assert _pair(values(pick, ["x"], ["y"], ["zzzzzz"])[0]) == (2.0, 1.0, [], True)
 
 
