@@ -79,10 +79,10 @@ def event_date_ranges(t: Tables):
         .when(k == 2, F.col("y"))
         .when(k == 3, full)
         .when(k == 4, "some day")
-        .when(k == 6, F.concat(F.lit("1066"), F.substring(full, 5, 6)))
+        .when(k == 6, F.concat(F.lit("1068"), F.substring(full, 5, 6)))
     )
     # Text and parts agree, refine each other or contradict.
-    year = F.when(k.isin(2, 4), F.col("y")).when(k == 3, "1700").when(k == 5, F.col("y"))
+    year = F.when(k.isin(2, 4), F.col("y")).when(k == 3, "1704").when(k == 5, F.col("y"))
     month = F.when(k.isin(2, 3, 4), F.col("m"))
     day = F.when(k.isin(2, 3, 4), F.col("d"))
     doy = F.when(k == 5, F.dayofyear("o_orderdate").cast("string"))
@@ -96,7 +96,7 @@ def event_date_ranges(t: Tables):
     "bounded_dates",
     """
     WITH s AS (SELECT l_orderkey, l_linenumber, l_partkey, l_linenumber % 5 AS k, strftime(l_shipdate, '%Y-%m-%d') AS v FROM lineitem)
-    SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN k IN (0, 4) THEN v WHEN k = 3 THEN '1753' || v[5:] END AS identified,
+    SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN k IN (0, 4) THEN v WHEN k = 3 THEN '1756' || v[5:] END AS identified,
       CASE k WHEN 1 THEN 'IDENTIFIED_DATE_UNLIKELY' WHEN 2 THEN 'IDENTIFIED_DATE_INVALID' END AS identified_issue,
       CASE WHEN k IN (0, 4) THEN v END AS modified, CASE k WHEN 1 THEN 'MODIFIED_DATE_UNLIKELY' WHEN 2 THEN 'MODIFIED_DATE_INVALID' WHEN 3 THEN 'MODIFIED_DATE_UNLIKELY' END AS modified_issue
     FROM s
@@ -104,7 +104,7 @@ def event_date_ranges(t: Tables):
 )
 def bounded_dates(t: Tables):
     k, v = F.col("l_linenumber") % 5, F.date_format("l_shipdate", "yyyy-MM-dd")
-    text = F.when(k == 1, F.concat(F.lit("2099"), F.substring(v, 5, 3), F.lit("-28"))).when(k == 2, "n/a").when(k == 3, F.concat(F.lit("1753"), F.substring(v, 5, 6))).otherwise(v)
+    text = F.when(k == 1, F.concat(F.lit("2099"), F.substring(v, 5, 3), F.lit("-28"))).when(k == 2, "n/a").when(k == 3, F.concat(F.lit("1756"), F.substring(v, 5, 6))).otherwise(v)
     s = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", text.alias("v")).select(
         "l_orderkey", "l_linenumber", "l_partkey",
         dates.bounded_date(F.col("v"), dates.EARLIEST_IDENTIFIED, _UPPER, "IDENTIFIED_DATE").alias("i"),
@@ -156,7 +156,7 @@ def preprocessed_dates(t: Tables):
     nothing = F.lit(None).cast("string")
     r = dates.parse_date_range(
         nothing, nothing, nothing, F.col("v"), nothing, nothing,
-        upper=_UPPER, orderings=[DMY], preprocess=lambda c: F.regexp_replace(c, r"^ca\\.? *", ""),
+        upper=_UPPER, orderings=[DMY], preprocess=lambda c: F.regexp_replace(c, r"^ca\.? *", ""),
     )
     o = t.orders.select("o_orderpriority", v.alias("v")).select("o_orderpriority", r["from"].alias("iso"))
     return o.groupBy("o_orderpriority", F.substring("iso", 1, 7).alias("month")).agg(F.count("*").alias("n"))
