@@ -8,7 +8,7 @@ from catalog.base import Tables, joined, query, vocabulary
 from fieldbook.functions.terms import trimmed
 from fieldbook.operators import continent, country, geocode, lookup
 from fieldbook.operators.checkpoints import materialize
-from fieldbook.operators.joins import dimension_join, skew_join
+from fieldbook.operators.joins import dimension_join
 from fieldbook.sources import dims
 
 #: Countries of the fixture: the 25 nations, under codes that the pair list knows where it can.
@@ -184,14 +184,13 @@ _GIVEN_KEY = "CASE WHEN event_id % 6 = 0 THEN NULL ELSE (event_id * 7) % 25 END"
 def match_country(t: Tables):
     given = F.expr(_GIVEN_KEY)
     named = dimension_join(
-        points(t).withColumn("n_nationkey", given.cast("int")), nations(t).select("n_nationkey", F.col("code").alias("given")), ["n_nationkey"], "left", spread=["event_id"]
-    )
+        points(t).withColumn("n_nationkey", given.cast("int")), nations(t).select("n_nationkey", F.col("code").alias("given")), ["n_nationkey"], "left")
     grid = cells(t).filter("type = 'Political'")
 
     def lookup_points(pts):
         return geocode.geocode_lists(geocode.reverse_geocode(pts, grid, buffer=_BUFFER))
 
-    found = country.match_country(named, lookup_points, dims.load_country_pairs(t.spark), country="given", key=["event_id"])
+    found = country.match_country(named, lookup_points, dims.load_country_pairs(t.spark), country="given")
     return found.select(
         "event_id", "given", F.col("m_country").alias("country"), (F.col("m_lat") + 0.0).alias("lat"), (F.col("m_lng") + 0.0).alias("lng"), joined(F.col("m_issues")).alias("issues")
     )
@@ -214,9 +213,9 @@ def parse_country(t: Tables):
     aliases = nat.select(F.col("n_name").alias("alias"), F.col("code").alias("iso2")).unionByName(nat.select(F.col("code").alias("alias"), F.col("code").alias("iso2")))
     name = F.when(k == 0, "nowhere").when(k != 1, F.concat(F.lit("nation "), F.col("c_nationkey").cast("string")))
     c = t.customer.select("c_custkey", name.alias("country"), (F.col("c_custkey") % 25).cast("int").alias("n_nationkey"), k.alias("k"))
-    c = dimension_join(c, nat.select("n_nationkey", F.lower("code").alias("code")), ["n_nationkey"], "left", spread=["c_custkey"])
+    c = dimension_join(c, nat.select("n_nationkey", F.lower("code").alias("code")), ["n_nationkey"], "left")
     c = c.withColumn("countryCode", F.when(F.col("k") == 2, None).when(F.col("k") == 3, "??").otherwise(F.col("code"))).drop("code", "n_nationkey")
-    found = country.parse_country(c, aliases, out="p", spread=["c_custkey"])
+    found = country.parse_country(c, aliases, out="p")
     return found.select("c_custkey", F.col("p").alias("country"), joined(F.col("p_issues")).alias("issues"))
 
 
@@ -265,13 +264,13 @@ def continents(t: Tables):
         ((F.col("event_id") * 7) % 25).cast("int").alias("n_nationkey"),
         F.expr(_CONTINENT_TEXT).alias("txt"),
     )
-    e = dimension_join(e, nations(t).select("n_nationkey", "code"), ["n_nationkey"], "left", spread=["event_id"])
+    e = dimension_join(e, nations(t).select("n_nationkey", "code"), ["n_nationkey"], "left")
     e = e.withColumn("country", F.when(F.col("event_id") % 5 != 0, F.col("code")))
-    e = dimension_join(e, country_continents(t), ["country"], "left", spread=["event_id"])
+    e = dimension_join(e, country_continents(t), ["country"], "left")
     e = lookup.lookup_enum(e, trimmed(F.col("txt")), vocabulary(t.spark), "continent", "parsed")
     grid = cells(t).filter("type = 'Continent'")
     here = geocode.geocode_lists(geocode.reverse_geocode(e.select("lat", "lng"), grid, buffer=_BUFFER)).select("lat", "lng", F.col("continents").alias("found"))
-    e = skew_join(e, here, ["lat", "lng"], "left", spread=["event_id"])
+    e = e.join(here, ["lat", "lng"], "left")
     r = continent.resolve_continent(F.col("txt"), F.col("parsed"), F.col("continents"), F.col("country"), F.col("lat").isNotNull(), F.col("found"))
     e = e.select("event_id", r.alias("r"))
     return e.select("event_id", F.col("r.value").alias("continent"), joined(F.col("r.issues")).alias("issues"))
@@ -289,7 +288,7 @@ def continents(t: Tables):
 def centroid_distance(t: Tables):
     cen = nations(t).selectExpr("n_nationkey", *_BOX_COLS).selectExpr("n_nationkey", "(s + n) / 2 AS lat", "(w + e) / 2 AS lng")
     e = t.events.select("event_id", (F.col("event_id") % 25).cast("int").alias("n_nationkey"))
-    e = dimension_join(e, cen, ["n_nationkey"], "inner", spread=["event_id"]).selectExpr(
+    e = dimension_join(e, cen, ["n_nationkey"], "inner").selectExpr(
         "lat + ((event_id % 41) - 20) / 400.0D AS lat", "lng + ((event_id % 37) - 18) / 300.0D AS lng"
     )
     found = geocode.centroid_distance(e, cen.select("lat", "lng"))
@@ -312,12 +311,12 @@ def repatriation(t: Tables):
     code = by_code.select("n_nationkey", "iso2")
     sup = t.supplier.join(code, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("l_suppkey"), F.col("iso2").alias("countryCode"))
     cust = t.customer.join(code, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_custkey").alias("o_custkey"), F.col("iso2").alias("publishingCountry"))
-    publisher = dimension_join(t.orders.select("o_orderkey", "o_custkey"), cust, ["o_custkey"], "inner", spread=["o_orderkey"]).select(
+    publisher = dimension_join(t.orders.select("o_orderkey", "o_custkey"), cust, ["o_custkey"], "inner").select(
         F.col("o_orderkey").alias("l_orderkey"), "publishingCountry"
     )
-    l = dimension_join(t.lineitem.select("l_orderkey", "l_suppkey"), sup, ["l_suppkey"], "inner", spread=["l_orderkey"])
+    l = dimension_join(t.lineitem.select("l_orderkey", "l_suppkey"), sup, ["l_suppkey"], "inner")
     l = l.join(publisher, "l_orderkey").select("l_orderkey", "countryCode", "publishingCountry")
-    l = country.region_of(l, by_code.select("iso2", "region"), "countryCode", "region", spread=["l_orderkey"])
-    l = country.region_of(l, by_code.select("iso2", "region"), "publishingCountry", "published_region", spread=["l_orderkey"])
+    l = country.region_of(l, by_code.select("iso2", "region"), "countryCode", "region")
+    l = country.region_of(l, by_code.select("iso2", "region"), "publishingCountry", "published_region")
     flag = country.repatriated(F.col("countryCode"), F.col("publishingCountry")).alias("repatriated")
     return l.groupBy("region", "published_region", flag).agg(F.count("*").alias("n"))

@@ -1 +1,87 @@
-"""Placeholder."""
+"""Matching names against a backbone."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from catalog.base import Tables, query
+from fieldbook.operators import taxonomy
+from fieldbook.operators.enrich import enrich_distinct
+from fieldbook.schema import BACKBONE
+
+#: The backbone of the fixture: part names as species, their first words as genera, one kingdom.
+_BACKBONE_SQL = """
+    sp AS (SELECT min(p_partkey) + 1000 AS key, p_name AS name, 'SPECIES' AS rank, string_split(p_name, ' ')[1] AS genus FROM part GROUP BY 2, 4),
+    ge AS (SELECT min(p_partkey) + 2000000 AS key, string_split(p_name, ' ')[1] AS name, 'GENUS' AS rank, string_split(p_name, ' ')[1] AS genus FROM part GROUP BY 2, 4),
+    ki AS (SELECT min(p_partkey) + 1 AS key, 'Parta' AS name, 'KINGDOM' AS rank, NULL AS genus FROM part),
+    bb AS (SELECT * FROM sp UNION ALL SELECT * FROM ge UNION ALL SELECT * FROM ki)
+"""
+
+
+def complete(df):
+    """Fill the backbone columns that a fixture leaves out."""
+    have = set(df.columns)
+    return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in BACKBONE])
+
+
+def backbone(t: Tables):
+    genus = F.substring_index("p_name", " ", 1)
+    own = F.struct(F.col("key").cast("int").alias("key"), "name", "rank")
+    top = F.struct(F.lit(1).alias("key"), F.lit("Parta").alias("name"), F.lit("KINGDOM").alias("rank"))
+    sp = t.part.groupBy(F.col("p_name").alias("name"), genus.alias("genus")).agg((F.min("p_partkey") + 1000).alias("key")).withColumn("rank", F.lit("SPECIES"))
+    ge = t.part.groupBy(genus.alias("name")).agg((F.min("p_partkey") + 2000000).alias("key")).select("name", F.col("name").alias("genus"), "key", F.lit("GENUS").alias("rank"))
+    ki = t.part.agg((F.min("p_partkey") + 1).alias("key")).select(F.lit("Parta").alias("name"), F.lit(None).cast("string").alias("genus"), "key", F.lit("KINGDOM").alias("rank"))
+    rows = sp.select("name", "genus", "key", "rank").unionByName(ge).unionByName(ki)
+    status = F.when((F.col("rank") == "SPECIES") & (F.col("key") % 3 == 0), "SYNONYM").otherwise("ACCEPTED")
+    return complete(
+        rows.select(
+            "key", "name", "rank", "genus", F.lit("Parta").alias("kingdom"), status.alias("status"),
+            F.when(status == "SYNONYM", F.lit(1)).alias("accepted_key"), F.array(top, own).alias("classification"),
+        )
+    )
+
+
+#: A name in six states, for both engines; ``g`` is the genus and ``sp`` the epithet.
+_STATE = "p_partkey % 6"
+
+
+@query(
+    "match_taxa",
+    f"""
+    WITH {_BACKBONE_SQL},
+    q AS (SELECT p_partkey, {_STATE} AS k, string_split(p_name, ' ')[1] AS g, p_name AS n FROM part),
+    s AS (SELECT p_partkey, k, CASE k WHEN 0 THEN n WHEN 1 THEN n[1:1] || n[3:] WHEN 2 THEN n[1:1] || n[3:] WHEN 3 THEN g || ' zzzzzzz' WHEN 4 THEN 'qqqqqqqq zzzzzzz' ELSE n END AS v,
+             CASE WHEN k = 3 THEN g WHEN k = 5 THEN g END AS genus, CASE WHEN k IN (1, 3, 4) THEN 'parta' END AS kingdom FROM q),
+    d AS (SELECT s.*, bb.key, bb.name, CASE WHEN bb.rank = 'SPECIES' AND bb.key % 3 = 0 THEN 1 ELSE 0 END AS syn, bb.rank, levenshtein(s.v, lower(bb.name)) AS d,
+             (CASE WHEN s.kingdom = 'parta' THEN 1 ELSE 0 END) + (CASE WHEN s.genus = bb.genus THEN 1 ELSE 0 END) AS agree, lower(bb.name) = s.genus AND bb.rank = 'GENUS' AS by_genus, lower(bb.name) = s.kingdom AND bb.rank = 'KINGDOM' AS by_kingdom FROM s, bb),
+    a AS (SELECT p_partkey, arg_min(key, (-agree, syn, key)) FILTER (d = 0) AS ex, arg_min(key, (d, -agree, syn, key)) FILTER (d <= 1 AND kingdom IS NOT NULL) AS fu,
+             min(key) FILTER (by_genus) AS hg, min(key) FILTER (by_kingdom) AS hk FROM d GROUP BY 1)
+    SELECT p_partkey, coalesce(ex, fu, hg, hk, 0) AS key, CASE WHEN ex IS NOT NULL THEN 'EXACT' WHEN fu IS NOT NULL THEN 'FUZZY' WHEN hg IS NOT NULL OR hk IS NOT NULL THEN 'HIGHERRANK' END AS match,
+      CASE WHEN ex IS NOT NULL THEN '' WHEN fu IS NOT NULL THEN 'TAXON_MATCH_FUZZY' WHEN hg IS NOT NULL OR hk IS NOT NULL THEN 'TAXON_MATCH_HIGHERRANK' ELSE 'TAXON_MATCH_NONE' END AS issues,
+      CASE WHEN coalesce(ex, fu, hg, hk) IS NULL THEN NULL WHEN bb.rank = 'SPECIES' AND bb.key % 3 = 0 THEN 1 ELSE bb.key END AS accepted
+    FROM a LEFT JOIN bb ON bb.key = coalesce(ex, fu, hg, hk)
+    """,
+)
+def match_taxa(t: Tables):
+    k, name = F.expr(_STATE), F.col("p_name")
+    genus = F.substring_index(name, " ", 1)
+    typo = F.concat(F.substring(name, 1, 1), F.substring(name, 3, 99))
+    spelled = (
+        F.when(k == 0, F.concat(F.lit(" "), F.upper(F.replace(name, F.lit(" "), F.lit("  ")))))
+        .when(k.isin(1, 2), typo)
+        .when(k == 3, F.concat(genus, F.lit(" zzzzzzz")))
+        .when(k == 4, "qqqqqqqq zzzzzzz")
+    )
+    nothing = F.lit(None).cast("string")
+    cols = {
+        "kingdom": F.when(k.isin(1, 3, 4), "parta"), "phylum": nothing, "clazz": nothing, "order": nothing, "family": nothing,
+        "genus": F.when(k.isin(3, 5), genus), "scientificName": spelled, "genericName": nothing,
+        "specificEpithet": F.when(k == 5, F.substring_index(name, " ", -1)), "infraspecificEpithet": nothing,
+    }
+    p = t.part.select("p_partkey", *[c.alias(n) for n, c in cols.items()])
+    names = backbone(t)
+    found = enrich_distinct(p, list(cols), lambda keys: taxonomy.match_taxa(keys, names), keep=["p_partkey"], spread=["p_partkey"])
+    return found.select(
+        "p_partkey", F.col("usage.key").cast("bigint").alias("key"), F.col("diagnostics.matchType").alias("match"),
+        F.array_join("issues", "|").alias("issues"), F.col("acceptedUsage.key").cast("bigint").alias("accepted"),
+    )

@@ -1 +1,248 @@
-"""Placeholder."""
+"""The interpreted views over verbatim records made from the events."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from catalog.base import RUN_TS, Tables, joined, query, vocabulary
+from catalog.geography import CODES, _BOX_COLS, _HITS_SQL, _PAIR_SETS, country_continents, nations, regions
+from catalog.lineage import _PARENT, _WALK
+from catalog.names import complete
+from catalog.temporal import _SPELLINGS
+from catalog.terms import _COUNT_TEXT, _TRAIT
+from fieldbook.functions.dates import DMY
+from fieldbook.operators import geocode
+from fieldbook.operators.checkpoints import materialize
+from fieldbook.plans import LocationDims, basic_view, event_view, location_view, occurrence_view, taxon_view, temporal_view
+from fieldbook.schema import DWC_NS, uri
+from fieldbook.sources import dims
+from fieldbook.sources.verbatim import to_json_lines
+
+#: Places on eighths of degrees, so that text and number agree; both engines.
+_LAT = "cast((event_id * 37) % 1440 as double) / 8 - 90"
+_LNG = "cast((event_id * 53) % 2880 as double) / 8 - 180"
+_GIVEN = "element_at(array(" + ", ".join(f"'{c.lower()}'" for c in CODES) + "), cast((event_id * 7) % 25 as int) + 1)"
+_GIVEN_SQL = "(['" + "', '".join(CODES) + "'])[(event_id * 7) % 25 + 1]"
+_NAME = "case event_id % 4 when 0 then event_type when 1 then event_type || 'x' when 2 then 'zzzz' end"
+
+
+def verbatim(t: Tables):
+    """One record per event."""
+    e = t.events.select(
+        "*", *[F.date_format("ts", f).alias(n) for n, f in (("y", "yyyy"), ("m", "MM"), ("d", "dd"), ("mon", "MMM"))]
+    )
+    terms = {
+        "eventDate": F.expr(f"case when event_id % 10 = 9 then 'unknown' else {_SPELLINGS.format(k='event_id')} end"),
+        "individualCount": F.expr(_COUNT_TEXT.format(s="string")),
+        "decimalLatitude": F.expr(f"cast({_LAT} as string)"),
+        "decimalLongitude": F.expr(f"cast({_LNG} as string)"),
+        "geodeticDatum": F.lit("WGS84"),
+        "countryCode": F.expr(f"case when event_id % 6 > 0 then {_GIVEN} end"),
+        "basisOfRecord": F.col("event_type"),
+        "dynamicProperties": F.expr(_TRAIT),
+        "recordedBy": F.concat(F.lit("user "), F.col("user_id").cast("string"), F.lit(" | someone")),
+        "scientificName": F.expr(_NAME),
+        "kingdom": F.expr("case when event_id % 4 = 1 then 'Acta' end"),
+        "parentEventID": F.expr(_PARENT),
+        "eventType": F.col("event_type"),
+        "coordinateUncertaintyInMeters": F.expr("case when event_id % 3 = 0 then '-' || cast(event_id % 50 as string) || ' m' end"),
+    }
+    entries = [x for name, value in terms.items() for x in (F.lit(uri(name)), value)]
+    return e.select(
+        F.col("event_id").cast("string").alias("id"),
+        F.lit(None).cast("string").alias("coreId"),
+        F.lit(DWC_NS + "Occurrence").alias("coreRowType"),
+        F.create_map(*entries).alias("coreTerms"),
+        F.expr("cast(map() as map<string,array<map<string,string>>>)").alias("extensions"),
+    )
+
+
+def location_dims(t: Tables) -> LocationDims:
+    nat = nations(t)
+    named = nat.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", "code", F.col("r_name").alias("region"))
+    alias = named.select(F.col("code").alias("alias"), F.col("code").alias("iso2"), F.col("code").alias("iso3"), F.col("n_name").alias("title"), "region")
+    cen = nat.selectExpr(*_BOX_COLS).selectExpr("(s + n) / 2 AS lat", "(w + e) / 2 AS lng")
+    return LocationDims(
+        aliases=alias,
+        pairs=dims.load_country_pairs(t.spark),
+        continents=country_continents(t),
+        vocabulary=vocabulary(t.spark),
+        cells=materialize(geocode.region_cells(regions(t))),
+        centroids=cen,
+        publishing_country="AU",
+    )
+
+
+def backbone(t: Tables):
+    """The event types as species of one kingdom."""
+    own = F.struct(F.col("key").cast("int").alias("key"), "name", "rank")
+    sp = t.events.groupBy(F.col("event_type").alias("name")).agg((F.min("event_id") + 100).alias("key")).withColumn("rank", F.lit("SPECIES"))
+    ki = t.events.agg((F.min("event_id") + 1).alias("key")).select(F.lit("Acta").alias("name"), "key", F.lit("KINGDOM").alias("rank"))
+    rows = sp.unionByName(ki)
+    return complete(rows.select("key", "name", "rank", F.lit("Acta").alias("kingdom"), F.lit("ACCEPTED").alias("status"), F.array(own).alias("classification")))
+
+
+_COUNTS = f"WITH c AS (SELECT *, {_COUNT_TEXT.format(s='varchar')} AS cnt FROM events)"
+_BASIS = "CASE event_type WHEN 'click' THEN 'HUMAN_OBSERVATION' WHEN 'view' THEN 'MACHINE_OBSERVATION' WHEN 'purchase' THEN 'PRESERVED_SPECIMEN' END"
+_DATE_OK = "(event_id % 10 <> 9)"
+
+
+@query(
+    "records_per_year_and_issue",
+    f"""
+    {_COUNTS},
+    r AS (SELECT CASE WHEN {_DATE_OK} THEN year(ts) END AS year, CASE WHEN NOT {_DATE_OK} THEN 'RECORDED_DATE_INVALID' END AS i1, CASE WHEN {_BASIS} IS NULL THEN 'BASIS_OF_RECORD_INVALID' END AS i2,
+            CASE WHEN cnt IS NOT NULL AND (NOT regexp_full_match(cnt, '[0-9]{{1,10}}') OR try_cast(cnt AS integer) IS NULL) THEN 'INDIVIDUAL_COUNT_INVALID' END AS i3 FROM c)
+    SELECT year, issue, count(*) AS records FROM (
+      SELECT year, i1 AS issue FROM r WHERE i1 IS NOT NULL UNION ALL SELECT year, i2 FROM r WHERE i2 IS NOT NULL UNION ALL SELECT year, i3 FROM r WHERE i3 IS NOT NULL
+      UNION ALL SELECT year, NULL FROM r WHERE i1 IS NULL AND i2 IS NULL AND i3 IS NULL) GROUP BY 1, 2
+    """,
+)
+def records_per_year_and_issue(t: Tables):
+    v = verbatim(t)
+    temporal = temporal_view(v, RUN_TS, orderings=[DMY]).select("id", "year", F.col("issues").alias("i1"))
+    basic = basic_view(v, vocabulary(t.spark), RUN_TS).select("id", F.col("issues").alias("i2"))
+    both = temporal.join(basic, "id").select("year", F.explode_outer(F.array_union("i1", "i2")).alias("issue"))
+    return both.groupBy("year", "issue").agg(F.count("*").alias("records"))
+
+
+@query(
+    "temporal_view",
+    f"""
+    WITH p AS (SELECT event_id, ts, event_id % 6 AS k, strftime(ts, '%Y-%m-%d') AS day FROM events)
+    SELECT cast(event_id AS varchar) AS id, {_PARENT} AS parent_id, CASE WHEN {_DATE_OK} THEN year(ts) END AS year, CASE WHEN {_DATE_OK} THEN month(ts) END AS month, CASE WHEN {_DATE_OK} AND k <> 4 THEN day(ts) END AS day,
+      CASE WHEN {_DATE_OK} THEN CASE k WHEN 4 THEN day[1:7] || '-01T00:00:00.000' WHEN 5 THEN day || 'T10:11:12.000' ELSE day || 'T00:00:00.000' END END AS gte,
+      CASE WHEN {_DATE_OK} THEN CASE k WHEN 4 THEN strftime(last_day(ts), '%Y-%m-%d') || 'T23:59:59.999' WHEN 5 THEN day || 'T10:11:12.000' ELSE day || 'T23:59:59.999' END END AS lte,
+      CASE WHEN {_DATE_OK} AND k <> 4 THEN dayofyear(ts) END AS start_day, CASE WHEN {_DATE_OK} THEN '' ELSE 'RECORDED_DATE_INVALID' END AS issues
+    FROM p
+    """,
+)
+def temporal(t: Tables):
+    v = temporal_view(verbatim(t), RUN_TS, orderings=[DMY])
+    return v.select(
+        "id", F.col("parentId").alias("parent_id"), "year", "month", "day", F.col("eventDate.gte").alias("gte"), F.col("eventDate.lte").alias("lte"),
+        F.col("startDayOfYear").alias("start_day"), joined(F.col("issues")).alias("issues"),
+    )
+
+
+@query(
+    "basic_view",
+    f"""
+    {_COUNTS}
+    SELECT cast(event_id AS varchar) AS id, coalesce({_BASIS}, 'OCCURRENCE') AS basis, CASE WHEN regexp_full_match(cnt, '[0-9]{{1,10}}') THEN try_cast(cnt AS integer) END AS n,
+      CASE event_id % 8 WHEN 0 THEN 'Female' WHEN 1 THEN 'Male' WHEN 4 THEN 'Male' WHEN 5 THEN 'Female' END AS sex,
+      CASE event_id % 8 WHEN 0 THEN 'Adult' WHEN 1 THEN 'Juvenile|Larva' WHEN 3 THEN 'Juvenile' WHEN 5 THEN 'Juvenile' END AS stage,
+      'user ' || user_id || '|someone' AS recorded_by, 'UNSPECIFIED' AS license, false AS sequenced,
+      concat_ws('|', CASE WHEN {_BASIS} IS NULL THEN 'BASIS_OF_RECORD_INVALID' END,
+        CASE WHEN cnt IS NOT NULL AND (NOT regexp_full_match(cnt, '[0-9]{{1,10}}') OR try_cast(cnt AS integer) IS NULL) THEN 'INDIVIDUAL_COUNT_INVALID' END) AS issues
+    FROM c
+    """,
+)
+def basic(t: Tables):
+    v = basic_view(verbatim(t), vocabulary(t.spark), RUN_TS)
+    return v.select(
+        "id", F.col("basisOfRecord").alias("basis"), F.col("individualCount").alias("n"), F.col("sex.concept").alias("sex"), joined(F.col("lifeStage.lineage")).alias("stage"),
+        joined(F.col("recordedBy")).alias("recorded_by"), "license", F.col("isSequenced").alias("sequenced"), joined(F.col("issues")).alias("issues"),
+    )
+
+
+@query(
+    "event_view",
+    f"""
+    {_WALK}
+    SELECT ev.id, ev.parent AS parent_id, CASE WHEN kind IN ('Click', 'View', 'Purchase') THEN kind END AS type, CASE WHEN parent IS NOT NULL AND NOT coalesce(loop, false) THEN coalesce(n, 0) END AS parents,
+      CASE WHEN coalesce(loop, false) THEN 'EVENT_ID_TO_PARENT_ID_LOOPING_ISSUE' ELSE '' END AS issues
+    FROM ev LEFT JOIN agg USING (id)
+    """,
+)
+def event(t: Tables):
+    v = event_view(verbatim(t), vocabulary(t.spark), RUN_TS)
+    return v.select(
+        "id", F.col("parentEventID").alias("parent_id"), F.when(F.col("eventType.concept") != "Signup", F.col("eventType.concept")).alias("type"),
+        F.size("parentsLineage").cast("bigint").alias("parents"), joined(F.col("issues")).alias("issues"),
+    )
+
+
+@query(
+    "taxon_view",
+    f"""
+    WITH sp AS (SELECT event_type AS name, min(event_id) + 100 AS key FROM events GROUP BY 1), n AS (SELECT event_id, event_type, {_NAME} AS v FROM events)
+    SELECT cast(event_id AS varchar) AS id, CASE WHEN event_id % 4 IN (0, 1) THEN key ELSE 0 END AS key, CASE event_id % 4 WHEN 0 THEN 'EXACT' WHEN 1 THEN 'FUZZY' END AS match,
+      CASE event_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'TAXON_MATCH_FUZZY' ELSE 'TAXON_MATCH_NONE' END AS issues
+    FROM n JOIN sp ON event_type = name
+    """,
+)
+def taxon(t: Tables):
+    v = taxon_view(verbatim(t), backbone(t), RUN_TS)
+    return v.select("id", F.col("usage.key").cast("bigint").alias("key"), F.col("diagnostics.matchType").alias("match"), joined(F.col("issues")).alias("issues"))
+
+
+_RESOLVED = f"""
+    WITH {_HITS_SQL}, {_PAIR_SETS},
+    rec AS (SELECT event_id, {_LAT} AS lat, {_LNG} AS lng, CASE WHEN event_id % 6 > 0 THEN {_GIVEN_SQL} END AS given FROM events),
+    cand AS (SELECT event_id, given, 0 AS pos, lat AS y, lng AS x FROM rec UNION ALL SELECT event_id, given, 1, -lat, lng FROM rec UNION ALL SELECT event_id, given, 2, lat, -lng FROM rec
+             UNION ALL SELECT event_id, given, 3, -lat, -lng FROM rec UNION ALL SELECT event_id, given, 4, lng, lat FROM rec),
+    loc AS (SELECT event_id, given, pos, code FROM cand JOIN box ON y BETWEEN s AND n AND x BETWEEN w AND e WHERE y BETWEEN -90 AND 90 AND NOT (given IS NULL AND y < -60)
+            UNION ALL SELECT event_id, given, pos, 'AQ' FROM cand WHERE given IS NULL AND y >= -90 AND y < -60),
+    per AS (SELECT event_id, bool_or(pos = 0 AND code = given) AS same, min(code) FILTER (pos = 0) AS nearest,
+       min(loc.code) FILTER (pos = 0 AND EXISTS (SELECT 1 FROM pair WHERE country = given AND other = loc.code AND NOT flagged)) AS eq,
+       min(loc.code) FILTER (pos = 0 AND EXISTS (SELECT 1 FROM pair WHERE country = given AND other = loc.code AND flagged)) AS conf,
+       min(CASE WHEN pos > 0 AND loc.code = given THEN pos END) AS fix FROM loc GROUP BY 1),
+    j AS (SELECT rec.*, coalesce(same, false) AS same, nearest, eq, conf, CASE WHEN given IS NULL OR coalesce(same, false) OR eq IS NOT NULL OR conf IS NOT NULL THEN NULL ELSE fix END AS fix FROM rec LEFT JOIN per USING (event_id)),
+    f AS (SELECT *, CASE WHEN given IS NULL THEN nearest WHEN same THEN given ELSE coalesce(eq, conf, given) END AS country,
+      CASE WHEN fix IN (1, 3) THEN -lat WHEN fix = 4 THEN lng ELSE lat END AS la, CASE WHEN fix IN (2, 3) THEN -lng WHEN fix = 4 THEN lat ELSE lng END AS lo FROM j),
+    c AS (SELECT f.*, (SELECT min({{cont}}) FROM box JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey >= 5 AND la BETWEEN s AND n AND lo BETWEEN w AND e) AS cont,
+             (SELECT min(code || '.1_1') FROM box WHERE la BETWEEN s AND n AND lo BETWEEN w AND w + 36) AS g1, (SELECT min(n_name) FROM box WHERE code = country) AS title FROM f)
+""".replace("{cont}", "CASE r_name WHEN 'MIDDLE EAST' THEN 'EUROPE' WHEN 'AMERICA' THEN 'NORTH_AMERICA' ELSE r_name END")
+
+
+@query(
+    "location_view",
+    f"""
+    {_RESOLVED}
+    SELECT cast(event_id AS varchar) AS id, country AS code, title AS country, la AS lat, lo AS lng, cont AS continent, g1 AS gid1,
+      CASE WHEN event_id % 3 = 0 AND event_id % 50 > 0 THEN cast(event_id % 50 AS double) END AS uncertainty, country <> 'AU' AS repatriated,
+      (given IS NOT NULL AND NOT same AND eq IS NULL AND conf IS NULL AND fix IS NULL) OR (lat = 0 AND lng = 0) AS geospatial,
+      array_to_string(list_sort(list_filter([CASE WHEN (given IS NULL AND nearest IS NOT NULL) OR (given IS NOT NULL AND NOT same AND eq IS NULL AND conf IS NOT NULL) THEN 'COUNTRY_DERIVED_FROM_COORDINATES' END,
+        CASE WHEN given IS NOT NULL AND NOT same AND eq IS NULL AND conf IS NULL AND fix IS NULL THEN 'COUNTRY_COORDINATE_MISMATCH' END,
+        CASE WHEN fix IN (1, 3) THEN 'PRESUMED_NEGATED_LATITUDE' END, CASE WHEN fix IN (2, 3) THEN 'PRESUMED_NEGATED_LONGITUDE' END, CASE WHEN fix = 4 THEN 'PRESUMED_SWAPPED_COORDINATE' END,
+        CASE WHEN lat = 0 AND lng = 0 THEN 'ZERO_COORDINATE' END, CASE WHEN cont IS NOT NULL THEN 'CONTINENT_DERIVED_FROM_COORDINATES' END,
+        CASE WHEN event_id % 150 = 0 THEN 'COORDINATE_UNCERTAINTY_METERS_INVALID' END], lambda x: x IS NOT NULL)), '|') AS issues
+    FROM c
+    """,
+)
+def location(t: Tables):
+    v = location_view(verbatim(t), location_dims(t), RUN_TS)
+    return v.select(
+        "id", F.col("countryCode").alias("code"), "country", (F.col("decimalLatitude") + 0.0).alias("lat"), (F.col("decimalLongitude") + 0.0).alias("lng"), "continent",
+        F.col("gadm.level1Gid").alias("gid1"), F.col("coordinateUncertaintyInMeters").alias("uncertainty"), "repatriated", F.col("hasGeospatialIssue").alias("geospatial"),
+        joined(F.array_sort("issues")).alias("issues"),
+    )
+
+
+@query(
+    "occurrence_json",
+    f"""
+    {_RESOLVED}, sp AS (SELECT event_type AS name, min(event_id) + 100 AS key FROM events GROUP BY 1)
+    SELECT cast(event_id AS varchar) AS id, coalesce({_BASIS}, 'OCCURRENCE') AS basis, CASE WHEN {_DATE_OK} THEN cast(year(ts) AS varchar) END AS year, country AS code,
+      CASE WHEN event_id % 4 IN (0, 1) THEN cast(key AS varchar) ELSE '0' END AS taxon
+    FROM c JOIN events USING (event_id) JOIN sp ON event_type = name
+    """,
+)
+def occurrence_json(t: Tables):
+    v = verbatim(t)
+    view = occurrence_view(
+        v,
+        basic_view(v, vocabulary(t.spark), RUN_TS),
+        taxon_view(v, backbone(t), RUN_TS),
+        location_view(v, location_dims(t), RUN_TS),
+        temporal_view(v, RUN_TS, orderings=[DMY]),
+    )
+    doc = to_json_lines(view, "doc")
+    return doc.select(
+        "id",
+        F.get_json_object("doc", "$.basisOfRecord").alias("basis"),
+        F.get_json_object("doc", "$.year").alias("year"),
+        F.get_json_object("doc", "$.countryCode").alias("code"),
+        F.get_json_object("doc", "$.usage.key").alias("taxon"),
+    )

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from fieldbook.functions.geo import is_antarctica, valid_point
 from fieldbook.functions.issues import collect_issues, flag
 from fieldbook.functions.text import normalise_label
-from fieldbook.operators.joins import dimension_join, skew_join
+from fieldbook.operators.checkpoints import materialize
+from fieldbook.operators.joins import dimension_join
 
 #: What may have gone wrong with a pair of coordinates, in the order it is tried:
 #: (position, latitude, longitude, issues).
@@ -20,18 +21,18 @@ ALTERATIONS = [
 ]
 
 
-def lookup_country(df: DataFrame, text: Column, aliases: DataFrame, out: str, *, spread: list[str], small: bool | None = None) -> DataFrame:
+def lookup_country(df: DataFrame, text: Column, aliases: DataFrame, out: str, *, small: bool | None = None) -> DataFrame:
     """Add ``out``, the ISO code a spelling of a country stands for."""
     dim = aliases.select(normalise_label(F.col("alias")).alias("_label"), F.col("iso2").alias(out))
     staged = df.withColumn("_label", normalise_label(text))
-    return dimension_join(staged, dim, ["_label"], "left", small=small, spread=spread).drop("_label")
+    return dimension_join(staged, dim, ["_label"], "left", small=small).drop("_label")
 
 
-def parse_country(df: DataFrame, aliases: DataFrame, name: str = "country", code: str = "countryCode", *, out: str = "parsed_country", spread: list[str], small: bool | None = None) -> DataFrame:
+def parse_country(df: DataFrame, aliases: DataFrame, name: str = "country", code: str = "countryCode", *, out: str = "parsed_country", small: bool | None = None) -> DataFrame:
     """Add the ISO code of the country, preferring the code over the name, and ``{out}_issues``."""
     keep = df.columns
-    df = lookup_country(df, F.col(name), aliases, "_by_name", spread=spread, small=small)
-    df = lookup_country(df, F.col(code), aliases, "_by_code", spread=spread, small=small)
+    df = lookup_country(df, F.col(name), aliases, "_by_name", small=small)
+    df = lookup_country(df, F.col(code), aliases, "_by_code", small=small)
     by_name, by_code = F.col("_by_name"), F.col("_by_code")
     invalid = (F.col(name).isNotNull() & by_name.isNull()) | (F.col(code).isNotNull() & by_code.isNull())
     return df.select(
@@ -61,7 +62,6 @@ def match_country(
     country: str = "country",
     lat: str = "lat",
     lng: str = "lng",
-    key: list[str],
 ) -> DataFrame:
     """Check the country of each row against its coordinates.
 
@@ -78,7 +78,7 @@ def match_country(
         F.col("lat").alias("_plat"), F.col("lng").alias("_plng"), F.col("countries").alias("_found")
     )
     df = df.withColumns({"_plat": here[0], "_plng": here[1]})
-    df = skew_join(df, answers, ["_plat", "_plng"], "left", spread=key)
+    df = df.join(answers, ["_plat", "_plng"], "left")
     # The pair list is a fixed table of a few dozen rows.
     df = df.join(F.broadcast(pair_sets(pairs).withColumnRenamed("country", country)), country, "left")
     df = df.withColumn("_at", _countries_at(*here, place, F.col("_found")))
@@ -97,7 +97,8 @@ def match_country(
     )
     hit = F.col("_same") | F.col("_eq").isNotNull() | F.col("_conf").isNotNull()
     missed = place.isNotNull() & here[0].isNotNull() & here[1].isNotNull() & ~hit
-    df = df.withColumn("_missed", missed)
+    # The misses are taken from here, and the repairs come back to here.
+    df = materialize(df.withColumn("_missed", missed))
 
     tries = (
         df.filter("_missed")
@@ -118,14 +119,14 @@ def match_country(
     )
     resolved = geocode(tries.select("lat", "lng")).select("lat", "lng", "countries")
     fixed = (
-        skew_join(tries, resolved, ["lat", "lng"], "left", spread=["_c", "_plat", "_plng"])
+        tries.join(resolved, ["lat", "lng"], "left")
         .withColumn("_at", _countries_at(F.col("lat"), F.col("lng"), F.col("_c"), F.col("countries")))
         .filter(F.array_contains("_at", F.col("_c")))
         .groupBy("_c", "_plat", "_plng")
         .agg(F.min("pos").alias("_pos"))
         .withColumnRenamed("_c", country)
     )
-    df = skew_join(df, fixed, [country, "_plat", "_plng"], "left", spread=key)
+    df = df.join(fixed, [country, "_plat", "_plng"], "left")
 
     pos = F.col("_pos")
     new_lat, new_lng, fix_issues = here[0], here[1], F.lit(None).cast("array<string>")
@@ -164,10 +165,10 @@ def match_country(
     ).drop(*temp)
 
 
-def region_of(df: DataFrame, regions: DataFrame, code: str, out: str, *, spread: list[str], small: bool | None = None) -> DataFrame:
+def region_of(df: DataFrame, regions: DataFrame, code: str, out: str, *, small: bool | None = None) -> DataFrame:
     """Add the region of a country code; ``regions`` has ``iso2, region``, one row per country."""
     dim = regions.select(F.col("iso2").alias(code), F.col("region").alias(out))
-    return dimension_join(df, dim, [code], "left", small=small, spread=spread)
+    return dimension_join(df, dim, [code], "left", small=small)
 
 
 def repatriated(country_code: Column, publishing_country: Column) -> Column:

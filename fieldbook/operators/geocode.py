@@ -121,7 +121,6 @@ def reverse_geocode(
         ["x", "y"],
         "inner",
         small=small,
-        spread=["lat", "lng"],
         weight=F.lit(1) + F.coalesce(F.size("edges"), F.lit(0)),
     )
     inside = F.col("whole") | inside_ring(F.col("edges"), F.col("lng"), F.col("lat"))
@@ -137,11 +136,11 @@ def geocode_cells(points: DataFrame, cells: DataFrame, width: int = WIDTH, heigh
     points for the exact test (those in border cells and in empty cells)."""
     distinct = with_pixel(points.filter(valid_point(F.col("lat"), F.col("lng"))).select("lat", "lng").distinct(), width=width, height=height)
     states = cells.groupBy("x", "y").agg(F.bool_and("whole").alias("_sure"))
-    told = dimension_join(distinct, states, ["x", "y"], "left", small=small, spread=["lat", "lng"])
+    told = dimension_join(distinct, states, ["x", "y"], "left", small=small)
     rest = told.filter(~F.coalesce(F.col("_sure"), F.lit(False))).select("lat", "lng")
     sure = dimension_join(
         told.filter(F.col("_sure")).drop("_sure"), cells.filter("whole").drop("edges"), ["x", "y"], "inner",
-        small=small, spread=["lat", "lng"],
+        small=small,
     ).select("lat", "lng", "region_id", "type", "name", "iso2", F.lit(0.0).alias("distance"))
     return sure, rest
 
@@ -220,7 +219,7 @@ def centroid_distance(points: DataFrame, centroids: DataFrame, small: bool | Non
     placed = distinct.withColumns({"y": cy(F.col("lat")), "x": F.pmod(cx(F.col("lng")), F.lit(columns))})
     metres = haversine_m(F.col("lat"), F.col("lng"), F.col("clat"), F.col("clng"))
     return (
-        dimension_join(placed, cells, ["x", "y"], "inner", small=small, spread=["lat", "lng"])
+        dimension_join(placed, cells, ["x", "y"], "inner", small=small)
         .select("lat", "lng", metres.alias("m"))
         .filter(F.col("m") <= limit_m)
         .groupBy("lat", "lng")

@@ -112,7 +112,6 @@ def chronostratigraphy(
     out: str = "geology",
     vocab: str = VOCAB,
     small: bool | None = None,
-    spread: list[str],
 ) -> DataFrame:
     """Add ``{out}_{rank}`` per rank, ``{out}_age`` and ``{out}_issues``.
 
@@ -121,7 +120,7 @@ def chronostratigraphy(
     row = F.struct("concept", "lineage", "tags", "parents")
     for rank, early, late in pairs:
         for side, col in (("e", early), ("l", late)):
-            df = lookup_vocabulary(df, clean(F.col(col)), vocabulary, vocab, f"_{side}_{rank}_hit", value=row, small=small, spread=spread)
+            df = lookup_vocabulary(df, clean(F.col(col)), vocabulary, vocab, f"_{side}_{rank}_hit", value=row, small=small)
     # A hit is read many times below, so each step is a column of its own.
     df = df.withColumns(
         {

@@ -39,7 +39,10 @@ def skew_join(
     Key counts come from a pre-aggregated pass over the left side.  Rows of a hot key get a bucket
     from the hash of the ``spread`` columns (so a re-run task gives the same bucket), and the right
     rows of that key are repeated once per bucket.  All other keys join as usual, so the result is
-    that of the plain join.  Rows with a null key, which match nothing, are spread the same way."""
+    that of the plain join.  Rows with a null key, which match nothing, are spread the same way.
+
+    The left side is read twice, so it should be a plain scan or a stored table; joins further down
+    a plan are left to the run-time splitting of skewed partitions."""
     on = list(on)
     hot = (
         left.groupBy(*on)
@@ -66,16 +69,13 @@ def dimension_join(
     on: Sequence[str],
     how: str = "left",
     *,
-    spread: Sequence[str],
     small: bool | None = None,
     weight: Column | None = None,
-    **skew,
 ) -> DataFrame:
-    """Join a dimension: broadcast where its size was checked and is small, else :func:`skew_join`.
+    """Join a dimension: broadcast where its size was checked and is small, else shuffled, with
+    skewed partitions split at run time (``prepare_session`` turns that on).
 
     Pass ``small`` where the caller has already checked."""
     if small is None:
         small = fits_broadcast(dim, weight=weight)
-    if small:
-        return left.join(F.broadcast(dim), list(on), how)
-    return skew_join(left, dim, on, how, spread=spread, **skew)
+    return left.join(F.broadcast(dim) if small else dim, list(on), how)

@@ -25,7 +25,7 @@ def _ancestors(events: DataFrame, **skew) -> DataFrame:
     parents = events.select(F.col("parentId").alias("id")).filter("id IS NOT NULL").distinct()
     nodes = events.join(parents, "id", "left_semi").select("id", "parentId")
     known = nodes.select(F.col("id").alias("parentId"), F.lit(True).alias("_exists"))
-    start = skew_join(nodes, known, ["parentId"], "left", spread=["id"], **skew)
+    start = nodes.join(known, "parentId", "left")
     paths = materialize(
         start.select(
             "id",
@@ -64,7 +64,7 @@ def expand_lineage(events: DataFrame, **skew) -> DataFrame:
     ``parentsLineage`` holds ``(id, eventType, order)`` from the nearest parent, numbered from 1,
     up to the last one that exists; it is null where no parent was named or the chain loops, and
     the latter is an issue.  Types come out as they are in ``eventType``."""
-    events = events.select("id", "parentId", "eventType")
+    events = materialize(events.select("id", "parentId", "eventType"))
     up = _ancestors(events, **skew)
     # The chain of a parent, with types, is built once per parent and shared by its children.
     chains = up.select("id", "loop", F.posexplode_outer(F.concat(F.array("id"), F.col("path"))).alias("_pos", "_node"))

@@ -73,7 +73,6 @@ def lookup_vocabulary(
     issue: str | None = None,
     value: Column | None = None,
     small: bool | None = None,
-    spread: list[str] | None = None,
 ) -> DataFrame:
     """Add the concept of a label as the struct ``out`` (or as ``value`` of the vocabulary row);
     with ``issue``, add ``{out}_issue`` where text was given and nothing was found."""
@@ -82,7 +81,7 @@ def lookup_vocabulary(
         F.col("label").alias("_label"), (concept_struct() if value is None else value).alias(out)
     )
     staged = df.withColumn("_label", normalise_label(text))
-    joined = dimension_join(staged, dim, ["_label"], "left", small=small, spread=spread or [df.columns[0]])
+    joined = dimension_join(staged, dim, ["_label"], "left", small=small)
     joined = joined.drop("_label")
     if issue:
         joined = joined.withColumn(f"{out}_issue", flag(text.isNotNull() & F.col(out).isNull(), issue))
@@ -141,7 +140,7 @@ def lookup_values(
         parts = keys.select(KEY, F.posexplode(col).alias("_pos", "_value")).withColumn(
             "label", normalise_label(F.col("_value"))
         )
-        found = dimension_join(parts, dim, ["label"], "left", spread=[KEY, "_pos"])
+        found = dimension_join(parts, dim, ["label"], "left")
         # One group is the elements of one array.
         return found.groupBy(KEY).agg(
             F.transform(

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from fieldbook.functions.issues import collect_issues, flag
 from fieldbook.functions.terms import has_value
+from fieldbook.operators.checkpoints import materialize
 from fieldbook.operators.enrich import KEY
-from fieldbook.operators.joins import skew_join
 from fieldbook.schema import HIGHER_RANKS
 
 #: Largest edit distance of a fuzzy match.
@@ -100,7 +100,7 @@ def _best(candidates: DataFrame, *order: Column) -> DataFrame:
 
 def exact_matches(names: DataFrame, backbone: DataFrame) -> DataFrame:
     """``_key, _taxon`` of the names that are spelt as in the backbone."""
-    found = skew_join(names, _index(backbone), ["_name"], "inner", spread=[KEY])
+    found = names.join(_index(backbone), "_name")
     return _best(found, (-_agreement("_higher")).alias("a"), F.col("_order"), F.col("key"))
 
 
@@ -112,7 +112,7 @@ def fuzzy_matches(names: DataFrame, backbone: DataFrame, edits: int = MAX_EDITS)
         some = some | F.coalesce(F.col(_COLUMN[r]) != "", F.lit(False))
     queries = names.filter(some & F.col("_name").isNotNull()).withColumn("_v", F.explode(deletion_variants(F.col("_name"), edits)))
     index = _index(backbone).withColumn("_v", F.explode(deletion_variants(F.col("_name"), edits))).withColumnRenamed("_name", "_spelt")
-    found = skew_join(queries, index, ["_v"], "inner", spread=[KEY]).withColumn(
+    found = queries.join(index, "_v").withColumn(
         "_d", F.levenshtein("_name", "_spelt")
     ).filter(F.col("_d") <= edits)
     return _best(found, F.col("_d"), (-_agreement("_higher")).alias("a"), F.col("_order"), F.col("key"))
@@ -137,8 +137,7 @@ def higher_matches(names: DataFrame, backbone: DataFrame) -> DataFrame:
         ).alias("_t"),
     ).select(KEY, *_COLUMN.values(), "_t.*")
     taxa = _index(backbone.filter(F.col("rank").isin(*[r.upper() for r in HIGHER_RANKS]))).filter("_name = _plain")
-    # A kingdom may hold a third of all names; its rows are spread.
-    found = skew_join(tries, taxa, ["rank", "_name"], "inner", spread=[KEY, "pos"])
+    found = tries.join(taxa, ["rank", "_name"])
     return _best(found, F.col("pos"), (-_agreement("_higher")).alias("a"), F.col("_order"), F.col("key"))
 
 
@@ -153,8 +152,8 @@ def taxon_record(matches: DataFrame, backbone: DataFrame) -> DataFrame:
     accepted = backbone.select(
         F.col("key").alias("accepted_key"), F.struct("key", "name", "rank").cast(_RANKED).alias("_accepted")
     )
-    found = skew_join(matches, rows, ["_taxon"], "left", spread=[KEY])
-    found = skew_join(found, accepted, ["accepted_key"], "left", spread=[KEY])
+    found = matches.join(rows, "_taxon", "left")
+    found = found.join(accepted, "accepted_key", "left")
     matched = F.col("usage").isNotNull()
     none = incertae_sedis().cast(_RANKED)
     return found.select(
@@ -189,17 +188,19 @@ def match_taxa(names: DataFrame, backbone: DataFrame, edits: int = MAX_EDITS) ->
 
     Each step only sees what the one before left over."""
     queries = names.select(KEY, *_COLUMN.values(), canonical_name(_query_name()).alias("_name"))
-    exact = exact_matches(queries.filter("_name IS NOT NULL"), backbone)
-    left1 = queries.join(exact, KEY, "left_anti")
-    fuzzy = fuzzy_matches(left1, backbone, edits)
-    left2 = left1.join(fuzzy, KEY, "left_anti")
-    higher = higher_matches(left2, backbone)
-    left3 = left2.join(higher, KEY, "left_anti")
+
+    def step(todo: DataFrame, found: DataFrame, match: str) -> DataFrame:
+        return todo.join(found.withColumn("_match", F.lit(match)), KEY, "left")
+
+    # What a step leaves over is read by the next one and by the result, so it is stored.
+    one = materialize(step(queries, exact_matches(queries.filter("_name IS NOT NULL"), backbone), "EXACT"))
+    todo = one.filter("_match IS NULL").drop("_taxon", "_match")
+    two = materialize(step(todo, fuzzy_matches(todo, backbone, edits), "FUZZY"))
+    todo = two.filter("_match IS NULL").drop("_taxon", "_match")
+    three = step(todo, higher_matches(todo, backbone), "HIGHERRANK")
     matches = (
-        exact.withColumn("_match", F.lit("EXACT"))
-        .unionByName(fuzzy.withColumn("_match", F.lit("FUZZY")))
-        .unionByName(higher.withColumn("_match", F.lit("HIGHERRANK")))
-        .unionByName(left3.select(KEY, F.lit(None).cast("int").alias("_taxon"), F.lit("NONE").alias("_match")))
+        one.filter("_match IS NOT NULL").unionByName(two.filter("_match IS NOT NULL")).unionByName(three)
+        .select(KEY, "_taxon", F.coalesce("_match", F.lit("NONE")).alias("_match"))
     )
     return taxon_record(matches, backbone)
 

@@ -72,7 +72,7 @@ def basic_view(
     """One row per record.  ``vocabulary`` comes from ``load_vocabulary``.  The occurrence status
     rules run only if asked for."""
     small = fits_broadcast(vocabulary)
-    look = {"vocabulary": vocabulary, "small": small, "spread": ["id"]}
+    look = {"vocabulary": vocabulary, "small": small}
     ident = {"identification": "_ident"}
     geology = [t for _, early, late in GEOLOGY_PAIRS for t in (early, late)]
 
@@ -100,7 +100,7 @@ def basic_view(
             df = lookup_vocabulary(df, text, vocab=t, out="_more", **look)
             df = df.withColumn(f"v_{t}", F.coalesce(F.col(f"v_{t}"), F.col("_more"))).drop("_more")
     df = chronostratigraphy(
-        df, [(r, f"c_{early}", f"c_{late}") for r, early, late in GEOLOGY_PAIRS], vocabulary, small=small, spread=["id"]
+        df, [(r, f"c_{early}", f"c_{late}") for r, early, late in GEOLOGY_PAIRS], vocabulary, small=small
     )
 
     df = df.withColumns(

@@ -33,7 +33,7 @@ def event_view(verbatim: DataFrame, vocabulary: DataFrame, run_ts: datetime, **s
         *[split_values(term(t)).alias(t) for t in ("datasetID", "datasetName", "samplingProtocol")],
         term("locationID").alias("locationID"),
     )
-    df = lookup_vocabulary(df, "_type", vocabulary, "eventType", "eventType", spread=["id"])
+    df = lookup_vocabulary(df, "_type", vocabulary, "eventType", "eventType")
     parents = expand_lineage(
         df.select(
             "id", F.col("_parent").alias("parentId"), F.coalesce(F.col("eventType.concept"), F.col("_type")).alias("eventType")

@@ -19,7 +19,7 @@ from fieldbook.operators.coordinates import interpret_coordinates
 from fieldbook.operators.country import lookup_country, match_country, parse_country, region_of, repatriated
 from fieldbook.operators.enrich import KEY, enrich_distinct
 from fieldbook.operators.geocode import HEIGHT, WIDTH, centroid_distance, geocode_lists, reverse_geocode
-from fieldbook.operators.joins import fits_broadcast, skew_join
+from fieldbook.operators.joins import fits_broadcast
 from fieldbook.operators.lookup import lookup_enum
 from fieldbook.operators.records import extract_location
 from fieldbook.plans.temporal import created
@@ -96,9 +96,9 @@ def resolve_locations(keys: DataFrame, dims: LocationDims) -> DataFrame:
 
     df = interpret_coordinates(keys, "coords")
     df = df.withColumns({"_cname": trimmed(F.col("country")), "_ccode": trimmed(F.col("countryCode")), "_ctext": trimmed(F.col("continent"))})
-    df = parse_country(df, dims.aliases, "_cname", "_ccode", out="_place", spread=[KEY], small=small)
-    df = lookup_country(df, clean(trimmed(F.col("publishingCountry"))), dims.aliases, "_publisher", spread=[KEY], small=small)
-    df = lookup_enum(df, "_ctext", dims.vocabulary, "continent", "_continent", spread=[KEY])
+    df = parse_country(df, dims.aliases, "_cname", "_ccode", out="_place", small=small)
+    df = lookup_country(df, clean(trimmed(F.col("publishingCountry"))), dims.aliases, "_publisher", small=small)
+    df = lookup_enum(df, "_ctext", dims.vocabulary, "continent", "_continent")
     # All parsing ends here; the joins below start from these few columns, stored once.
     df = materialize(
         df.select(
@@ -120,18 +120,18 @@ def resolve_locations(keys: DataFrame, dims: LocationDims) -> DataFrame:
     def geocode(points: DataFrame) -> DataFrame:
         return geocode_lists(reverse_geocode(points, dims.cells, dims.width, dims.height, dims.buffer, cells_small))
 
-    df = match_country(df, geocode, dims.pairs, country="place", key=[KEY])
+    df = match_country(df, geocode, dims.pairs, country="place")
     df = materialize(df.drop("lat", "lng", "place").withColumnsRenamed({"m_lat": "lat", "m_lng": "lng", "m_country": "countryCode"}))
 
     points = df.select("lat", "lng")
     here = geocode(points).select("lat", "lng", "continents", "gadm")
     near = centroid_distance(points, dims.centroids, centroids_small)
-    df = skew_join(df, here, ["lat", "lng"], "left", spread=[KEY])
-    df = skew_join(df, near, ["lat", "lng"], "left", spread=[KEY])
+    df = df.join(here, ["lat", "lng"], "left")
+    df = df.join(near, ["lat", "lng"], "left")
     titles = dims.aliases.select(F.col("iso2").alias("countryCode"), F.col("title").alias("country"), "region").distinct()
     # No more rows than there are countries.
     df = df.join(F.broadcast(titles), "countryCode", "left")
-    df = region_of(df, dims.aliases.select("iso2", "region").distinct(), "publishingCountry", "publishedByRegion", spread=[KEY], small=small)
+    df = region_of(df, dims.aliases.select("iso2", "region").distinct(), "publishingCountry", "publishedByRegion", small=small)
     of_country = dims.continents.select(F.col("country").alias("countryCode"), F.col("continents").alias("_of_country"))
     df = df.join(F.broadcast(of_country), "countryCode", "left")
 

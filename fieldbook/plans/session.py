@@ -8,6 +8,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split skewed partitions even where that costs one more shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # The just-in-time compiler leaves methods of over 8,000 bytes alone.  The views are wide, so
     # stages beyond that run as separate, compiled projections.
     "spark.sql.codegen.hugeMethodLimit": "8000",
