@@ -104,6 +104,6 @@ def chronostratigraphy(t: Tables):
     return g.select(
         "p_partkey",
         *[F.col(f"geology_{r}.{side}.concept").alias(f"{side}_{r[:3]}") for r in ("eon", "era", "period") for side in ("earliest", "latest")],
-        F.col("geology_age.start").alias("start_age"), F.col("geology_age.end").alias("end_age"),
+        F.col("geology_range.start").alias("start_age"), F.col("geology_range.end").alias("end_age"),
         joined(F.array_sort("geology_issues")).alias("issues"),
     )

@@ -45,7 +45,7 @@ def enrich_distinct(
     if resolver_partitions:
         keys = keys.repartition(resolver_partitions, KEY)
     answers = resolver(keys)
-    answers = answers.drop(*[c for c in key_cols if c in answers.columns])
+    answers = answers.drop(*[c for c in keep if c in answers.columns])
     left = df.select(*keep, row_key(list(key_cols)).alias(KEY))
     out = skew_join(left, answers, [KEY], "left", spread=spread, **skew).drop(KEY)
     for name, value in (default or {}).items():

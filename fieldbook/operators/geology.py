@@ -113,7 +113,7 @@ def chronostratigraphy(
     vocab: str = VOCAB,
     small: bool | None = None,
 ) -> DataFrame:
-    """Add ``{out}_{rank}`` per rank, ``{out}_age`` and ``{out}_issues``.
+    """Add ``{out}_{rank}`` per rank, ``{out}_range`` (the age range) and ``{out}_issues``.
 
     ``pairs`` lists (rank, earliest column, latest column) from the eon to the age."""
     keep = df.columns
@@ -141,6 +141,6 @@ def chronostratigraphy(
             F.struct(F.col(f"_r_{rank}.earliest").alias("earliest"), F.col(f"_r_{rank}.latest").alias("latest")).alias(f"{out}_{rank}")
             for rank in done
         ],
-        most_specific([F.col(f"_r_{r}") for r in reversed(done)]).alias(f"{out}_age"),
+        most_specific([F.col(f"_r_{r}") for r in reversed(done)]).alias(f"{out}_range"),
         merge_issues(*[F.col(f"_r_{r}.issues") for r in done]).alias(f"{out}_issues"),
     )

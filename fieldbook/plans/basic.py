@@ -127,8 +127,8 @@ def basic_view(
             for c in (F.col(f"geology_{rank}.earliest").alias(early), F.col(f"geology_{rank}.latest").alias(late))
         ],
         *[F.col(f"c_{t}").alias(t) for t in GEOLOGY_TEXT],
-        F.col("geology_age.start").alias("startAge"),
-        F.col("geology_age.end").alias("endAge"),
+        F.col("geology_range.start").alias("startAge"),
+        F.col("geology_range.end").alias("endAge"),
     )
     issues = merge_issues(
         collect_issues(flag(F.col("_terms") & F.col("_basis").isNull(), "BASIS_OF_RECORD_INVALID")),
