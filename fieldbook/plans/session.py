@@ -16,6 +16,21 @@ SETTINGS = {
 }
 
 
+#: Settings that have to be there when the session is made.
+AT_START = {
+    # Recording the Python line of each of some thousand expressions takes longer than planning.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+
+def session_builder() -> SparkSession.Builder:
+    """A builder with all settings of this module."""
+    builder = SparkSession.builder
+    for key, value in {**SETTINGS, **AT_START}.items():
+        builder = builder.config(key, value)
+    return builder
+
+
 def prepare_session(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)

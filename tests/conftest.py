@@ -8,12 +8,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
-    from pyspark.sql import SparkSession
-
-    from fieldbook.plans import prepare_session
+    from fieldbook.plans import prepare_session, session_builder
 
     s = (
-        SparkSession.builder.master("local[4]")
+        session_builder()
+        .master("local[4]")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
