@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import RUN_TS, Tables, joined, query, vocabulary
+from catalog.base import RUN_TS, Tables, joined, query, spread, vocabulary
 from catalog.geography import CODES, _BOX_COLS, _HITS_SQL, _PAIR_SETS, country_continents, nations, regions
 from catalog.lineage import _PARENT, _WALK
 from catalog.names import complete
@@ -28,7 +28,7 @@ _NAME = "case event_id % 4 when 0 then event_type when 1 then event_type || 'x'
 
 def verbatim(t: Tables):
     """One record per event."""
-    e = t.events.select(
+    e = spread(t.events).select(
         "*", *[F.date_format("ts", f).alias(n) for n, f in (("y", "yyyy"), ("m", "MM"), ("d", "dd"), ("mon", "MMM"))]
     )
     terms = {

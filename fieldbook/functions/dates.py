@@ -189,7 +189,7 @@ def range_parts(c: Column) -> Column:
         F.transform(F.split(c, "/"), lambda p: F.trim(p)),
         lambda p: F.array(F.get(p, F.lit(0)), _full_end(F.get(p, F.lit(0)), F.get(p, F.lit(1)))),
     )
-    return F.when(_looks_like_range(c), ends).otherwise(F.array(c))
+    return F.when(F.contains(c, F.lit("/")) & _looks_like_range(c), ends).otherwise(F.array(c))
 
 
 def read_date_range(
@@ -229,7 +229,7 @@ def _ends(read: Column) -> Column:
     text, days, parts = read["text"], read["days"], read["parts"]
     t_from, t_to = F.get(text, F.lit(0)), F.element_at(text, -1)
     d_from, d_to = F.get(days, F.lit(0)), F.get(days, F.lit(1))
-    t_ok = earliest(t_from) <= latest(t_to)
+    t_ok = F.when(F.size(text) == 1, True).otherwise(earliest(t_from) <= latest(t_to))
     d_ok = F.coalesce(d_from <= d_to, F.lit(False))
     return F.struct(
         F.when(t_ok, t_from).alias("tf"),
@@ -244,7 +244,7 @@ def _ends(read: Column) -> Column:
 def _chosen(e: Column) -> Column:
     tf, tt, pf, pt = e["tf"], e["tt"], e["pf"], e["pt"]
     both = tf.isNotNull() & pf.isNotNull()
-    apart = F.coalesce(both & ((earliest(pf) > latest(tt)) | (latest(pt) < earliest(tf))), F.lit(False))
+    apart = F.when(both, (earliest(pf) > latest(tt)) | (latest(pt) < earliest(tf))).otherwise(False)
     finer = F.coalesce(both & (tf == tt) & (F.length(pf) > F.length(tf)), F.lit(False))
     by_parts = tf.isNull() | finer
     bad = (e["text_given"] & tf.isNull()) | (e["parts_given"] & pf.isNull())

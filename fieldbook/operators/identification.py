@@ -51,20 +51,18 @@ def latest_extension(rows: Column, date_term: str = DWC_NS + "dateIdentified") -
 
 def core_has_identification(terms: str = "coreTerms") -> Column:
     """True where any identification or taxon term of the core has a value."""
-    keys = F.array(*[F.lit(uri(t)) for t in [*IDENTIFICATION_TERMS, *TAXON_TERMS]])
-    return F.exists(
-        F.map_entries(F.col(terms)),
-        lambda e: has_value(e["value"]) & F.array_contains(keys, e["key"]),
+    keys = [uri(t) for t in [*IDENTIFICATION_TERMS, *TAXON_TERMS]]
+    return F.coalesce(
+        F.exists(F.map_entries(F.col(terms)), lambda e: e["key"].isin(*keys) & has_value(e["value"])), F.lit(False)
     )
 
 
 def identification_fallback(terms: str = "coreTerms", extensions: str = "extensions") -> Column:
     """The latest identification row where the core has no identification at all, else null."""
     rows = F.col(extensions)[IDENTIFICATION_EXTENSION]
-    return F.when(
-        (F.size(rows) > 0) & ~F.coalesce(core_has_identification(terms), F.lit(False)),
-        latest_extension(rows),
-    )
+    # Most records have no such rows, and nothing else is looked at then.
+    some = F.coalesce(F.size(rows) > 0, F.lit(False))
+    return F.when(some, F.when(~core_has_identification(terms), latest_extension(rows)))
 
 
 def identification_source(terms: str = "coreTerms", extensions: str = "extensions") -> Column:

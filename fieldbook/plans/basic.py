@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldbook.functions.binding import let
 from fieldbook.functions.issues import collect_issues, flag, merge_issues, no_issues
 from fieldbook.functions.numbers import finite_double, parse_count, relative_quantity
 from fieldbook.functions.status import occurrence_status as status_rule
@@ -96,7 +97,7 @@ def basic_view(
         df = lookup_vocabulary(df, f"c_{t}", vocab=t, out=f"v_{t}", **look)
     if use_dynamic_properties:
         for t, reader in (("sex", sex_from_text), ("lifeStage", life_stage_from_text)):
-            text = F.when(F.col(f"v_{t}").isNull(), clean(reader(F.col("c_dynamicProperties"))))
+            text = F.when(F.col(f"v_{t}").isNull(), let(reader(F.col("c_dynamicProperties")), clean))
             df = lookup_vocabulary(df, text, vocab=t, out="_more", **look)
             df = df.withColumn(f"v_{t}", F.coalesce(F.col(f"v_{t}"), F.col("_more"))).drop("_more")
     df = chronostratigraphy(
