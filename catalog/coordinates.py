@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import Tables, joined, query, sql_values
+from catalog.base import Tables, joined, query, spread, sql_values
 from fieldbook.functions import coords, footprint
 from fieldbook.functions.datum import DATUMS
 from fieldbook.operators import coordinates
@@ -35,7 +35,7 @@ _CHECKED = """
 def decimal_coordinates(t: Tables):
     lat = F.expr(LAT.format(k="event_id")) + F.when(F.col("event_id") % 5 == 0, 0.0).otherwise(F.col("value") / 1000.0)
     lng = F.expr(LNG.format(k="event_id")) + F.when(F.col("event_id") % 5 == 0, 0.0).otherwise(0.12345675)
-    e = t.events.select("event_id", coords.parse_lat_lng(lat.cast("string"), lng.cast("string")).alias("c"))
+    e = spread(t.events).select("event_id", coords.parse_lat_lng(lat.cast("string"), lng.cast("string")).alias("c"))
     return e.select("event_id", "c.lat", "c.lng", "c.ok", joined(F.col("c.issues")).alias("issues"))
 
 
@@ -74,7 +74,7 @@ def spelled_coordinates(t: Tables):
         .when(k == 4, c(d, l("°"), m, l("'N/"), d2, l("°"), m, l("'E")))
         .otherwise(c(d, l(" "), m, l(" and nothing else")))
     )
-    o = t.orders.select("o_orderkey", coords.parse_verbatim_pair(pair).alias("c"))
+    o = spread(t.orders).select("o_orderkey", coords.parse_verbatim_pair(pair).alias("c"))
     return o.select("o_orderkey", "c.lat", "c.lng", joined(F.col("c.issues")).alias("issues"))
 
 
@@ -133,7 +133,7 @@ _DATUM_TEXT = "case {k} % 6 when 0 then 'NAD-27' when 1 then 'ed 50' when 2 then
     """,
 )
 def datum_shift(t: Tables):
-    e = t.events.select(
+    e = spread(t.events).select(
         "event_id", (F.expr(LAT.format(k="event_id")) * 0.8).alias("la"), (F.expr(LNG.format(k="event_id")) * 0.85).alias("lo"),
         F.expr(_DATUM_TEXT.format(k="event_id")).alias("given"),
     )

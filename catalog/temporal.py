@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import Tables, joined, query
+from catalog.base import Tables, joined, query, spread
 from fieldbook.functions import dates
 from fieldbook.functions.dates import DMY
 
@@ -41,7 +41,7 @@ def _dated(df, key: str, ts: str):
     """,
 )
 def date_spellings(t: Tables):
-    p = _dated(t.orders, "o_orderkey", "o_orderdate").select(
+    p = _dated(spread(t.orders), "o_orderkey", "o_orderdate").select(
         "o_orderkey", dates.parse_date(F.expr(_SPELLINGS.format(k="o_orderkey")), [DMY]).alias("iso")
     )
     return p.select(
@@ -71,7 +71,7 @@ def date_spellings(t: Tables):
 def event_date_ranges(t: Tables):
     k = F.col("o_orderkey") % 7
     end = F.date_add(F.col("o_orderdate").cast("date"), 40)
-    o = _dated(t.orders, "o_orderkey", "o_orderdate")
+    o = _dated(spread(t.orders), "o_orderkey", "o_orderdate")
     full = F.date_format("o_orderdate", "yyyy-MM-dd")
     date = (
         F.when(k == 0, F.concat(full, F.lit("/"), F.date_format(end, "yyyy-MM-dd")))
@@ -105,7 +105,7 @@ def event_date_ranges(t: Tables):
 def bounded_dates(t: Tables):
     k, v = F.col("l_linenumber") % 5, F.date_format("l_shipdate", "yyyy-MM-dd")
     text = F.when(k == 1, F.concat(F.lit("2099"), F.substring(v, 5, 3), F.lit("-28"))).when(k == 2, "n/a").when(k == 3, F.concat(F.lit("1756"), F.substring(v, 5, 6))).otherwise(v)
-    s = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", text.alias("v")).select(
+    s = spread(t.lineitem).select("l_orderkey", "l_linenumber", "l_partkey", text.alias("v")).select(
         "l_orderkey", "l_linenumber", "l_partkey",
         dates.bounded_date(F.col("v"), dates.EARLIEST_IDENTIFIED, _UPPER, "IDENTIFIED_DATE").alias("i"),
         dates.bounded_date(F.col("v"), dates.EARLIEST_MODIFIED, _UPPER, "MODIFIED_DATE").alias("m"),
@@ -135,7 +135,7 @@ def epoch_bounds(t: Tables):
         F.when(k == 0, F.date_format("ts", "yyyy")).when(k == 1, F.date_format("ts", "yyyy-MM")).when(k == 2, F.date_format("ts", "yyyy-MM-dd"))
         .when(k == 3, F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+01:30"))).otherwise("0000")
     )
-    return t.events.select("event_id", "ts", text.alias("v")).select(
+    return spread(t.events).select("event_id", "ts", text.alias("v")).select(
         "event_id",
         dates.iso_millis(F.col("ts")).alias("millis"),
         dates.earliest_epoch(F.col("v")).alias("earliest"),
@@ -158,5 +158,5 @@ def preprocessed_dates(t: Tables):
         nothing, nothing, nothing, F.col("v"), nothing, nothing,
         upper=_UPPER, orderings=[DMY], preprocess=lambda c: F.regexp_replace(c, r"^ca\.? *", ""),
     )
-    o = t.orders.select("o_orderpriority", v.alias("v")).select("o_orderpriority", r["from"].alias("iso"))
+    o = spread(t.orders).select("o_orderpriority", v.alias("v")).select("o_orderpriority", r["from"].alias("iso"))
     return o.groupBy("o_orderpriority", F.substring("iso", 1, 7).alias("month")).agg(F.count("*").alias("n"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import Tables, joined, query, vocabulary, vocabulary_sql
+from catalog.base import Tables, joined, query, spread, vocabulary, vocabulary_sql
 from fieldbook.functions import issues, numbers, status, terms, text
 from fieldbook.operators import lookup, records
 from fieldbook.schema import DWC_NS
@@ -466,7 +466,7 @@ _TRAIT = (
 )
 def traits_from_text(t: Tables):
     vocab = vocabulary(t.spark)
-    e = t.events.select("event_id", F.expr(_TRAIT).alias("v")).select(
+    e = spread(t.events).select("event_id", F.expr(_TRAIT).alias("v")).select(
         "event_id", text.sex_from_text(F.col("v")).alias("sex_text"), text.life_stage_from_text(F.col("v")).alias("stage_text")
     )
     e = lookup.lookup_vocabulary(e, "sex_text", vocab, "sex", "s")
@@ -486,4 +486,4 @@ def traits_from_text(t: Tables):
     """,
 )
 def traits_in_documents(t: Tables):
-    return t.documents.select("doc_id", text.sex_from_text(F.col("text")).alias("sex"))
+    return spread(t.documents).select("doc_id", text.sex_from_text(F.col("text")).alias("sex"))

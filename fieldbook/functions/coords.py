@@ -78,15 +78,23 @@ def _num(c: Column) -> Column:
     return F.coalesce(F.replace(c, F.lit(","), F.lit(".")).try_cast("double"), F.lit(0.0))
 
 
-def _degrees(d: Column, m: Column | None, s: Column | None, sign: Column) -> Column:
-    value = _num(d)
-    if m is not None:
-        value = value + _num(m) / 60
-    if s is not None:
-        value = value + _num(s) / 3600
+def _groups(c: Column, pattern: str, n: int) -> Column:
+    """The groups of a text that matches as a whole, read in one pass; missing ones are empty."""
+    return F.split(F.regexp_replace(c, pattern, "|".join(f"${i + 1}" for i in range(n))), r"\|")
+
+
+def _degrees(parts: Column, start: int, n: int, sign: Column) -> Column:
+    """Degrees out of ``n`` parts (degrees, minutes, seconds) from ``start`` on."""
+    value = _num(F.get(parts, F.lit(start)))
+    for i in range(1, n):
+        value = value + _num(F.get(parts, F.lit(start + i))) / (60**i)
     return round_half_up(sign * value, DIGITS)
 
 
+def _sign(letter: Column) -> Column:
+    return F.when(letter.isin("N", "E", "O"), 1.0).otherwise(-1.0)
+
+
 def parse_dms(c: Column, is_lat: bool) -> Column:
     """Degrees of one spelled coordinate, with an optional direction letter at either end."""
     letters = "NS" if is_lat else "EOW"
@@ -106,16 +114,15 @@ def parse_dms(c: Column, is_lat: bool) -> Column:
         )
 
     def read(r: Column) -> Column:
-        body = r["body"]
-        sign = F.when(r["dir"].isin("N", "E", "O"), 1.0).otherwise(-1.0)
+        body, sign = r["body"], _sign(r["dir"])
 
-        def groups(pattern: str, n: int) -> list[Column]:
-            return [F.regexp_extract(body, pattern, i + 1) if i < n else None for i in range(3)]
+        def value(pattern: str, n: int) -> Column:
+            return let(_groups(body, pattern, n), lambda p: _degrees(p, 0, n, sign))
 
         return (
-            F.when(body.rlike(_DMS_ONE), _degrees(*groups(_DMS_ONE, 3), sign))
-            .when(body.rlike(_DM_ONE), _degrees(*groups(_DM_ONE, 2), sign))
-            .when(body.rlike(_D_ONE), _degrees(*groups(_D_ONE, 1), sign))
+            F.when(body.rlike(_DMS_ONE), value(_DMS_ONE, 3))
+            .when(body.rlike(_DM_ONE), value(_DM_ONE, 2))
+            .when(body.rlike(_D_ONE), value(_D_ONE, 1))
         )
 
     return let(let(F.upper(F.trim(c)), cut), read)
@@ -157,12 +164,11 @@ def parse_lat_lng(lat: Column, lng: Column) -> Column:
 def read_verbatim_pair(c: Column) -> Column:
     """Both coordinates in one text: spelled in either order, or split at the one delimiter."""
 
-    def g(i: int) -> Column:
-        return F.regexp_extract(c, _DMS_PAIR, i)
-
-    def half(start: int, letter: Column) -> Column:
-        sign = F.when(letter.isin("N", "E", "O"), 1.0).otherwise(-1.0)
-        return F.struct(letter.isin("N", "S").alias("is_lat"), _degrees(g(start), g(start + 1), g(start + 2), sign).alias("v"))
+    def half(parts: Column, start: int) -> Column:
+        letter = F.upper(F.get(parts, F.lit(start + 3)))
+        return F.struct(
+            letter.isin("N", "S").alias("is_lat"), _degrees(parts, start, 3, _sign(letter)).alias("v")
+        )
 
     def spelled(r: Column) -> Column:
         a, b = r["a"], r["b"]
@@ -189,7 +195,7 @@ def read_verbatim_pair(c: Column) -> Column:
             ),
         ),
     )
-    pair = F.struct(half(1, F.upper(g(4))).alias("a"), half(5, F.upper(g(8))).alias("b"))
+    pair = let(_groups(c, _DMS_PAIR, 8), lambda p: F.struct(half(p, 0).alias("a"), half(p, 4).alias("b")))
     return (
         F.when(F.coalesce(c == "", F.lit(True)), F.struct(null.alias("lat"), null.alias("lng"), F.lit(False).alias("given")))
         .when(c.rlike(_DMS_PAIR), let(pair, spelled))
