@@ -7,12 +7,18 @@ from pyspark.sql import functions as F
 
 from fieldbook.functions.issues import collect_issues, flag, merge_issues
 from fieldbook.functions.terms import clean
-from fieldbook.operators.lookup import lookup_vocabulary
+from fieldbook.functions.text import normalise_label
+from fieldbook.operators.lookup import lookup_vocabulary, vocabulary_map
 
 RANKS = ("eon", "era", "period", "epoch", "age")
 
 VOCAB = "geologicalContext"
 
+_ROW = (
+    "struct<concept:string,lineage:array<string>,tags:map<string,string>,"
+    "parents:array<struct<name:string,tags:map<string,string>>>>"
+)
+
 _NAMES = {
     "eon": "EON_OR_EONOTHEM",
     "era": "ERA_OR_ERATHEM",
@@ -118,9 +124,14 @@ def chronostratigraphy(
     ``pairs`` lists (rank, earliest column, latest column) from the eon to the age."""
     keep = df.columns
     row = F.struct("concept", "lineage", "tags", "parents")
-    for rank, early, late in pairs:
-        for side, col in (("e", early), ("l", late)):
-            df = lookup_vocabulary(df, clean(F.col(col)), vocabulary, vocab, f"_{side}_{rank}_hit", value=row, small=small)
+    sides = [(f"_{side}_{rank}_hit", clean(F.col(col))) for rank, early, late in pairs for side, col in (("e", early), ("l", late))]
+    # Few records have any of these terms, so a literal map beats ten joins.
+    entries = vocabulary_map(vocabulary, vocab, row, _ROW)
+    if entries is not None:
+        df = df.withColumns({name: F.when(text.isNotNull(), entries[normalise_label(text)]) for name, text in sides})
+    else:
+        for name, text in sides:
+            df = lookup_vocabulary(df, text, vocabulary, vocab, name, value=row, small=small)
     # A hit is read many times below, so each step is a column of its own.
     df = df.withColumns(
         {

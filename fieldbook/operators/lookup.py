@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,6 +95,21 @@ def lookup_enum(df: DataFrame, col: str | Column, vocabulary: DataFrame, vocab:
     return lookup_vocabulary(df, col, vocabulary, vocab, out, value=F.col("concept"), **kw)
 
 
+_CONCEPT = "struct<concept:string,lineage:array<string>,tags:array<struct<name:string,value:string>>>"
+
+
+def vocabulary_map(vocabulary: DataFrame, vocab: str, value: Column, kind: str, limit: int = LITERAL_ROWS) -> Column | None:
+    """Label → value as a literal map of the plan, or None where the vocabulary is over the limit.
+
+    ``kind`` is the type of the value as text.  A lookup in the map costs nothing where there is no
+    label, and needs neither a join nor a copy of the row."""
+    dim = vocabulary.filter(F.col("vocab") == vocab).select("label", F.to_json(F.struct(value.alias("v"))).alias("v"))
+    if not fits_broadcast(dim, limit):
+        return None
+    entries = {r["label"]: json.loads(r["v"])["v"] for r in dim.collect()}  # at most ``limit`` rows
+    return F.from_json(F.lit(json.dumps(entries)), f"map<string,{kind}>")
+
+
 def lookup_values(
     df: DataFrame,
     col: str,
@@ -108,27 +125,8 @@ def lookup_values(
 
     A small vocabulary goes into the plan as a literal map, with no shuffle.  A larger one is
     joined once per distinct array."""
-    dim = vocabulary.filter(F.col("vocab") == vocab).select("label", concept_struct().alias("_concept"))
-    kind = "array<struct<value:string,concept:struct<concept:string,lineage:array<string>,tags:array<struct<name:string,value:string>>>>>"
-    if fits_broadcast(dim, literal_rows):
-        rows = dim.select("label", F.col("_concept.concept"), F.col("_concept.lineage")).collect()  # bounded
-        if not rows:
-            return df.withColumn(
-                out, F.transform(col, lambda v: F.struct(v.alias("value"), F.lit(None).alias("concept"))).cast(kind)
-            )
-        entries = F.map_from_arrays(
-            F.array(*[F.lit(r["label"]) for r in rows]),
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(r["concept"]).alias("concept"),
-                        F.array(*[F.lit(x) for x in r["lineage"]]).alias("lineage"),
-                        F.lit(None).cast("array<struct<name:string,value:string>>").alias("tags"),
-                    )
-                    for r in rows
-                ]
-            ),
-        )
+    entries = vocabulary_map(vocabulary, vocab, concept_struct(), _CONCEPT, literal_rows)
+    if entries is not None:
         return df.withColumn(
             out,
             F.transform(
@@ -136,6 +134,8 @@ def lookup_values(
             ),
         )
 
+    dim = vocabulary.filter(F.col("vocab") == vocab).select("label", concept_struct().alias("_concept"))
+
     def resolve(keys: DataFrame) -> DataFrame:
         parts = keys.select(KEY, F.posexplode(col).alias("_pos", "_value")).withColumn(
             "label", normalise_label(F.col("_value"))
