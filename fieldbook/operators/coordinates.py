@@ -10,6 +10,7 @@ from fieldbook.functions.coords import parse_lat_lng, parse_point, parse_verbati
 from fieldbook.functions.datum import datum_table, normalise_datum, shift_to_wgs84
 from fieldbook.functions.issues import no_issues, union_issues
 from fieldbook.functions.terms import trimmed
+from fieldbook.operators.joins import dimension_join
 
 
 def parse_coordinates(df: DataFrame, out: str = "coords") -> DataFrame:
@@ -32,15 +33,16 @@ def parse_coordinates(df: DataFrame, out: str = "coords") -> DataFrame:
     return df.select(*keep, f"{out}_point", picked.alias(out), (F.col("_c1.ok") | F.col("_c2.ok") | F.col("_c3.ok")).alias(f"{out}_own"))
 
 
-def _with_datum(df: DataFrame, datums: DataFrame, text, out: str) -> DataFrame:
-    rows = datums.select(F.col("alias").alias("_alias"), F.struct("epsg", "a", "inv_f", "dx", "dy", "dz").alias(out))
-    # The table is fixed in code: a few dozen rows.
-    return df.withColumn("_alias", normalise_datum(text)).join(F.broadcast(rows), "_alias", "left").drop("_alias")
+def _with_datum(df: DataFrame, datums: DataFrame | None, text, out: str) -> DataFrame:
+    # The built-in table has a few dozen rows; one that is passed in is checked.
+    small = True if datums is None else None
+    table = datum_table(df.sparkSession) if datums is None else datums
+    rows = table.select(F.col("alias").alias("_alias"), F.struct("epsg", "a", "inv_f", "dx", "dy", "dz").alias(out))
+    return dimension_join(df.withColumn("_alias", normalise_datum(text)), rows, ["_alias"], small=small).drop("_alias")
 
 
 def to_wgs84(df: DataFrame, lat: str, lng: str, datum: str, out: str = "wgs84", datums: DataFrame | None = None) -> DataFrame:
     """Add the struct ``out`` (lat, lng, issues, ok) with the point shifted to WGS84."""
-    datums = datum_table(df.sparkSession) if datums is None else datums
     keep = df.columns
     df = _with_datum(df, datums, F.col(datum), "_datum")
     return df.select(*keep, shift_to_wgs84(F.col(lat), F.col(lng), F.col(datum), F.col("_datum")).alias(out))
@@ -49,7 +51,6 @@ def to_wgs84(df: DataFrame, lat: str, lng: str, datum: str, out: str = "wgs84",
 def interpret_coordinates(df: DataFrame, out: str = "coords", datums: DataFrame | None = None) -> DataFrame:
     """:func:`parse_coordinates`, then the datum shift.  The datum of a footprint is its own SRS.
     Adds ``{out}_srs_known`` for the footprint checks."""
-    datums = datum_table(df.sparkSession) if datums is None else datums
     keep = df.columns
     df = parse_coordinates(df, "_p")
     df = df.withColumn(

@@ -23,7 +23,8 @@ ALTERATIONS = [
 
 def lookup_country(df: DataFrame, text: Column, aliases: DataFrame, out: str, *, small: bool | None = None) -> DataFrame:
     """Add ``out``, the ISO code a spelling of a country stands for."""
-    dim = aliases.select(normalise_label(F.col("alias")).alias("_label"), F.col("iso2").alias(out))
+    # Spellings that only differ in punctuation are one label.
+    dim = aliases.groupBy(normalise_label(F.col("alias")).alias("_label")).agg(F.min("iso2").alias(out))
     staged = df.withColumn("_label", normalise_label(text))
     return dimension_join(staged, dim, ["_label"], "left", small=small).drop("_label")
 
@@ -79,8 +80,7 @@ def match_country(
     )
     df = df.withColumns({"_plat": here[0], "_plng": here[1]})
     df = df.join(answers, ["_plat", "_plng"], "left")
-    # The pair list is a fixed table of a few dozen rows.
-    df = df.join(F.broadcast(pair_sets(pairs).withColumnRenamed("country", country)), country, "left")
+    df = dimension_join(df, pair_sets(pairs).withColumnRenamed("country", country), [country])
     df = df.withColumn("_at", _countries_at(*here, place, F.col("_found")))
     at = F.col("_at")
 

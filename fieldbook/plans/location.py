@@ -19,7 +19,7 @@ from fieldbook.operators.coordinates import interpret_coordinates
 from fieldbook.operators.country import lookup_country, match_country, parse_country, region_of, repatriated
 from fieldbook.operators.enrich import KEY, enrich_distinct
 from fieldbook.operators.geocode import HEIGHT, WIDTH, centroid_distance, geocode_lists, reverse_geocode
-from fieldbook.operators.joins import fits_broadcast
+from fieldbook.operators.joins import dimension_join, fits_broadcast
 from fieldbook.operators.lookup import lookup_enum
 from fieldbook.operators.records import extract_location
 from fieldbook.plans.temporal import created
@@ -128,12 +128,12 @@ def resolve_locations(keys: DataFrame, dims: LocationDims) -> DataFrame:
     near = centroid_distance(points, dims.centroids, centroids_small)
     df = df.join(here, ["lat", "lng"], "left")
     df = df.join(near, ["lat", "lng"], "left")
-    titles = dims.aliases.select(F.col("iso2").alias("countryCode"), F.col("title").alias("country"), "region").distinct()
-    # No more rows than there are countries.
-    df = df.join(F.broadcast(titles), "countryCode", "left")
-    df = region_of(df, dims.aliases.select("iso2", "region").distinct(), "publishingCountry", "publishedByRegion", small=small)
+    # One row per country, whatever its spellings.
+    countries = dims.aliases.groupBy("iso2").agg(F.min("title").alias("country"), F.min("region").alias("region"))
+    df = dimension_join(df, countries.withColumnRenamed("iso2", "countryCode"), ["countryCode"], small=small)
+    df = region_of(df, countries.select("iso2", "region"), "publishingCountry", "publishedByRegion", small=small)
     of_country = dims.continents.select(F.col("country").alias("countryCode"), F.col("continents").alias("_of_country"))
-    df = df.join(F.broadcast(of_country), "countryCode", "left")
+    df = dimension_join(df, of_country, ["countryCode"])
 
     located = F.col("lat").isNotNull() & F.col("lng").isNotNull()
     point_issues = union_issues(F.col("_place_issues"), F.col("_coord_issues"), F.col("m_issues"))

@@ -199,6 +199,13 @@ def test_antarctica_and_repair(spark):
     assert got[8] == ("FR", None, [], False)
 
 
+def test_country_spellings_never_multiply_rows(spark):
+    aliases = spark.createDataFrame([("U.S.A.", "US"), ("USA", "US"), ("us", "US"), ("Chile", "CL")], "alias string, iso2 string")
+    df = spark.createDataFrame([(1, "usa", "US"), (2, "chile", "US"), (3, "Atlantis", None), (4, None, None)], "i int, country string, countryCode string")
+    got = [(r["p"], r["p_issues"]) for r in country.parse_country(df, aliases, out="p").orderBy("i").collect()]
+    assert got == [("US", []), ("US", ["COUNTRY_MISMATCH"]), (None, ["COUNTRY_INVALID"]), (None, [])]
+
+
 def test_pairs_and_continents_from_files(spark, tmp_path):
     (tmp_path / "p.txt").write_text("# comment\n\naa, bb ,true\nCC,DD,false\n")
     rows = {tuple(r) for r in dims.load_country_pairs(spark, str(tmp_path / "p.txt")).collect()}
