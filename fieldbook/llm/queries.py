@@ -76,3 +76,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import section_counts
 
     return section_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@query("op9_jaccard_join")
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "is_first")
