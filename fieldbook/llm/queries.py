@@ -83,3 +83,12 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "is_first")
+
+
+@query("op8_suffix_dedup")
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"), 200).select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("bigint").alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
