@@ -101,3 +101,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good", "votes"
     )
+
+
+@query("op6_ann")
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ann import neighbours
+
+    return neighbours(table(spark, sf_dir, "embeddings"))
