@@ -108,3 +108,11 @@ def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ann import neighbours
 
     return neighbours(table(spark, sf_dir, "embeddings"))
+
+
+@query("op5_licence_scan")
+def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licence import by_document, licences
+
+    docs = table(spark, sf_dir, "documents")
+    return by_document(docs, licences(docs)).select("doc_id", "n_notices", F.array_join("licences", ",").alias("licences"), "probability")
