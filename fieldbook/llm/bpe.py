@@ -11,9 +11,23 @@ import numpy as np
 #: White space as the vocabularies' split pattern has it; Python's own ``\s`` has more.
 SPACE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
-#: A run without white space, with the space before it; matches of the split pattern never cross
-#: the ends of these pieces, so each piece is encoded on its own, with the same ids.
-PIECE = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
+#: Pieces that are encoded on their own, with the same ids, since a match of the split pattern
+#: never crosses their ends: a run without white space with the space before it, of which a word of
+#: Latin letters is cut off before a sign that can only start another match.
+PIECE = re.compile(f" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,;:!?{SPACE}]|$)| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
+
+WORD = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
+
+def byte_chars() -> dict[int, str]:
+    """The characters that byte-level vocabularies write bytes with: printable ones stand for
+    themselves, the others get those from 256 on, in order."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+BYTE_CHARS = byte_chars()
 
 #: Before a single space between two other characters a match always ends.
 SAFE = re.compile(f"(?<=[^{SPACE}])(?= [^{SPACE}])")
@@ -33,44 +47,60 @@ def slices(text: str, size: int) -> Iterator[str]:
 
 
 class PieceEncoder:
-    """Ids of the ``tokenizers`` library, remembered by piece.  Two generations of at most
+    """Ids of the ``tokenizers`` library, remembered by piece.  Two generations of at most about
     ``limit`` pieces each are kept: what was not met during a generation is forgotten."""
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.limit, self.young, self.old = limit, {}, {}
 
-    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
-        new = {}
-        for p in [p for p in pieces if p in self.old]:
-            new[p] = self.old[p]
-        missing = [p for p in pieces if p not in new]
+    def _learn(self, pieces: set[str]) -> None:
+        known = pieces & self.old.keys()
+        self.young.update(zip(known, map(self.old.__getitem__, known)))
+        missing = []
+        for p in pieces - known:
+            if WORD.fullmatch(p):  # one match of the pattern: straight to the merges
+                self.young[p] = np.array([t.id for t in self.tokenizer.model.tokenize(p.encode().decode("latin-1").translate(BYTE_CHARS))], "<u4").tobytes()
+            else:
+                missing.append(p)
         for at in range(0, len(missing), 4096):
             part = missing[at : at + 4096]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                new[p] = np.array(e.ids, dtype="<u4").tobytes()
-        return new
-
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Per text its ids as little-endian unsigned 32-bit integers."""
-        out = []
-        for text in texts:
-            parts = []
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            flat = np.array([i for e in ids for i in e], dtype="<u4").tobytes()
+            ends = np.cumsum([4 * len(e) for e in ids]).tolist()
+            self.young.update(zip(part, [flat[a:b] for a, b in zip([0, *ends], ends)]))
+
+    def encode_all(self, texts: list[str], most: int = 1 << 21) -> list[bytes]:
+        """Per text its ids as little-endian unsigned 32-bit integers.  Pieces of about ``most``
+        characters are looked up at a time."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        waiting: list[tuple[int, list[str]]] = []
+        chars = 0
+
+        def look_up() -> None:
+            pieces = set().union(*(p for _, p in waiting))
+            if len(self.young) > self.limit:
+                self.old, self.young = self.young, {}
+            new = pieces - self.young.keys()
+            if new:
+                self._learn(new)
+            known = self.young.__getitem__
+            for k, p in waiting:
+                out[k].append(b"".join(map(known, p)))
+            waiting.clear()
+
+        for k, text in enumerate(texts):
             for part in slices(text, 1 << 18):
-                pieces = PIECE.findall(part)
-                known = self.young
-                try:
-                    parts.append(b"".join([known[p] for p in pieces]))
-                except KeyError:
-                    known.update(self._learn({p for p in pieces if p not in known}))
-                    parts.append(b"".join([known[p] for p in pieces]))
-                    if len(known) > self.limit:
-                        self.old, self.young = known, {}
-            out.append(b"".join(parts))
-        return out
+                waiting.append((k, PIECE.findall(part)))
+                chars += len(part)
+                if chars > most:
+                    look_up()
+                    chars = 0
+        look_up()
+        return [b"".join(parts) for parts in out]
 
 
 _encoders: dict[str, PieceEncoder] = {}
