@@ -116,3 +116,10 @@ def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return by_document(docs, licences(docs)).select("doc_id", "n_notices", F.array_join("licences", ",").alias("licences"), "probability")
+
+
+@query("op1_lm_scoring")
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .maxent import score_texts
+
+    return score_texts(table(spark, sf_dir, "documents"))
