@@ -169,7 +169,7 @@ def verify(members: DataFrame, n: int, threshold: float) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.9999, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``row, doc_id, class_id, n_links, is_first`` for every row of ``docs``.
+    """``row, doc_id, text_key, class_id, n_links, is_first`` for every row of ``docs``.
 
     Two rows are linked when the Jaccard similarity of their sets of word n-grams is at least
     ``threshold``; ``n_links`` counts the other rows that a row is linked to, ``class_id`` is the
@@ -224,9 +224,17 @@ def near_duplicates(
         .select("set_key", F.coalesce("component", "doc").alias("class"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
     )
     every = sketched.join(by_set, "set_key", "left").select(
-        F.col("doc").alias("row"), "doc_id", F.coalesce("class", "doc").alias("class"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links")
+        F.col("doc").alias("row"), "doc_id", "text_key", F.coalesce("class", "doc").alias("class"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links")
     )
     names = every.groupBy("class").agg(F.min(F.struct("doc_id", "row")).alias("first"))
     return every.join(names, "class").select(
-        "row", "doc_id", F.col("first.doc_id").alias("class_id"), "n_links", (F.col("row") == F.col("first.row")).alias("is_first")
+        "row", "doc_id", "text_key", F.col("first.doc_id").alias("class_id"), "n_links", (F.col("row") == F.col("first.row")).alias("is_first")
     )
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` with all their columns, one of each class of ``near_duplicates``."""
+    first = near_duplicates(docs, id_col=id_col, text_col=text_col, **options).where("is_first").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+    keyed = docs.withColumns({"_id_": docs[id_col].cast("bigint"), "_key_": F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))})
+    found = keyed.join(first, F.col("_id_").eqNullSafe(F.col("_id")) & (F.col("_key_") == F.col("_key")), "left_semi")
+    return found.dropDuplicates(["_id_", "_key_"]).drop("_id_", "_key_")

@@ -10,7 +10,7 @@ from math import exp, log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import columns_as, keep
+from .shared import keep
 
 SPACE = "\\x20\\x09-\\x0D"
 
@@ -54,16 +54,21 @@ def _repeated_words(words: Column, grams: Column) -> Column:
     return F.transform(F.array(order), lambda s: F.transform(F.array(places(s)), covered).getItem(0)).getItem(0)
 
 
-def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document its counts.  Words are runs of anything but ASCII white space; lines are split
-    at line feeds, and only those with a word count."""
+def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole_rows: bool = False) -> DataFrame:
+    """Per document its counts; with ``whole_rows`` also the row itself, as ``record``.  Words are
+    runs of anything but ASCII white space; lines are split at line feeds, and only those with a
+    word count."""
     text = F.col("text")
-    step = columns_as(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(text.cast("string"), F.lit("")).alias("text"))
+    record = F.struct(*[docs[c] for c in docs.columns]) if whole_rows else F.lit(None)
+    step = docs.select(
+        docs[id_col].cast("bigint").alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"), record.alias("record")
+    )
     inner = F.trim(text, F.lit(" \t\n\u000b\f\r"))
     words = F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, f"[{SPACE}]+"))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(f"[^{SPACE}]"))
     step = step.select(
         "doc_id",
+        "record",
         words.alias("words"),
         lines.alias("lines"),
         F.length(F.translate(text, " \t\n\u000b\f\r", "")).cast("bigint").alias("word_chars"),
@@ -87,7 +92,8 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     ).drop("lines")
     repeats = F.size("grams") > F.size(F.array_distinct("grams"))
     repeated = F.when(repeats, _repeated_words(F.col("words"), F.col("grams"))).otherwise(F.lit(0))
-    return step.withColumn("n_repeat_words", repeated.cast("bigint")).drop("words", "grams")
+    step = step.withColumn("n_repeat_words", repeated.cast("bigint")).drop("words", "grams")
+    return step if whole_rows else step.drop("record")
 
 
 def votes(measured: DataFrame) -> DataFrame:
@@ -137,8 +143,9 @@ def posterior(pattern: str, share: float, accuracy: list[tuple[float, float]]) -
     return 1 / (1 + exp(-max(min(odds, 500), -500)))
 
 
-def judge_quality(docs: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Counts, votes, ``p_good``, ``base_failed`` and ``kept`` for every row of ``docs``.
+def judge_quality(docs: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", whole_rows: bool = False) -> DataFrame:
+    """Counts, votes, ``p_good``, ``base_failed`` and ``kept`` for every row of ``docs``; with
+    ``whole_rows`` also the row itself, as ``record``.
 
     ``base_failed``: fewer than 10 words, or more than a fifth of the words in repeated windows of
     five.  A document is kept if that does not hold and its posterior probability of being good is
@@ -148,7 +155,7 @@ def judge_quality(docs: DataFrame, threshold: float = 0.5, id_col: str = "doc_id
     A null or empty text has no words and fails.  Null and repeated ids are kept row by row; an
     empty table gives an empty result; further columns are ignored.  Texts are read once and
     never shuffled; only counts and votes are kept."""
-    voted = keep(votes(measures(docs, id_col, text_col)), "quality-votes")
+    voted = keep(votes(measures(docs, id_col, text_col, whole_rows)), "quality-votes")
     patterns = {r["votes"]: r["n"] for r in voted.groupBy("votes").agg(F.count("*").alias("n")).collect()}
     share, accuracy = estimate(patterns)
     odds = F.lit(log(share / (1 - share)))

@@ -283,20 +283,26 @@ def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
     return spans.union(induced(small, length)).union(by_window)
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_bytes, spans, kept`` for every row of ``docs``: the text's bytes without those
-    that lie in a string of ``length`` bytes that starts at another place, too, in any text, and
-    the removed stretches (``start, end``).  All copies go, the first included.
+def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text", whole_rows: bool = False) -> DataFrame:
+    """``doc_id, n_bytes, spans, kept, kept_text`` for every row of ``docs``: the text's bytes
+    without those that lie in a string of ``length`` bytes that starts at another place, too, in
+    any text, and the removed stretches (``start, end``).  All copies go, the first included.
+    With ``whole_rows`` also the row itself, as ``record``.
 
     Texts are judged as UTF-8 bytes, on the input; cuts may fall inside a character, so ``kept``
-    is binary.  A null text counts as empty.  Null and repeated ids are kept row by row (equal
-    rows remove each other); an empty table gives an empty result; further columns are ignored."""
+    is binary; ``kept_text`` has the whole characters of it.  A null text counts as empty.  Null
+    and repeated ids are kept row by row (equal rows remove each other); an empty table gives an
+    empty result; further columns are ignored."""
     texts = doc_text(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
     spans = repeated_spans(texts, length).groupBy(F.col("doc_id").alias("id"), F.col("text_key").alias("key")).agg(
-        F.array_sort(F.collect_list(F.struct("start", (F.col("start") + F.col("size")).alias("end")))).alias("found")
+        F.collect_list(F.struct("start", (F.col("start") + F.col("size")).alias("end"))).alias("found")  # bounded by the text's length
     )
     spans = keep(spans, "suffix-spans")
-    joined = texts.join(spans, texts["doc_id"].eqNullSafe(F.col("id")) & (texts["text_key"] == F.col("key")), "left").select("doc_id", "text", "found")
+    record = F.struct(*[docs[c] for c in docs.columns]) if whole_rows else F.lit(None).cast("int")
+    rows = docs.select(docs[id_col].cast("bigint").alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"), record.alias("record"))
+    rows = rows.withColumn("text_key", F.xxhash64("text"))
+    joined = rows.join(spans, rows["doc_id"].eqNullSafe(F.col("id")) & (rows["text_key"] == F.col("key")), "left").select("doc_id", "text", "found", "record")
+    names = ["doc_id", "n_bytes", "spans", "kept", "kept_text", "record"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -311,6 +317,9 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
                     sizes.append(len(raw))
                     spans.append([{"start": int(x), "end": int(y)} for x, y in zip(a, b)])
                     kept.append(b"".join(raw[x:y] for x, y in zip([0, *b], [*a, len(raw)])))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
+                kept_text = pa.array([k.decode(errors="ignore") for k in kept], pa.string())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary()), kept_text, part.column(3)], names)
 
-    return joined.mapInArrow(run, "doc_id bigint, n_bytes bigint, spans array<struct<start: bigint, end: bigint>>, kept binary")
+    kind = joined.schema["record"].dataType.simpleString()
+    out = joined.mapInArrow(run, f"doc_id bigint, n_bytes bigint, spans array<struct<start: bigint, end: bigint>>, kept binary, kept_text string, record {kind}")
+    return out if whole_rows else out.drop("record")
