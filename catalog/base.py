@@ -27,13 +27,6 @@ class Tables:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A table of a few files with one row group each is read by as few tasks; spread it over the
-    cores before the per-row work.  A table of many files stays where it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 def query(name: str, oracle: str | None = None):
     """Register a query; the function gets the tables."""
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import Tables, VOCABULARY_ROWS, joined, query, sql_values, vocabulary
+from catalog.base import ORACLES, Tables, VOCABULARY_ROWS, joined, query, sql_values, vocabulary
 from fieldbook.operators import geology, lineage, lookup
 
 #: Parents: a quarter of the id; event 0 has none, event 3 a missing one, and 1 and 5 are a loop.
@@ -97,13 +97,19 @@ _CHOICES = {
     FROM n
     """,
 )
-def chronostratigraphy(t: Tables):
+def chronostratigraphy(t: Tables, **options):
     p = t.part.selectExpr("p_partkey", *[f"{_PICK.format(i=e)} AS {c}" for c, e in _CHOICES.items()])
     pairs = [("eon", "e_eon", "l_eon"), ("era", "e_era", "l_era"), ("period", "e_per", "l_per")]
-    g = geology.chronostratigraphy(p, pairs, vocabulary(t.spark))
+    g = geology.chronostratigraphy(p, pairs, vocabulary(t.spark), **options)
     return g.select(
         "p_partkey",
         *[F.col(f"geology_{r}.{side}.concept").alias(f"{side}_{r[:3]}") for r in ("eon", "era", "period") for side in ("earliest", "latest")],
         F.col("geology_range.start").alias("start_age"), F.col("geology_range.end").alias("end_age"),
         joined(F.array_sort("geology_issues")).alias("issues"),
     )
+
+
+@query("chronostratigraphy_joined", ORACLES["chronostratigraphy"])
+def chronostratigraphy_joined(t: Tables):
+    """The path of vocabularies that are too large for a literal."""
+    return chronostratigraphy(t, literal_rows=0)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import Tables, joined, query, spread, vocabulary, vocabulary_sql
+from catalog.base import ORACLES, Tables, joined, query, vocabulary, vocabulary_sql
 from fieldbook.functions import issues, numbers, status, terms, text
 from fieldbook.operators import lookup, records
 from fieldbook.schema import DWC_NS
@@ -404,9 +404,9 @@ def multi_value_enum(t: Tables):
     FROM part LEFT JOIN g USING (p_partkey)
     """,
 )
-def type_status(t: Tables):
+def type_status(t: Tables, **options):
     part = t.part.select("p_partkey", terms.split_values(F.expr(_PART_VALUES)).alias("v"))
-    found = lookup.type_status(part, "v", vocabulary(t.spark), "ts", spread=["p_partkey"])
+    found = lookup.type_status(part, "v", vocabulary(t.spark), "ts", spread=["p_partkey"], **options)
     return found.select(
         "p_partkey",
         joined(F.transform("ts", lambda c: c["concept"])).alias("concepts"),
@@ -415,6 +415,12 @@ def type_status(t: Tables):
     )
 
 
+@query("type_status_joined", ORACLES["type_status"])
+def type_status_joined(t: Tables):
+    """The path of vocabularies that are too large for a literal."""
+    return type_status(t, literal_rows=0)
+
+
 _STATUS = "case event_type when 'click' then 'present' when 'view' then 'absent' when 'error' then 'dunno' end"
 _STATUS_COUNT = "case when event_id % 11 = 0 then 'x' when event_id % 7 = 0 then '0' when event_id % 5 = 0 then null else cast(cast(floor(value) as bigint) as {s}) end"
 
@@ -466,7 +472,7 @@ _TRAIT = (
 )
 def traits_from_text(t: Tables):
     vocab = vocabulary(t.spark)
-    e = spread(t.events).select("event_id", F.expr(_TRAIT).alias("v")).select(
+    e = t.events.select("event_id", F.expr(_TRAIT).alias("v")).select(
         "event_id", text.sex_from_text(F.col("v")).alias("sex_text"), text.life_stage_from_text(F.col("v")).alias("stage_text")
     )
     e = lookup.lookup_vocabulary(e, "sex_text", vocab, "sex", "s")
@@ -486,4 +492,4 @@ def traits_from_text(t: Tables):
     """,
 )
 def traits_in_documents(t: Tables):
-    return spread(t.documents).select("doc_id", text.sex_from_text(F.col("text")).alias("sex"))
+    return t.documents.select("doc_id", text.sex_from_text(F.col("text")).alias("sex"))

@@ -178,12 +178,11 @@ def read_verbatim_pair(c: Column) -> Column:
             F.lit(True).alias("given"),
         )
 
-    delimiter = F.coalesce(
-        *[
-            F.when(F.length(c) - F.length(F.replace(c, F.lit(d), F.lit(""))) == 1, F.lit(d))
-            for d in (",", ";", "/", " ")
-        ]
-    )
+    def leaves_two_parts(d: str) -> Column:
+        once = F.length(c) - F.length(F.replace(c, F.lit(d), F.lit(""))) == 1
+        return once & F.instr(c, F.lit(d)).between(F.lit(2), F.length(c) - 1)
+
+    delimiter = F.coalesce(*[F.when(leaves_two_parts(d), F.lit(d)) for d in (",", ";", "/", " ")])
     cut = F.when(F.length(c) > 4, F.instr(c, delimiter))
     null = F.lit(None).cast("double")
     halves = let(

@@ -340,7 +340,7 @@ def bounded_date(
         return F.struct(
             F.when(inside, iso).alias("value"),
             F.when(~inside, f"{prefix}_UNLIKELY")
-            .when(c.isNotNull() & iso.isNull(), f"{prefix}_INVALID")
+            .when((F.trim(c) != "") & iso.isNull(), f"{prefix}_INVALID")
             .alias("issue"),
         )
 

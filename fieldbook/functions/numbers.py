@@ -15,7 +15,7 @@ _GROUPED = r"^[+-]?\d{1,3}(?:,\d{3})+\.\d+$"
 _SPECIAL = r"^[+-]?(?:NaN|Infinity)$"
 
 _METRES = (
-    r"(?i)^\s*(?:ca\.?|circa|c\.|~|about)?\s*([+-]?(?:\d+(?:[.,]\d+)?|[.,]\d+))\s*"
+    r"(?i)^\s*(?:ca\.?|circa|c\.|~|about)?\s*([+-]?(?:\d{1,3}(?:,\d{3})+\.\d+|\d+(?:[.,]\d+)?|[.,]\d+))\s*"
     r"(m|mm|cm|km|metres?|meters?|metros?|mts?|mtrs?|ft|feet|foot|in|inch|inches|'|\")?\s*\.?\s*$"
 )
 _FOOT = 0.3048
@@ -84,8 +84,10 @@ def relative_quantity(quantity: Column, quantity_type: Column, size: Column, uni
 
 
 def parse_metres(c: Column) -> Column:
-    """A length as metres; feet, inches and metric multiples are converted."""
-    number = F.replace(F.regexp_extract(c, _METRES, 1), F.lit(","), F.lit(".")).try_cast("double")
+    """A length as metres; feet, inches and metric multiples are converted.  The number may have
+    a decimal comma, or thousands commas with a dot, as in ``parse_double``."""
+    text = F.regexp_extract(c, _METRES, 1)
+    number = F.when(F.contains(text, F.lit(".")), F.replace(text, F.lit(","), F.lit(""))).otherwise(F.replace(text, F.lit(","), F.lit("."))).try_cast("double")
     unit = F.lower(F.regexp_extract(c, _METRES, 2))
 
     def convert(r: Column) -> Column:

@@ -22,9 +22,11 @@ ALTERATIONS = [
 
 
 def lookup_country(df: DataFrame, text: Column, aliases: DataFrame, out: str, *, small: bool | None = None) -> DataFrame:
-    """Add ``out``, the ISO code a spelling of a country stands for."""
+    """Add ``out``, the ISO code a spelling of a country stands for; a spelling that stands for two
+    countries is not resolved."""
     # Spellings that only differ in punctuation are one label.
-    dim = aliases.groupBy(normalise_label(F.col("alias")).alias("_label")).agg(F.min("iso2").alias(out))
+    one = F.when(F.min("iso2") == F.max("iso2"), F.min("iso2"))
+    dim = aliases.groupBy(normalise_label(F.col("alias")).alias("_label")).agg(one.alias(out))
     staged = df.withColumn("_label", normalise_label(text))
     return dimension_join(staged, dim, ["_label"], "left", small=small).drop("_label")
 

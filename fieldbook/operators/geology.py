@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fieldbook.functions.issues import collect_issues, flag, merge_issues
 from fieldbook.functions.terms import clean
 from fieldbook.functions.text import normalise_label
-from fieldbook.operators.lookup import lookup_vocabulary, vocabulary_map
+from fieldbook.operators.lookup import LITERAL_ROWS, lookup_vocabulary, vocabulary_map
 
 RANKS = ("eon", "era", "period", "epoch", "age")
 
@@ -118,6 +118,7 @@ def chronostratigraphy(
     out: str = "geology",
     vocab: str = VOCAB,
     small: bool | None = None,
+    literal_rows: int = LITERAL_ROWS,
 ) -> DataFrame:
     """Add ``{out}_{rank}`` per rank, ``{out}_range`` (the age range) and ``{out}_issues``.
 
@@ -126,7 +127,7 @@ def chronostratigraphy(
     row = F.struct("concept", "lineage", "tags", "parents")
     sides = [(f"_{side}_{rank}_hit", clean(F.col(col))) for rank, early, late in pairs for side, col in (("e", early), ("l", late))]
     # Few records have any of these terms, so a literal map beats ten joins.
-    entries = vocabulary_map(vocabulary, vocab, row, _ROW)
+    entries = vocabulary_map(vocabulary, vocab, row, _ROW, literal_rows)
     if entries is not None:
         df = df.withColumns({name: F.when(text.isNotNull(), entries[normalise_label(text)]) for name, text in sides})
     else:

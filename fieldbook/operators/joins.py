@@ -7,20 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Largest dimension, in rows (or weight), that is sent whole to every executor.
+#: Largest dimension, in rows (or weight) and in bytes of text, that is sent whole to every executor.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20
 
-#: A key counts as hot from this many rows on, and at most this many keys are treated as hot.
+#: A key counts as hot from this many rows on, and from this part of all rows on; so there are never
+#: more hot keys than ``HOT_PART``.
 HOT_ROWS = 100_000
-HOT_KEYS = 1_000
+HOT_PART = 10_000
 BUCKETS = 64
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, weight: Column | None = None) -> bool:
-    """True where the whole table is within the bound; reads at most ``max_rows + 1`` rows."""
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, weight: Column | None = None, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True where the whole table is within both bounds; reads at most ``max_rows + 1`` rows."""
     w = F.lit(1) if weight is None else weight
-    total = df.select(w.cast("long").alias("w")).limit(max_rows + 1).agg(F.sum("w").alias("n")).first()["n"]
-    return (total or 0) <= max_rows
+    rows = df.select(w.cast("long").alias("w"), F.octet_length(F.to_json(F.struct("*"))).alias("b")).limit(max_rows + 1)
+    total, size = rows.agg(F.sum("w"), F.sum("b")).first()
+    return (total or 0) <= max_rows and (size or 0) <= max_bytes
 
 
 def skew_join(
@@ -32,11 +35,12 @@ def skew_join(
     spread: Sequence[str],
     buckets: int = BUCKETS,
     hot_rows: int = HOT_ROWS,
-    hot_keys: int = HOT_KEYS,
+    hot_part: int = HOT_PART,
 ) -> DataFrame:
     """Shuffled join in which the rows of a hot key are spread over ``buckets`` tasks.
 
-    Key counts come from a pre-aggregated pass over the left side.  Rows of a hot key get a bucket
+    Key counts come from a pre-aggregated pass over the left side.  A key is hot from ``hot_rows``
+    rows on if these are at least one in ``hot_part`` of all rows.  Rows of a hot key get a bucket
     from the hash of the ``spread`` columns (so a re-run task gives the same bucket), and the right
     rows of that key are repeated once per bucket.  All other keys join as usual, so the result is
     that of the plain join.  Rows with a null key, which match nothing, are spread the same way.
@@ -44,15 +48,10 @@ def skew_join(
     The left side is read twice, so it should be a plain scan or a stored table; joins further down
     a plan are left to the run-time splitting of skewed partitions."""
     on = list(on)
-    hot = (
-        left.groupBy(*on)
-        .count()
-        .filter(F.col("count") >= hot_rows)
-        .orderBy(F.col("count").desc(), *on)
-        .limit(hot_keys)
-        .select(*on, F.lit(True).alias("_hot"))
-    )
-    hot = F.broadcast(hot)  # at most hot_keys rows
+    total = left.agg(F.count("*").alias("n")).scalar()
+    counted = left.groupBy(*on).count()
+    hot = counted.filter(F.col("count") >= F.greatest(F.lit(hot_rows), total / hot_part)).select(*on, F.lit(True).alias("_hot"))
+    hot = F.broadcast(hot)  # at most hot_part rows
     bucket = F.pmod(F.xxhash64(*spread), F.lit(buckets)).cast("int")
     anywhere = F.col("_hot")
     for c in on:

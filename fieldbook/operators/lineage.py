@@ -9,13 +9,13 @@ from fieldbook.functions.issues import collect_issues, flag
 from fieldbook.operators.checkpoints import materialize
 from fieldbook.operators.joins import skew_join
 
-#: Rounds of doubling: enough for chains of 2**40 ancestors.
+#: Rounds of doubling: enough for chains of 2**40 ancestors; longer ones are an error.
 MAX_ROUNDS = 40
 
 LOOP_ISSUE = "EVENT_ID_TO_PARENT_ID_LOOPING_ISSUE"
 
 
-def _ancestors(events: DataFrame, **skew) -> DataFrame:
+def _ancestors(events: DataFrame, rounds: int = MAX_ROUNDS, **skew) -> DataFrame:
     """Per event that is some event's parent: its ancestors from the nearest up (``path``), and
     whether the walk comes back to where it was (``loop``).
 
@@ -34,7 +34,7 @@ def _ancestors(events: DataFrame, **skew) -> DataFrame:
             (~F.coalesce(F.col("_exists"), F.lit(False))).alias("done"),
         )
     )
-    for _ in range(MAX_ROUNDS):
+    for _ in range(rounds):
         if paths.filter("NOT done AND NOT loop").limit(1).count() == 0:
             break
         open_rows = paths.filter("NOT done AND NOT loop").withColumn("_last", F.element_at("path", -1))
@@ -55,17 +55,20 @@ def _ancestors(events: DataFrame, **skew) -> DataFrame:
             F.col("_done").alias("done"),
         )
         paths = materialize(paths.filter("done OR loop").unionByName(grown))
+    else:
+        if paths.filter("NOT done AND NOT loop").limit(1).count():
+            raise ValueError(f"a parent chain is longer than 2**{rounds}")
     return paths.select("id", F.when(~F.col("loop"), F.col("path")).alias("path"), "loop")
 
 
-def expand_lineage(events: DataFrame, **skew) -> DataFrame:
+def expand_lineage(events: DataFrame, rounds: int = MAX_ROUNDS, **skew) -> DataFrame:
     """Add the parents of each event to ``id, parentId, eventType``.
 
     ``parentsLineage`` holds ``(id, eventType, order)`` from the nearest parent, numbered from 1,
     up to the last one that exists; it is null where no parent was named or the chain loops, and
     the latter is an issue.  Types come out as they are in ``eventType``."""
     events = materialize(events.select("id", "parentId", "eventType"))
-    up = _ancestors(events, **skew)
+    up = _ancestors(events, rounds, **skew)
     # The chain of a parent, with types, is built once per parent and shared by its children.
     chains = up.select("id", "loop", F.posexplode_outer(F.concat(F.array("id"), F.col("path"))).alias("_pos", "_node"))
     types = events.select(F.col("id").alias("_node"), "eventType")

@@ -13,10 +13,9 @@ from fieldbook.functions.text import normalise_label
 from fieldbook.operators.enrich import KEY, enrich_distinct
 from fieldbook.operators.joins import dimension_join, fits_broadcast
 
-#: Words that make an unknown type status a suspected one.
+# The words that make an unknown type status a suspected one, and the tags that are
+# read as ``name:value`` pairs.
 SUSPECTED_TYPE_WORDS = ("?", "possible", "possibly", "potential", "maybe", "perhaps")
-
-#: Tags that are read as ``name:value`` pairs.
 TAG_NAMES = ("rank", "startage", "endage")
 
 #: Largest vocabulary that is put into the plan as a literal.
@@ -149,7 +148,9 @@ def lookup_values(
             ).alias(out)
         )
 
-    return enrich_distinct(df, [col], resolve, spread=spread)
+    found = enrich_distinct(df, [col], resolve, spread=spread)
+    # An empty array has no element to look up, and stays empty.
+    return found.withColumn(out, F.when(F.size(col) == 0, F.array().cast(found.schema[out].dataType)).otherwise(F.col(out)))
 
 
 def lookup_enum_values(df: DataFrame, col: str, vocabulary: DataFrame, vocab: str, out: str, *, spread: list[str], sep: str = PIPE) -> DataFrame:
@@ -160,9 +161,11 @@ def lookup_enum_values(df: DataFrame, col: str, vocabulary: DataFrame, vocab: st
     return found.withColumn(out, F.array_sort(F.array_distinct(constants))).drop("_values", "_found")
 
 
-def type_status(df: DataFrame, col: str, vocabulary: DataFrame, out: str, *, spread: list[str], vocab: str = "typeStatus") -> DataFrame:
+def type_status(
+    df: DataFrame, col: str, vocabulary: DataFrame, out: str, *, spread: list[str], vocab: str = "typeStatus", literal_rows: int = LITERAL_ROWS
+) -> DataFrame:
     """Concepts of an array of type statuses as ``out``, and ``{out}_issues`` for the misses."""
-    found = lookup_values(df, col, vocabulary, vocab, "_found", spread=spread)
+    found = lookup_values(df, col, vocabulary, vocab, "_found", spread=spread, literal_rows=literal_rows)
     hits = F.transform(F.filter("_found", lambda e: e["concept"].isNotNull()), lambda e: e["concept"])
     misses = F.filter("_found", lambda e: e["concept"].isNull())
 

@@ -20,6 +20,8 @@ SETTINGS = {
 AT_START = {
     # Recording the Python line of each of some thousand expressions takes longer than planning.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Checkpoint files go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -78,19 +78,25 @@ def load_country_pairs(spark: SparkSession, path: str | None = None) -> DataFram
     return pair.select(F.explode(both).alias("p"), "add_issue").select("p.*", "add_issue").distinct()
 
 
-def load_country_continents(spark: SparkSession, path: str) -> DataFrame:
+def load_country_continents(spark: SparkSession, path: str, aliases: DataFrame | None = None) -> DataFrame:
     """``country, continents`` out of a file of ``country,continent`` lines with ``#`` comments.
 
-    The order of the file is kept, since the first continent counts."""
+    The order of the file is kept, since the first continent counts.  Countries may be written
+    with three letters where ``aliases`` has their codes."""
     raw = spark.read.csv(path, schema="country string, continent string", comment="#")
-    return country_continents(raw.withColumn("pos", F.monotonically_increasing_id()))
+    return country_continents(raw.withColumn("pos", F.monotonically_increasing_id()), aliases)
 
 
-def country_continents(rows: DataFrame) -> DataFrame:
-    """The same out of a table of ``country, continent, pos``."""
+def country_continents(rows: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """The same out of a table of ``country, continent, pos``.  The views look continents up by the
+    code of two letters, so codes of three are replaced by it, through ``aliases``."""
+    rows = rows.select(_upper("country").alias("country"), _upper("continent").alias("continent"), "pos")
+    if aliases is not None:
+        codes = aliases.select(_upper("iso3").alias("country"), _upper("iso2").alias("iso2")).where("country is not null and iso2 is not null")
+        codes = codes.groupBy("country").agg(F.min("iso2").alias("iso2"))
+        rows = rows.join(codes, "country", "left").select(F.coalesce("iso2", "country").alias("country"), "continent", "pos")
     return (
-        rows.select(_upper("country").alias("country"), _upper("continent").alias("continent"), "pos")
-        .filter(~F.col("country").isin(*INTERNATIONAL_WATERS))
+        rows.filter(~F.col("country").isin(*INTERNATIONAL_WATERS))
         .groupBy("country")
         .agg(F.sort_array(F.collect_list(F.struct("pos", "continent"))).alias("c"))
         .select("country", F.transform("c", lambda e: e["continent"]).alias("continents"))

@@ -297,3 +297,18 @@ def test_wkt(values):
 def test_issue_lists(values):
     assert values(lambda c: issues.collect_issues(issues.flag(c == "a", "A"), issues.flag(c == "a", "A"), F.lit("B")), ["a", "b"]) == [["A", "B"], ["B"]]
     assert values(lambda c: issues.has_geospatial_issue(F.array(c)), ["ZERO_COORDINATE", "X"]) == [True, False]
+
+
+def test_metres_with_thousands(values):
+    assert values(numbers.parse_metres, ["1,234.5 m", "1,000", "12,345.0", "2,5"]) == [1234.5, 1.0, 12345.0, 2.5]
+
+
+def test_a_delimiter_at_the_edge_is_skipped(values):
+    got = values(coords.parse_verbatim_pair, [",12 34", "12;34,", "/1"])
+    assert got[0]["ok"] is False and "COORDINATE_INVALID" in got[0]["issues"]
+    assert "COORDINATE_INVALID" in got[1]["issues"]
+
+
+def test_blank_dates_are_not_given(values):
+    got = values(lambda c: dates.bounded_date(c, dates.EARLIEST_IDENTIFIED, "2026-01-01", "D"), ["", "  ", "rubbish"])
+    assert [g["issue"] for g in got] == [None, None, "D_INVALID"]

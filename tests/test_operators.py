@@ -237,3 +237,48 @@ def test_sources_round_trip(spark, tmp_path):
 
 def test_settings(spark):
     assert prepare_session(spark).conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+
+
+def test_every_hot_key_is_split(spark):
+    """No cap: two thousand keys of thirty rows are all spread."""
+    left = spark.range(60_000).select(F.col("id").alias("i"), (F.col("id") % 2000).alias("k"))
+    right = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    out = joins.skew_join(left, right, ["k"], "left", spread=["i"], hot_rows=20, buckets=3)
+    assert out.where("v = 2 * k").count() == 60_000
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "GlobalLimit" not in plan and "Sort [" not in plan
+
+
+def test_broadcast_is_checked_by_bytes(spark):
+    wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("t"))
+    assert joins.fits_broadcast(wide, 10) and not joins.fits_broadcast(wide, 10, max_bytes=5000)
+
+
+def test_chain_beyond_the_rounds_fails(spark):
+    rows = [(str(i), str(i + 1) if i < 20 else None, "t") for i in range(21)]
+    events = spark.createDataFrame(rows, "id string, parentId string, eventType string")
+    assert lineage.expand_lineage(events).where("size(parentsLineage) = 20").count() == 1
+    with pytest.raises(ValueError):
+        lineage.expand_lineage(events, rounds=2)
+
+
+def test_three_letter_codes(spark, tmp_path):
+    (tmp_path / "c.txt").write_text("# country,continent\nTUR,ASIA\nTUR,EUROPE\nDE,EUROPE\nXZZ,AFRICA\n")
+    aliases = spark.createDataFrame([("Turkey", "TR", "TUR", "Turkey", None), ("Türkiye", "TR", "TUR", "Turkey", None)], "alias string, iso2 string, iso3 string, title string, region string")
+    got = {r["country"]: r["continents"] for r in dims.load_country_continents(spark, str(tmp_path / "c.txt"), aliases).collect()}
+    assert got == {"TR": ["ASIA", "EUROPE"], "DE": ["EUROPE"]}
+
+
+def test_spelling_of_two_countries_is_not_resolved(spark):
+    aliases = spark.createDataFrame([("Congo", "CG"), ("congo", "CD"), ("Chad", "TD")], "alias string, iso2 string")
+    df = spark.createDataFrame([("Congo", None), ("Chad", None)], "country string, countryCode string")
+    got = {r["country"]: (r["parsed_country"], r["parsed_country_issues"]) for r in country.parse_country(df, aliases).collect()}
+    assert got["Congo"] == (None, ["COUNTRY_INVALID"]) and got["Chad"][0] == "TD"
+
+
+@pytest.mark.parametrize("literal_rows", [0, 1000])
+def test_empty_and_null_arrays_come_out_alike(spark, literal_rows):
+    vocab = lookup.prepare_vocabulary(spark.createDataFrame([("t", "a", "A", None, None)], VOCABULARY))
+    df = spark.createDataFrame([(1, ["a"]), (2, []), (3, None)], "i int, a array<string>")
+    got = {r["i"]: r["o"] for r in lookup.lookup_values(df, "a", vocab, "t", "o", spread=["i"], literal_rows=literal_rows).collect()}
+    assert len(got[1]) == 1 and got[2] == [] and got[3] is None
