@@ -9,7 +9,7 @@ from fieldbook.functions.geo import is_antarctica, valid_point
 from fieldbook.functions.issues import collect_issues, flag
 from fieldbook.functions.text import normalise_label
 from fieldbook.operators.checkpoints import materialize
-from fieldbook.operators.joins import dimension_join
+from fieldbook.operators.joins import dimension_join, spread_null_join
 
 #: What may have gone wrong with a pair of coordinates, in the order it is tried:
 #: (position, latitude, longitude, issues).
@@ -81,7 +81,9 @@ def match_country(
         F.col("lat").alias("_plat"), F.col("lng").alias("_plng"), F.col("countries").alias("_found")
     )
     df = df.withColumns({"_plat": here[0], "_plng": here[1]})
-    df = df.join(answers, ["_plat", "_plng"], "left")
+    # Rows without coordinates all have the same key, and the rest of the row tells them apart.
+    rest = df.columns
+    df = spread_null_join(df, answers, ["_plat", "_plng"], spread=rest)
     df = dimension_join(df, pair_sets(pairs).withColumnRenamed("country", country), [country])
     df = df.withColumn("_at", _countries_at(*here, place, F.col("_found")))
     at = F.col("_at")
@@ -128,7 +130,7 @@ def match_country(
         .agg(F.min("pos").alias("_pos"))
         .withColumnRenamed("_c", country)
     )
-    df = df.join(fixed, [country, "_plat", "_plng"], "left")
+    df = spread_null_join(df, fixed, [country, "_plat", "_plng"], spread=rest)
 
     pos = F.col("_pos")
     new_lat, new_lng, fix_issues = here[0], here[1], F.lit(None).cast("array<string>")

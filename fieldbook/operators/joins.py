@@ -62,6 +62,17 @@ def skew_join(
     return l.drop("_hot").join(r, [*on, "_salt"], how).drop("_salt")
 
 
+def spread_null_join(left: DataFrame, right: DataFrame, on: Sequence[str], *, spread: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
+    """Left join in which the rows with a null key, which match nothing and may be most of them,
+    are spread over ``buckets`` tasks by a hash of the ``spread`` columns."""
+    on = list(on)
+    missing = F.lit(False)
+    for c in on:
+        missing = missing | F.col(c).isNull()
+    salted = left.withColumn("_salt", F.when(missing, F.pmod(F.xxhash64(*spread), F.lit(buckets)).cast("int")).otherwise(F.lit(0)))
+    return salted.join(right.withColumn("_salt", F.lit(0)), [*on, "_salt"], "left").drop("_salt")
+
+
 def dimension_join(
     left: DataFrame,
     dim: DataFrame,

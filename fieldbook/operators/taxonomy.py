@@ -9,6 +9,7 @@ from fieldbook.functions.issues import collect_issues, flag
 from fieldbook.functions.terms import has_value
 from fieldbook.operators.checkpoints import materialize
 from fieldbook.operators.enrich import KEY
+from fieldbook.operators.joins import spread_null_join
 from fieldbook.schema import HIGHER_RANKS
 
 #: Largest edit distance of a fuzzy match.
@@ -152,8 +153,9 @@ def taxon_record(matches: DataFrame, backbone: DataFrame) -> DataFrame:
     accepted = backbone.select(
         F.col("key").alias("accepted_key"), F.struct("key", "name", "rank").cast(_RANKED).alias("_accepted")
     )
-    found = matches.join(rows, "_taxon", "left")
-    found = found.join(accepted, "accepted_key", "left")
+    # Accepted usages are found once per usage; most have none, and many names have no usage.
+    rows = spread_null_join(rows, accepted, ["accepted_key"], spread=["_taxon"])
+    found = spread_null_join(matches, rows, ["_taxon"], spread=[KEY])
     matched = F.col("usage").isNotNull()
     none = incertae_sedis().cast(_RANKED)
     return found.select(

@@ -19,7 +19,7 @@ from fieldbook.operators.coordinates import interpret_coordinates
 from fieldbook.operators.country import lookup_country, match_country, parse_country, region_of, repatriated
 from fieldbook.operators.enrich import KEY, enrich_distinct
 from fieldbook.operators.geocode import HEIGHT, WIDTH, centroid_distance, geocode_lists, reverse_geocode
-from fieldbook.operators.joins import dimension_join, fits_broadcast
+from fieldbook.operators.joins import dimension_join, fits_broadcast, spread_null_join
 from fieldbook.operators.lookup import lookup_enum
 from fieldbook.operators.records import extract_location
 from fieldbook.plans.temporal import created
@@ -126,8 +126,9 @@ def resolve_locations(keys: DataFrame, dims: LocationDims) -> DataFrame:
     points = df.select("lat", "lng")
     here = geocode(points).select("lat", "lng", "continents", "gadm")
     near = centroid_distance(points, dims.centroids, centroids_small)
-    df = df.join(here, ["lat", "lng"], "left")
-    df = df.join(near, ["lat", "lng"], "left")
+    # Places without coordinates have one key, and may be many.
+    df = spread_null_join(df, here, ["lat", "lng"], spread=[KEY])
+    df = spread_null_join(df, near, ["lat", "lng"], spread=[KEY])
     # One row per country, whatever its spellings.
     countries = dims.aliases.groupBy("iso2").agg(F.min("title").alias("country"), F.min("region").alias("region"))
     df = dimension_join(df, countries.withColumnRenamed("iso2", "countryCode"), ["countryCode"], small=small)

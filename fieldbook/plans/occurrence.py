@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook.functions.issues import union_issues
+from fieldbook.operators.taxonomy import MAX_EDITS
 from fieldbook.plans.basic import basic_view
 from fieldbook.plans.location import LocationDims, location_view
 from fieldbook.plans.taxon import taxon_view
@@ -36,12 +37,13 @@ def interpret(
     backbone: DataFrame,
     dims: LocationDims,
     run_ts: datetime,
+    edits: int = MAX_EDITS,
     **temporal_options,
 ) -> dict[str, DataFrame]:
     """The four views by name, ready for ``write_views``."""
     return {
         "basic": basic_view(verbatim, vocabulary, run_ts),
-        "taxon": taxon_view(verbatim, backbone, run_ts),
+        "taxon": taxon_view(verbatim, backbone, run_ts, edits),
         "location": location_view(verbatim, dims, run_ts),
         "temporal": temporal_view(verbatim, run_ts, **temporal_options),
     }

@@ -11,7 +11,7 @@ from fieldbook.functions.issues import no_issues
 from fieldbook.operators.checkpoints import materialize
 from fieldbook.operators.enrich import enrich_distinct
 from fieldbook.operators.identification import IDENTIFICATION_COLUMNS, extract_identification
-from fieldbook.operators.taxonomy import match_taxa
+from fieldbook.operators.taxonomy import MAX_EDITS, match_taxa
 from fieldbook.plans.temporal import created
 
 COLUMNS = (
@@ -20,14 +20,14 @@ COLUMNS = (
 )
 
 
-def taxon_view(verbatim: DataFrame, backbone: DataFrame, run_ts: datetime, **skew) -> DataFrame:
+def taxon_view(verbatim: DataFrame, backbone: DataFrame, run_ts: datetime, edits: int = MAX_EDITS, **skew) -> DataFrame:
     """One row per record.  The key is all of the identification columns, so records never
-    multiply."""
+    multiply.  Names may be spelt wrong by up to ``edits`` letters."""
     found = enrich_distinct(
         extract_identification(verbatim),
         list(IDENTIFICATION_COLUMNS),
         # The distinct names are read by every step of the search.
-        lambda names: match_taxa(materialize(names), backbone),
+        lambda names: match_taxa(materialize(names), backbone, edits),
         keep=["id", "coreId", "parentId"],
         spread=["id"],
         default={"issues": no_issues()},

@@ -282,3 +282,10 @@ def test_empty_and_null_arrays_come_out_alike(spark, literal_rows):
     df = spark.createDataFrame([(1, ["a"]), (2, []), (3, None)], "i int, a array<string>")
     got = {r["i"]: r["o"] for r in lookup.lookup_values(df, "a", vocab, "t", "o", spread=["i"], literal_rows=literal_rows).collect()}
     assert len(got[1]) == 1 and got[2] == [] and got[3] is None
+
+
+def test_null_keys_are_spread(spark):
+    left = spark.range(900).select(F.col("id").alias("i"), F.when(F.col("id") % 3 == 0, F.col("id") % 5).alias("k"))
+    right = spark.range(5).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    out = joins.spread_null_join(left, right, ["k"], spread=["i"])
+    assert out.count() == 900 and out.where("k is null and v is null").count() == 600 and out.where("v = 2 * k").count() == 300
