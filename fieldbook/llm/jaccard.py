@@ -226,7 +226,8 @@ def near_duplicates(
     every = sketched.join(by_set, "set_key", "left").select(
         F.col("doc").alias("row"), "doc_id", "text_key", F.coalesce("class", "doc").alias("class"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links")
     )
-    names = every.groupBy("class").agg(F.min(F.struct("doc_id", "row")).alias("first"))
+    # Stored, so that a class with very many rows can be split in the join.
+    names = keep(every.groupBy("class").agg(F.min(F.struct("doc_id", "row")).alias("first")), "jaccard-classes")
     return every.join(names, "class").select(
         "row", "doc_id", "text_key", F.col("first.doc_id").alias("class_id"), "n_links", (F.col("row") == F.col("first.row")).alias("is_first")
     )
