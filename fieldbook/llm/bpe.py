@@ -7,6 +7,8 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: White space as the vocabularies' split pattern has it; Python's own ``\s`` has more.
 SPACE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -29,6 +31,12 @@ def byte_chars() -> dict[int, str]:
 
 BYTE_CHARS = byte_chars()
 
+#: Texts that are not cut all at once: white space beside white space, or the mark itself.
+ODD = "[\\t\\n\\x0b\\x0c\\r \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]{2}|\\x00"
+
+#: A letter, after which a full stop, a comma or the like starts another match.
+LETTER = "([A-Za-zÀ-ÖØ-öø-ÿ])"
+
 #: Before a single space between two other characters a match always ends.
 SAFE = re.compile(f"(?<=[^{SPACE}])(?= [^{SPACE}])")
 
@@ -73,34 +81,54 @@ class PieceEncoder:
             ends = np.cumsum([4 * len(e) for e in ids]).tolist()
             self.young.update(zip(part, [flat[a:b] for a, b in zip([0, *ends], ends)]))
 
-    def encode_all(self, texts: list[str], most: int = 1 << 21) -> list[bytes]:
-        """Per text its ids as little-endian unsigned 32-bit integers.  Pieces of about ``most``
-        characters are looked up at a time."""
-        out: list[list[bytes]] = [[] for _ in texts]
-        waiting: list[tuple[int, list[str]]] = []
-        chars = 0
-
-        def look_up() -> None:
-            pieces = set().union(*(p for _, p in waiting))
-            if len(self.young) > self.limit:
-                self.old, self.young = self.young, {}
-            new = pieces - self.young.keys()
-            if new:
-                self._learn(new)
-            known = self.young.__getitem__
-            for k, p in waiting:
-                out[k].append(b"".join(map(known, p)))
-            waiting.clear()
-
-        for k, text in enumerate(texts):
-            for part in slices(text, 1 << 18):
-                waiting.append((k, PIECE.findall(part)))
-                chars += len(part)
-                if chars > most:
-                    look_up()
-                    chars = 0
-        look_up()
-        return [b"".join(parts) for parts in out]
+    def _know(self, pieces: set[str]) -> None:
+        if len(self.young) > self.limit:
+            self.old, self.young = self.young, {}
+        new = pieces - self.young.keys()
+        if new:
+            self._learn(new)
+
+    def encode_text(self, text: str) -> bytes:
+        """The ids of one text as little-endian unsigned 32-bit integers; any text, piece by piece."""
+        out = []
+        for part in slices(text, 1 << 18):
+            pieces = PIECE.findall(part)
+            self._know(set(pieces))
+            out.append(b"".join(map(self.young.__getitem__, pieces)))
+        return b"".join(out)
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """The ids of every text.  Texts in which white space always stands alone are cut before
+        spaces and signs and around line feeds all at once, and each distinct piece is looked up
+        once."""
+        odd = pc.match_substring_regex(texts, ODD)
+        plain = pc.if_else(odd, "", texts)
+        marked = pc.replace_substring(pc.replace_substring(plain, " ", "\0 "), "\n", "\0\n\0")
+        for sign in ".,!":
+            marked = pc.replace_substring_regex(marked, LETTER + re.escape(sign), "\\1\0" + sign)
+        lists = pc.split_pattern(marked, "\0")
+        coded = pc.dictionary_encode(lists.flatten())
+        pieces, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        self._know(set(pieces))
+        ids = list(map(self.young.__getitem__, pieces))
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        n = size[which]
+        start = (np.cumsum(size) - size)[which]
+        before = np.concatenate(([0], np.cumsum(n)))
+        flat = np.frombuffer(b"".join(ids), "<u4")[np.repeat(start - before[:-1], n) + np.arange(before[-1])].tobytes()
+        ends = (4 * before[lists.offsets.to_numpy() - lists.offsets[0].as_py()]).tolist()
+        return [self.encode_text(texts[k].as_py()) if x else flat[a:b] for k, (x, a, b) in enumerate(zip(odd.to_pylist(), ends, ends[1:]))]
+
+
+def parts(batch: pa.RecordBatch, column: int, most: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+    """The batch in parts whose texts have about ``most`` bytes; a longer text is a part alone."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        done = int(size[at - 1]) if at else 0
+        end = max(int(np.searchsorted(size, done + most, "right")), at + 1)
+        yield batch.slice(at, end - at)
+        at = end
 
 
 _encoders: dict[str, PieceEncoder] = {}

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import encoder
+from .bpe import encoder, parts
 from .shared import doc_text, keep
 
 #: Id after every document.
@@ -185,10 +185,9 @@ def encoded(docs: DataFrame, vocabulary: str, size: int, id_col: str = "doc_id",
         own, seen, end = OWN_SEQUENCES + (task << 36), [0] * size, np.array([END], "<u4").tobytes()
         types = [pa.int64()] * 8 + [pa.binary()]
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in parts(batch, 1):
                 rows = []
-                for doc, ids in zip(part.column(0).to_pylist(), enc.encode_all(part.column(1).to_pylist())):
+                for doc, ids in zip(part.column(0).to_pylist(), enc.encode_all(part.column(1))):
                     ids += end
                     n = len(ids) // 4
                     for start in range(0, n, size):

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .bpe import byte_lengths, encoder
+from .bpe import byte_lengths, encoder, parts
 from .shared import doc_text
 
 #: How a token that crosses a section boundary is allotted.
@@ -45,11 +45,10 @@ def section_counts(docs: DataFrame, vocabulary: str, rule: str = FIRST, id_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, size = encoder(vocabulary), byte_lengths(vocabulary)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in parts(batch, 1):
                 texts = part.column(1).to_pylist()
                 cols: list[list[np.ndarray]] = [[] for _ in range(6)]
-                for row, (text, ids) in enumerate(zip(texts, enc.encode_all(texts))):
+                for row, (text, ids) in enumerate(zip(texts, enc.encode_all(part.column(1)))):
                     raw = np.frombuffer(text.encode(), np.uint8)
                     starts = line_sections(raw)
                     chars = np.append(np.cumsum((raw & 0xC0) != 0x80), 0)[starts - 1] if len(raw) else np.zeros(1, np.int64)
