@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 import pytest
 from hypothesis import given, settings
@@ -32,7 +33,8 @@ def tokenizer():
 def test_pieces_give_the_ids_of_the_whole_text(text):
     enc = test_pieces_give_the_ids_of_the_whole_text.__dict__.setdefault("enc", PieceEncoder(VOCABULARY, limit=50))
     want = enc.tokenizer.encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(enc.encode_all([text])[0], "<u4").tolist() == want
+    assert np.frombuffer(enc.encode_text(text), "<u4").tolist() == want
+    assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode_all(pa.array(["a b", text, ""]).slice(1))] == [want, []]
 
 
 @given(st.text(alphabet=st.sampled_from(list("ab. \n'é1")), max_size=80))
