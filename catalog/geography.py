@@ -8,7 +8,7 @@ from catalog.base import Tables, joined, query, vocabulary
 from fieldbook.functions.terms import trimmed
 from fieldbook.operators import continent, country, geocode, lookup
 from fieldbook.operators.checkpoints import materialize
-from fieldbook.operators.joins import dimension_join
+from fieldbook.operators.joins import dimension_join, spread_null_join
 from fieldbook.sources import dims
 
 #: Countries of the fixture: the 25 nations, under codes that the pair list knows where it can.
@@ -229,13 +229,15 @@ _OF_COUNTRY = f"""
 
 
 def country_continents(t: Tables):
-    """One continent per nation, two for every third."""
+    """One continent per nation, two for every third, in a table keyed by codes of three letters."""
     code = nations(t).select("n_nationkey", "n_regionkey", "code")
     name = "CASE r_name WHEN 'MIDDLE EAST' THEN 'EUROPE' WHEN 'AMERICA' THEN 'NORTH_AMERICA' ELSE r_name END"
     r = t.region.selectExpr("r_regionkey", f"{name} AS continent")
     first = code.join(r, F.col("n_regionkey") == F.col("r_regionkey")).select("code", "continent", F.lit(0).alias("pos"))
     second = code.filter("n_nationkey % 3 = 0").join(r, (F.col("n_regionkey") + 1) % 5 == F.col("r_regionkey")).select("code", "continent", F.lit(1).alias("pos"))
-    return dims.country_continents(first.unionByName(second).withColumnRenamed("code", "country"))
+    three = F.concat("code", F.lit("X"))
+    aliases = code.select(three.alias("iso3"), F.col("code").alias("iso2"))
+    return dims.country_continents(first.unionByName(second).withColumn("country", three).drop("code"), aliases)
 
 
 @query(
@@ -270,7 +272,7 @@ def continents(t: Tables):
     e = lookup.lookup_enum(e, trimmed(F.col("txt")), vocabulary(t.spark), "continent", "parsed")
     grid = cells(t).filter("type = 'Continent'")
     here = geocode.geocode_lists(geocode.reverse_geocode(e.select("lat", "lng"), grid, buffer=_BUFFER)).select("lat", "lng", F.col("continents").alias("found"))
-    e = e.join(here, ["lat", "lng"], "left")
+    e = spread_null_join(e, here, ["lat", "lng"], spread=["event_id"])
     r = continent.resolve_continent(F.col("txt"), F.col("parsed"), F.col("continents"), F.col("country"), F.col("lat").isNotNull(), F.col("found"))
     e = e.select("event_id", r.alias("r"))
     return e.select("event_id", F.col("r.value").alias("continent"), joined(F.col("r.issues")).alias("issues"))
