@@ -85,6 +85,20 @@ def valid_and_rejected(t: Tables):
     )
 
 
+@query(
+    "repeated_ids",
+    """
+    WITH r AS (SELECT cast(l_orderkey AS varchar) AS id, l_linenumber AS line FROM lineitem WHERE l_linenumber IS NOT NULL),
+    n AS (SELECT id, count(*) AS n FROM r GROUP BY 1)
+    SELECT id, line, CASE WHEN n > 1 THEN 'ID_REPEATED' END AS reason FROM r JOIN n USING (id)
+    """,
+)
+def repeated_ids(t: Tables):
+    rows = t.lineitem.select(F.col("l_orderkey").cast("string").alias("id"), F.col("l_linenumber").alias("line"))
+    once, repeated = records.split_repeated(rows)
+    return once.withColumn("reason", F.lit(None).cast("string")).unionByName(repeated)
+
+
 # --- P5, B9, B10, A7 -----------------------------------------------------------------------------------
 
 

@@ -30,6 +30,13 @@ def split_valid(df: DataFrame, terms: str = "coreTerms") -> tuple[DataFrame, Dat
     return df.filter(_valid(terms)), df.filter(~_valid(terms)).withColumn("reason", reason)
 
 
+def split_repeated(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Records whose id occurs once, and all records of the other ids with the reason.  Ids are
+    counted before the shuffle, so one that is repeated very often is no hot key."""
+    twice = df.groupBy("id").count().filter("count > 1").select("id")
+    return df.join(twice, "id", "left_anti"), df.join(twice, "id", "left_semi").withColumn("reason", F.lit("ID_REPEATED"))
+
+
 def skip_when(df: DataFrame, *predicates: Column) -> DataFrame:
     """Drop the rows for which all of the predicates hold."""
     every = reduce(lambda a, b: a & b, [F.coalesce(p, F.lit(False)) for p in predicates])
@@ -41,9 +48,10 @@ def carry_ids() -> list[Column]:
     return [F.col("id"), F.col("coreId"), term("parentEventID").alias("parentId")]
 
 
-def extract_location(df: DataFrame, *more: str, terms: str = "coreTerms") -> DataFrame:
-    """All location terms (and ``more``), untrimmed, as columns behind the ids."""
-    return df.select(*carry_ids(), *[raw_term(t, terms).alias(t) for t in (*LOCATION_TERMS, *more)])
+def extract_location(df: DataFrame, *more: str, terms: str = "coreTerms", keep: tuple[str, ...] = ()) -> DataFrame:
+    """All location terms (and ``more``), untrimmed, as columns behind the ids; ``keep`` are columns
+    of the table to carry along."""
+    return df.select(*carry_ids(), *[raw_term(t, terms).alias(t) for t in (*LOCATION_TERMS, *more)], *keep)
 
 
 def location_terms_map(cols=LOCATION_TERMS) -> Column:

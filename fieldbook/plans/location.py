@@ -50,7 +50,9 @@ class LocationDims:
     ``aliases``: spellings of countries (alias, iso2, title, region).  ``pairs``: confused
     countries.  ``continents``: iso2 ``country`` and its ``continents``.  ``vocabulary``: with the
     continent spellings under ``continent``.  ``cells``: regions cut by ``region_cells``.
-    ``centroids``: ``lat, lng``.  ``publishing_country``: that of the dataset."""
+    ``centroids``: ``lat, lng``.  ``publishing_country``: where nothing else names one.
+    ``datasets``: ``datasetKey, publishingCountry``, for records with a column ``datasetKey`` that
+    name no publishing country themselves."""
 
     aliases: DataFrame
     pairs: DataFrame
@@ -59,6 +61,7 @@ class LocationDims:
     cells: DataFrame
     centroids: DataFrame
     publishing_country: str | None = None
+    datasets: DataFrame | None = None
     width: int = WIDTH
     height: int = HEIGHT
     buffer: float = 0.0
@@ -176,7 +179,13 @@ def resolve_locations(keys: DataFrame, dims: LocationDims) -> DataFrame:
 
 def location_view(verbatim: DataFrame, dims: LocationDims, run_ts: datetime, **skew) -> DataFrame:
     """One row per record."""
-    places = extract_location(verbatim, "publishingCountry")
+    if dims.datasets is None:
+        places = extract_location(verbatim, "publishingCountry")
+    else:
+        published = dims.datasets.groupBy("datasetKey").agg(F.min("publishingCountry").alias("_published"))
+        places = extract_location(verbatim, "publishingCountry", keep=("datasetKey",))
+        places = dimension_join(places, published, ["datasetKey"])
+        places = places.withColumn("publishingCountry", F.coalesce("publishingCountry", "_published")).drop("datasetKey", "_published")
     found = enrich_distinct(
         places,
         [*LOCATION_TERMS, "publishingCountry"],

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook.functions.issues import union_issues
+from fieldbook.operators.checkpoints import materialize
+from fieldbook.operators.records import split_repeated, split_valid
 from fieldbook.operators.taxonomy import MAX_EDITS
 from fieldbook.plans.basic import basic_view
 from fieldbook.plans.location import LocationDims, location_view
@@ -39,11 +41,17 @@ def interpret(
     run_ts: datetime,
     edits: int = MAX_EDITS,
     **temporal_options,
-) -> dict[str, DataFrame]:
-    """The four views by name, ready for ``write_views``."""
-    return {
+) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
+    """The four views by name, ready for ``write_views``; the records they are made of; and the
+    rejects: records without an id or core terms, and all records of an id that is not unique,
+    with the reason."""
+    valid, bad = split_valid(verbatim)
+    once, repeated = split_repeated(valid)
+    verbatim = materialize(once)
+    views = {
         "basic": basic_view(verbatim, vocabulary, run_ts),
         "taxon": taxon_view(verbatim, backbone, run_ts, edits),
         "location": location_view(verbatim, dims, run_ts),
         "temporal": temporal_view(verbatim, run_ts, **temporal_options),
     }
+    return views, verbatim, bad.unionByName(repeated)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fieldbook.functions import geo
 from fieldbook.operators import country, enrich, geocode, identification, joins, lineage, lookup, records, taxonomy
+from fieldbook import schema
 from fieldbook.plans import prepare_session
 from fieldbook.schema import DWC_NS, VOCABULARY, uri
 from fieldbook.sources import dims, verbatim
@@ -289,3 +290,39 @@ def test_null_keys_are_spread(spark):
     right = spark.range(5).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     out = joins.spread_null_join(left, right, ["k"], spread=["i"])
     assert out.count() == 900 and out.where("k is null and v is null").count() == 600 and out.where("v = 2 * k").count() == 300
+
+
+def test_interpret_rejects_and_publishing_country(spark):
+    """Repeated ids do not multiply rows, and the country of a dataset is that of its records."""
+    from datetime import datetime, timezone
+
+    from pyspark.sql import types as T
+
+    from fieldbook.plans.location import LocationDims, location_view
+    from fieldbook.schema import VERBATIM
+
+    def record(i, terms=None):
+        return (i, None, DWC_NS + "Occurrence", {uri(k): v for k, v in (terms or {"country": "Chad"}).items()}, None)
+
+    rows = spark.createDataFrame([record("1"), record("2"), record("2"), record(""), ("3", None, None, {}, None)], VERBATIM)
+    valid, bad = records.split_valid(rows)
+    once, twice = records.split_repeated(valid)
+    assert [r["id"] for r in once.collect()] == ["1"]
+    assert sorted(r["reason"] for r in bad.unionByName(twice).collect()) == ["CORE_TERMS_MISSING", "ID_MISSING", "ID_REPEATED", "ID_REPEATED"]
+
+    cells = geocode.region_cells(spark.createDataFrame([], schema.REGION))
+    aliases = [("Chad", "TD", "TCD", "Chad", "AFRICA"), ("Mali", "ML", "MLI", "Mali", "AFRICA"), ("ML", "ML", "MLI", "Mali", "AFRICA")]
+    where = LocationDims(
+        aliases=spark.createDataFrame(aliases, "alias string, iso2 string, iso3 string, title string, region string"),
+        pairs=dims.load_country_pairs(spark),
+        continents=spark.createDataFrame([("TD", ["AFRICA"])], "country string, continents array<string>"),
+        vocabulary=lookup.prepare_vocabulary(spark.createDataFrame([], VOCABULARY)),
+        cells=cells,
+        centroids=spark.createDataFrame([], "lat double, lng double"),
+        datasets=spark.createDataFrame([("a", "ML"), ("b", "Chad")], "datasetKey string, publishingCountry string"),
+    )
+    fields = T.StructType([*VERBATIM.fields, T.StructField("datasetKey", T.StringType())])
+    named = record("3", {"country": "Chad", "publishingCountry": "Mali"})
+    keyed = spark.createDataFrame([(*record("1"), "a"), (*record("2"), "b"), (*named, "b")], fields)
+    view = location_view(keyed, where, datetime(2025, 1, 1, tzinfo=timezone.utc))
+    assert {r["id"]: r["publishingCountry"] for r in view.collect()} == {"1": "ML", "2": "TD", "3": "ML"}
