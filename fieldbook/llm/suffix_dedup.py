@@ -259,10 +259,13 @@ def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
     they may overlap, and together they are all such windows."""
     runs = keep(sampled(texts, length), "suffix-runs")
     alike = runs.where("seed is not null").groupBy("seed").agg(F.sum("n").alias("total"), F.min("run").alias("low"), F.max("run").alias("high")).where("total > 1")
-    some = keep(runs.join(alike.select("seed", (F.col("low") != F.col("high")).alias("mixed")), "seed"), "suffix-candidates")
+    # Stored, like ``whole``, so that a seed with very many rows can be split in the join.
+    alike = keep(alike.select("seed", (F.col("low") != F.col("high")).alias("mixed")), "suffix-seeds")
+    some = keep(runs.join(alike, "seed"), "suffix-candidates")
 
     # Runs that occur as a whole more than once are settled; one of each stands for all.
     whole = some.groupBy("seed", "run").agg(F.sum("n").alias("n"), F.min(F.struct("doc_id", "text_key", "place")).alias("at"), F.first("mixed").alias("mixed"))
+    whole = keep(whole, "suffix-whole")
     settled = some.join(whole.where("n > 1").select("seed", "run"), ["seed", "run"])
     first, more = F.shiftright("place", 20), F.shiftright("place", 10).bitwiseAND(1023)
     spans = settled.select("doc_id", "text_key", first.alias("start"), (more + length).alias("size"))
