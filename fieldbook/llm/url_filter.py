@@ -37,7 +37,7 @@ def matching_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> C
         return ((host == rule[:at]) | host.endswith("." + rule[:at])) & path.startswith(rule[at:])
 
     ordered = sorted(rules, key=lambda r: -len(r[1]))
-    return reduce(lambda acc, r: acc.when(fits(r[1]), F.struct(F.lit(r[1]).alias("rule"), F.lit(r[0]).alias("verdict"))), ordered, F.when(F.lit(False), F.lit(None)))
+    return reduce(lambda acc, r: acc.when(fits(r[1]), F.struct(F.lit(r[1]).alias("rule"), F.lit(r[0]).alias("verdict"))), ordered, F.when(F.lit(False), F.lit(None).cast("struct<rule:string,verdict:string>")))
 
 
 def features(host: str, path: str, bits: int) -> np.ndarray:
