@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .shared import columns_as, keep, ship
 
 #: Classes, and leaves of a class.
-WAYS = 32
+WAYS = 24
 
 #: Feature templates; rows of a weight table for each, twice (classes and leaves).
 FEATURES, ROW_BITS = 3, 15
@@ -32,7 +32,7 @@ ROWS = 1 << ROW_BITS
 HEAD = 1 << 16
 
 #: Tokens of a gradient update.
-BATCH = 1 << 14
+BATCH = 1 << 13
 
 #: Rows of the weight tables that are averaged as one value.
 SHEET = 256
@@ -133,11 +133,6 @@ def rows_at(h: np.ndarray, cls: np.ndarray | None) -> np.ndarray:
     return (h >> np.uint64(64 - ROW_BITS)).astype(np.uint16)
 
 
-def log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
-
-
 class Model:
     """Weights ``w`` (2, features, rows, ways) and the log shares of classes and leaves."""
 
@@ -147,38 +142,44 @@ class Model:
         self.classes = np.log(share.sum(axis=1)).astype(np.float32)
         self.leaves = np.log(share / share.sum(axis=1, keepdims=True)).astype(np.float32)
 
-    def steps(self, h: np.ndarray, leaf: np.ndarray):
-        """Both softmax steps: rows, log probabilities and the right answers."""
+    def steps(self, h: np.ndarray, leaf: np.ndarray) -> Iterator[tuple[int, list[np.ndarray], np.ndarray, np.ndarray]]:
+        """Both softmax steps: the level, rows of the tables, logits and the right answers."""
         cls = leaf // WAYS
-        for level, (bias, known, right) in enumerate(((self.classes[None, :], None, cls), (self.leaves[cls], cls, leaf % WAYS))):
+        for level, known, right in ((0, None, cls), (1, cls, leaf % WAYS)):
             rows = [rows_at(h[f], known) for f in range(FEATURES)]
-            z = bias + self.w[level, 0][rows[0]]
+            z = np.take(self.w[level, 0], rows[0], axis=0)
             for f in range(1, FEATURES):
-                z += self.w[level, f][rows[f]]
-            yield level, rows, log_softmax(z), right
+                z += np.take(self.w[level, f], rows[f], axis=0)
+            z += self.classes if known is None else np.take(self.leaves, cls, axis=0)
+            z -= z.max(axis=1, keepdims=True)
+            yield level, rows, z, right
 
     def log_leaf(self, h: np.ndarray, leaf: np.ndarray) -> np.ndarray:
         out = np.zeros(len(leaf))
         for at in range(0, len(leaf), BATCH):
             part = slice(at, at + BATCH)
-            for _, _, logp, right in self.steps(h[:, part], leaf[part]):
-                out[part] += logp[np.arange(len(right)), right]
+            for _, _, z, right in self.steps(h[:, part], leaf[part]):
+                out[part] += z[np.arange(len(right)), right]
+                out[part] -= np.log(np.exp(z, out=z).sum(axis=1))
         return out
 
     def update(self, h: np.ndarray, leaf: np.ndarray, square: np.ndarray, used: np.ndarray, rate: float) -> None:
         """One gradient update; the step of a row shrinks with the gradients it has seen."""
-        for level, rows, logp, right in self.steps(h, leaf):
-            slope = np.exp(logp)
+        for level, rows, z, right in self.steps(h, leaf):
+            slope = np.exp(z, out=z)
+            slope /= slope.sum(axis=1, keepdims=True)
             slope[np.arange(len(right)), right] -= 1
             for f in range(FEATURES):
                 order = np.argsort(rows[f], kind="stable")
                 sorted_rows = rows[f][order]
                 starts = np.flatnonzero(np.concatenate(([True], sorted_rows[1:] != sorted_rows[:-1])))
                 row = sorted_rows[starts]
-                total = np.add.reduceat(slope[order], starts, axis=0)
-                square[level, f, row] += (total * total).sum(axis=1)
-                used[level, f, row] += np.diff(np.append(starts, len(order)))
-                self.w[level, f, row] -= rate * total / np.sqrt(square[level, f, row] + 1)[:, None]
+                total = np.add.reduceat(np.take(slope, order, axis=0), starts, axis=0)
+                seen = square[level, f]
+                seen[row] += np.einsum("ij,ij->i", total, total)
+                used[level, f][row] += np.diff(np.append(starts, len(order)))
+                total *= (rate / np.sqrt(seen[row] + 1))[:, None]
+                self.w[level, f][row] -= total
 
 
 def train(texts: DataFrame, shared, rounds: int, rate: float, partitions_per_shard: int) -> np.ndarray:
@@ -211,7 +212,7 @@ def train(texts: DataFrame, shared, rounds: int, rate: float, partitions_per_sha
                 for text in batch.column(0).to_pylist():
                     waiting.append(tokens.of(words_of(text))[0])
                     n += len(waiting[-1])
-                    if n >= 4 * BATCH:
+                    if n >= 8 * BATCH:
                         learn()
                         n = 0
             if waiting:
