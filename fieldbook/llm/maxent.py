@@ -1,9 +1,11 @@
 """Scoring of texts by a hashed maximum-entropy language model (operator 1).
 
-The next token is predicted in two softmax steps, the class and the leaf within the class, from
-hashed features: the word before, the word before that (a skip), and both.  Within a leaf words
-have add-one shares of the leaf's count.  Weights are trained by rounds of gradient updates in
-parallel shards, whose results are averaged."""
+The next token is predicted in three softmax steps, the class, the leaf within the class and the
+word within the leaf, from hashed features: the word before, the word before that (a skip), and
+both.  One of a leaf's words stands for all that are not in the head of the vocabulary; these have
+add-one shares of its count.  The number of classes and leaves follows the number of words, the
+number of weights that of pairs.  Weights are trained by rounds of gradient updates in parallel
+shards, whose results are averaged."""
 
 from __future__ import annotations
 
@@ -11,7 +13,8 @@ from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
-from math import ceil
+from math import ceil, log2
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -21,15 +24,23 @@ from pyspark.sql import functions as F
 
 from .shared import columns_as, keep, ship
 
-#: Classes, and leaves of a class.
-WAYS = 24
+#: Classes, leaves of a class and words of a leaf: so many at least, more for more words.
+WAYS = 32
 
-#: Feature templates; rows of a weight table for each, twice (classes and leaves).
+#: Softmax steps: class, leaf, word.
+LEVELS = 3
+
+#: Feature templates; rows of a weight table for each and each step: so many at least, more for
+#: more distinct pairs of words.
 FEATURES, ROW_BITS = 3, 15
 ROWS = 1 << ROW_BITS
 
-#: Words that are known to every task; all others are looked up by a join.
-HEAD = 1 << 16
+#: Words that are known to every task, and weights, at most: a task has both in memory.  Counts of
+#: all other words are looked up by a join.
+HEAD, WEIGHTS = 1 << 18, 40_000_000
+
+#: One in so many distinct pairs is counted.
+PAIRS = 256
 
 #: Tokens of a gradient update.
 BATCH = 1 << 13
@@ -43,21 +54,53 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
+def ways_for(words: int) -> int:
+    """Ways of a step, so that every leaf has room for its share of the words and one more."""
+    ways = WAYS
+    while ways * ways * (ways - 1) < words:
+        ways += 1
+    return ways
+
+
+def head_of(counts: DataFrame) -> list[tuple[str, int]]:
+    """All words with at least the smallest count that not more than ``HEAD`` words have, the most
+    frequent first.  The driver sees these, and a row for each different count."""
+    room, least = HEAD, None
+    for r in sorted(counts.groupBy("n").agg(F.count("*").alias("words")).collect(), reverse=True):
+        room -= r["words"]
+        if room < 0:
+            break
+        least = r["n"]
+    if least is None:
+        return []
+    head = counts.where(F.col("n") >= least).toArrow().sort_by([("n", "descending"), ("word", "ascending")])
+    return list(zip(*(c.to_pylist() for c in head.columns)))
+
+
+def row_bits_for(pairs: int, ways: int) -> int:
+    """Rows of a weight table, as a power of two: one for each distinct pair, as far as ``WEIGHTS``
+    allows."""
+    most = int(log2(WEIGHTS / (LEVELS * FEATURES * ways)))
+    return max(min(ceil(log2(max(pairs, 1))), most), ROW_BITS)
+
+
 class Words:
     """The head of the vocabulary, and the leaf of any word.  Leaves are ranges of the words in
     the order of their reversed bytes, so words with like endings share one; they have about the
-    same count.  Token 0 is the end of a text, written as the empty word."""
+    same number of words.  ``slot``: place of the word in its leaf, from 1; 0 is for all words that
+    are not in the head.  Token 0 is the end of a text, written as the empty word."""
 
-    def __init__(self, head: list[tuple[str, int]], ends: int):
+    def __init__(self, head: list[tuple[str, int]], ends: int, ways: int | None = None):
         items = [(b"", ends)] + [(w.encode(), n) for w, n in head]
+        self.ways = ways or ways_for(len(items))
         self.ids = {w: k for k, (w, _) in enumerate(items)}
         self.counts = np.array([n for _, n in items], np.int64)
         order = sorted(range(len(items)), key=lambda k: items[k][0][::-1])
-        mass = np.cumsum(self.counts[order]) - self.counts[order]
-        leaf = np.minimum(mass * WAYS * WAYS // max(int(self.counts.sum()), 1), WAYS * WAYS - 1)
-        self.leaf = np.zeros(len(items), np.int64)
-        self.leaf[order] = leaf
+        leaf = np.arange(len(items)) * self.ways**2 // len(items)
         new = np.flatnonzero(np.diff(leaf)) + 1
+        self.leaf, self.slot = np.zeros(len(items), np.int64), np.zeros(len(items), np.int64)
+        self.leaf[order] = leaf
+        self.slot[order] = np.arange(len(items)) - np.searchsorted(leaf, leaf) + 1
         self.bounds = [items[order[k]][0][::-1] for k in new]
         self.bound_leaves = [int(leaf[0]), *leaf[new].tolist()]
 
@@ -70,51 +113,65 @@ def is_held_out(doc_id: Column) -> Column:
 
 
 def counted(texts: DataFrame) -> DataFrame:
-    """``word, n`` over all rows of ``text``; counted in tasks before the shuffle."""
+    """``word, n`` over all rows of ``text``, and without ``word`` the hashes of one in ``PAIRS``
+    distinct pairs of neighbours (``pair``); counted in tasks before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
+        pairs: set = set()
 
         def out() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays([pa.array([w.decode() for w in seen], pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+            words = [pa.array([w.decode() for w in seen], pa.string()), pa.nulls(len(pairs), pa.string())]
+            hashes = [pa.nulls(len(seen), pa.int64()), pa.array(list(pairs), pa.int64())]
+            n = pa.array([*seen.values(), *[1] * len(pairs)], pa.int64())
             seen.clear()
-            return batch
+            pairs.clear()
+            return pa.RecordBatch.from_arrays([pa.concat_arrays(words), pa.concat_arrays(hashes), n], ["word", "pair", "n"])
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                seen.update(words_of(text))
-                if len(seen) > 500_000:
+                words = words_of(text)
+                seen.update(words)
+                own = np.fromiter(map(crc32, words), np.uint64, len(words))
+                both = (own[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (own[1:] * np.uint64(0xC2B2AE3D27D4EB4F))
+                both = (both ^ (both >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+                pairs.update(both[(both >> np.uint64(40)) % np.uint64(PAIRS) == 0].view(np.int64).tolist())
+                if len(seen) + len(pairs) > 500_000:
                     yield out()
         yield out()
 
-    return texts.select("text").mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return texts.select("text").mapInArrow(run, "word string, pair bigint, n bigint").groupBy("word", "pair").agg(F.sum("n").alias("n"))
 
 
 class Tokens:
     """Texts as numbers: head words by their number, others by their leaf beyond the head."""
 
     def __init__(self, words: Words):
-        self.words, self.leaves = words, {}
-        self.leaf = np.concatenate((words.leaf, np.arange(WAYS * WAYS)))
+        self.words, self.others = words, {}
+        leaves = words.ways**2
+        self.leaf = np.concatenate((words.leaf, np.arange(leaves)))
+        self.slot = np.concatenate((words.slot, np.zeros(leaves, np.int64)))
         self.head = len(words.leaf)
 
-    def of(self, words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
-        """The numbers, with the end, and the words that are not in the head."""
+    def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """The numbers, with the end; the numbers as context, where words that are not in the head
+        stand for themselves; and these words."""
         ids = np.fromiter(map(self.words.ids.get, words, repeat(-1)), np.int64, len(words))
-        rare = np.flatnonzero(ids < 0).tolist()
+        ids = np.append(ids, 0)
+        context, rare = ids.copy(), np.flatnonzero(ids < 0).tolist()
         others = [words[k] for k in rare]
         for k, w in zip(rare, others):
-            leaf = self.leaves.get(w)
-            if leaf is None:
-                if len(self.leaves) > 200_000:
-                    self.leaves.clear()
-                leaf = self.leaves[w] = self.words.leaf_of(w)
-            ids[k] = self.head + leaf
-        return np.append(ids, 0), others
+            known = self.others.get(w)
+            if known is None:
+                if len(self.others) > 200_000:
+                    self.others.clear()
+                known = self.others[w] = self.head + self.words.leaf_of(w), (1 << 32) + crc32(w)
+            ids[k], context[k] = known
+        return ids, context, others
 
 
 def feature_rows(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Per feature and token a 64-bit hash.  ``first``: where texts begin; there is an end before
+    """Per feature and token a 64-bit hash of the tokens before.  ``first``: where texts begin; there is an end before
     each, twice."""
     one = np.concatenate(([0], ids[:-1]))
     one[first] = 0
@@ -126,46 +183,58 @@ def feature_rows(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
     return h * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def rows_at(h: np.ndarray, cls: np.ndarray | None) -> np.ndarray:
-    """Rows of the weight tables; those for leaves also depend on the class."""
-    if cls is not None:
-        h = (h ^ ((cls + 1).astype(np.uint64) * np.uint64(0x94D049BB133111EB))) * np.uint64(0x9E3779B97F4A7C15)
-    return (h >> np.uint64(64 - ROW_BITS)).astype(np.uint16)
+def rows_at(h: np.ndarray, known: np.ndarray | None, bits: int) -> np.ndarray:
+    """Rows of the weight tables; after the first step they also depend on what is ``known``."""
+    if known is not None:
+        h = (h ^ ((known + 1).astype(np.uint64) * np.uint64(0x94D049BB133111EB))) * np.uint64(0x9E3779B97F4A7C15)
+    return (h >> np.uint64(64 - bits)).astype(np.uint16 if bits <= 16 else np.uint32)
 
 
 class Model:
-    """Weights ``w`` (2, features, rows, ways) and the log shares of classes and leaves."""
+    """Weights ``w`` (steps, features, rows, ways) and the log shares of classes, of leaves and,
+    from ``mass`` (leaves, ways) of the third step, of words."""
 
     def __init__(self, w: np.ndarray, mass: np.ndarray):
-        self.w = w
-        share = np.maximum(mass.reshape(WAYS, WAYS), 1e-9)
+        self.w, ways = w, w.shape[3]
+        self.bits, self.ways = w.shape[2].bit_length() - 1, ways
+        if mass.ndim > 1:
+            slots, mass = mass, mass.sum(axis=1)
+            with np.errstate(divide="ignore"):
+                # No word there: no probability.
+                self.slots = np.maximum(np.log(slots) - np.log(np.maximum(mass, 1))[:, None], -1e4).astype(np.float32)
+        share = np.maximum(mass.reshape(ways, ways), 1e-9)
         self.classes = np.log(share.sum(axis=1)).astype(np.float32)
         self.leaves = np.log(share / share.sum(axis=1, keepdims=True)).astype(np.float32)
 
-    def steps(self, h: np.ndarray, leaf: np.ndarray) -> Iterator[tuple[int, list[np.ndarray], np.ndarray, np.ndarray]]:
-        """Both softmax steps: the level, rows of the tables, logits and the right answers."""
-        cls = leaf // WAYS
-        for level, known, right in ((0, None, cls), (1, cls, leaf % WAYS)):
-            rows = [rows_at(h[f], known) for f in range(FEATURES)]
+    def steps(self, h: np.ndarray, leaf: np.ndarray, slot: np.ndarray | None = None) -> Iterator[tuple[int, list[np.ndarray], np.ndarray, np.ndarray]]:
+        """The softmax steps: the level, rows of the tables, logits and the right answers.  The
+        third is taken where ``slot`` is given."""
+        cls = leaf // self.ways
+        levels = [(None, self.classes, cls), (cls, self.leaves, leaf % self.ways)]
+        if slot is not None:
+            levels.append((leaf, self.slots, slot))
+        for level, (known, shares, right) in enumerate(levels):
+            rows = [rows_at(h[f], known, self.bits) for f in range(FEATURES)]
             z = np.take(self.w[level, 0], rows[0], axis=0)
             for f in range(1, FEATURES):
                 z += np.take(self.w[level, f], rows[f], axis=0)
-            z += self.classes if known is None else np.take(self.leaves, cls, axis=0)
+            z += shares if known is None else np.take(shares, known, axis=0)
             z -= z.max(axis=1, keepdims=True)
             yield level, rows, z, right
 
-    def log_leaf(self, h: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+    def log_leaf(self, h: np.ndarray, leaf: np.ndarray, slot: np.ndarray | None = None) -> np.ndarray:
+        """Log probability of the leaf, and of the place in it if that is given."""
         out = np.zeros(len(leaf))
         for at in range(0, len(leaf), BATCH):
             part = slice(at, at + BATCH)
-            for _, _, z, right in self.steps(h[:, part], leaf[part]):
+            for _, _, z, right in self.steps(h[:, part], leaf[part], None if slot is None else slot[part]):
                 out[part] += z[np.arange(len(right)), right]
                 out[part] -= np.log(np.exp(z, out=z).sum(axis=1))
         return out
 
-    def update(self, h: np.ndarray, leaf: np.ndarray, square: np.ndarray, used: np.ndarray, rate: float) -> None:
+    def update(self, h: np.ndarray, leaf: np.ndarray, slot: np.ndarray, square: np.ndarray, used: np.ndarray, rate: float) -> None:
         """One gradient update; the step of a row shrinks with the gradients it has seen."""
-        for level, rows, z, right in self.steps(h, leaf):
+        for level, rows, z, right in self.steps(h, leaf, slot):
             slope = np.exp(z, out=z)
             slope /= slope.sum(axis=1, keepdims=True)
             slope[np.arange(len(right)), right] -= 1
@@ -182,42 +251,44 @@ class Model:
                 self.w[level, f][row] -= total
 
 
-def train(texts: DataFrame, shared, rounds: int, rate: float, partitions_per_shard: int) -> np.ndarray:
-    """Weights after one pass over the texts, in ``rounds`` parts.  In each, every shard goes on
+def train(texts: DataFrame, shared, bits: int, rounds: int, rate: float, partitions_per_shard: int) -> np.ndarray:
+    """Weights (half precision, with ``2 ** bits`` rows in a table) after one pass over the texts, in ``rounds`` parts.  In each, every shard goes on
     from the common weights over its texts of that part; then the rows of the tables are averaged,
     each weighted by how many tokens of the shard used it.  A shard is a few input partitions, so
     what is averaged grows with the input."""
     spark = texts.sparkSession
-    w = np.zeros((2, FEATURES, ROWS, WAYS), np.float32)
-    sheets = w.size // (SHEET * WAYS)
+    ways, tables = shared.value[0].ways, (LEVELS, FEATURES, 1 << bits)
+    w = np.zeros((*tables, ways), np.float16)
+    sheets = w.size // (SHEET * ways)
     shards = max(ceil(texts.rdd.getNumPartitions() / partitions_per_shard), 1)
     for r in range(rounds):
         before = spark.sparkContext.broadcast(w)
 
         def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words, mass = shared.value
-            tokens, model = Tokens(words), Model(before.value.copy(), mass)
-            square, used = np.zeros((2, FEATURES, ROWS), np.float32), np.zeros((2, FEATURES, ROWS), np.float32)
+            tokens, model = Tokens(words), Model(before.value.astype(np.float32), mass)
+            square, used = np.zeros(tables, np.float32), np.zeros(tables, np.float32)
             waiting, n = [], 0
 
             def learn() -> None:
-                ids = np.concatenate(waiting)
-                first = np.cumsum([0, *map(len, waiting[:-1])])
-                h, leaf = feature_rows(ids, first), tokens.leaf[ids]
+                ids, context = (np.concatenate(x) for x in zip(*waiting))
+                first = np.cumsum([0, *(len(x) for x, _ in waiting[:-1])])
+                h, leaf, slot = feature_rows(context, first), tokens.leaf[ids], tokens.slot[ids]
                 for at in range(0, len(ids), BATCH):
-                    model.update(h[:, at : at + BATCH], leaf[at : at + BATCH], square, used, rate)
+                    part = slice(at, at + BATCH)
+                    model.update(h[:, part], leaf[part], slot[part], square, used, rate)
                 waiting.clear()
 
             for batch in batches:
                 for text in batch.column(0).to_pylist():
-                    waiting.append(tokens.of(words_of(text))[0])
-                    n += len(waiting[-1])
+                    waiting.append(tokens.of(words_of(text))[:2])
+                    n += len(waiting[-1][0])
                     if n >= 8 * BATCH:
                         learn()
                         n = 0
             if waiting:
                 learn()
-            flat, counts = model.w.reshape(sheets, SHEET * WAYS), used.reshape(sheets, SHEET)
+            flat, counts = model.w.reshape(sheets, SHEET * ways), used.reshape(sheets, SHEET)
             for at in range(0, sheets, 64):
                 k = [j for j in range(at, at + 64) if counts[j].any()]
                 yield pa.RecordBatch.from_arrays(
@@ -226,21 +297,21 @@ def train(texts: DataFrame, shared, rounds: int, rate: float, partitions_per_sha
                 )
 
         def average(sheet: pd.DataFrame) -> pd.DataFrame:
-            total, n = np.zeros((SHEET, WAYS), np.float32), np.zeros(SHEET, np.float32)
+            total, n = np.zeros((SHEET, ways), np.float32), np.zeros(SHEET, np.float32)
             for weights, used in zip(sheet["w"], sheet["used"]):
                 u = np.frombuffer(used, np.float32)
-                total += np.frombuffer(weights, np.float16).astype(np.float32).reshape(SHEET, WAYS) * u[:, None]
+                total += np.frombuffer(weights, np.float16).astype(np.float32).reshape(SHEET, ways) * u[:, None]
                 n += u
-            return pd.DataFrame({"sheet": sheet["sheet"].iloc[:1], "w": [(total / np.maximum(n, 1)[:, None]).tobytes()], "used": [n.tobytes()]})
+            return pd.DataFrame({"sheet": sheet["sheet"].iloc[:1], "w": [(total / np.maximum(n, 1)[:, None]).astype(np.float16).tobytes()], "used": [n.tobytes()]})
 
         schema = "sheet int, w binary, used binary"
         part = texts.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == r).select("text").coalesce(shards)
-        w = w.copy()
-        flat = w.reshape(sheets, SHEET, WAYS)
-        # As many rows as the tables have sheets, whatever the input.
-        for row in part.mapInArrow(shard, schema).groupBy("sheet").applyInPandas(average, schema).collect():
+        averaged = keep(part.mapInArrow(shard, schema).groupBy("sheet").applyInPandas(average, schema), "maxent-weights")
+        flat = w.reshape(sheets, SHEET, ways)
+        # As many rows as the tables have sheets, whatever the input; never all at once.
+        for row in averaged.toLocalIterator():
             touched = np.frombuffer(row["used"], np.float32) > 0
-            flat[row["sheet"]][touched] = np.frombuffer(row["w"], np.float32).reshape(SHEET, WAYS)[touched]
+            flat[row["sheet"]][touched] = np.frombuffer(row["w"], np.float16).reshape(SHEET, ways)[touched]
         before.unpersist()
     return w
 
@@ -252,10 +323,11 @@ def score_texts(
 
     Learns from the rows that are not held out and scores all, whole: ``score`` is the model's
     log10 probability of the text with its end, ``base_score`` that of an add-one unigram model.
-    All counts are exact and over all training texts.  The ``HEAD`` most frequent words are sent
-    to all tasks; the counts of other words reach the texts by a join, a row for each text and
-    word, so no word is frequent there.  The tail's words differ from text to text, and each leaf
-    keeps one share for unknown words, so that probabilities add up to 1.
+    All counts are exact and over all training texts.  All words, or the most frequent
+    ones up to ``HEAD``, are sent to all tasks; the counts of other words reach the texts by a join, a row for
+    each text and word, so no word is frequent there.  Head words are predicted one by one; the
+    others of a leaf as one, of which each has its share, and each leaf keeps one share for unknown
+    words, so that probabilities add up to 1.  As context every word counts for itself.
 
     Null texts count as empty and have just their end; a null id is not held out; null and
     repeated ids are kept row by row.  Without any training text every count is 0 and a token has
@@ -266,44 +338,46 @@ def score_texts(
     base = base.withColumn("held_out", held_out(F.col("doc_id")))
     training = base.where(~F.col("held_out"))
 
-    counts = keep(counted(training), "maxent-counts")
+    table = keep(counted(training), "maxent-counts")
+    counts = table.where(F.col("word").isNotNull()).select("word", "n")
     ends = training.count()
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     total, distinct = total + ends, distinct + (ends > 0)
-    words = Words([(r["word"], r["n"]) for r in counts.orderBy(F.desc("n"), "word").limit(HEAD).collect()], ends)
+    words = Words(head_of(counts), ends)
+    bits = row_bits_for(table.where(F.col("word").isNull()).count() * PAIRS, words.ways)
     first = spark.sparkContext.broadcast(words)
 
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            leaf = [first.value.leaf_of(w.encode()) for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int32()), batch.column(1)], ["leaf", "n"])
+            tail = [(first.value.leaf_of(w), n) for w, n in ((w.encode(), n) for w, n in zip(*(c.to_pylist() for c in batch.columns))) if w not in first.value.ids]
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in tail], pa.int32()), pa.array([n for _, n in tail], pa.int64())], ["leaf", "n"])
 
-    mass = np.zeros(WAYS * WAYS)
-    mass[words.leaf[0]] = ends + (ends > 0)
+    mass = np.zeros((words.ways**2, words.ways))
+    mass[words.leaf, words.slot] = words.counts + 1
     for r in counts.mapInArrow(leaves, "leaf int, n bigint").groupBy("leaf").agg((F.sum("n") + F.count("*")).alias("n")).collect():
-        mass[r["leaf"]] += r["n"]
-    mass[sorted(set(words.bound_leaves))] += 1  # the unknown word of the leaf
+        mass[r["leaf"], 0] += r["n"]
+    mass[sorted(set(words.bound_leaves)), 0] += 1  # the unknown word of the leaf
     shared = spark.sparkContext.broadcast((words, mass))
-    weights = spark.sparkContext.broadcast(train(training, shared, rounds, rate, partitions_per_shard))
+    weights = spark.sparkContext.broadcast(train(training, shared, bits, rounds, rate, partitions_per_shard))
 
     everyone = np.log10(total + distinct + 1)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, mass = shared.value
-        tokens, model = Tokens(words), Model(weights.value, mass)
-        log_count, log_mass = np.log10(words.counts + 1.0), np.log10(np.maximum(mass, 1))
+        tokens, model = Tokens(words), Model(weights.value.astype(np.float32), mass)
+        log_count, log_tail = np.log10(words.counts + 1.0), np.log10(np.maximum(mass[:, 0], 1))
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
                 parsed = [tokens.of(words_of(t)) for t in part.column(2).to_pylist()]
-                ids = np.concatenate([p for p, _ in parsed])
-                n = np.array([len(p) for p, _ in parsed])
+                ids, context = (np.concatenate([p[k] for p in parsed]) for k in (0, 1))
+                n = np.array([len(p) for p, _, _ in parsed])
                 starts = np.cumsum(n) - n
                 leaf, head = tokens.leaf[ids], ids < tokens.head
-                log_leaf = model.log_leaf(feature_rows(ids, starts), leaf) / np.log(10)
+                log_leaf = model.log_leaf(feature_rows(context, starts), leaf, tokens.slot[ids]) / np.log(10)
                 known = np.where(head, log_count[np.where(head, ids, 0)], 0.0)
-                sums = [np.add.reduceat(x, starts) for x in (known - everyone, log_leaf + known - log_mass[leaf], (head & (words.counts[np.where(head, ids, 0)] > 0)).astype(np.int64))]
-                rare = [(k, w.decode(), c) for k, (_, others) in enumerate(parsed) for w, c in Counter(others).items()]
+                sums = [np.add.reduceat(x, starts) for x in (known - everyone, log_leaf - np.where(head, 0.0, log_tail[leaf]), (head & (words.counts[np.where(head, ids, 0)] > 0)).astype(np.int64))]
+                rare = [(k, w.decode(), c) for k, (_, _, others) in enumerate(parsed) for w, c in Counter(others).items()]
                 row = part.column(0)
                 own = len(n)
                 names = [f" {r}" for r in row.to_pylist()]  # no word has a space: meets nothing

@@ -1,6 +1,7 @@
 """Language model, quality rules, licences and urls."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -160,3 +161,45 @@ def test_quality_agrees_with_labels(spark, name):
     good = [r["kept"] for r in rows if r["quality"] == 1]
     bad = [r["kept"] for r in rows if r["quality"] == 0]
     assert sum(good) >= 0.97 * len(good) and sum(bad) <= 0.2 * len(bad)
+
+
+def test_language_model_tells_words_of_a_leaf_apart(spark, monkeypatch):
+    """Words that differ in nothing but what stands before them, also with more than the head holds."""
+    from fieldbook.llm import maxent
+
+    rng = random.Random(3)
+    after = {f"a{k}": f"z{k}q" for k in range(40)}
+    texts = [" ".join(f"{a} {after[a]}" for a in rng.choices(list(after), k=60)) for _ in range(150)]
+    wrong = " ".join(f"a{k} z{(k + 1) % 40}q" for k in range(40))
+    right = " ".join(f"a{k} z{k}q" for k in range(40))
+    rows = list(enumerate([*texts, right, wrong]))
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    monkeypatch.setattr(maxent, "WAYS", 6)  # leaves of several words
+    held = lambda i: i >= len(texts)
+    score = {r["doc_id"]: r["score"] for r in score_texts(table, held_out=held).collect()}
+    assert score[len(texts)] > score[len(texts) + 1] + 40 * math.log10(4)
+
+
+def test_all_words_and_the_tail_add_up():
+    import numpy as np
+
+    from fieldbook.llm.maxent import FEATURES, LEVELS, Model as Lm, Words, feature_rows
+
+    words = Words([(f"w{k}", 250 - k) for k in range(200)], 30, 7)
+    mass = np.zeros((49, 7))
+    mass[words.leaf, words.slot] = words.counts + 1
+    mass[sorted(set(words.bound_leaves)), 0] += 3
+    model = Lm(np.random.default_rng(0).normal(size=(LEVELS, FEATURES, 64, 7)).astype(np.float32), mass)
+    assert len(set(zip(words.leaf, words.slot))) == 201 and words.slot.min() == 1
+    leaf, slot = np.repeat(np.arange(49), 7), np.tile(np.arange(7), 49)
+    h = feature_rows(np.array([3, 4, 5]), np.array([0]))[:, 2:]
+    assert abs(np.exp(model.log_leaf(np.repeat(h, len(leaf), axis=1), leaf, slot)).sum() - 1) < 1e-3
+
+
+def test_capacity_follows_the_vocabulary():
+    from fieldbook.llm.maxent import HEAD, LEVELS, FEATURES, ROW_BITS, WAYS, WEIGHTS, row_bits_for, ways_for
+
+    assert ways_for(100) == WAYS >= 32
+    assert ways_for(HEAD) ** 2 * (ways_for(HEAD) - 1) >= HEAD
+    assert row_bits_for(10, WAYS) == ROW_BITS < row_bits_for(1 << 30, WAYS)
+    assert LEVELS * FEATURES * ways_for(HEAD) << row_bits_for(1 << 30, ways_for(HEAD)) <= WEIGHTS
