@@ -203,3 +203,20 @@ def test_capacity_follows_the_vocabulary():
     assert ways_for(HEAD) ** 2 * (ways_for(HEAD) - 1) >= HEAD
     assert row_bits_for(10, WAYS) == ROW_BITS < row_bits_for(1 << 30, WAYS)
     assert LEVELS * FEATURES * ways_for(HEAD) << row_bits_for(1 << 30, ways_for(HEAD)) <= WEIGHTS
+
+
+WRAPPED = [
+    ("bsd", "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met"),
+    ("gpl", "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation"),
+    ("lgpl", "This work is licensed under the GNU Lesser General\nPublic License, version 3."),
+    ("agpl", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("cc-by-sa", "Licensed under CC BY-SA 4.0."),
+]
+
+
+def test_wrapped_notices_and_like_families(spark):
+    texts = [f"Some words here.\n{t}\nmore" for _, t in WRAPPED] + ["\n".join(t for _, t in WRAPPED), "free\nsoftware\n" * 50]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["n_notices"], r["licences"]) for r in by_document(table, licences(table, Model(TEMPLATES, OTHERS, copies=12))).collect()}
+    want = {k: (1, [f]) for k, (f, _) in enumerate(WRAPPED)}
+    assert got == want | {5: (5, sorted(f for f, _ in WRAPPED)), 6: (0, [])}
