@@ -29,12 +29,14 @@ SAMPLE, SEEDS, TRIALS = 20_000, 2_048, 64
 
 
 def valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``id, v`` (array of double) of the rows that take part: an id, and a vector of the longest
-    length in the table, not zero, without null or non-finite components."""
+    """``id, v`` (array of double) of the rows that take part: an id, and a vector that is not
+    zero, has no null or non-finite components, and has the length that most of these have (the
+    longest if there are several)."""
     v = columns_as(vectors, id=id_col, v=vector_col).select(F.col("id").cast("bigint").alias("id"), F.col("v").cast("array<double>").alias("v")).where("id is not null and v is not null")
-    dim = v.agg(F.max(F.size("v"))).first()[0] or 0
     good = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
-    return v.where((F.size("v") == dim) & F.forall("v", good) & F.exists("v", lambda x: x != 0))
+    v = v.where(F.forall("v", good) & F.exists("v", lambda x: x != 0))
+    most = v.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), F.desc("dim")).first()
+    return v.where(F.size("v") == (most["dim"] if most else 0))
 
 
 def augmented(x: np.ndarray, norm: float, rotation: np.ndarray) -> np.ndarray:

@@ -66,3 +66,10 @@ def test_scan_keeps_what_is_near():
     found = set(zip(qi.tolist(), xi.tolist()))
     near = {(a, b) for a in range(5) for b in np.flatnonzero(distance[a] <= reach[a]).tolist()}
     assert found <= near and len(found) >= 0.95 * len(near)
+
+
+def test_over_long_rows_take_no_part(spark):
+    rows = [(k, [float(k + 1), 1.0]) for k in range(0, 50, 10)]
+    odd = [(1000, [1.0] * 5), (1020, [1.0, None, 2.0, 3.0, 4.0, 5.0]), *((k, [None] * 7) for k in range(2000, 2010))]
+    got = neighbours(frame(spark, rows + odd)).collect()
+    assert {r["query_id"] for r in got} == {0, 20, 40} and {r["vec_id"] for r in got} == {k for k, _ in rows}
