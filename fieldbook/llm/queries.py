@@ -123,3 +123,6 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .maxent import score_texts
 
     return score_texts(table(spark, sf_dir, "documents"))
+
+
+from . import queries_more  # noqa: E402, F401  (registers the queries of operators 11 to 13)
