@@ -146,18 +146,22 @@ def datum_shift(t: Tables):
 @query(
     "footprints",
     """
-    SELECT s_suppkey, CASE s_suppkey % 5 WHEN 2 THEN 'POLYGON((0 0, 0 1, ' || s_nationkey || ' 1, 0 0))' END AS wkt,
-      CASE s_suppkey % 5 WHEN 1 THEN 'FOOTPRINT_WKT_MISMATCH' WHEN 3 THEN 'FOOTPRINT_WKT_INVALID' WHEN 4 THEN 'FOOTPRINT_SRS_INVALID' ELSE '' END AS issues
+    SELECT s_suppkey, CASE s_suppkey % 9 WHEN 2 THEN 'POLYGON((0 0, 0 1, ' || s_nationkey || ' 1, 0 0))' WHEN 8 THEN 'GEOMETRYCOLLECTION(POINT(1 1), POLYGON((0 0, 0 1e0, ' || s_nationkey || ' 1, 0 0)))' END AS wkt,
+      CASE s_suppkey % 9 WHEN 1 THEN 'FOOTPRINT_WKT_MISMATCH' WHEN 4 THEN 'FOOTPRINT_SRS_INVALID' WHEN 0 THEN '' WHEN 2 THEN '' WHEN 8 THEN '' ELSE 'FOOTPRINT_WKT_INVALID' END AS issues
     FROM supplier
     """,
 )
 def footprints(t: Tables):
-    k, n = F.col("s_suppkey") % 5, F.col("s_nationkey").cast("string")
+    k, n = F.col("s_suppkey") % 9, F.col("s_nationkey").cast("string")
     wkt = (
         F.when(k == 0, F.concat(F.lit("POINT("), n, F.lit(" 7)")))
         .when(k == 1, F.concat(F.lit("POINT("), n, F.lit(" 8)")))
         .when(k == 2, F.concat(F.lit("POLYGON((0 0, 0 1, "), n, F.lit(" 1, 0 0))")))
         .when(k == 3, F.lit("POLYGON((0 0, 0 1"))
+        .when(k == 5, F.concat(F.lit("POLYGON((0 0, 0 1, "), n, F.lit(" 1, 0 0.5))")))  # not closed
+        .when(k == 6, F.concat(F.lit("MULTIPOLYGON(((0 0, 0 1, "), n, F.lit(" 1, 0 0)), ((2 2, 2 2)))")))  # two points
+        .when(k == 7, F.concat(F.lit("MULTILINESTRING((0 0, "), n, F.lit(" 1), (3 3))")))
+        .when(k == 8, F.concat(F.lit("GEOMETRYCOLLECTION(POINT(1 1), POLYGON((0 0, 0 1e0, "), n, F.lit(" 1, 0 0)))")))
         .otherwise("POINT(1 1)")
     )
     s = t.supplier.select("s_suppkey", wkt.alias("w"), F.when(k == 4, "EPSG:99").alias("srs"), F.col("s_nationkey").cast("double").alias("lng"))

@@ -58,12 +58,15 @@ _REGIONS_SQL = f"""
             UNION ALL SELECT {_CONT_SQL}, 'Continent', r_name, NULL, w, e, s, n FROM box JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey >= 5)
 """
 
+#: Degrees between a longitude and a box, either way round.
+_DX = "least(greatest(w - {x}, 0, {x} - e), greatest(w - {x} - 360, 0, {x} + 360 - e), greatest(w - {x} + 360, 0, {x} - 360 - e))"
+
 _HITS_SQL = f"""
     {_REGIONS_SQL},
     pt AS (SELECT DISTINCT {_LAT} AS lat, {_LNG} AS lng FROM events),
     hit AS (SELECT lat, lng, region_id, type, name, iso2,
-              sqrt(pow(greatest(w - lng, 0, lng - e), 2) + pow(greatest(s - lat, 0, lat - n), 2)) AS distance FROM pt, reg
-            WHERE greatest(w - lng, 0, lng - e) <= {_BUFFER} AND greatest(s - lat, 0, lat - n) <= {_BUFFER}),
+              sqrt(pow({_DX.format(x="lng")}, 2) + pow(greatest(s - lat, 0, lat - n), 2)) AS distance FROM pt, reg
+            WHERE {_DX.format(x="lng")} <= {_BUFFER} AND greatest(s - lat, 0, lat - n) <= {_BUFFER}),
     near AS (SELECT * FROM hit WHERE distance <= {_BUFFER})
 """
 
@@ -83,6 +86,58 @@ def reverse_geocode(t: Tables):
     return found.withColumn("distance", F.round("distance", 9))
 
 
+#: Shapes within the boxes: an L, a ring with a hole, two parts, and two over the date line, one with
+#: longitudes beyond 180 degrees and one that jumps.  Offsets from the box's corner, or longitudes.
+_SHAPES = [
+    ["6 3, 60 3, 60 12, 20 12, 20 30, 6 30, 6 3"],
+    ["6 3, 60 3, 60 30, 6 30, 6 3", "20 10, 40 10, 40 20, 20 20, 20 10"],
+    ["6 3, 20 3, 20 30, 6 30, 6 3", "30 5, 30 25, 60 25, 60 5, 30 5"],
+    ["=150 3, =200 3, =200 30, =150 30, =150 3"],
+    ["=170 3, =-170 3, =-170 30, =170 30, =170 3"],
+]
+
+
+def shapes(t: Tables):
+    """One shape per nation as text."""
+
+    def number(text: str, corner: str) -> str:
+        return f"'{text[1:]}'" if text.startswith("=") else f"cast({corner} + {text} as string)"
+
+    def ring(points: str) -> str:
+        ends = ", ".join(f"concat({number(x, 'w')}, ' ', {number(y, 's')})" for x, y in (p.split() for p in points.split(", ")))
+        return f"concat('(', concat_ws(', ', {ends}), ')')"
+
+    def polygon(k: int, rings: list[str]) -> str:
+        joint = "'), ('" if k == 2 else "', '"
+        name, end = ("MULTIPOLYGON ((", "))") if k == 2 else ("POLYGON (", ")")
+        return f"WHEN {k} THEN concat('{name}', concat_ws({joint}, {', '.join(ring(r) for r in rings)}), '{end}')"
+
+    text = "CASE n_nationkey % 5 " + " ".join(polygon(k, r) for k, r in enumerate(_SHAPES)) + " END AS wkt"
+    return nations(t).selectExpr("n_nationkey", "n_name", "code", *_BOX_COLS).selectExpr("code AS region_id", "'Shape' AS type", "n_name AS name", "code AS iso2", text)
+
+
+@query(
+    "region_shapes",
+    f"""
+    WITH box AS (SELECT n_nationkey, {_CODE_SQL} AS code, {_BOX} FROM nation),
+    rect AS (
+      SELECT code, 0 AS hole, w + 6 AS w, w + 60 AS e, s + 3 AS s, s + 12 AS n FROM box WHERE n_nationkey % 5 = 0 UNION ALL SELECT code, 0, w + 6, w + 20, s + 3, s + 30 FROM box WHERE n_nationkey % 5 IN (0, 2)
+      UNION ALL SELECT code, 0, w + 6, w + 60, s + 3, s + 30 FROM box WHERE n_nationkey % 5 = 1 UNION ALL SELECT code, 1, w + 20, w + 40, s + 10, s + 20 FROM box WHERE n_nationkey % 5 = 1
+      UNION ALL SELECT code, 0, w + 30, w + 60, s + 5, s + 25 FROM box WHERE n_nationkey % 5 = 2
+      UNION ALL SELECT code, 0, 150, 200, s + 3, s + 30 FROM box WHERE n_nationkey % 5 = 3 UNION ALL SELECT code, 0, 170, 190, s + 3, s + 30 FROM box WHERE n_nationkey % 5 = 4),
+    pt AS (SELECT DISTINCT {_LAT} AS lat, {_LNG} AS lng FROM events),
+    d AS (SELECT lat, lng, code, hole, CASE WHEN hole = 0 THEN sqrt(pow(greatest(w - x, 0, x - e), 2) + pow(greatest(s - lat, 0, lat - n), 2)) ELSE greatest(0, least(x - w, e - x, lat - s, n - lat)) END AS d
+          FROM (SELECT *, lng + 360 * k AS x FROM pt, range(-1, 2) AS turn(k)), rect),
+    per AS (SELECT lat, lng, code, min(d) FILTER (hole = 0) AS off, coalesce(max(d) FILTER (hole = 1), 0) AS deep FROM d GROUP BY 1, 2, 3)
+    SELECT lat, lng, code AS region_id, round(greatest(off, deep), 9) AS distance FROM per WHERE greatest(off, deep) <= {_BUFFER}
+    """,
+)
+def region_shapes(t: Tables):
+    grid = materialize(geocode.region_cells(shapes(t), buffer=_BUFFER))
+    found = geocode.reverse_geocode(points(t), grid, buffer=_BUFFER)
+    return found.select("lat", "lng", "region_id", F.round("distance", 9).alias("distance"))
+
+
 @query("geocode_two_step", f"WITH {_HITS_SQL} SELECT type, count(*) AS n, sum(CASE WHEN distance = 0 THEN 1 ELSE 0 END) AS inside, round(sum(distance), 6) AS total FROM near GROUP BY 1")
 def geocode_two_step(t: Tables):
     found = geocode.geocode_two_step(points(t), cells(t), buffer=_BUFFER)
@@ -158,10 +213,10 @@ _GIVEN_KEY = "CASE WHEN event_id % 6 = 0 THEN NULL ELSE (event_id * 7) % 25 END"
     rec AS (SELECT ev.*, code AS given FROM ev LEFT JOIN box ON nk = n_nationkey),
     cand AS (SELECT event_id, given, 0 AS pos, lat AS y, lng AS x FROM rec UNION ALL SELECT event_id, given, 1, -lat, lng FROM rec UNION ALL SELECT event_id, given, 2, lat, -lng FROM rec
              UNION ALL SELECT event_id, given, 3, -lat, -lng FROM rec UNION ALL SELECT event_id, given, 4, lng, lat FROM rec),
-    loc AS (SELECT event_id, given, pos, y, x, code, sqrt(pow(greatest(w - x, 0, x - e), 2) + pow(greatest(s - y, 0, y - n), 2)) AS d
-            FROM cand JOIN box ON y BETWEEN s - {_BUFFER} AND n + {_BUFFER} AND x BETWEEN w - {_BUFFER} AND e + {_BUFFER}
+    loc AS (SELECT event_id, given, pos, y, x, code, sqrt(pow({_DX.format(x="x")}, 2) + pow(greatest(s - y, 0, y - n), 2)) AS d
+            FROM cand JOIN box ON y BETWEEN s - {_BUFFER} AND n + {_BUFFER} AND {_DX.format(x="x")} <= {_BUFFER}
             WHERE y BETWEEN -90 AND 90 AND x BETWEEN -180 AND 180 AND NOT (given IS NULL AND y < -60)
-              AND sqrt(pow(greatest(w - x, 0, x - e), 2) + pow(greatest(s - y, 0, y - n), 2)) <= {_BUFFER}
+              AND sqrt(pow({_DX.format(x="x")}, 2) + pow(greatest(s - y, 0, y - n), 2)) <= {_BUFFER}
             UNION ALL SELECT event_id, given, pos, y, x, 'AQ', 0 FROM cand WHERE given IS NULL AND y >= -90 AND y < -60 AND x BETWEEN -180 AND 180),
     per AS (SELECT event_id,
        max(CASE WHEN pos = 0 AND code = given THEN 1 ELSE 0 END) AS same,

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from fieldbook.functions.issues import collect_issues, flag
+from fieldbook.functions.shapes import closed, point_lists
 from fieldbook.functions.terms import has_value
 
 TOLERANCE = 0.000001
@@ -16,25 +19,34 @@ _TAG = r"\s*(?:Z|M|ZM)?\s*"
 # A run of possessive repeats, so that long rings cannot make the matcher back-track.
 _LINE = rf"\({_POS}(?:,{_POS})*+\)"
 _POLY = rf"\(\s*{_LINE}(?:\s*,\s*{_LINE})*+\s*\)"
-WKT = (
-    r"(?i)^\s*(?:"
-    rf"POINT{_TAG}\({_POS}\)"
+_SIMPLE = (
+    rf"(?:POINT{_TAG}\({_POS}\)"
     rf"|(?:LINESTRING|LINEARRING){_TAG}{_LINE}"
     rf"|POLYGON{_TAG}{_POLY}"
     rf"|MULTIPOINT{_TAG}(?:{_LINE}|\(\s*\({_POS}\)(?:\s*,\s*\({_POS}\))*+\s*\))"
     rf"|MULTILINESTRING{_TAG}{_POLY}"
     rf"|MULTIPOLYGON{_TAG}\(\s*{_POLY}(?:\s*,\s*{_POLY})*+\s*\)"
-    r"|(?:POINT|LINESTRING|POLYGON|MULTIPOINT|MULTILINESTRING|MULTIPOLYGON|GEOMETRYCOLLECTION)\s+EMPTY"
-    r")\s*$"
+    r"|(?:POINT|LINESTRING|POLYGON|MULTIPOINT|MULTILINESTRING|MULTIPOLYGON|GEOMETRYCOLLECTION)\s+EMPTY)"
 )
-_COLLECTION = r"(?i)^\s*GEOMETRYCOLLECTION\s*\((?:[-+0-9.eE,()\s]|POINT|LINESTRING|POLYGON|MULTI|Z|M)++$"
+_MEMBERS = rf"GEOMETRYCOLLECTION{_TAG}\(\s*{_SIMPLE}(?:\s*,\s*{_SIMPLE})*+\s*\)"
+WKT = rf"(?i)^\s*(?:{_SIMPLE}|{_MEMBERS}|GEOMETRYCOLLECTION{_TAG}\(\s*(?:{_SIMPLE}|{_MEMBERS})(?:\s*,\s*(?:{_SIMPLE}|{_MEMBERS}))*+\s*\))\s*$"
+
+# What follows the name of a kind of geometry, up to the next name.
+_BODY = r"\s*(?:ZM?|M)?(?:[^A-Za-z]|(?<=[0-9.])[eE](?=[-+0-9]))*+"
+
+
+def _all(c: Column, kind: str, rule: Callable[[Column], Column]) -> Column:
+    """True where the rule holds for each list of points of the geometries of a kind."""
+    return F.forall(F.flatten(F.transform(F.regexp_extract_all(c, F.lit(rf"(?i){kind}{_BODY}"), F.lit(0)), point_lists)), rule)
 
 
 def valid_wkt(c: Column) -> Column:
-    """True where the text has the shape of a geometry."""
-    opened = F.length(F.replace(c, F.lit("("), F.lit("")))
-    closed = F.length(F.replace(c, F.lit(")"), F.lit("")))
-    return c.rlike(WKT) | (c.rlike(_COLLECTION) & (opened == closed))
+    """True where the text is a geometry: it has the form of one, its rings end where they start
+    and have at least four points, its lines at least two.  Collections may hold collections of
+    simple geometries."""
+    formed = c.rlike(WKT)
+    whole = _all(c, "(?:POLYGON|LINEARRING)", closed) & _all(c, "LINESTRING", lambda line: F.size(line) >= 2)
+    return F.when(c.isNotNull(), F.when(formed, whole).otherwise(False))
 
 
 def footprint(wkt: Column, point: Column, srs: Column, srs_known: Column, lat: Column, lng: Column) -> Column:

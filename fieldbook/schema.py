@@ -50,7 +50,8 @@ COUNTRY_ALIAS = T.StructType(
     ]
 )
 
-#: One region polygon (a single closed ring, first vertex repeated or not).
+#: One region: its rings (parts and holes in any order and direction; a first vertex may be repeated
+#: or not).
 REGION = T.StructType(
     [
         T.StructField("region_id", T.StringType()),
@@ -58,10 +59,12 @@ REGION = T.StructType(
         T.StructField("name", T.StringType()),
         T.StructField("iso2", T.StringType()),
         T.StructField(
-            "ring",
+            "rings",
             T.ArrayType(
-                T.StructType(
-                    [T.StructField("lng", T.DoubleType()), T.StructField("lat", T.DoubleType())]
+                T.ArrayType(
+                    T.StructType(
+                        [T.StructField("lng", T.DoubleType()), T.StructField("lat", T.DoubleType())]
+                    )
                 )
             ),
         ),

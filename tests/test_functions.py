@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from fieldbook.functions import coords, dates, footprint, issues, numbers, status, terms, text
+from fieldbook.functions import coords, dates, footprint, issues, numbers, shapes, status, terms, text
 
 
 def test_null_aware(values):
@@ -290,8 +290,19 @@ def test_wkt(values):
     texts = [
         "POLYGON((1 1, 2 2, 3 1, 1 1))", "polygon ((1 1,2 2,3 1,1 1),(1 1,2 2,3 1,1 1))", "LINESTRING(1 1, 2 2)", "MULTIPOLYGON(((1 1,2 2,3 1,1 1)))",
         "POLYGON((1 1", "POLYGON EMPTY", "foo", "GEOMETRYCOLLECTION(POINT(1 1),LINESTRING(1 1,2 2))",
+        "POLYGON((1 1, 2 2, 3 1, 1 2))", "POLYGON((1 1, 1 1))", "POLYGON Z ((1 1 5, 2 2 5, 3e0 1 5, 1 1 5))", "MULTIPOLYGON(((1 1,2 2,3 1,1 1)), ((0 0, 1 1, 0 1)))",
+        "LINESTRING(1 1)", "GEOMETRYCOLLECTION(POINT(1 1), GEOMETRYCOLLECTION(POLYGON((1 1, 2 2, 3 1, 1 1))))", "GEOMETRYCOLLECTION(POLYGON((1 1, 2 2, 3 1, 1 2)))",
+        "MULTIPOINT(1 1, 2 2)", "GEOMETRYCOLLECTION(foo)", None,
     ]
-    assert values(footprint.valid_wkt, texts) == [True, True, True, True, False, True, False, True]
+    good = [True, True, True, True, False, True, False, True, False, False, True, False, False, True, False, True, False, None]
+    assert values(footprint.valid_wkt, texts) == good
+
+
+def test_read_rings(values):
+    texts = ["MULTIPOLYGON(((0 0, 4 0, 4.5e0 4, 0 0), (1 1, 2 1, 2 2, 1 1)), ((9 9, 9 8, 8 8, 9 9)))", "polygon z ((0 0 1, 1 0 1, 1 1 1, 0 0 1))", "POLYGON((0 0, 1 0, 1 1, 0 1))", "POINT(1 1)", "x", None]
+    rings = [None if r is None else [[tuple(p) for p in ring] for ring in r] for r in values(shapes.read_rings, texts)]
+    assert rings[0] == [[(0, 0), (4, 0), (4.5, 4), (0, 0)], [(1, 1), (2, 1), (2, 2), (1, 1)], [(9, 9), (9, 8), (8, 8), (9, 9)]]
+    assert rings[1:] == [[[(0, 0), (1, 0), (1, 1), (0, 0)]], None, None, None, None]
 
 
 def test_issue_lists(values):

@@ -1,6 +1,7 @@
 """Operators on small tables, against what a brute-force reading gives."""
 
 import json
+import math
 import random
 
 import pytest
@@ -164,6 +165,88 @@ def test_geocode_against_brute_force(spark):
     assert {(r["lat"], r["lng"], r["region_id"], round(r["distance"], 9)) for r in two} == want and len(two) == len(want)
 
 
+def _odd(rings, x, y):
+    odd = False
+    for ring in rings:
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
+            if (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1:
+                odd = not odd
+    return odd
+
+
+def _off(rings, x, y):
+    best = float("inf")
+    for ring in rings:
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
+            dx, dy = x2 - x1, y2 - y1
+            if dx or dy:
+                t = max(0.0, min(1.0, ((x - x1) * dx + (y - y1) * dy) / (dx * dx + dy * dy)))
+                best = min(best, ((x1 + t * dx - x) ** 2 + (y1 + t * dy - y) ** 2) ** 0.5)
+    return best
+
+
+@pytest.mark.parametrize("dense, depth, buffer", [(10_000, 0, 0.4), (3, 4, 0.4), (3, 4, 0.0), (8, 2, 0.01)])
+def test_shapes_against_brute_force(spark, dense, depth, buffer):
+    """Holes, parts, the date line and poles, in cells that are quartered again."""
+    random.seed(4)
+
+    def blob(x, y, r, n):
+        return [(x + r * random.uniform(0.5, 1) * math.cos(6.2831853 * k / n), y + r * random.uniform(0.5, 1) * math.sin(6.2831853 * k / n)) for k in range(n)]
+
+    line = blob(179, -20, 9, 40)  # goes on beyond 180 degrees
+    shapes_ = {
+        "L": [[(0, 0), (9, 0), (9, 3), (3, 3), (3, 9), (0, 9)]],
+        "hole": [blob(30, 10, 14, 200), blob(30, 10, 4, 60), [(29, 9), (31, 9), (31, 11), (29, 11)]],
+        "parts": [blob(-40, -30, 6, 30), blob(-25, -35, 7, 30)],
+        "over": [line],
+        "jump": [[(x - 360 if x > 180 else x, y + 50) for x, y in line]],
+        "fiji": [[(177, 3), (180, 3), (180, 6), (177, 6)], [(-180, 3), (-178, 3), (-178, 6), (-180, 6)]],
+    }
+    polar = [(lng, -70 + 4 * math.sin(lng)) for lng in range(-180, 180, 7)]
+    cap = [(lng, 80.0 + (lng % 3)) for lng in range(175, -180, -10)]
+    followed = [(lng, -72.0) for lng in range(-180, 181, 12)] + [(180, -90), (-180, -90)]
+    rows = {**shapes_, "south": [polar], "north": [cap], "followed": [followed]}
+    regions = spark.createDataFrame(
+        [(n, "Political", n, n[:2].upper(), [[{"lng": float(x), "lat": float(y)} for x, y in r] for r in rings]) for n, rings in rows.items()], schema.REGION
+    )
+    near = [(179.9, -20), (-179.9, -20), (180, -20), (-180, -20), (-179.99, 30), (179.99, 4), (-179.99, 4), (-180, 4), (12, -89.99), (0, 90), (0, -90), (30, 10), (29, 9), (3, 3), (0, 5)]
+    pts = [(random.uniform(-92, 92), random.uniform(-180, 180)) for _ in range(400)] + [(y, x) for x, y in near]
+    pts += [(random.uniform(-5, 25), random.uniform(-3, 46)) for _ in range(300)] + [(random.uniform(-32, 40), random.choice((-1, 1)) * random.uniform(165, 180)) for _ in range(300)]
+    points = spark.createDataFrame([(float(a), float(b)) for a, b in pts], "lat double, lng double")
+    cells = geocode.region_cells(regions, 73, 37, buffer, dense, depth).persist()
+    want = set()
+    for lat, lng in set((float(a), float(b)) for a, b in pts if -90 <= a <= 90):
+        for n, rings in rows.items():
+            if n in ("south", "north", "followed"):
+                # As a shape of the plane: three turns of the border, closed far beyond the pole.
+                open_ = sorted(rings[0][:31] if n == "followed" else rings[0])
+                border = sorted({(x + 360 * k, y) for k in (-2, -1, 0, 1, 2) for x, y in open_})
+                pole = 1000.0 if n == "north" else -1000.0
+                flat, shifts = [[*border, (border[-1][0], pole), (border[0][0], pole)]], (0,)
+            else:
+                flat, shifts = [line] if n in ("over", "jump") else rings, (-360, 0, 360)
+                flat = [[(x, y + 50) for x, y in line]] if n == "jump" else flat
+            d = 0.0 if any(_odd(flat, lng + k, lat) for k in shifts) else min(_off(flat, lng + k, lat) for k in shifts)
+            if d <= buffer:
+                want.add((lat, lng, n, round(d, 7)))
+    for found in (geocode.reverse_geocode(points, cells, 73, 37, buffer, depth=depth), geocode.geocode_two_step(points, cells, 73, 37, buffer, depth=depth)):
+        got = [(r["lat"], r["lng"], r["region_id"], round(r["distance"], 7)) for r in found.collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    assert {r["level"] for r in cells.select("level").collect()} == {0} if depth == 0 else True
+    cells.unpersist()
+
+
+def test_cells_hold_few_edges(spark):
+    """Edges are cut to the cells they run through: a border of n edges that crosses k cells is
+    stored as n + k pieces at most, whatever the size of the region."""
+    n = 4000
+    ring = [{"lng": 60 * math.cos(6.2831853 * k / n), "lat": 60 * math.sin(6.2831853 * k / n)} for k in range(n)]
+    regions = spark.createDataFrame([("r", "Political", "r", "RR", [ring])], schema.REGION)
+    cells = geocode.region_cells(regions).agg(F.sum(F.coalesce(F.size("edges"), F.lit(0))), F.count(F.when(~F.col("whole"), 1)), F.max(F.size("edges"))).first()
+    assert n <= cells[0] <= n + 2 * cells[1] and cells[2] <= geocode.DENSE
+
+
+
 def test_centroids(spark):
     points = spark.createDataFrame([(10.0, 179.99), (10.0, 10.0), (89.999, 0.0), (10.02, 10.0)], "lat double, lng double")
     cen = spark.createDataFrame([(10.0, -179.99), (10.0, 10.0), (89.999, 180.0)], "lat double, lng double")
