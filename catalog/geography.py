@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.base import Tables, joined, query, vocabulary
 from fieldbook.functions.terms import trimmed
-from fieldbook.operators import continent, country, geocode, lookup
+from fieldbook.operators import continent, country, geocode, lookup, nearest
 from fieldbook.operators.checkpoints import materialize
 from fieldbook.operators.joins import dimension_join, spread_null_join
 from fieldbook.sources import dims
@@ -116,15 +116,21 @@ def shapes(t: Tables):
     return nations(t).selectExpr("n_nationkey", "n_name", "code", *_BOX_COLS).selectExpr("code AS region_id", "'Shape' AS type", "n_name AS name", "code AS iso2", text)
 
 
-@query(
-    "region_shapes",
-    f"""
-    WITH box AS (SELECT n_nationkey, {_CODE_SQL} AS code, {_BOX} FROM nation),
+#: The same shapes as rectangles and holes.
+_RECTANGLES = f"""
+    box AS (SELECT n_nationkey, {_CODE_SQL} AS code, {_BOX} FROM nation),
     rect AS (
       SELECT code, 0 AS hole, w + 6 AS w, w + 60 AS e, s + 3 AS s, s + 12 AS n FROM box WHERE n_nationkey % 5 = 0 UNION ALL SELECT code, 0, w + 6, w + 20, s + 3, s + 30 FROM box WHERE n_nationkey % 5 IN (0, 2)
       UNION ALL SELECT code, 0, w + 6, w + 60, s + 3, s + 30 FROM box WHERE n_nationkey % 5 = 1 UNION ALL SELECT code, 1, w + 20, w + 40, s + 10, s + 20 FROM box WHERE n_nationkey % 5 = 1
       UNION ALL SELECT code, 0, w + 30, w + 60, s + 5, s + 25 FROM box WHERE n_nationkey % 5 = 2
-      UNION ALL SELECT code, 0, 150, 200, s + 3, s + 30 FROM box WHERE n_nationkey % 5 = 3 UNION ALL SELECT code, 0, 170, 190, s + 3, s + 30 FROM box WHERE n_nationkey % 5 = 4),
+      UNION ALL SELECT code, 0, 150, 200, s + 3, s + 30 FROM box WHERE n_nationkey % 5 = 3 UNION ALL SELECT code, 0, 170, 190, s + 3, s + 30 FROM box WHERE n_nationkey % 5 = 4)
+"""
+
+
+@query(
+    "region_shapes",
+    f"""
+    WITH {_RECTANGLES},
     pt AS (SELECT DISTINCT {_LAT} AS lat, {_LNG} AS lng FROM events),
     d AS (SELECT lat, lng, code, hole, CASE WHEN hole = 0 THEN sqrt(pow(greatest(w - x, 0, x - e), 2) + pow(greatest(s - lat, 0, lat - n), 2)) ELSE greatest(0, least(x - w, e - x, lat - s, n - lat)) END AS d
           FROM (SELECT *, lng + 360 * k AS x FROM pt, range(-1, 2) AS turn(k)), rect),
@@ -138,6 +144,47 @@ def region_shapes(t: Tables):
     return found.select("lat", "lng", "region_id", F.round("distance", 9).alias("distance"))
 
 
+#: Customers live anywhere, on both poles and the date line, too.
+_HOME_LAT, _HOME_LNG = "((c_custkey * 37) % 361 - 180) / 2.0D", "((c_custkey * 53) % 721 - 360) / 2.0D"
+
+
+def _nearest_sql() -> str:
+    """Every home against every piece of every border."""
+    border = []
+    for k, rings in enumerate(_SHAPES):
+        for r in rings:
+            ends = [[(x[1:] if x.startswith("=") else f"w + {x}") if n == 0 else f"s + {x}" for n, x in enumerate(p.split())] for p in r.split(", ")]
+            border += [f"SELECT code, ({a[0]})::DOUBLE AS x1, ({a[1]})::DOUBLE AS y1, ({b[0]})::DOUBLE AS x2, ({b[1]})::DOUBLE AS y2 FROM box WHERE n_nationkey % 5 = {k}" for a, b in zip(ends, ends[1:])]
+    v = lambda s, x, y: f"cos(radians({y})) * cos(radians({x})) AS {s}x, cos(radians({y})) * sin(radians({x})) AS {s}y, sin(radians({y})) AS {s}z"
+    part = lambda i: (f"x1 + (x2 - x1) * {i} / n", f"y1 + (y2 - y1) * {i} / n")
+    apart = lambda s: f"2 * asin(least(1, sqrt(({s}x - vx) * ({s}x - vx) + ({s}y - vy) * ({s}y - vy) + ({s}z - vz) * ({s}z - vz)) / 2))"
+    return f"""
+        WITH {_RECTANGLES},
+        edge AS ({" UNION ALL ".join(border)}),
+        short AS (SELECT code, x1, y1, CASE WHEN abs(x2 - x1) > 180 THEN x2 - sign(x2 - x1) * 360 ELSE x2 END AS x2, y2 FROM edge),
+        cut AS (SELECT *, unnest(range(1, n + 1)) AS i FROM (SELECT *, ceil(greatest(abs(x2 - x1), abs(y2 - y1)) / {nearest.PIECE_DEGREES})::BIGINT AS n FROM short)),
+        arc AS (SELECT code, {v("a", *part("(i - 1)"))}, {v("b", *part("i"))} FROM cut),
+        norm AS MATERIALIZED (SELECT *, ay * bz - az * by_ AS nx, az * bx - ax * bz AS ny, ax * by_ - ay * bx AS nz FROM (SELECT code, ax, ay, az, bx, "by" AS by_, bz FROM arc)),
+        home AS (SELECT DISTINCT {_HOME_LAT.replace("D", "")} AS lat, {_HOME_LNG.replace("D", "")} AS lng FROM customer),
+        flat AS (SELECT lat, lng, code, hole, CASE WHEN hole = 0 THEN greatest(w - x, x - e, s - lat, lat - n, 0) ELSE greatest(0, least(x - w, e - x, lat - s, n - lat)) END AS d FROM (SELECT *, lng + 360 * k AS x FROM home, range(-1, 2) AS turn(k)), rect),
+        held AS (SELECT lat, lng, code FROM flat GROUP BY 1, 2, 3 HAVING min(d) FILTER (hole = 0) = 0 AND coalesce(max(d) FILTER (hole = 1), 0) = 0),
+        open_ AS (SELECT lat, lng, {v("v", "lng", "lat")} FROM home ANTI JOIN held USING (lat, lng)),
+        dist AS (SELECT lat, lng, code, CASE WHEN (ny * az - nz * ay) * vx + (nz * ax - nx * az) * vy + (nx * ay - ny * ax) * vz >= 0 AND (by_ * nz - bz * ny) * vx + (bz * nx - bx * nz) * vy + (bx * ny - by_ * nx) * vz >= 0
+              THEN asin(least(1, abs(nx * vx + ny * vy + nz * vz) / sqrt(nx * nx + ny * ny + nz * nz)))
+              ELSE least({apart("a")}, {apart("b").replace("by ", "by_ ")}) END * 6371000.0 AS m FROM open_, norm)
+        SELECT lat, lng, arg_min(code, (round(m, 3), code)) AS region_id, round(min(m), 1) AS metres FROM dist GROUP BY 1, 2
+        UNION ALL SELECT lat, lng, min(code), 0 FROM held GROUP BY 1, 2
+    """
+
+
+@query("nearest_on_sphere", _nearest_sql())
+def nearest_on_sphere(t: Tables):
+    homes = t.customer.selectExpr(f"{_HOME_LAT} AS lat", f"{_HOME_LNG} AS lng")
+    inside = geocode.reverse_geocode(homes, materialize(geocode.region_cells(shapes(t))))
+    found = nearest.nearest_on_sphere(homes, inside, nearest.sphere_index(shapes(t)))
+    return found.select("lat", "lng", "region_id", F.round("metres", 1).alias("metres"))
+
+
 @query("geocode_two_step", f"WITH {_HITS_SQL} SELECT type, count(*) AS n, sum(CASE WHEN distance = 0 THEN 1 ELSE 0 END) AS inside, round(sum(distance), 6) AS total FROM near GROUP BY 1")
 def geocode_two_step(t: Tables):
     found = geocode.geocode_two_step(points(t), cells(t), buffer=_BUFFER)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldbook.functions import geo
-from fieldbook.operators import country, enrich, geocode, identification, joins, lineage, lookup, records, taxonomy
+from fieldbook.operators import country, enrich, geocode, identification, joins, lineage, lookup, nearest, records, taxonomy
 from fieldbook import schema
 from fieldbook.plans import prepare_session
 from fieldbook.schema import DWC_NS, VOCABULARY, uri
@@ -236,6 +236,50 @@ def test_shapes_against_brute_force(spark, dense, depth, buffer):
     cells.unpersist()
 
 
+def test_nearest_on_sphere_against_brute_force(spark):
+    """Every point against every arc, near the poles and the date line, too."""
+    np = pytest.importorskip("numpy")
+    random.seed(6)
+    rings = {
+        "far": [(-150, 10), (-140, 12), (-145, 20)], "line": [(175, -10), (-175, -12), (-178, -20), (178, -19)], "cap": [(lng, 86) for lng in range(-180, 180, 20)],
+        "south": [(20, -60), (30, -62), (25, -70)], "small": [(0, 0), (0.2, 0), (0.1, 0.1)], "twin": [(0, 40), (10, 40), (5, 45)], "twin2": [(0, 40), (10, 40), (5, 45)],
+    }
+    regions = spark.createDataFrame([(n, "Political", n, "XX", [[{"lng": float(x), "lat": float(y)} for x, y in r]]) for n, r in rings.items()], schema.REGION)
+    pts = [(random.uniform(-90, 90), random.uniform(-180, 180)) for _ in range(200)] + [(90.0, 0.0), (-90.0, 7.0), (0.0, 180.0), (0.0, -180.0), (89.9, 33.0), (-14.0, -179.99), (0.05, 0.1), (0.0, 0.0)]
+    index = nearest.sphere_index(regions)
+    got = {(r["lat"], r["lng"]): r for r in nearest.nearest_border(spark.createDataFrame([*pts, pts[0], (None, 1.0), (91.0, 0.0)], "lat double, lng double"), index).collect()}
+
+    def vec(lng, lat):
+        a, b = np.radians(lng), np.radians(lat)
+        return np.array([np.cos(b) * np.cos(a), np.cos(b) * np.sin(a), np.sin(b)])
+
+    arcs = []
+    for n, r in rings.items():
+        for (x1, y1), (x2, y2) in zip(r, r[1:] + r[:1]):
+            x2 = x2 - 360 * np.sign(x2 - x1) if abs(x2 - x1) > 180 else x2
+            k = int(np.ceil(max(abs(x2 - x1), abs(y2 - y1)) / 0.5))
+            ends = [vec(x1 + (x2 - x1) * i / k, y1 + (y2 - y1) * i / k) for i in range(k + 1)]
+            arcs += [(n, a, b) for a, b in zip(ends, ends[1:])]
+
+    def angle(a, b):
+        return np.arctan2(np.linalg.norm(np.cross(a, b)), a @ b)
+
+    def off(p, a, b):
+        n = np.cross(a, b)
+        if np.cross(n, a) @ p >= 0 and np.cross(b, n) @ p >= 0:
+            return abs(np.arcsin(np.clip(n @ p / np.linalg.norm(n), -1, 1)))
+        return min(angle(p, a), angle(p, b))
+
+    assert len(got) == len(pts)
+    for lat, lng in pts:
+        best = min((round(off(vec(lng, lat), a, b) * geo.EARTH_RADIUS_M, 3), n) for n, a, b in arcs)
+        assert abs(got[lat, lng]["metres"] - best[0]) < 0.01 and got[lat, lng]["region_id"] == best[1]
+    within = nearest.nearest_border(spark.createDataFrame(pts, "lat double, lng double"), index, 1e6).collect()
+    assert all(r["metres"] <= 1e6 for r in within) and len(within) == sum(r["metres"] <= 1e6 for r in got.values())
+    none = nearest.sphere_index(spark.createDataFrame([], schema.REGION))
+    assert nearest.nearest_border(spark.createDataFrame(pts, "lat double, lng double"), none).count() == 0
+
+
 def test_cells_hold_few_edges(spark):
     """Edges are cut to the cells they run through: a border of n edges that crosses k cells is
     stored as n + k pieces at most, whatever the size of the region."""
