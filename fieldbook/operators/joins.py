@@ -36,6 +36,7 @@ def skew_join(
     buckets: int = BUCKETS,
     hot_rows: int = HOT_ROWS,
     hot_part: int = HOT_PART,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Shuffled join in which the rows of a hot key are spread over ``buckets`` tasks.
 
@@ -45,11 +46,12 @@ def skew_join(
     rows of that key are repeated once per bucket.  All other keys join as usual, so the result is
     that of the plain join.  Rows with a null key, which match nothing, are spread the same way.
 
-    The left side is read twice, so it should be a plain scan or a stored table; joins further down
-    a plan are left to the run-time splitting of skewed partitions."""
+    ``counts`` holds the left side's keys with their ``count``, where a caller has them; without it
+    the left side is read twice, so it should be a plain scan or a stored table then.  Joins further
+    down a plan are left to the run-time splitting of skewed partitions."""
     on = list(on)
-    total = left.agg(F.count("*").alias("n")).scalar()
-    counted = left.groupBy(*on).count()
+    counted = left.groupBy(*on).count() if counts is None else counts
+    total = counted.agg(F.sum("count").alias("n")).scalar()
     hot = counted.filter(F.col("count") >= F.greatest(F.lit(hot_rows), total / hot_part)).select(*on, F.lit(True).alias("_hot"))
     hot = F.broadcast(hot)  # at most hot_part rows
     bucket = F.pmod(F.xxhash64(*spread), F.lit(buckets)).cast("int")

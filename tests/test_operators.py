@@ -343,14 +343,66 @@ def test_pairs_and_continents_from_files(spark, tmp_path):
     assert got == {"AZE": ["ASIA", "EUROPE"], "FRA": ["EUROPE"]}
 
 
-def test_deletion_variants_find_all_near_names(spark):
-    words = ["abies", "abie", "abiess", "bies", "xbies", "abiex", "ab", "abeis"]
-    df = spark.createDataFrame([(w,) for w in words], "w string").withColumn("v", F.explode(taxonomy.deletion_variants(F.col("w"))))
-    near = {(r[0], r[1]) for r in df.alias("a").join(df.alias("b"), "v").select("a.w", "b.w").distinct().filter(F.levenshtein("a.w", "b.w") <= 1).collect()}
-    brute = {(r[0], r[1]) for r in df.select("w").distinct().alias("a").crossJoin(df.select("w").distinct().alias("b")).filter(F.levenshtein("a.w", "b.w") <= 1).collect()}
+@pytest.mark.parametrize("edits", [1, 2, 3])
+def test_segments_find_all_near_names(spark, edits):
+    random.seed(edits)
+    words = {"".join(random.choice("ab c") for _ in range(random.randint(1, 9))) for _ in range(250)} | {"abies alba", "abise alba", "abiesalba", "xabies alb"}
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    probes = df.select("w", F.explode(taxonomy.segment_probes(F.col("w"), edits)).alias("s"))
+    stored = df.select(F.col("w").alias("v"), F.explode(taxonomy.name_segments(F.col("w"), edits)).alias("s"))
+    near = {(r[0], r[1]) for r in probes.join(stored, "s").select("w", "v").distinct().filter(F.levenshtein("w", "v") <= edits).collect()}
+    brute = {(r[0], r[1]) for r in df.alias("a").crossJoin(df.alias("b")).filter(F.levenshtein("a.w", "b.w") <= edits).select("a.w", "b.w").collect()}
     assert near == brute
 
 
+def _backbone(spark, rows):
+    """``key, name, authorship, rank, status, kingdom, family``."""
+    from catalog.names import complete
+
+    return complete(spark.createDataFrame(rows, "key int, name string, authorship string, rank string, status string, kingdom string, family string"))
+
+
+def _match(spark, backbone, asked, **more):
+    fields = ["kingdom", "phylum", "clazz", "order", "family", "genus", "scientificName", "genericName", "specificEpithet", "infraspecificEpithet", "scientificNameAuthorship", "rank"]
+    rows = [tuple([k, *[q.get(f) for f in fields]]) for k, q in asked.items()]
+    names = spark.createDataFrame(rows, "_key string, " + ", ".join(f"`{f}` string" for f in fields))
+    return {r["_key"]: (r["usage"]["key"], r["diagnostics"] and r["diagnostics"]["matchType"], r["diagnostics"] and r["diagnostics"]["confidence"]) for r in taxonomy.match_taxa(names, backbone, **more).collect()}
+
+
+def test_homonyms_are_ranked(spark):
+    backbone = _backbone(spark, [
+        (1, "Oenanthe", "Vieillot, 1816", "GENUS", "ACCEPTED", "Animalia", "Muscicapidae"), (2, "Oenanthe", "L.", "GENUS", "ACCEPTED", "Plantae", "Apiaceae"),
+        (3, "Aus bus", "Smith, 1900", "SPECIES", "ACCEPTED", "Animalia", None), (4, "Aus bus", "Jones, 1950", "SPECIES", "ACCEPTED", "Animalia", None),
+        (5, "Cus", None, "GENUS", "ACCEPTED", "Animalia", None), (6, "Cus", None, "SUBGENUS", "ACCEPTED", "Animalia", None),
+        (7, "Dus eus", "X", "SPECIES", "ACCEPTED", "Animalia", None), (8, "Dus eus", "X", "SPECIES", "SYNONYM", "Animalia", None),
+        (9, "Animalia", None, "KINGDOM", "ACCEPTED", "Animalia", None), (10, "Fus gus", None, "SPECIES", "ACCEPTED", "Plantae", None),
+        (11, "Hus lus", None, "SPECIES", "ACCEPTED", "Animalia", None), (12, "Hus mus", None, "SPECIES", "ACCEPTED", "Animalia", None),
+    ])
+    asked = {
+        "bird": {"scientificName": "Oenanthe", "kingdom": "Animalia"}, "plant": {"scientificName": "Oenanthe", "scientificNameAuthorship": "Linnaeus"},
+        "plant by family": {"scientificName": "Oenanthe", "family": "Apiaceae"}, "plant in full": {"scientificName": "Oenanthe L."}, "nothing tells": {"scientificName": "Oenanthe"},
+        "smith": {"scientificName": "Aus bus Smith, 1900"}, "jones": {"scientificName": "Aus bus", "scientificNameAuthorship": "(Jones 1950)"}, "stripped": {"scientificName": "Aus bus Jones", "scientificNameAuthorship": "Jones"},
+        "neither": {"scientificName": "Aus bus", "kingdom": "Animalia"}, "genus": {"scientificName": "Cus", "rank": "genus"}, "subgenus": {"scientificName": "Cus", "rank": "SUBGENUS"},
+        "accepted": {"scientificName": "Dus eus"}, "other kingdom": {"scientificName": "Fus gus", "kingdom": "Animalia"}, "two near": {"scientificName": "Hus nus", "kingdom": "Animalia"},
+    }
+    got = _match(spark, backbone, asked)
+    assert {k: v[0] for k, v in got.items()} == {
+        "bird": 1, "plant": 2, "plant by family": 2, "plant in full": 2, "nothing tells": 0, "smith": 3, "jones": 4, "stripped": 4, "neither": 9, "genus": 5, "subgenus": 6,
+        "accepted": 7, "other kingdom": 9, "two near": 9,
+    }
+    assert got["bird"][1:] == ("EXACT", 93) and got["accepted"][2] == 82 and got["neither"][1] == "HIGHERRANK" and got["other kingdom"][1] == "HIGHERRANK"
+
+
+def test_crowded_segments_are_dealt_out(spark):
+    """Thousands of names share their first half; parts of it hold few, and the result is the same."""
+    rows = [(k, f"Commonus{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)} albus", None, "SPECIES", "ACCEPTED", "Animalia", None) for k in range(3000)]
+    backbone = _backbone(spark, rows)
+    index = taxonomy.name_index(backbone, 1, crowd=50)
+    assert index.segments.groupBy("_s", "_bucket").count().agg(F.max("count")).first()[0] < 120 and index.crowded.count() > 0
+    asked = {"a": {"scientificName": "Commonusaab albu", "kingdom": "Animalia"}, "b": {"scientificName": "Komonusaaa albus", "kingdom": "Animalia"}}
+    assert _match(spark, index, asked) == _match(spark, taxonomy.name_index(backbone, 1), asked) and _match(spark, index, asked)["a"][1] == "FUZZY"
+
+
 def test_sources_round_trip(spark, tmp_path):
     from fieldbook.schema import VERBATIM
 
