@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog.base import RUN_TS, Tables, joined, query, vocabulary
@@ -12,11 +14,11 @@ from catalog.temporal import _SPELLINGS
 from catalog.terms import _COUNT_TEXT, _TRAIT
 from fieldbook.functions.dates import DMY
 from fieldbook.operators import geocode
-from fieldbook.operators.checkpoints import materialize
-from fieldbook.plans import LocationDims, basic_view, event_view, location_view, occurrence_view, taxon_view, temporal_view
+from fieldbook.operators.checkpoints import materialize, shared_folder
+from fieldbook.plans import LocationDims, basic_view, event_view, interpret, location_view, occurrence_view, taxon_view, temporal_view
 from fieldbook.schema import DWC_NS, uri
 from fieldbook.sources import dims
-from fieldbook.sources.verbatim import to_json_lines
+from fieldbook.sources.verbatim import read_views, to_json_lines, write_views
 
 #: Places on eighths of degrees, so that text and number agree; both engines.
 _LAT = "cast((event_id * 37) % 1440 as double) / 8 - 90"
@@ -230,14 +232,12 @@ def location(t: Tables):
     """,
 )
 def occurrence_json(t: Tables):
-    v = verbatim(t)
-    view = occurrence_view(
-        v,
-        basic_view(v, vocabulary(t.spark), RUN_TS),
-        taxon_view(v, backbone(t), RUN_TS),
-        location_view(v, location_dims(t), RUN_TS),
-        temporal_view(v, RUN_TS, orderings=[DMY]),
-    )
+    """The whole way: interpreted, written in buckets, joined from there and turned into JSON."""
+    views, kept, _ = interpret(verbatim(t), vocabulary(t.spark), backbone(t), location_dims(t), RUN_TS, orderings=[DMY])
+    out, buckets = f"{shared_folder(t.spark)}/occurrence-{uuid.uuid4().hex}", int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    write_views({"verbatim": kept.select("id", "coreId"), **views}, out, buckets=buckets)
+    stored = read_views(t.spark, out, ["verbatim", *views], buckets)
+    view = occurrence_view(stored.pop("verbatim"), **stored)
     doc = to_json_lines(view, "doc")
     return doc.select(
         "id",

@@ -15,6 +15,7 @@ from fieldbook.plans.basic import basic_view
 from fieldbook.plans.location import LocationDims, location_view
 from fieldbook.plans.taxon import taxon_view
 from fieldbook.plans.temporal import temporal_view
+from fieldbook.sources.verbatim import split_readable
 
 _SHARED = ("coreId", "parentId", "created", "issues")
 
@@ -22,7 +23,8 @@ _SHARED = ("coreId", "parentId", "created", "issues")
 def occurrence_view(verbatim: DataFrame, basic: DataFrame, taxon: DataFrame, location: DataFrame, temporal: DataFrame) -> DataFrame:
     """One row per verbatim record with the columns of the four views; issues are pooled.
 
-    All joins are on the id, so the left side is shuffled once."""
+    All joins are on the id, so the left side is shuffled once, and nothing is where all are read in
+    buckets (``read_views``; the verbatim records may be one of the views)."""
     out = verbatim.select("id", "coreId")
     for name, view in (("basic", basic), ("taxon", taxon), ("location", location), ("temporal", temporal)):
         renamed = [F.col("issues").alias(f"_{name}_issues")]
@@ -43,9 +45,10 @@ def interpret(
     **temporal_options,
 ) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
     """The four views by name, ready for ``write_views``; the records they are made of; and the
-    rejects: records without an id or core terms, and all records of an id that is not unique,
-    with the reason."""
-    valid, bad = split_valid(verbatim)
+    rejects with the reason: what could not be read (with its text as ``raw``), records without an
+    id or core terms, and all records of an id that is not unique."""
+    read, unread = split_readable(verbatim)
+    valid, bad = split_valid(read)
     once, repeated = split_repeated(valid)
     verbatim = materialize(once)
     views = {
@@ -54,4 +57,4 @@ def interpret(
         "location": location_view(verbatim, dims, run_ts),
         "temporal": temporal_view(verbatim, run_ts, **temporal_options),
     }
-    return views, verbatim, bad.unionByName(repeated)
+    return views, verbatim, bad.unionByName(repeated).unionByName(unread, allowMissingColumns=True)

@@ -505,3 +505,47 @@ def test_interpret_rejects_and_publishing_country(spark):
     keyed = spark.createDataFrame([(*record("1"), "a"), (*record("2"), "b"), (*named, "b")], fields)
     view = location_view(keyed, where, datetime(2025, 1, 1, tzinfo=timezone.utc))
     assert {r["id"]: r["publishingCountry"] for r in view.collect()} == {"1": "ML", "2": "TD", "3": "ML"}
+
+
+def test_views_in_buckets(spark, tmp_path):
+    """Views that lie in buckets are joined without a shuffle; a failed run changes nothing."""
+    from fieldbook.plans.occurrence import occurrence_view
+
+    shared = ["coreId", "parentId", "created"]
+    base = spark.range(500).selectExpr("cast(id as string) as id", *[f"'{c}' as {c}" for c in shared])
+    views = {n: base.withColumns({n[0]: F.col("id"), "issues": F.array(F.lit(n.upper()))}) for n in ("basic", "taxon", "location", "temporal")}
+    out = str(tmp_path / "views")
+    verbatim.write_views({"verbatim": base.select("id", "coreId"), **views}, out, buckets=4)
+    stored = verbatim.read_views(spark, out, ["verbatim", *views], 4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = occurrence_view(stored["verbatim"], **{n: stored[n] for n in views})
+        rows = joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange" not in plan and plan.count("SortMergeJoin") >= 4
+    assert len(rows) == 500 and all(r["b"] == r["t"] == r["l"] == r["id"] and set(r["issues"]) == {"BASIC", "TAXON", "LOCATION", "TEMPORAL"} for r in rows)
+    broken = base.select("id", F.raise_error(F.lit("no")).alias("x"))
+    with pytest.raises(Exception, match="no"):
+        verbatim.write_views({"basic": base.limit(1), "taxon": broken}, out, buckets=4)
+    assert verbatim.read_views(spark, out, ["basic"], 4)["basic"].count() == 500
+    verbatim.write_views({"basic": base.limit(3)}, out)
+    assert verbatim.read_views(spark, out, ["basic"])["basic"].count() == 3 and sorted(p.name for p in tmp_path.iterdir() if p.name.endswith(".old")) == []
+
+
+def test_unreadable_records_are_rejects(spark, tmp_path):
+    from fieldbook.plans.occurrence import split_readable
+
+    good = json.dumps({"id": "1", "coreTerms": {"a": "b"}})
+    (tmp_path / "in.json").write_text("\n".join([good, '{"id": "2", "coreTerms": {', '{"id": "3", "coreTerms": "none"}', "", '{"coreTerms": {"a": "b"}}']))
+    read = verbatim.read_verbatim(spark, str(tmp_path), "json", unreadable=True)
+    kept, bad = split_readable(read)
+    assert sorted(r["id"] or "" for r in kept.collect()) == ["", "1"] and "raw" not in kept.columns
+    assert {(r["reason"], r["raw"]) for r in bad.collect()} == {("RECORD_UNREADABLE", '{"id": "2", "coreTerms": {'), ("RECORD_UNREADABLE", '{"id": "3", "coreTerms": "none"}')}
+    valid, missing = records.split_valid(kept)
+    rejects = missing.unionByName(bad, allowMissingColumns=True)
+    assert valid.count() == 1 and sorted(r["reason"] for r in rejects.collect()) == ["ID_MISSING", "RECORD_UNREADABLE", "RECORD_UNREADABLE"]
+    again = verbatim.read_verbatim(spark, str(tmp_path), "json")
+    assert split_readable(again)[1].count() == 0 and again.count() == 4
