@@ -20,8 +20,8 @@ from .shared import columns_as, keep, ship
 #: Columns of a block, and the quantile of the test.
 COLUMNS, QUANTILE = 16, 2.5
 
-#: Vectors and queries that meet in one task.
-BLOCK = 4096
+#: Vectors and queries that meet in one task, and the part of a query's lists that is scanned first.
+BLOCK, FIRST = 4096, 0.1
 
 #: Rows that centroids are fitted on, rows that give first thresholds, and queries that the number
 #: of probed lists is chosen by.
@@ -106,7 +106,9 @@ def neighbours(vectors: DataFrame, k: int = 20, every: int = 20, recall: float =
     most ``SAMPLE`` rows, the index has every row.  How many lists a query probes is set by brute
     force: ``TRIALS`` queries are held against all rows, and the least number is taken that finds
     a part ``recall`` of their true neighbours.  Every query starts with the k-th best inner
-    product on ``SEEDS`` rows as threshold, which later tests refer to.
+    product on ``SEEDS`` rows as threshold, which the tests refer to.  Its nearest lists are scanned
+    first, a part ``FIRST`` of those it probes; the k-th best product found there is the threshold of
+    the rest, so that only what improves on it leaves a task.
 
     Lists of more than ``BLOCK`` vectors, and the queries of a list beyond that many, are split;
     every block of vectors meets every block of queries of its list, so no list is too large for a
@@ -144,35 +146,41 @@ def neighbours(vectors: DataFrame, k: int = 20, every: int = 20, recall: float =
     queries = rows.where(F.col("id") % every == 0)
     probes = _probes(index, least_hash(queries.dropDuplicates(["id"]), TRIALS, 2), shared.value[0], norm, rotation, k, recall)
 
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c, seeds, seed_ids = shared.value
+    def seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, seeds, seed_ids = shared.value
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 ids, v = part.column(0).to_numpy(), matrix(part.column(1))
-                q = as_queries(v, norm, rotation)
-                order = np.argsort(np.einsum("ij,ij->i", c, c) - 2 * q @ c.T, axis=1, kind="stable")[:, :probes]
                 known = np.where(ids[:, None] == seed_ids[None, :], -np.inf, v @ seeds.T)
                 floor = -np.sort(-known, axis=1)[:, k - 1] if known.shape[1] >= k else np.full(len(v), -np.inf)
-                floor = np.where(np.isfinite(floor), floor - 1e-9 * np.abs(floor) - 1e-12, -1e300)
-                take = pa.array(np.repeat(np.arange(len(ids)), probes))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(take), part.column(1).take(take), pa.array(np.repeat(floor, probes)), pa.array(order.ravel().astype(np.int32))], ["id", "v", "floor", "list"]
-                )
-
-    routed = queries.mapInArrow(route, "id bigint, v array<double>, floor double, list int")
-    # As many rows as lists: the blocks of every list's vectors and queries.
-    sizes = index.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    asked = routed.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("asked"))
-    blocks = F.broadcast(keep(sizes.join(asked, "list"), "ann-blocks"))
-
-    def split(df: DataFrame, own: str, n: str, other: str, m: str) -> DataFrame:
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(np.where(np.isfinite(floor), floor, -1e300))], ["id", "v", "floor"])
+
+    first = max(1, ceil(FIRST * probes))
+
+    def route(low: int, high: int):
+        """Queries with the lists that stand at these places in their order of nearness."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            c = shared.value[0]
+            for batch in batches:
+                for at in range(0, batch.num_rows, 1024):
+                    part = batch.slice(at, 1024)
+                    q = as_queries(matrix(part.column(1)), norm, rotation)
+                    order = np.argsort(np.einsum("ij,ij->i", c, c) - 2 * q @ c.T, axis=1, kind="stable")[:, low:high]
+                    floor = part.column(2).to_numpy()
+                    floor = np.where(floor > -1e299, floor - 1e-9 * np.abs(floor) - 1e-12, floor)
+                    take = pa.array(np.repeat(np.arange(part.num_rows), order.shape[1]))
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0).take(take), part.column(1).take(take), pa.array(np.repeat(floor, order.shape[1])), pa.array(order.ravel().astype(np.int32))], ["id", "v", "floor", "list"]
+                    )
+
+        return run
+
+    def split(df: DataFrame, blocks: DataFrame, own: str, n: str, other: str, m: str) -> DataFrame:
         cut = df.join(blocks, "list").withColumn(own, F.pmod(F.xxhash64("id"), F.col(n)).cast("int"))
         return cut.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(m) - 1))).drop(n, m)
 
-    left = split(routed, "qp", "asked", "xp", "parts").select("list", "qp", "xp", "id", "v", "floor")
-    right = split(index, "xp", "parts", "qp", "asked").select("list", "qp", "xp", "id", "v")
-
     def meet(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
         none = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
         if queries.empty or candidates.empty:
@@ -210,11 +218,31 @@ def neighbours(vectors: DataFrame, k: int = 20, every: int = 20, recall: float =
                 qi, xi = qi[np.isfinite(known[qi, xi])], xi[np.isfinite(known[qi, xi])]
                 yield pa.RecordBatch.from_arrays([pa.array(ids[qi]), pa.array(seed_ids[xi]), pa.array((v[qi] * seeds[xi]).sum(axis=1))], ["query_id", "vec_id", "score"])
 
-    key = ["list", "qp", "xp"]
-    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(meet, "query_id bigint, vec_id bigint, score double")
-    found = found.union(queries.mapInArrow(start, found.schema)).distinct()
+    # As many rows as lists.
+    sizes = keep(index.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")), "ann-sizes")
+
+    def search(asked: DataFrame, low: int, high: int) -> DataFrame:
+        routed = asked.mapInArrow(route(low, high), "id bigint, v array<double>, floor double, list int")
+        counts = routed.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("asked"))
+        blocks = F.broadcast(keep(sizes.join(counts, "list"), "ann-blocks"))
+        left = split(routed, blocks, "qp", "asked", "xp", "parts").select("list", "qp", "xp", "id", "v", "floor")
+        right = split(index, blocks, "xp", "parts", "qp", "asked").select("list", "qp", "xp", "id", "v")
+        key = ["list", "qp", "xp"]
+        return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(meet, "query_id bigint, vec_id bigint, score double")
+
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    def top(found: DataFrame) -> DataFrame:
+        return found.distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+    asked = keep(queries.mapInArrow(seeded, "id bigint, v array<double>, floor double"), "ann-queries")
+    seen = queries.mapInArrow(start, "query_id bigint, vec_id bigint, score double")
+    near = keep(top(search(asked, 0, first).union(seen)).drop("rank"), "ann-near")
+    if first < probes:
+        floors = near.groupBy(F.col("query_id").alias("id")).agg(F.min("score").alias("least"), F.count("*").alias("n")).where(F.col("n") == k)
+        nearer = asked.join(floors, "id", "left").select("id", "v", F.greatest("floor", "least").alias("floor"))
+        near = near.union(search(keep(nearer, "ann-thresholds"), first, probes))
+    return top(near).select("query_id", "rank", "vec_id", "score")
 
 
 def _probes(index: DataFrame, trials: DataFrame, c: np.ndarray, norm: float, rotation: np.ndarray, k: int, recall: float) -> int:
