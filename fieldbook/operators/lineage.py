@@ -9,87 +9,60 @@ from fieldbook.functions.issues import collect_issues, flag
 from fieldbook.operators.checkpoints import materialize
 from fieldbook.operators.joins import skew_join
 
-#: Rounds of doubling: enough for chains of 2**40 ancestors; longer ones are an error.
-MAX_ROUNDS = 40
-
 LOOP_ISSUE = "EVENT_ID_TO_PARENT_ID_LOOPING_ISSUE"
 
+_CHAIN = "array<struct<id:string,eventType:string>>"
+
 
-def _ancestors(events: DataFrame, rounds: int = MAX_ROUNDS, **skew) -> DataFrame:
-    """Per event that is some event's parent: its ancestors from the nearest up (``path``), and
-    whether the walk comes back to where it was (``loop``).
+def _ancestors(events: DataFrame, **skew) -> DataFrame:
+    """Per event that is some event's parent: ``id, eventType``, its ancestors from the nearest up
+    (``chain``, with their types), and whether the walk never ends (``loop``).
 
-    Chains double in length every round: the path of the last known ancestor is appended to one's
-    own, so a chain of a thousand takes ten joins.  Finished chains drop out of the joins."""
+    Every event points to an ancestor (``jump``) and knows all before it.  In a round it takes over
+    the chain and the pointer of the one it points to, so chains double by one join, and finished
+    ones leave the joins.  An event of finite depth has ancestors of every smaller depth; so if none
+    finishes in a round, none will any more, and what is left runs in circles.  No chain is compared
+    with itself for that, and none of those grows beyond twice the longest finite one."""
     # Parents only: far fewer rows than events, and the leaves below a hot parent are left out.
     parents = events.select(F.col("parentId").alias("id")).filter("id IS NOT NULL").distinct()
-    nodes = events.join(parents, "id", "left_semi").select("id", "parentId")
-    known = nodes.select(F.col("id").alias("parentId"), F.lit(True).alias("_exists"))
-    start = nodes.join(known, "parentId", "left")
-    paths = materialize(
+    nodes = materialize(events.join(parents, "id", "left_semi").select("id", "parentId", "eventType"))
+    above = nodes.select(F.col("id").alias("parentId"), F.array(F.struct("id", "eventType")).cast(_CHAIN).alias("_above"))
+    start = skew_join(nodes, above, ["parentId"], "left", spread=["id"], **skew)
+    reached = materialize(
         start.select(
-            "id",
-            F.when(F.col("_exists"), F.array(F.col("parentId"))).otherwise(F.array().cast("array<string>")).alias("path"),
-            F.coalesce(F.col("parentId") == F.col("id"), F.lit(False)).alias("loop"),
-            (~F.coalesce(F.col("_exists"), F.lit(False))).alias("done"),
+            "id", "eventType",
+            F.coalesce("_above", F.array().cast(_CHAIN)).alias("chain"),
+            F.when(F.col("_above").isNotNull(), F.col("parentId")).alias("jump"),
         )
     )
-    for _ in range(rounds):
-        if paths.filter("NOT done AND NOT loop").limit(1).count() == 0:
-            break
-        open_rows = paths.filter("NOT done AND NOT loop").withColumn("_last", F.element_at("path", -1))
-        step = paths.select(
-            F.col("id").alias("_last"), F.col("path").alias("_more"), F.col("loop").alias("_loop"), F.col("done").alias("_done")
-        )
-        joined = skew_join(open_rows, step, ["_last"], "left", spread=["id"], **skew)
-        longer = F.concat("path", "_more")
-        grown = joined.select(
-            "id",
-            longer.alias("path"),
-            # Back at an id seen before: the event itself, or any ancestor twice.
-            (
-                F.col("_loop")
-                | F.array_contains(longer, F.col("id"))
-                | (F.size(F.array_distinct(longer)) < F.size(longer))
-            ).alias("loop"),
-            F.col("_done").alias("done"),
+    ended, before = reached.filter("jump IS NULL").count(), -1
+    while ended != before:
+        way = reached.select(F.col("id").alias("jump"), F.col("chain").alias("_chain"), F.col("jump").alias("_jump"))
+        grown = skew_join(reached.filter("jump IS NOT NULL"), way, ["jump"], "inner", spread=["id"], **skew).select(
+            "id", "eventType", F.concat("chain", "_chain").alias("chain"), F.col("_jump").alias("jump")
         )
-        paths = materialize(paths.filter("done OR loop").unionByName(grown))
-    else:
-        if paths.filter("NOT done AND NOT loop").limit(1).count():
-            raise ValueError(f"a parent chain is longer than 2**{rounds}")
-    return paths.select("id", F.when(~F.col("loop"), F.col("path")).alias("path"), "loop")
+        reached = materialize(reached.filter("jump IS NULL").unionByName(grown))
+        before, ended = ended, reached.filter("jump IS NULL").count()
+    loop = F.col("jump").isNotNull()
+    return reached.select("id", "eventType", F.when(~loop, F.col("chain")).alias("chain"), loop.alias("loop"))
 
 
-def expand_lineage(events: DataFrame, rounds: int = MAX_ROUNDS, **skew) -> DataFrame:
+def expand_lineage(events: DataFrame, **skew) -> DataFrame:
     """Add the parents of each event to ``id, parentId, eventType``.
 
     ``parentsLineage`` holds ``(id, eventType, order)`` from the nearest parent, numbered from 1,
     up to the last one that exists; it is null where no parent was named or the chain loops, and
     the latter is an issue.  Types come out as they are in ``eventType``."""
     events = materialize(events.select("id", "parentId", "eventType"))
-    up = _ancestors(events, rounds, **skew)
-    # The chain of a parent, with types, is built once per parent and shared by its children.
-    chains = up.select("id", "loop", F.posexplode_outer(F.concat(F.array("id"), F.col("path"))).alias("_pos", "_node"))
-    types = events.select(F.col("id").alias("_node"), "eventType")
-    typed = skew_join(chains, types, ["_node"], "left", spread=["id"], **skew)
-    # One group is one chain.
-    lineage = typed.groupBy(F.col("id").alias("parentId")).agg(
-        F.bool_or("loop").alias("_loop"),
-        F.sort_array(
-            F.collect_list(
-                F.when(
-                    F.col("_node").isNotNull(),
-                    F.struct((F.col("_pos") + 1).alias("order"), F.col("_node").alias("id"), F.col("eventType").alias("eventType")),
-                )
-            )
-        ).alias("_chain"),
+    # The chain of a parent is built once and shared by its children.
+    lineage = _ancestors(events, **skew).select(
+        F.col("id").alias("parentId"), F.concat(F.array(F.struct("id", "eventType")).cast(_CHAIN), F.col("chain")).alias("_chain"), F.col("loop").alias("_loop")
     )
     out = skew_join(events, lineage, ["parentId"], "left", spread=["id"], **skew)
     loop = F.coalesce(F.col("_loop"), F.lit(False))
     chain = F.transform(
-        F.coalesce(F.col("_chain"), F.expr("cast(array() as array<struct<order:int,id:string,eventType:string>>)")),
-        lambda e: F.struct(e["id"].alias("id"), e["eventType"].alias("eventType"), e["order"].alias("order")),
+        F.coalesce(F.col("_chain"), F.array().cast(_CHAIN)),
+        lambda e, i: F.struct(e["id"].alias("id"), e["eventType"].alias("eventType"), (i + 1).alias("order")),
     )
     return out.select(
         "id",

@@ -434,12 +434,15 @@ def test_broadcast_is_checked_by_bytes(spark):
     assert joins.fits_broadcast(wide, 10) and not joins.fits_broadcast(wide, 10, max_bytes=5000)
 
 
-def test_chain_beyond_the_rounds_fails(spark):
+def test_long_chains_and_rings(spark):
     rows = [(str(i), str(i + 1) if i < 20 else None, "t") for i in range(21)]
     events = spark.createDataFrame(rows, "id string, parentId string, eventType string")
     assert lineage.expand_lineage(events).where("size(parentsLineage) = 20").count() == 1
-    with pytest.raises(ValueError):
-        lineage.expand_lineage(events, rounds=2)
+    # A chain of 1,500 takes as many rounds as its length has bits, and rings never hold them up.
+    n = 1500
+    pairs = [(str(k), str(k - 1) if k else None) for k in range(n)] + [(f"r{k}", f"r{(k + 1) % 700}") for k in range(700)] + [("tail", "r3"), ("last", str(n - 1))]
+    found = {r["id"]: (r["n"], r["far"], r["issues"]) for r in lineage.expand_lineage(_events(spark, pairs)).select("id", F.size("parentsLineage").alias("n"), F.element_at("parentsLineage", -1)["id"].alias("far"), "issues").collect() if r["id"] in ("last", "tail", "r5", "0", "7")}
+    assert found["last"][:2] == (n, "0") and found["7"][:2] == (7, "0") and found["tail"][2] == found["r5"][2] == [lineage.LOOP_ISSUE]
 
 
 def test_three_letter_codes(spark, tmp_path):
