@@ -108,11 +108,16 @@ VOCABULARY_ROWS = [
     ("continent", "europe", "EUROPE", None, None),
     ("continent", "oceania", "OCEANIA", None, None),
     ("continent", "america", "NORTH_AMERICA", None, None),
+    ("establishmentMeans", "native", "Native", None, None),
+    ("degreeOfEstablishment", "managed", "Managed", "Captive", None),
+    ("pathway", "escape", "Escape", "Unintended/Any", None),
     ("geologicalContext", "phanerozoic", "Phanerozoic", None, "rank:eon;startAge:538.8;endAge:0"),
     ("geologicalContext", "mesozoic", "Mesozoic", "Phanerozoic", "rank:era;startAge:251.9;endAge:66"),
     ("geologicalContext", "cenozoic", "Cenozoic", "Phanerozoic", "rank:era;startAge:66;endAge:0"),
     ("geologicalContext", "jurassic", "Jurassic", "Mesozoic/Phanerozoic", "rank:period;startAge:201.4;endAge:145"),
     ("geologicalContext", "cretaceous", "Cretaceous", "Mesozoic/Phanerozoic", "rank:period;startAge:145;endAge:66"),
+    ("geologicalContext", "late jurassic", "Late Jurassic", "Jurassic/Mesozoic/Phanerozoic", "rank:epoch;startAge:161.5;endAge:145"),
+    ("geologicalContext", "tithonian", "Tithonian", "Late Jurassic/Jurassic/Mesozoic/Phanerozoic", "rank:age;startAge:149.2;endAge:145"),
     ("geologicalContext", "neogene", "Neogene", "Cenozoic/Phanerozoic", "rank:period;startAge:23.03;endAge:2.58"),
 ]
 

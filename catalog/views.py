@@ -5,8 +5,9 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from catalog.base import RUN_TS, Tables, joined, query, vocabulary
+from catalog.base import RUN_TS, VOCABULARY_ROWS, Tables, joined, query, vocabulary
 from catalog.geography import CODES, _BOX_COLS, _HITS_SQL, _PAIR_SETS, country_continents, nations, regions
 from catalog.lineage import _PARENT, _WALK
 from catalog.names import complete
@@ -28,6 +29,70 @@ _GIVEN_SQL = "(['" + "', '".join(CODES) + "'])[(event_id * 7) % 25 + 1]"
 _NAME = "case event_id % 4 when 0 then event_type when 1 then event_type || 'x' when 2 then 'zzzz' end"
 
 
+#: Terms that give every column of the views a value in some records.
+_MORE_TERMS = {
+    "establishmentMeans": "case event_id % 3 when 0 then 'Native' when 1 then 'unheard of' end",
+    "degreeOfEstablishment": "case when event_id % 4 = 0 then 'managed' end",
+    "pathway": "case when event_id % 5 = 0 then 'escape' end",
+    "typeStatus": "case when event_id % 6 = 0 then 'RED | bolt' end",
+    "typifiedName": "case when event_id % 7 = 0 then 'Abies alba' end",
+    "sampleSizeValue": "cast(event_id % 10 as string)",
+    "sampleSizeUnit": "'m2'",
+    "organismQuantity": "cast(event_id % 5 * 2 as string)",
+    "organismQuantityType": "case when event_id % 2 = 0 then 'M2' else 'individuals' end",
+    "references": "case when event_id % 4 = 1 then 'https://example.org/x' end",
+    "license": "case when event_id % 3 = 0 then 'http://creativecommons.org/publicdomain/zero/1.0/legalcode' end",
+    "identifiedByID": "case when event_id % 4 = 2 then 'https://orcid.org/0000-0002-1825-0097' end",
+    "recordedByID": "case when event_id % 4 = 3 then 'someone' end",
+    "datasetID": "'d1 | d2'",
+    "datasetName": "case when event_id % 2 = 1 then 'set' end",
+    "otherCatalogNumbers": "'a; b | c'",
+    "identifiedBy": "case when event_id % 3 = 2 then 'Ann | | Bob' end",
+    "preparations": "'skin'",
+    "samplingProtocol": "'net|trap'",
+    "projectId": "case when event_id % 2 = 0 then 'p1' end",
+    "associatedSequences": "case when event_id % 9 = 0 then 's1; s2' end",
+    "earliestEonOrLowestEonothem": "case when event_id % 4 = 0 then 'Phanerozoic' end",
+    "earliestEraOrLowestErathem": "case when event_id % 4 = 0 then 'mesozoic' end",
+    "latestEraOrHighestErathem": "case when event_id % 8 = 0 then 'mesozoic' end",
+    "earliestPeriodOrLowestSystem": "case when event_id % 4 = 0 then 'jurassic' end",
+    "earliestEpochOrLowestSeries": "case when event_id % 4 = 0 then 'late jurassic' end",
+    "earliestAgeOrLowestStage": "case when event_id % 8 = 0 then 'tithonian' end",
+    "lowestBiostratigraphicZone": "'zone a'",
+    "highestBiostratigraphicZone": "case when event_id % 2 = 0 then ' zone b ' end",
+    "group": "'group ' || event_id % 3",
+    "formation": "case when event_id % 5 = 0 then 'null' else 'formation' end",
+    "member": "'member'",
+    "bed": "case when event_id % 2 = 1 then 'bed' end",
+    "waterBody": "'NORTH  SEA'",
+    "stateProvince": "'Oslo'",
+    "locality": "case when event_id % 2 = 0 then 'by the  SHORE' end",
+    "minimumElevationInMeters": "cast(event_id % 100 as string) || ' m'",
+    "maximumElevationInMeters": "cast(event_id % 100 + 10 as string)",
+    "minimumDepthInMeters": "case when event_id % 2 = 0 then cast(event_id % 30 as string) end",
+    "minimumDistanceAboveSurfaceInMeters": "'2'",
+    "maximumDistanceAboveSurfaceInMeters": "case when event_id % 2 = 0 then '3 m' end",
+    "coordinatePrecision": "'0.01'",
+    "footprintWKT": "case when event_id % 5 = 0 then 'POLYGON((0 0, 0 1, 1 1, 0 0))' end",
+    "higherGeography": "'World | Europe'",
+    "georeferencedBy": "case when event_id % 3 = 0 then 'Ann' end",
+    "modified": "'2020-01-02'",
+    "dateIdentified": "case when event_id % 3 = 0 then '2019-03-04' end",
+}
+
+
+def whole(view):
+    """All columns of a view: lists of text joined, what is nested as JSON."""
+
+    def flat(f):
+        kind = f.dataType
+        if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StringType):
+            return joined(F.array_sort(f.name) if f.name == "issues" else F.col(f.name))
+        return F.to_json(f.name) if isinstance(kind, (T.ArrayType, T.StructType, T.MapType)) else F.col(f.name)
+
+    return view.select(*[flat(f).alias(f.name) for f in view.schema.fields])
+
+
 def verbatim(t: Tables):
     """One record per event."""
     e = t.events.select(
@@ -49,6 +114,7 @@ def verbatim(t: Tables):
         "eventType": F.col("event_type"),
         "coordinateUncertaintyInMeters": F.expr("case when event_id % 3 = 0 then '-' || cast(event_id % 50 as string) || ' m' end"),
     }
+    terms |= {name: F.expr(text) for name, text in _MORE_TERMS.items()}
     entries = [x for name, value in terms.items() for x in (F.lit(uri(name)), value)]
     return e.select(
         F.col("event_id").cast("string").alias("id"),
@@ -112,71 +178,112 @@ def records_per_year_and_issue(t: Tables):
     "temporal_view",
     f"""
     WITH p AS (SELECT event_id, ts, event_id % 6 AS k, strftime(ts, '%Y-%m-%d') AS day FROM events)
-    SELECT cast(event_id AS varchar) AS id, {_PARENT} AS parent_id, CASE WHEN {_DATE_OK} THEN year(ts) END AS year, CASE WHEN {_DATE_OK} THEN month(ts) END AS month, CASE WHEN {_DATE_OK} AND k <> 4 THEN day(ts) END AS day,
-      CASE WHEN {_DATE_OK} THEN CASE k WHEN 4 THEN day[1:7] || '-01T00:00:00.000' WHEN 5 THEN day || 'T10:11:12.000' ELSE day || 'T00:00:00.000' END END AS gte,
-      CASE WHEN {_DATE_OK} THEN CASE k WHEN 4 THEN strftime(last_day(ts), '%Y-%m-%d') || 'T23:59:59.999' WHEN 5 THEN day || 'T10:11:12.000' ELSE day || 'T23:59:59.999' END END AS lte,
-      CASE WHEN {_DATE_OK} AND k <> 4 THEN dayofyear(ts) END AS start_day, CASE WHEN {_DATE_OK} THEN '' ELSE 'RECORDED_DATE_INVALID' END AS issues
+    SELECT cast(event_id AS varchar) AS id, NULL AS "coreId", {_PARENT} AS "parentId", {int(RUN_TS.timestamp() * 1000)} AS created, CASE WHEN {_DATE_OK} THEN year(ts) END AS year, CASE WHEN {_DATE_OK} THEN month(ts) END AS month,
+      CASE WHEN {_DATE_OK} AND k <> 4 THEN day(ts) END AS day,
+      CASE WHEN {_DATE_OK} THEN '{{"gte":"' || CASE k WHEN 4 THEN day[1:7] || '-01T00:00:00.000' WHEN 5 THEN day || 'T10:11:12.000' ELSE day || 'T00:00:00.000' END || '","lte":"'
+        || CASE k WHEN 4 THEN strftime(last_day(ts), '%Y-%m-%d') || 'T23:59:59.999' WHEN 5 THEN day || 'T10:11:12.000' ELSE day || 'T23:59:59.999' END
+        || '","interval":"' || CASE k WHEN 4 THEN day[1:7] WHEN 5 THEN day || 'T10:11:12' ELSE day END || '"}}' ELSE '{{}}' END AS "eventDate",
+      CASE WHEN {_DATE_OK} AND k <> 4 THEN dayofyear(ts) END AS "startDayOfYear", CASE WHEN {_DATE_OK} AND k <> 4 THEN dayofyear(ts) END AS "endDayOfYear", '2020-01-02' AS modified,
+      CASE WHEN event_id % 3 = 0 THEN '2019-03-04' END AS "dateIdentified", NULL AS "datePrecision", CASE WHEN {_DATE_OK} THEN '' ELSE 'RECORDED_DATE_INVALID' END AS issues
     FROM p
     """,
 )
 def temporal(t: Tables):
-    v = temporal_view(verbatim(t), RUN_TS, orderings=[DMY])
-    return v.select(
-        "id", F.col("parentId").alias("parent_id"), "year", "month", "day", F.col("eventDate.gte").alias("gte"), F.col("eventDate.lte").alias("lte"),
-        F.col("startDayOfYear").alias("start_day"), joined(F.col("issues")).alias("issues"),
-    )
+    return whole(temporal_view(verbatim(t), RUN_TS, orderings=[DMY]))
+
+
+_CREATED = int(RUN_TS.timestamp() * 1000)
+
+
+def _concept(name: str, *above: str) -> str:
+    """A concept of the vocabulary as JSON."""
+    return '{"concept":"%s","lineage":[%s]}' % (name, ",".join(f'"{x}"' for x in (*above, name)))
+
+
+def _stage(concept: str) -> str:
+    """A concept of the geological vocabulary as JSON, with its tags."""
+    above, tags = next((above, tags) for v, _, c, above, tags in VOCABULARY_ROWS if v == "geologicalContext" and c == concept)
+    pairs = sorted((k.lower(), x) for k, x in (tag.split(":") for tag in tags.split(";")))
+    return _concept(concept, *reversed(above.split("/") if above else []))[:-1] + ',"tags":[' + ",".join(f'{{"name":"{k}","value":"{x}"}}' for k, x in pairs) + "]}"
+
+
+def _json(*fields: tuple[str, str, str]) -> str:
+    """SQL for a JSON object without the fields that are null: (name, condition, SQL of the value)."""
+    parts = ", ".join(f"CASE WHEN {when} THEN '\"{name}\":' || {value} END" for name, when, value in fields)
+    return f"'{{' || concat_ws(',', {parts}) || '}}'"
+
+
+_quoted = "'\"' || {} || '\"'".format
+_FIRST = "event_id % 4 = 0"
+_CONTEXT = _json(
+    ("earliestEonOrLowestEonothem", _FIRST, f"'{_stage('Phanerozoic')}'"), ("earliestEraOrLowestErathem", _FIRST, f"'{_stage('Mesozoic')}'"),
+    ("latestEraOrHighestErathem", "event_id % 8 = 0", f"'{_stage('Mesozoic')}'"), ("earliestPeriodOrLowestSystem", _FIRST, f"'{_stage('Jurassic')}'"),
+    ("earliestEpochOrLowestSeries", _FIRST, f"'{_stage('Late Jurassic')}'"), ("earliestAgeOrLowestStage", "event_id % 8 = 0", f"'{_stage('Tithonian')}'"),
+    ("lowestBiostratigraphicZone", "true", _quoted("'zone a'")), ("highestBiostratigraphicZone", "event_id % 2 = 0", _quoted("'zone b'")), ("group", "true", _quoted("'group ' || event_id % 3")),
+    ("formation", "event_id % 5 <> 0", _quoted("'formation'")), ("member", "true", _quoted("'member'")), ("bed", "event_id % 2 = 1", _quoted("'bed'")),
+    ("startAge", _FIRST, "CASE WHEN event_id % 8 = 0 THEN '149.2' ELSE '161.5' END"), ("endAge", _FIRST, "'145.0'"),
+)
 
 
 @query(
     "basic_view",
     f"""
     {_COUNTS}
-    SELECT cast(event_id AS varchar) AS id, coalesce({_BASIS}, 'OCCURRENCE') AS basis, CASE WHEN regexp_full_match(cnt, '[0-9]{{1,10}}') THEN try_cast(cnt AS integer) END AS n,
-      CASE event_id % 8 WHEN 0 THEN 'Female' WHEN 1 THEN 'Male' WHEN 4 THEN 'Male' WHEN 5 THEN 'Female' END AS sex,
-      CASE event_id % 8 WHEN 0 THEN 'Adult' WHEN 1 THEN 'Juvenile|Larva' WHEN 3 THEN 'Juvenile' WHEN 5 THEN 'Juvenile' END AS stage,
-      'user ' || user_id || '|someone' AS recorded_by, 'UNSPECIFIED' AS license, false AS sequenced,
+    SELECT cast(event_id AS varchar) AS id, NULL AS "coreId", {_CREATED} AS created, coalesce({_BASIS}, 'OCCURRENCE') AS "basisOfRecord",
+      CASE event_id % 8 WHEN 0 THEN '{_concept("Female")}' WHEN 1 THEN '{_concept("Male")}' WHEN 4 THEN '{_concept("Male")}' WHEN 5 THEN '{_concept("Female")}' END AS sex,
+      CASE event_id % 8 WHEN 0 THEN '{_concept("Adult")}' WHEN 1 THEN '{_concept("Larva", "Juvenile")}' WHEN 3 THEN '{_concept("Juvenile")}' WHEN 5 THEN '{_concept("Juvenile")}' END AS "lifeStage",
+      CASE WHEN event_id % 3 = 0 THEN '{_concept("Native")}' END AS "establishmentMeans", CASE WHEN event_id % 4 = 0 THEN '{_concept("Managed", "Captive")}' END AS "degreeOfEstablishment",
+      CASE WHEN event_id % 5 = 0 THEN '{_concept("Escape", "Any", "Unintended")}' END AS pathway,
+      CASE WHEN regexp_full_match(cnt, '[0-9]{{1,10}}') THEN try_cast(cnt AS integer) END AS "individualCount",
+      CASE WHEN event_id % 6 = 0 THEN '[{_concept("Paratype", "Type")},{_concept("Syntype")}]' END AS "typeStatus", CASE WHEN event_id % 7 = 0 THEN 'Abies alba' END AS "typifiedName",
+      cast(event_id % 10 AS double) AS "sampleSizeValue", 'm2' AS "sampleSizeUnit", cast(event_id % 5 * 2 AS double) AS "organismQuantity", CASE WHEN event_id % 2 = 0 THEN 'M2' ELSE 'individuals' END AS "organismQuantityType",
+      CASE WHEN event_id % 2 = 0 AND event_id % 10 > 0 THEN (event_id % 5 * 2) / cast(event_id % 10 AS double) END AS "relativeOrganismQuantity", CASE WHEN event_id % 4 = 1 THEN 'https://example.org/x' END AS "references",
+      CASE WHEN event_id % 3 = 0 THEN 'CC0_1_0' ELSE 'UNSPECIFIED' END AS license, CASE WHEN event_id % 4 = 2 THEN '[{{"type":"ORCID","value":"https://orcid.org/0000-0002-1825-0097"}}]' END AS "identifiedByIds",
+      CASE WHEN event_id % 4 = 3 THEN '[{{"type":"OTHER","value":"someone"}}]' END AS "recordedByIds", NULL AS "occurrenceStatus", 'd1|d2' AS "datasetID", CASE WHEN event_id % 2 = 1 THEN 'set' END AS "datasetName",
+      'a|b|c' AS "otherCatalogNumbers", 'user ' || user_id || '|someone' AS "recordedBy", CASE WHEN event_id % 3 = 2 THEN 'Ann|Bob' END AS "identifiedBy", 'skin' AS preparations, 'net|trap' AS "samplingProtocol",
+      CASE WHEN event_id % 2 = 0 THEN 'p1' END AS "projectId", CASE WHEN event_id % 9 = 0 THEN 's1|s2' END AS "associatedSequences", {_CONTEXT} AS "geologicalContext", event_id % 9 = 0 AS "isSequenced",
       concat_ws('|', CASE WHEN {_BASIS} IS NULL THEN 'BASIS_OF_RECORD_INVALID' END,
         CASE WHEN cnt IS NOT NULL AND (NOT regexp_full_match(cnt, '[0-9]{{1,10}}') OR try_cast(cnt AS integer) IS NULL) THEN 'INDIVIDUAL_COUNT_INVALID' END) AS issues
     FROM c
     """,
 )
 def basic(t: Tables):
-    v = basic_view(verbatim(t), vocabulary(t.spark), RUN_TS)
-    return v.select(
-        "id", F.col("basisOfRecord").alias("basis"), F.col("individualCount").alias("n"), F.col("sex.concept").alias("sex"), joined(F.col("lifeStage.lineage")).alias("stage"),
-        joined(F.col("recordedBy")).alias("recorded_by"), "license", F.col("isSequenced").alias("sequenced"), joined(F.col("issues")).alias("issues"),
-    )
+    return whole(basic_view(verbatim(t), vocabulary(t.spark), RUN_TS))
 
 
 @query(
     "event_view",
     f"""
-    {_WALK}
-    SELECT ev.id, ev.parent AS parent_id, CASE WHEN kind IN ('Click', 'View', 'Purchase') THEN kind END AS type, CASE WHEN parent IS NOT NULL AND NOT coalesce(loop, false) THEN coalesce(n, 0) END AS parents,
-      CASE WHEN coalesce(loop, false) THEN 'EVENT_ID_TO_PARENT_ID_LOOPING_ISSUE' ELSE '' END AS issues
-    FROM ev LEFT JOIN agg USING (id)
+    {_WALK},
+    named AS (SELECT id, coalesce(CASE WHEN parent IS NOT NULL AND NOT coalesce(loop, false) THEN '[' || coalesce(chain, '') || ']' END, NULL) AS lineage, parent, loop, kind FROM ev LEFT JOIN
+      (SELECT id, bool_or(looped) AS loop, string_agg('{{"id":"' || node || '","eventType":"' || kind || '","order":' || pos || '}}', ',' ORDER BY pos) AS chain FROM up GROUP BY 1) USING (id))
+    SELECT id, parent AS "parentEventID",
+      CASE kind WHEN 'Click' THEN '{_concept("Click", "Activity", "Interaction")}' WHEN 'View' THEN '{_concept("View", "Activity", "Interaction")}' WHEN 'Purchase' THEN '{_concept("Purchase", "Activity")}' WHEN 'Signup' THEN '{_concept("Signup")}' END AS "eventType",
+      {_CREATED} AS created, cast(cast(id AS bigint) % 10 AS double) AS "sampleSizeValue", 'm2' AS "sampleSizeUnit", CASE WHEN cast(id AS bigint) % 4 = 1 THEN 'https://example.org/x' END AS "references",
+      CASE WHEN cast(id AS bigint) % 3 = 0 THEN 'CC0_1_0' ELSE 'UNSPECIFIED' END AS license, 'd1|d2' AS "datasetID", CASE WHEN cast(id AS bigint) % 2 = 1 THEN 'set' END AS "datasetName", 'net|trap' AS "samplingProtocol",
+      lineage AS "parentsLineage", NULL AS "locationID", CASE WHEN coalesce(loop, false) THEN 'EVENT_ID_TO_PARENT_ID_LOOPING_ISSUE' ELSE '' END AS issues
+    FROM named
     """,
 )
 def event(t: Tables):
-    v = event_view(verbatim(t), vocabulary(t.spark), RUN_TS)
-    return v.select(
-        "id", F.col("parentEventID").alias("parent_id"), F.when(F.col("eventType.concept") != "Signup", F.col("eventType.concept")).alias("type"),
-        F.size("parentsLineage").cast("bigint").alias("parents"), joined(F.col("issues")).alias("issues"),
-    )
+    return whole(event_view(verbatim(t), vocabulary(t.spark), RUN_TS))
 
 
 @query(
     "taxon_view",
     f"""
-    WITH sp AS (SELECT event_type AS name, min(event_id) + 100 AS key FROM events GROUP BY 1), n AS (SELECT event_id, event_type, {_NAME} AS v FROM events)
-    SELECT cast(event_id AS varchar) AS id, CASE WHEN event_id % 4 IN (0, 1) THEN key ELSE 0 END AS key, CASE event_id % 4 WHEN 0 THEN 'EXACT' WHEN 1 THEN 'FUZZY' END AS match,
-      CASE event_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'TAXON_MATCH_FUZZY' ELSE 'TAXON_MATCH_NONE' END AS issues
-    FROM n JOIN sp ON event_type = name
+    WITH sp AS (SELECT event_type AS name, min(event_id) + 100 AS key FROM events GROUP BY 1),
+    n AS (SELECT event_id, {_PARENT} AS parent, event_id % 4 AS k, '{{"key":' || key || ',"name":"' || name || '","rank":"SPECIES"}}' AS own, name FROM events JOIN sp ON event_type = name),
+    m AS (SELECT *, k IN (0, 1) AS hit, CASE k WHEN 0 THEN 91 ELSE 79 END AS score, '{{"key":0,"name":"incertae sedis","rank":"KINGDOM"}}' AS none FROM n)
+    SELECT cast(event_id AS varchar) AS id, NULL AS "coreId", parent AS "parentId", {_CREATED} AS created, CASE WHEN hit THEN false END AS synonym, CASE WHEN hit THEN own ELSE none END AS usage,
+      '[' || CASE WHEN hit THEN own ELSE none END || ']' AS classification, CASE WHEN hit THEN own END AS "acceptedUsage", NULL AS nomenclature,
+      CASE WHEN hit THEN '{{"matchType":"' || CASE k WHEN 0 THEN 'EXACT' ELSE 'FUZZY' END || '","confidence":' || score || ',"status":"ACCEPTED","lineage":["' || name || '"],"note":"score ' || score || '; no other candidate"}}' END AS diagnostics,
+      NULL AS "usageParsedName", NULL AS "iucnRedListCategoryCode", CASE k WHEN 0 THEN '' WHEN 1 THEN 'TAXON_MATCH_FUZZY' ELSE 'TAXON_MATCH_NONE' END AS issues
+    FROM m
     """,
 )
 def taxon(t: Tables):
-    v = taxon_view(verbatim(t), backbone(t), RUN_TS)
-    return v.select("id", F.col("usage.key").cast("bigint").alias("key"), F.col("diagnostics.matchType").alias("match"), joined(F.col("issues")).alias("issues"))
+    return whole(taxon_view(verbatim(t), backbone(t), RUN_TS))
 
 
 _RESOLVED = f"""
@@ -184,7 +291,7 @@ _RESOLVED = f"""
     rec AS (SELECT event_id, {_LAT} AS lat, {_LNG} AS lng, CASE WHEN event_id % 6 > 0 THEN {_GIVEN_SQL} END AS given FROM events),
     cand AS (SELECT event_id, given, 0 AS pos, lat AS y, lng AS x FROM rec UNION ALL SELECT event_id, given, 1, -lat, lng FROM rec UNION ALL SELECT event_id, given, 2, lat, -lng FROM rec
              UNION ALL SELECT event_id, given, 3, -lat, -lng FROM rec UNION ALL SELECT event_id, given, 4, lng, lat FROM rec),
-    loc AS (SELECT event_id, given, pos, code FROM cand JOIN box ON y BETWEEN s AND n AND x BETWEEN w AND e WHERE y BETWEEN -90 AND 90 AND NOT (given IS NULL AND y < -60)
+    loc AS (SELECT event_id, given, pos, code FROM cand JOIN box ON y BETWEEN s AND n AND (x BETWEEN w AND e OR x + 360 = e OR x - 360 = w) WHERE y BETWEEN -90 AND 90 AND NOT (given IS NULL AND y < -60)
             UNION ALL SELECT event_id, given, pos, 'AQ' FROM cand WHERE given IS NULL AND y >= -90 AND y < -60),
     per AS (SELECT event_id, bool_or(pos = 0 AND code = given) AS same, min(code) FILTER (pos = 0) AS nearest,
        min(loc.code) FILTER (pos = 0 AND EXISTS (SELECT 1 FROM pair WHERE country = given AND other = loc.code AND NOT flagged)) AS eq,
@@ -193,8 +300,11 @@ _RESOLVED = f"""
     j AS (SELECT rec.*, coalesce(same, false) AS same, nearest, eq, conf, CASE WHEN given IS NULL OR coalesce(same, false) OR eq IS NOT NULL OR conf IS NOT NULL THEN NULL ELSE fix END AS fix FROM rec LEFT JOIN per USING (event_id)),
     f AS (SELECT *, CASE WHEN given IS NULL THEN nearest WHEN same THEN given ELSE coalesce(eq, conf, given) END AS country,
       CASE WHEN fix IN (1, 3) THEN -lat WHEN fix = 4 THEN lng ELSE lat END AS la, CASE WHEN fix IN (2, 3) THEN -lng WHEN fix = 4 THEN lat ELSE lng END AS lo FROM j),
-    c AS (SELECT f.*, (SELECT min({{cont}}) FROM box JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey >= 5 AND la BETWEEN s AND n AND lo BETWEEN w AND e) AS cont,
-             (SELECT min(code || '.1_1') FROM box WHERE la BETWEEN s AND n AND lo BETWEEN w AND w + 36) AS g1, (SELECT min(n_name) FROM box WHERE code = country) AS title FROM f)
+    c AS (SELECT f.*, (SELECT min({{cont}}) FROM box JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey >= 5 AND la BETWEEN s AND n AND (lo BETWEEN w AND e OR lo + 360 = e OR lo - 360 = w)) AS cont,
+             (SELECT min([code || '.1_1', n_name || ' West']) FROM box WHERE la BETWEEN s AND n AND (lo BETWEEN w AND w + 36 OR lo - 360 = w)) AS g1,
+             (SELECT min([code || '_1', n_name]) FROM box WHERE la BETWEEN s AND n AND (lo BETWEEN w AND e OR lo + 360 = e OR lo - 360 = w)) AS g0,
+             (SELECT min(r_name) FROM box JOIN region ON n_regionkey = r_regionkey WHERE code = country) AS part,
+             (SELECT min(m) FROM (SELECT 2 * 6371000.0 * asin(sqrt(least(1, pow(sin(radians((s + n) / 2 - la) / 2), 2) + cos(radians(la)) * cos(radians((s + n) / 2)) * pow(sin(radians((w + e) / 2 - lo) / 2), 2)))) AS m FROM box) WHERE m <= 5000) AS centre, (SELECT min(n_name) FROM box WHERE code = country) AS title FROM f)
 """.replace("{cont}", "CASE r_name WHEN 'MIDDLE EAST' THEN 'EUROPE' WHEN 'AMERICA' THEN 'NORTH_AMERICA' ELSE r_name END")
 
 
@@ -202,9 +312,17 @@ _RESOLVED = f"""
     "location_view",
     f"""
     {_RESOLVED}
-    SELECT cast(event_id AS varchar) AS id, country AS code, title AS country, la AS lat, lo AS lng, cont AS continent, g1 AS gid1,
-      CASE WHEN event_id % 3 = 0 AND event_id % 50 > 0 THEN cast(event_id % 50 AS double) END AS uncertainty, country <> 'AU' AS repatriated,
-      (given IS NOT NULL AND NOT same AND eq IS NULL AND conf IS NULL AND fix IS NULL) OR (lat = 0 AND lng = 0) AS geospatial,
+    SELECT cast(event_id AS varchar) AS id, NULL AS "coreId", {_PARENT} AS "parentId", {_CREATED} AS created, cont AS continent, 'North sea' AS "waterBody", title AS country, country AS "countryCode", 'AU' AS "publishingCountry",
+      part AS region, (SELECT r_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey = 0) AS "publishedByRegion", 'Oslo' AS "stateProvince",
+      cast(event_id % 100 AS double) AS "minimumElevationInMeters", cast(event_id % 100 + 10 AS double) AS "maximumElevationInMeters", cast(event_id % 100 + 5 AS double) AS elevation, 5.0::DOUBLE AS "elevationAccuracy",
+      CASE WHEN event_id % 2 = 0 THEN cast(event_id % 30 AS double) END AS "minimumDepthInMeters", NULL AS "maximumDepthInMeters", CASE WHEN event_id % 2 = 0 THEN cast(event_id % 30 AS double) END AS depth,
+      CASE WHEN event_id % 2 = 0 THEN 0.0::DOUBLE END AS "depthAccuracy", 2.0::DOUBLE AS "minimumDistanceAboveSurfaceInMeters", CASE WHEN event_id % 2 = 0 THEN 3.0::DOUBLE END AS "maximumDistanceAboveSurfaceInMeters",
+      la AS "decimalLatitude", lo AS "decimalLongitude", CASE WHEN event_id % 3 = 0 AND event_id % 50 > 0 THEN cast(event_id % 50 AS double) END AS "coordinateUncertaintyInMeters", 0.01::DOUBLE AS "coordinatePrecision",
+      true AS "hasCoordinate", country <> 'AU' AS repatriated, (given IS NOT NULL AND NOT same AND eq IS NULL AND conf IS NULL AND fix IS NULL) OR (lat = 0 AND lng = 0) AS "hasGeospatialIssue",
+      CASE WHEN event_id % 2 = 0 THEN 'by the SHORE' END AS locality, NULL AS "georeferencedDate",
+      CASE WHEN g0 IS NOT NULL THEN {_json(("level0Gid", "true", _quoted("g0[1]")), ("level1Gid", "g1 IS NOT NULL", _quoted("g1[1]")), ("level0Name", "true", _quoted("g0[2]")), ("level1Name", "g1 IS NOT NULL", _quoted("g1[2]")))} END AS gadm,
+      CASE WHEN event_id % 5 = 0 THEN 'POLYGON((0 0, 0 1, 1 1, 0 0))' END AS "footprintWKT", NULL AS biome, round(centre, 3) AS "distanceFromCentroidInMeters", 'World|Europe' AS "higherGeography",
+      CASE WHEN event_id % 3 = 0 THEN 'Ann' END AS "georeferencedBy",
       array_to_string(list_sort(list_filter([CASE WHEN (given IS NULL AND nearest IS NOT NULL) OR (given IS NOT NULL AND NOT same AND eq IS NULL AND conf IS NOT NULL) THEN 'COUNTRY_DERIVED_FROM_COORDINATES' END,
         CASE WHEN given IS NOT NULL AND NOT same AND eq IS NULL AND conf IS NULL AND fix IS NULL THEN 'COUNTRY_COORDINATE_MISMATCH' END,
         CASE WHEN fix IN (1, 3) THEN 'PRESUMED_NEGATED_LATITUDE' END, CASE WHEN fix IN (2, 3) THEN 'PRESUMED_NEGATED_LONGITUDE' END, CASE WHEN fix = 4 THEN 'PRESUMED_SWAPPED_COORDINATE' END,
@@ -214,11 +332,13 @@ _RESOLVED = f"""
     """,
 )
 def location(t: Tables):
-    v = location_view(verbatim(t), location_dims(t), RUN_TS)
-    return v.select(
-        "id", F.col("countryCode").alias("code"), "country", (F.col("decimalLatitude") + 0.0).alias("lat"), (F.col("decimalLongitude") + 0.0).alias("lng"), "continent",
-        F.col("gadm.level1Gid").alias("gid1"), F.col("coordinateUncertaintyInMeters").alias("uncertainty"), "repatriated", F.col("hasGeospatialIssue").alias("geospatial"),
-        joined(F.array_sort("issues")).alias("issues"),
+    v = whole(location_view(verbatim(t), location_dims(t), RUN_TS))
+    # No negative zeros, and distances to the millimetre.
+    return v.withColumns(
+        {
+            "decimalLatitude": F.col("decimalLatitude") + 0.0, "decimalLongitude": F.col("decimalLongitude") + 0.0,
+            "distanceFromCentroidInMeters": F.round("distanceFromCentroidInMeters", 3),
+        }
     )
 
 
