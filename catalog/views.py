@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalog.base import RUN_TS, VOCABULARY_ROWS, Tables, joined, query, vocabulary
+from catalog.base import ORACLES, RUN_TS, VOCABULARY_ROWS, Tables, joined, query, vocabulary
 from catalog.geography import CODES, _BOX_COLS, _HITS_SQL, _PAIR_SETS, country_continents, nations, regions
 from catalog.lineage import _PARENT, _WALK
 from catalog.names import complete
@@ -332,8 +332,11 @@ _RESOLVED = f"""
     """,
 )
 def location(t: Tables):
-    v = whole(location_view(verbatim(t), location_dims(t), RUN_TS))
-    # No negative zeros, and distances to the millimetre.
+    return _plain_numbers(whole(location_view(verbatim(t), location_dims(t), RUN_TS)))
+
+
+def _plain_numbers(v):
+    """No negative zeros, and distances to the millimetre."""
     return v.withColumns(
         {
             "decimalLatitude": F.col("decimalLatitude") + 0.0, "decimalLongitude": F.col("decimalLongitude") + 0.0,
@@ -352,13 +355,7 @@ def location(t: Tables):
     """,
 )
 def occurrence_json(t: Tables):
-    """The whole way: interpreted, written in buckets, joined from there and turned into JSON."""
-    views, kept, _ = interpret(verbatim(t), vocabulary(t.spark), backbone(t), location_dims(t), RUN_TS, orderings=[DMY])
-    out, buckets = f"{shared_folder(t.spark)}/occurrence-{uuid.uuid4().hex}", int(t.spark.conf.get("spark.sql.shuffle.partitions"))
-    write_views({"verbatim": kept.select("id", "coreId"), **views}, out, buckets=buckets)
-    stored = read_views(t.spark, out, ["verbatim", *views], buckets)
-    view = occurrence_view(stored.pop("verbatim"), **stored)
-    doc = to_json_lines(view, "doc")
+    doc = to_json_lines(_stored_occurrence(t), "doc")
     return doc.select(
         "id",
         F.get_json_object("doc", "$.basisOfRecord").alias("basis"),
@@ -366,3 +363,31 @@ def occurrence_json(t: Tables):
         F.get_json_object("doc", "$.countryCode").alias("code"),
         F.get_json_object("doc", "$.usage.key").alias("taxon"),
     )
+
+
+def _stored_occurrence(t: Tables):
+    """The whole way: interpreted, written in buckets, and joined from there."""
+    views, kept, _ = interpret(verbatim(t), vocabulary(t.spark), backbone(t), location_dims(t), RUN_TS, orderings=[DMY])
+    out, buckets = f"{shared_folder(t.spark)}/occurrence-{uuid.uuid4().hex}", int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    write_views({"verbatim": kept.select("id", "coreId"), **views}, out, buckets=buckets)
+    stored = read_views(t.spark, out, ["verbatim", *views], buckets)
+    return occurrence_view(stored.pop("verbatim"), **stored)
+
+
+def _joined_sql() -> str:
+    """The four views' SQL, joined by id, with their issues pooled."""
+    views = ("basic", "taxon", "location", "temporal")
+    parts = ", ".join(f"{v} AS ({ORACLES[v + '_view']})" for v in views)
+    pooled = ", ".join(f"string_split({v}.issues, '|')" for v in views)
+    return f"""
+        WITH {parts}
+        SELECT id, NULL AS "coreId", basic.* EXCLUDE (id, "coreId", created, issues), taxon.* EXCLUDE (id, "coreId", "parentId", created, issues), location.* EXCLUDE (id, "coreId", "parentId", created, issues),
+          temporal.* EXCLUDE (id, "coreId", issues), array_to_string(list_sort(list_distinct(list_filter(flatten([{pooled}]), lambda x: x <> ''))), '|') AS issues
+        FROM basic JOIN taxon USING (id) JOIN location USING (id) JOIN temporal USING (id)
+    """
+
+
+@query("occurrence_view", _joined_sql())
+def occurrence(t: Tables):
+    """All columns of the joined view, from views written in buckets."""
+    return _plain_numbers(whole(_stored_occurrence(t)))
