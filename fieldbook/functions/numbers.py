@@ -14,10 +14,11 @@ _DECIMAL_COMMA = r"^[+-]?\d+,\d+$"
 _GROUPED = r"^[+-]?\d{1,3}(?:,\d{3})+\.\d+$"
 _SPECIAL = r"^[+-]?(?:NaN|Infinity)$"
 
-_METRES = (
-    r"(?i)^\s*(?:ca\.?|circa|c\.|~|about)?\s*([+-]?(?:\d{1,3}(?:,\d{3})+\.\d+|\d+(?:[.,]\d+)?|[.,]\d+))\s*"
-    r"(m|mm|cm|km|metres?|meters?|metros?|mts?|mtrs?|ft|feet|foot|in|inch|inches|'|\")?\s*\.?\s*$"
-)
+_LENGTH = r"[+-]?(?:\d{1,3}(?:,\d{3})+\.\d+|\d+(?:[.,]\d+)?|[.,]\d+)"
+_UNIT = r"(?:m|mm|cm|km|metres?|meters?|metros?|mts?|mtrs?|ft|feet|foot|in|inch|inches|'|\")"
+_ABOUT = r"(?i)^\s*(?:ca\.?|circa|c\.|~|about)?\s*"
+_METRES = rf"{_ABOUT}({_LENGTH})\s*({_UNIT})?\s*\.?\s*$"
+_SPAN = rf"{_ABOUT}({_LENGTH})\s*({_UNIT})?\s*(?:-|\x{{2013}}|to)\s*({_LENGTH})\s*({_UNIT})?\s*\.?\s*$"
 _FOOT = 0.3048
 _INCH = 0.0254
 
@@ -83,9 +84,22 @@ def relative_quantity(quantity: Column, quantity_type: Column, size: Column, uni
     return F.when(same, finite(F.try_divide(quantity, size)))
 
 
-def parse_metres(c: Column) -> Column:
+def range_end(c: Column, high: bool) -> Column:
+    """One end of a range of lengths (``10-20 m``) as the text of a length; other text as it is."""
+    number, unit = (3, 4) if high else (1, 2)
+    # The first unit may be left out: it is that of the second.
+    units = F.regexp_extract(c, _SPAN, unit) if high else F.coalesce(F.nullif(F.regexp_extract(c, _SPAN, 2), F.lit("")), F.regexp_extract(c, _SPAN, 4))
+    return F.when(c.rlike(_SPAN), F.concat(F.regexp_extract(c, _SPAN, number), units)).otherwise(c)
+
+
+def parse_metres(c: Column, high: bool = False) -> Column:
     """A length as metres; feet, inches and metric multiples are converted.  The number may have
-    a decimal comma, or thousands commas with a dot, as in ``parse_double``."""
+    a decimal comma, or thousands commas with a dot, as in ``parse_double``.  Of a range the lower
+    end, or with ``high`` the upper one, is taken."""
+    return let(range_end(c, high), _one_length)
+
+
+def _one_length(c: Column) -> Column:
     text = F.regexp_extract(c, _METRES, 1)
     number = F.when(F.contains(text, F.lit(".")), F.replace(text, F.lit(","), F.lit(""))).otherwise(F.replace(text, F.lit(","), F.lit("."))).try_cast("double")
     unit = F.lower(F.regexp_extract(c, _METRES, 2))
@@ -106,13 +120,14 @@ def parse_metres(c: Column) -> Column:
 
 def not_metric(c: Column) -> Column:
     """True where a length was given in feet or inches."""
-    return F.lower(F.regexp_extract(c, _METRES, 2)).isin(
+    return F.lower(F.regexp_extract(range_end(c, True), _METRES, 2)).isin(
         "ft", "feet", "foot", "'", "in", "inch", "inches", '"'
     )
 
 
 def range_midpoint(low: Column, high: Column, kind: str) -> Column:
-    """Midpoint and accuracy of a range given as text; ``kind`` is ELEVATION or DEPTH.
+    """Midpoint and accuracy of a range given as text; ``kind`` is ELEVATION or DEPTH.  Where only one
+    end is given, it may hold a whole range.
 
     Fails (null value, no issues) where neither end is a length or the midpoint is impossible."""
     bounds = ELEVATION_RANGE if kind == "ELEVATION" else DEPTH_RANGE
@@ -120,7 +135,8 @@ def range_midpoint(low: Column, high: Column, kind: str) -> Column:
 
     def build(r: Column) -> Column:
         lo, hi = r["lo"], r["hi"]
-        a, b = F.coalesce(lo, hi), F.coalesce(hi, lo)
+        a = F.coalesce(lo, F.when(low.isNull(), r["other_lo"]), hi)
+        b = F.coalesce(hi, F.when(high.isNull(), r["other_hi"]), lo)
         mid = (a + b) / 2.0
         issues = collect_issues(
             flag(lo > hi, f"{kind}_MIN_MAX_SWAPPED"),
@@ -132,7 +148,8 @@ def range_midpoint(low: Column, high: Column, kind: str) -> Column:
             F.struct(mid.alias("value"), (F.abs(b - a) / 2.0).alias("accuracy"), issues.alias("issues")),
         )
 
-    return let(F.struct(parse_metres(low).alias("lo"), parse_metres(high).alias("hi")), build)
+    ends = {"lo": parse_metres(low), "hi": parse_metres(high, True), "other_lo": parse_metres(high), "other_hi": parse_metres(low, True)}
+    return let(F.struct(*[v.alias(n) for n, v in ends.items()]), build)
 
 
 def uncertainty(c: Column) -> Column:
@@ -146,7 +163,7 @@ def uncertainty(c: Column) -> Column:
             flag(given & ~ok, "COORDINATE_UNCERTAINTY_METERS_INVALID").alias("issue"),
         )
 
-    return let(F.abs(parse_metres(c)), check)
+    return let(F.abs(_one_length(c)), check)
 
 
 def precision(c: Column) -> Column:

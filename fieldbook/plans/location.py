@@ -80,7 +80,7 @@ def _scalars() -> list[Column]:
         return clean(trimmed(F.col(name)))
 
     return [
-        *[parse_metres(t(n)).alias(n) for n in _METRES],
+        *[parse_metres(t(n), n.startswith("maximum")).alias(n) for n in _METRES],
         range_midpoint(t("minimumElevationInMeters"), t("maximumElevationInMeters"), "ELEVATION").alias("_elevation"),
         range_midpoint(t("minimumDepthInMeters"), t("maximumDepthInMeters"), "DEPTH").alias("_depth"),
         uncertainty(t("coordinateUncertaintyInMeters")).alias("_uncertainty"),

@@ -44,7 +44,14 @@ def test_relative_quantity(values):
 
 def test_metres(values):
     assert values(numbers.parse_metres, ["100", "100 m", "100ft", "1.5 km", "-3", "x", "10-20", "12,5m", "ca. 5 metres"]) == [
-        100.0, 100.0, 30.48, 1500.0, -3.0, None, None, 12.5, 5.0,
+        100.0, 100.0, 30.48, 1500.0, -3.0, None, 10.0, 12.5, 5.0,
+    ]
+    spans = ["10-20 m", "10 - 20ft", "1 km to 2 km", "ca. -10--5", "1.5–2,5 m", "10-20-30", "10-x", "5 m"]
+    assert values(numbers.parse_metres, spans) == [10.0, 3.05, 1000.0, -10.0, 1.5, None, None, 5.0]
+    assert values(lambda c: numbers.parse_metres(c, True), spans) == [20.0, 6.1, 2000.0, -5.0, 2.5, None, None, 5.0]
+    got = values(lambda a, b: numbers.range_midpoint(a, b, "ELEVATION"), ["10-20 m", None, "10-20", "x", "100-200 ft"], [None, "10-30", "40", "10-20", None])
+    assert [(r["value"], r["accuracy"], r["issues"]) for r in got] == [
+        (15.0, 5.0, []), (20.0, 10.0, []), (25.0, 15.0, []), (20.0, 0.0, ["ELEVATION_NON_NUMERIC"]), (45.72, 15.24, ["ELEVATION_NOT_METRIC"]),
     ]
     got = values(lambda a, b: numbers.range_midpoint(a, b, "ELEVATION"), ["10", "20", None, "90000", "x"], ["20", "10", "7 ft", None, "4"])
     assert [(r and (r["value"], r["accuracy"], r["issues"])) for r in got] == [
