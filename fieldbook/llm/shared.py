@@ -10,6 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Bytes of a row group of the kept tables.
+ROW_GROUP = 16 << 20
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder of the cluster (``spark.checkpoint.dir``).  Only a session that runs
     in one process and names none (a test) gets a folder of its own."""
@@ -36,10 +40,11 @@ def ship(spark: SparkSession) -> SparkSession:
 
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it again: later steps start from there, also
-    after executors were lost.  Tables stay until the folder is cleared with its application."""
+    after executors were lost.  Tables stay until the folder is cleared with its application.
+    Row groups are small, as every task holds one in memory while it writes."""
     spark = df.sparkSession
     path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("parquet.block.size", str(ROW_GROUP)).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
