@@ -287,7 +287,9 @@ def match_country(t: Tables):
     given = F.expr(_GIVEN_KEY)
     named = dimension_join(
         points(t).withColumn("n_nationkey", given.cast("int")), nations(t).select("n_nationkey", F.col("code").alias("given")), ["n_nationkey"], "left")
-    grid = cells(t).filter("type = 'Political'")
+    # Countries come from three layers; the others are there, too, and tell none.
+    layer = F.expr("CASE WHEN type <> 'Political' THEN type ELSE element_at(array('Political', 'EEZ', 'PoliticalEEZ'), ascii(region_id) % 3 + 1) END")
+    grid = materialize(geocode.region_cells(regions(t).withColumn("type", layer), buffer=_BUFFER))
 
     def lookup_points(pts):
         return geocode.geocode_lists(geocode.reverse_geocode(pts, grid, buffer=_BUFFER))

@@ -48,10 +48,14 @@ _GEO = [
 _LEVEL = {r: i for i, r in enumerate(geology.RANKS)}
 
 
+_RANK_NAMES = ("EON_OR_EONOTHEM", "ERA_OR_ERATHEM", "PERIOD_OR_SYSTEM", "EPOCH_OR_SERIES", "AGE_OR_STAGE")
+_SHORT = [r[:3] for r in geology.RANKS]
+
+
 def _at_rank_rows() -> list[tuple]:
     """For the SQL twin: what each label gives at each rank (label, rank, concept, start, end, issue)."""
     by_name = {concept: (above, tags) for _, concept, above, tags in _GEO}
-    names = {"eon": "EON_OR_EONOTHEM", "era": "ERA_OR_ERATHEM", "period": "PERIOD_OR_SYSTEM"}
+    names = dict(zip(geology.RANKS, _RANK_NAMES))
     rows = []
     for label, concept, above, tags in _GEO:
         for rank, name in names.items():
@@ -74,36 +78,42 @@ _PICK_SQL = "(['" + "', '".join(_LABELS) + "'])[{i} % " + str(len(_LABELS)) + "
 #: Column → index into the labels, by part.
 _CHOICES = {
     "e_eon": "p_partkey", "l_eon": "floor(p_partkey / 3)", "e_era": "floor(p_partkey / 5)", "l_era": "floor(p_partkey / 2)",
-    "e_per": "floor(p_partkey / 7)", "l_per": "floor(p_partkey / 11)",
+    "e_per": "floor(p_partkey / 7)", "l_per": "floor(p_partkey / 11)", "e_epo": "floor(p_partkey / 13)", "l_epo": "floor(p_partkey / 4)",
+    "e_age": "floor(p_partkey / 6)", "l_age": "floor(p_partkey / 17)",
 }
 
 
-@query(
-    "chronostratigraphy",
-    f"""
+def _chronostratigraphy_sql() -> str:
+    """Rank by rank; the parent of a rank is the nearest coarser one with a range."""
+    of_rank = dict(zip(_SHORT, geology.RANKS))
+    coarser = {x: _SHORT[:i][::-1] for i, x in enumerate(_SHORT)}
+    first = lambda ranks, side: "CASE " + " ".join(f"WHEN s_{x} IS NOT NULL THEN {side}_{x}" for x in ranks) + " END"
+    issues = [f"{c}_i" for c in _CHOICES]
+    issues += [f"CASE WHEN bad_{x} THEN '{name}_INVALID_RANGE' END" for x, name in zip(_SHORT, _RANK_NAMES)]
+    issues += [f"CASE WHEN s_{x} > ps_{x} OR t_{x} < pt_{x} THEN '{above}_AND_{name}_MISMATCH' END" for x, above, name in zip(_SHORT[1:], _RANK_NAMES, _RANK_NAMES[1:])]
+    return f"""
     WITH r AS (SELECT * FROM {sql_values(_at_rank_rows(), "label, rank, concept, s, e, issue")}),
     p AS (SELECT p_partkey, {", ".join(f"{_PICK_SQL.format(i=f'cast({e} AS bigint)')} AS {c}" for c, e in _CHOICES.items())} FROM part),
     j AS (SELECT p_partkey, {", ".join(f"{c}_r.concept AS {c}_c, cast({c}_r.s AS float) AS {c}_s, cast({c}_r.e AS float) AS {c}_e, {c}_r.issue AS {c}_i" for c in _CHOICES)} FROM p
-      {" ".join(f"LEFT JOIN r {c}_r ON {c}_r.label = {c} AND {c}_r.rank = '{dict(eon='eon', era='era', per='period')[c[2:]]}'" for c in _CHOICES)}),
-    k AS (SELECT *, {", ".join(f"coalesce(l_{x}_s > e_{x}_s OR l_{x}_e > e_{x}_e, l_{x}_s > e_{x}_s, l_{x}_e > e_{x}_e, false) AS bad_{x}" for x in ("eon", "era", "per"))} FROM j),
-    m AS (SELECT *, {", ".join(f"CASE WHEN NOT bad_{x} THEN coalesce(e_{x}_s, l_{x}_s) END AS s_{x}, CASE WHEN NOT bad_{x} THEN coalesce(l_{x}_e, e_{x}_e) END AS t_{x}" for x in ("eon", "era", "per"))} FROM k),
-    n AS (SELECT *, CASE WHEN s_era IS NOT NULL THEN s_era ELSE s_eon END AS ps, CASE WHEN s_era IS NOT NULL THEN t_era ELSE t_eon END AS pt FROM m)
-    SELECT p_partkey, {", ".join(f"CASE WHEN NOT bad_{x} THEN e_{x}_c END AS earliest_{x}, CASE WHEN NOT bad_{x} THEN l_{x}_c END AS latest_{x}" for x in ("eon", "era", "per"))},
-      coalesce(s_per, s_era, s_eon) AS start_age, CASE WHEN s_per IS NOT NULL THEN t_per WHEN s_era IS NOT NULL THEN t_era ELSE t_eon END AS end_age,
-      array_to_string(list_sort(list_distinct(list_filter([e_eon_i, l_eon_i, e_era_i, l_era_i, e_per_i, l_per_i,
-        CASE WHEN bad_eon THEN 'EON_OR_EONOTHEM_INVALID_RANGE' END, CASE WHEN bad_era THEN 'ERA_OR_ERATHEM_INVALID_RANGE' END, CASE WHEN bad_per THEN 'PERIOD_OR_SYSTEM_INVALID_RANGE' END,
-        CASE WHEN s_era > s_eon OR t_era < t_eon THEN 'EON_OR_EONOTHEM_AND_ERA_OR_ERATHEM_MISMATCH' END,
-        CASE WHEN s_per > ps OR t_per < pt THEN 'ERA_OR_ERATHEM_AND_PERIOD_OR_SYSTEM_MISMATCH' END], lambda x: x IS NOT NULL))), '|') AS issues
+      {" ".join(f"LEFT JOIN r {c}_r ON {c}_r.label = {c} AND {c}_r.rank = '{of_rank[c[2:]]}'" for c in _CHOICES)}),
+    k AS (SELECT *, {", ".join(f"coalesce(l_{x}_s > e_{x}_s OR l_{x}_e > e_{x}_e, l_{x}_s > e_{x}_s, l_{x}_e > e_{x}_e, false) AS bad_{x}" for x in _SHORT)} FROM j),
+    m AS (SELECT *, {", ".join(f"CASE WHEN NOT bad_{x} THEN coalesce(e_{x}_s, l_{x}_s) END AS s_{x}, CASE WHEN NOT bad_{x} THEN coalesce(l_{x}_e, e_{x}_e) END AS t_{x}" for x in _SHORT)} FROM k),
+    n AS (SELECT *, {", ".join(f"{first(coarser[x], 's')} AS ps_{x}, {first(coarser[x], 't')} AS pt_{x}" for x in _SHORT[1:])} FROM m)
+    SELECT p_partkey, {", ".join(f"CASE WHEN NOT bad_{x} THEN e_{x}_c END AS earliest_{x}, CASE WHEN NOT bad_{x} THEN l_{x}_c END AS latest_{x}" for x in _SHORT)},
+      {first(_SHORT[::-1], 's')} AS start_age, {first(_SHORT[::-1], 't')} AS end_age,
+      array_to_string(list_sort(list_distinct(list_filter([{", ".join(issues)}], lambda x: x IS NOT NULL))), '|') AS issues
     FROM n
-    """,
-)
+    """
+
+
+@query("chronostratigraphy", _chronostratigraphy_sql())
 def chronostratigraphy(t: Tables, **options):
     p = t.part.selectExpr("p_partkey", *[f"{_PICK.format(i=e)} AS {c}" for c, e in _CHOICES.items()])
-    pairs = [("eon", "e_eon", "l_eon"), ("era", "e_era", "l_era"), ("period", "e_per", "l_per")]
+    pairs = [(r, f"e_{r[:3]}", f"l_{r[:3]}") for r in geology.RANKS]
     g = geology.chronostratigraphy(p, pairs, vocabulary(t.spark), **options)
     return g.select(
         "p_partkey",
-        *[F.col(f"geology_{r}.{side}.concept").alias(f"{side}_{r[:3]}") for r in ("eon", "era", "period") for side in ("earliest", "latest")],
+        *[F.col(f"geology_{r}.{side}.concept").alias(f"{side}_{r[:3]}") for r in geology.RANKS for side in ("earliest", "latest")],
         F.col("geology_range.start").alias("start_age"), F.col("geology_range.end").alias("end_age"),
         joined(F.array_sort("geology_issues")).alias("issues"),
     )
