@@ -220,3 +220,52 @@ def test_wrapped_notices_and_like_families(spark):
     got = {r["doc_id"]: (r["n_notices"], r["licences"]) for r in by_document(table, licences(table, Model(TEMPLATES, OTHERS, copies=12))).collect()}
     want = {k: (1, [f]) for k, (f, _) in enumerate(WRAPPED)}
     assert got == want | {5: (5, sorted(f for f, _ in WRAPPED)), 6: (0, [])}
+
+
+def test_url_probabilities_against_plain_python(spark):
+    """Rules, n-grams and probabilities once more, with Python's own integers."""
+    from fieldbook.llm.url_filter import labelled_sample
+
+    rng = random.Random(8)
+    names = ["www.example.com", "a.example.com", "x.net", "m.y.net", "shop.org", "cheap-pills.org", "É.org", ""]
+    urls = [f"{rng.choice(('http', 'https'))}://{rng.choice(names)}/{rng.choice(('en', 'es', 'fr', 'x'))}/{rng.randint(0, 99)}{rng.choice(('', '?q=1', '#t'))}" for _ in range(150)] + [None, "nothing", "a://B.NET/es/1"]
+
+    def split(url):
+        if not url or "://" not in url:
+            return "", ""
+        rest = re.split(r"[?#]", url.split("://", 1)[1])[0]
+        host, slash, path = rest.partition("/")
+        return "".join(c.lower() if "A" <= c <= "Z" else c for c in host), slash + path
+
+    def rule(host, path):
+        hits = [(len(r), v, r) for v, r in URL_RULES if (host == r[: r.index("/")] or host.endswith("." + r[: r.index("/")])) and path.startswith(r[r.index("/") :])]
+        return max(hits)[1:] if hits else None
+
+    def buckets(host, path, bits=16):
+        out, cut = set(), 2**64 - 1
+        for field, text in ((1, host), (2, path)):
+            raw = f"^{text}$".encode()
+            for at in range(len(raw)):
+                h = field
+                for n in range(5):
+                    if at + n < len(raw):
+                        h = (h * 0x9E3779B97F4A7C15 & cut) ^ (raw[at + n] * 0xC2B2AE3D27D4EB4F & cut)
+                        h ^= h >> 29
+                        if n:
+                            out.add((h * 0xD6E8FEB86659FD93 & cut) >> (64 - bits))
+        return sorted(out)
+
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string").repartition(3)
+    ruled = [(*split(u), rule(*split(u))) for u in urls]
+    labels = spark.createDataFrame([(h, p, r[0] == "block") for h, p, r in ruled if r], "host string, path string, blocked boolean")
+    w = train(labelled_sample(labels, 4000))
+    got = {r["page_id"]: r for r in judge_urls(pages, URL_RULES).collect()}
+    assert len(got) == len(urls) and any(r is None for _, _, r in ruled)
+    for k, (host, path, hit) in enumerate(ruled):
+        assert (got[k]["host"], got[k]["path"], got[k]["rule"]) == (host, path, hit and hit[1])
+        if hit:
+            assert got[k]["verdict"] == hit[0] and got[k]["p_block"] is None
+        else:
+            f = buckets(host, path)
+            p = 1 / (1 + math.exp(-(sum(w[i] for i in f) + w[-1]) / math.sqrt(len(f) + 1)))
+            assert abs(got[k]["p_block"] - p) < 1e-9 and got[k]["verdict"] == ("block" if p >= 0.5 else "allow")
