@@ -12,6 +12,7 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import repeat
 from math import ceil, log2
 from zlib import crc32
@@ -19,9 +20,12 @@ from zlib import crc32
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .bpe import parts
 from .shared import columns_as, keep, ship
 
 #: Classes, leaves of a class and words of a leaf: so many at least, more for more words.
@@ -45,13 +49,29 @@ PAIRS = 256
 #: Tokens of a gradient update.
 BATCH = 1 << 13
 
+#: Bytes of the texts that are split into words at once; a longer text is split alone.
+PART = 1 << 20
+
+#: Training tokens of a shard, at least: its weights are as many, however small its partitions are.
+SHARD = 1 << 22
+
 #: Rows of the weight tables that are averaged as one value.
 SHEET = 256
 
+#: Rows of a segment that are added one place after the other over all segments.
+SHORT = 8
 
-def words_of(text: str) -> list[bytes]:
-    """Words of a text with A-Z in lower case: ``bytes`` knows just ASCII letters and white space."""
-    return text.encode().lower().split()
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Words of some texts, with A-Z in lower case: the distinct ones, the place of each word
+    there, and how many each text has.  Arrow's functions for ASCII know just its letters and
+    white space."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    coded = lists.flatten().dictionary_encode()
+    words, which = coded.dictionary.cast(pa.binary()), coded.indices.to_numpy()
+    real = (pc.binary_length(words).to_numpy() > 0)[which]  # white space at an end of a text makes empty ones
+    n = np.diff(np.concatenate(([0], np.cumsum(real)))[lists.offsets.to_numpy()])
+    return words, which[real].astype(np.int64), n
 
 
 def ways_for(words: int) -> int:
@@ -62,8 +82,8 @@ def ways_for(words: int) -> int:
     return ways
 
 
-def head_of(counts: DataFrame) -> list[tuple[str, int]]:
-    """All words with at least the smallest count that not more than ``HEAD`` words have, the most
+def head_of(counts: DataFrame) -> pa.Table:
+    """All words (``word, n``) with at least the smallest count that not more than ``HEAD`` words have, the most
     frequent first.  The driver sees these, and a row for each different count."""
     room, least = HEAD, None
     for r in sorted(counts.groupBy("n").agg(F.count("*").alias("words")).collect(), reverse=True):
@@ -72,9 +92,12 @@ def head_of(counts: DataFrame) -> list[tuple[str, int]]:
             break
         least = r["n"]
     if least is None:
-        return []
-    head = counts.where(F.col("n") >= least).toArrow().sort_by([("n", "descending"), ("word", "ascending")])
-    return list(zip(*(c.to_pylist() for c in head.columns)))
+        return as_head([])
+    return counts.where(F.col("n") >= least).select("word", "n").toArrow().sort_by([("n", "descending"), ("word", "ascending")])
+
+
+def as_head(pairs: list[tuple[str, int]]) -> pa.Table:
+    return pa.table({"word": pa.array([w for w, _ in pairs], pa.string()), "n": pa.array([n for _, n in pairs], pa.int64())})
 
 
 def row_bits_for(pairs: int, ways: int) -> int:
@@ -90,20 +113,31 @@ class Words:
     same number of words.  ``slot``: place of the word in its leaf, from 1; 0 is for all words that
     are not in the head.  Token 0 is the end of a text, written as the empty word."""
 
-    def __init__(self, head: list[tuple[str, int]], ends: int, ways: int | None = None):
-        items = [(b"", ends)] + [(w.encode(), n) for w, n in head]
-        self.ways = ways or ways_for(len(items))
-        self.ids = {w: k for k, (w, _) in enumerate(items)}
-        self.counts = np.array([n for _, n in items], np.int64)
-        order = sorted(range(len(items)), key=lambda k: items[k][0][::-1])
-        leaf = np.arange(len(items)) * self.ways**2 // len(items)
+    def __init__(self, head: pa.Table | list[tuple[str, int]], ends: int, ways: int | None = None):
+        if not isinstance(head, pa.Table):
+            head = as_head(head)
+        # No Python objects for the words: the driver has no use for them, a task makes its own.
+        self.names = pa.concat_arrays([pa.array([b""], pa.binary()), *(c.cast(pa.binary()) for c in head.column("word").chunks)])
+        self.counts = np.concatenate(([ends], head.column("n").to_numpy())).astype(np.int64)
+        n = len(self.names)
+        self.ways = ways or ways_for(n)
+        ending = pc.binary_reverse(self.names)
+        order = pc.sort_indices(ending).to_numpy()
+        leaf = np.arange(n) * self.ways**2 // n
         new = np.flatnonzero(np.diff(leaf)) + 1
-        self.leaf, self.slot = np.zeros(len(items), np.int64), np.zeros(len(items), np.int64)
+        self.leaf, self.slot = np.zeros(n, np.int64), np.zeros(n, np.int64)
         self.leaf[order] = leaf
-        self.slot[order] = np.arange(len(items)) - np.searchsorted(leaf, leaf) + 1
-        self.bounds = [items[order[k]][0][::-1] for k in new]
+        self.slot[order] = np.arange(n) - np.searchsorted(leaf, leaf) + 1
+        self.bounds = ending.take(pa.array(order[new])).to_pylist()
         self.bound_leaves = [int(leaf[0]), *leaf[new].tolist()]
 
+    @cached_property
+    def ids(self) -> dict[bytes, int]:
+        return {w: k for k, w in enumerate(self.names.to_numpy(zero_copy_only=False).tolist())}
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "ids"}
+
     def leaf_of(self, word: bytes) -> int:
         return self.bound_leaves[bisect_right(self.bounds, word[::-1])]
 
@@ -121,7 +155,7 @@ def counted(texts: DataFrame) -> DataFrame:
         pairs: set = set()
 
         def out() -> pa.RecordBatch:
-            words = [pa.array([w.decode() for w in seen], pa.string()), pa.nulls(len(pairs), pa.string())]
+            words = [pa.array(list(seen), pa.binary()).cast(pa.string()), pa.nulls(len(pairs), pa.string())]
             hashes = [pa.nulls(len(seen), pa.int64()), pa.array(list(pairs), pa.int64())]
             n = pa.array([*seen.values(), *[1] * len(pairs)], pa.int64())
             seen.clear()
@@ -129,13 +163,17 @@ def counted(texts: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.concat_arrays(words), pa.concat_arrays(hashes), n], ["word", "pair", "n"])
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                words = words_of(text)
-                seen.update(words)
-                own = np.fromiter(map(crc32, words), np.uint64, len(words))
+            for part in parts(batch, 0, PART):
+                words, which, n = split_words(part.column(0))
+                names = words.to_numpy(zero_copy_only=False).tolist()
+                seen.update({w: k for w, k in zip(names, np.bincount(which, minlength=len(names)).tolist()) if k})
+                own = np.fromiter(map(crc32, names), np.uint64, len(names))[which]
                 both = (own[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (own[1:] * np.uint64(0xC2B2AE3D27D4EB4F))
                 both = (both ^ (both >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-                pairs.update(both[(both >> np.uint64(40)) % np.uint64(PAIRS) == 0].view(np.int64).tolist())
+                chosen = (both >> np.uint64(40)) % np.uint64(PAIRS) == 0
+                ends = np.cumsum(n)
+                chosen[ends[(ends > 0) & (ends < len(own))] - 1] = False  # of two texts
+                pairs.update(both[chosen].view(np.int64).tolist())
                 if len(seen) + len(pairs) > 500_000:
                     yield out()
         yield out()
@@ -153,21 +191,25 @@ class Tokens:
         self.slot = np.concatenate((words.slot, np.zeros(leaves, np.int64)))
         self.head = len(words.leaf)
 
-    def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        """The numbers, with the end; the numbers as context, where words that are not in the head
-        stand for themselves; and these words."""
-        ids = np.fromiter(map(self.words.ids.get, words, repeat(-1)), np.int64, len(words))
-        ids = np.append(ids, 0)
-        context, rare = ids.copy(), np.flatnonzero(ids < 0).tolist()
-        others = [words[k] for k in rare]
-        for k, w in zip(rare, others):
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray, pa.Array]]:
+        """The numbers, with an end after each text; the numbers as context, where words that are
+        not in the head stand for themselves; how many each text has; and of the words that are not in the
+        head the text and the place among the distinct words, with these."""
+        words, which, n = split_words(texts)
+        names = words.to_numpy(zero_copy_only=False).tolist()
+        ids = np.fromiter(map(self.words.ids.get, names, repeat(-1)), np.int64, len(names))
+        context, rare = ids.copy(), ids < 0
+        for k in np.flatnonzero(rare).tolist():
+            w = names[k]
             known = self.others.get(w)
             if known is None:
                 if len(self.others) > 200_000:
                     self.others.clear()
                 known = self.others[w] = self.head + self.words.leaf_of(w), (1 << 32) + crc32(w)
             ids[k], context[k] = known
-        return ids, context, others
+        ends, other = np.cumsum(n), np.flatnonzero(rare[which])
+        text = np.searchsorted(ends, other, "right")
+        return np.insert(ids[which], ends, 0), np.insert(context[which], ends, 0), n + 1, (text, which[other], words)
 
 
 def feature_rows(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -190,6 +232,47 @@ def rows_at(h: np.ndarray, known: np.ndarray | None, bits: int) -> np.ndarray:
     return (h >> np.uint64(64 - bits)).astype(np.uint16 if bits <= 16 else np.uint32)
 
 
+def segment_sums(values: np.ndarray, order: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of the rows ``order[starts[k] : starts[k + 1]]`` for every k, as ``np.add.reduceat``
+    gives them to the last bit.  Most segments are short; numpy's way is slow there."""
+    n = np.diff(np.append(starts, len(order)))
+    total = np.take(values, order[starts], axis=0)
+    short = np.flatnonzero((n > 1) & (n <= SHORT))
+    if len(short):
+        short = short[np.argsort(-n[short], kind="stable")]
+        size, at = n[short], starts[short]
+        rest = np.take(values, order[at + 1], axis=0)
+        for place in range(2, int(size[0])):
+            k = np.count_nonzero(size > place)
+            rest[:k] += np.take(values, order[at[:k] + place], axis=0)
+        total[short] += rest
+    long = np.flatnonzero(n > SHORT)
+    if len(long):
+        size = n[long]
+        at = np.cumsum(size) - size
+        rows = order[np.repeat(starts[long] - at, size) + np.arange(size.sum())]
+        total[long] = np.add.reduceat(np.take(values, rows, axis=0), at, axis=0)
+    return total
+
+
+def packed(sheet: np.ndarray) -> bytes:
+    """Rows of a weight table in half precision, compressed."""
+    return pa.compress(sheet.astype(np.float16).tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(sheet: bytes, ways: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(sheet, SHEET * ways * 2, codec="zstd", asbytes=True), np.float16).astype(np.float32).reshape(SHEET, ways)
+
+
+def tables_of(sheets: dict[int, bytes], bits: int, ways: int) -> np.ndarray:
+    """All weights; sheets that no shard has used are 0."""
+    w = np.zeros((LEVELS, FEATURES, 1 << bits, ways), np.float32)
+    flat = w.reshape(-1, SHEET, ways)
+    for k, sheet in sheets.items():
+        flat[k] = unpacked(sheet, ways)
+    return w
+
+
 class Model:
     """Weights ``w`` (steps, features, rows, ways) and the log shares of classes, of leaves and,
     from ``mass`` (leaves, ways) of the third step, of words."""
@@ -234,39 +317,46 @@ class Model:
 
     def update(self, h: np.ndarray, leaf: np.ndarray, slot: np.ndarray, square: np.ndarray, used: np.ndarray, rate: float) -> None:
         """One gradient update; the step of a row shrinks with the gradients it has seen."""
+        whole = np.dtype((np.void, self.w.itemsize * self.ways))  # rows are written as one value
         for level, rows, z, right in self.steps(h, leaf, slot):
             slope = np.exp(z, out=z)
             slope /= slope.sum(axis=1, keepdims=True)
-            slope[np.arange(len(right)), right] -= 1
+            slope.reshape(-1)[np.arange(0, slope.size, self.ways) + right] -= 1
             for f in range(FEATURES):
                 order = np.argsort(rows[f], kind="stable")
                 sorted_rows = rows[f][order]
                 starts = np.flatnonzero(np.concatenate(([True], sorted_rows[1:] != sorted_rows[:-1])))
                 row = sorted_rows[starts]
-                total = np.add.reduceat(np.take(slope, order, axis=0), starts, axis=0)
+                total = segment_sums(slope, order, starts)
                 seen = square[level, f]
                 seen[row] += np.einsum("ij,ij->i", total, total)
                 used[level, f][row] += np.diff(np.append(starts, len(order)))
                 total *= (rate / np.sqrt(seen[row] + 1))[:, None]
-                self.w[level, f][row] -= total
+                new = np.take(self.w[level, f], row, axis=0)
+                new -= total
+                self.w[level, f].view(whole)[:, 0][row] = new.view(whole)[:, 0]
 
 
-def train(texts: DataFrame, shared, bits: int, rounds: int, rate: float, partitions_per_shard: int) -> np.ndarray:
-    """Weights (half precision, with ``2 ** bits`` rows in a table) after one pass over the texts, in ``rounds`` parts.  In each, every shard goes on
+def shards_for(partitions: int, partitions_per_shard: int, tokens: int) -> int:
+    """Shards of the training texts: a few partitions each, and not less than ``SHARD`` tokens."""
+    return max(min(ceil(partitions / partitions_per_shard), tokens // SHARD), 1)
+
+
+def train(texts: DataFrame, shared: Broadcast, ways: int, bits: int, rounds: int, rate: float, shards: int) -> Broadcast:
+    """Weights, as packed sheets of the tables with ``2 ** bits`` rows, after one pass over the texts, in ``rounds`` parts.  In each, every shard goes on
     from the common weights over its texts of that part; then the rows of the tables are averaged,
-    each weighted by how many tokens of the shard used it.  A shard is a few input partitions, so
-    what is averaged grows with the input."""
+    each weighted by how many tokens of the shard used it.  The number of shards follows the texts, so
+    what is averaged grows with the input.  The driver has the packed sheets once, and a part of
+    the averages on its way to them; tasks and driver have the weights of one round at a time."""
     spark = texts.sparkSession
-    ways, tables = shared.value[0].ways, (LEVELS, FEATURES, 1 << bits)
-    w = np.zeros((*tables, ways), np.float16)
-    sheets = w.size // (SHEET * ways)
-    shards = max(ceil(texts.rdd.getNumPartitions() / partitions_per_shard), 1)
+    tables = (LEVELS, FEATURES, 1 << bits)
+    sheets: dict[int, bytes] = {}
+    common = spark.sparkContext.broadcast(sheets)
     for r in range(rounds):
-        before = spark.sparkContext.broadcast(w)
 
-        def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def shard(batches: Iterator[pa.RecordBatch], common: Broadcast = common) -> Iterator[pa.RecordBatch]:
             words, mass = shared.value
-            tokens, model = Tokens(words), Model(before.value.astype(np.float32), mass)
+            tokens, model = Tokens(words), Model(tables_of(common.value, bits, ways), mass)
             square, used = np.zeros(tables, np.float32), np.zeros(tables, np.float32)
             waiting, n = [], 0
 
@@ -280,19 +370,22 @@ def train(texts: DataFrame, shared, bits: int, rounds: int, rate: float, partiti
                 waiting.clear()
 
             for batch in batches:
-                for text in batch.column(0).to_pylist():
-                    waiting.append(tokens.of(words_of(text))[:2])
-                    n += len(waiting[-1][0])
-                    if n >= 8 * BATCH:
-                        learn()
-                        n = 0
+                for part in parts(batch, 0, PART):
+                    ids, context, size, _ = tokens.of(part.column(0))
+                    ends = np.cumsum(size)
+                    for a, b in zip((ends - size).tolist(), ends.tolist()):
+                        waiting.append((ids[a:b], context[a:b]))
+                        n += b - a
+                        if n >= 8 * BATCH:
+                            learn()
+                            n = 0
             if waiting:
                 learn()
-            flat, counts = model.w.reshape(sheets, SHEET * ways), used.reshape(sheets, SHEET)
-            for at in range(0, sheets, 64):
+            flat, counts = model.w.reshape(-1, SHEET, ways), used.reshape(-1, SHEET)
+            for at in range(0, len(flat), 64):
                 k = [j for j in range(at, at + 64) if counts[j].any()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(k, pa.int32()), pa.array([flat[j].astype(np.float16).tobytes() for j in k], pa.binary()), pa.array([counts[j].tobytes() for j in k], pa.binary())],
+                    [pa.array(k, pa.int32()), pa.array([packed(flat[j]) for j in k], pa.binary()), pa.array([counts[j].tobytes() for j in k], pa.binary())],
                     ["sheet", "w", "used"],
                 )
 
@@ -300,19 +393,20 @@ def train(texts: DataFrame, shared, bits: int, rounds: int, rate: float, partiti
             total, n = np.zeros((SHEET, ways), np.float32), np.zeros(SHEET, np.float32)
             for weights, used in zip(sheet["w"], sheet["used"]):
                 u = np.frombuffer(used, np.float32)
-                total += np.frombuffer(weights, np.float16).astype(np.float32).reshape(SHEET, ways) * u[:, None]
+                total += unpacked(weights, ways) * u[:, None]
                 n += u
-            return pd.DataFrame({"sheet": sheet["sheet"].iloc[:1], "w": [(total / np.maximum(n, 1)[:, None]).astype(np.float16).tobytes()], "used": [n.tobytes()]})
+            total /= np.maximum(n, 1)[:, None]
+            total[n == 0] = unpacked(sheet["w"].iloc[0], ways)[n == 0]  # as it was before
+            return pd.DataFrame({"sheet": sheet["sheet"].iloc[:1], "w": [packed(total)]})
 
-        schema = "sheet int, w binary, used binary"
         part = texts.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == r).select("text").coalesce(shards)
-        flat = w.reshape(sheets, SHEET, ways)
-        # As many rows as the tables have sheets, whatever the input.
-        for row in part.mapInArrow(shard, schema).groupBy("sheet").applyInPandas(average, schema).collect():
-            touched = np.frombuffer(row["used"], np.float32) > 0
-            flat[row["sheet"]][touched] = np.frombuffer(row["w"], np.float16).reshape(SHEET, ways)[touched]
-        before.unpersist()
-    return w
+        averages = part.mapInArrow(shard, "sheet int, w binary, used binary").groupBy("sheet").applyInPandas(average, "sheet int, w binary")
+        # As many rows as the tables have sheets, whatever the input; they come partition by partition.
+        for row in keep(averages, "maxent-weights", shuffles=False).toLocalIterator():
+            sheets[row["sheet"]] = bytes(row["w"])
+        common.destroy()
+        common = spark.sparkContext.broadcast(sheets)
+    return common
 
 
 def score_texts(
@@ -337,7 +431,7 @@ def score_texts(
     base = base.withColumn("held_out", held_out(F.col("doc_id")))
     training = base.where(~F.col("held_out"))
 
-    table = keep(counted(training), "maxent-counts")
+    table = keep(counted(training), "maxent-counts", shuffles=False)
     counts = table.where(F.col("word").isNotNull()).select("word", "n")
     ends = training.count()
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -356,48 +450,48 @@ def score_texts(
     for r in counts.mapInArrow(leaves, "leaf int, n bigint").groupBy("leaf").agg((F.sum("n") + F.count("*")).alias("n")).collect():
         mass[r["leaf"], 0] += r["n"]
     mass[sorted(set(words.bound_leaves)), 0] += 1  # the unknown word of the leaf
+    ways = words.ways
     shared = spark.sparkContext.broadcast((words, mass))
-    weights = spark.sparkContext.broadcast(train(training, shared, bits, rounds, rate, partitions_per_shard))
+    first.destroy()
+    weights = train(training, shared, ways, bits, rounds, rate, shards_for(training.rdd.getNumPartitions(), partitions_per_shard, total))
 
     everyone = np.log10(total + distinct + 1)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, mass = shared.value
-        tokens, model = Tokens(words), Model(weights.value.astype(np.float32), mass)
+        tokens, model = Tokens(words), Model(tables_of(weights.value, bits, ways), mass)
         log_count, log_tail = np.log10(words.counts + 1.0), np.log10(np.maximum(mass[:, 0], 1))
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
-                parsed = [tokens.of(words_of(t)) for t in part.column(2).to_pylist()]
-                ids, context = (np.concatenate([p[k] for p in parsed]) for k in (0, 1))
-                n = np.array([len(p) for p, _, _ in parsed])
+            for part in parts(batch, 2, PART):
+                ids, context, n, (text, which, names) = tokens.of(part.column(2))
                 starts = np.cumsum(n) - n
                 leaf, head = tokens.leaf[ids], ids < tokens.head
                 log_leaf = model.log_leaf(feature_rows(context, starts), leaf, tokens.slot[ids]) / np.log(10)
                 known = np.where(head, log_count[np.where(head, ids, 0)], 0.0)
                 sums = [np.add.reduceat(x, starts) for x in (known - everyone, log_leaf - np.where(head, 0.0, log_tail[leaf]), (head & (words.counts[np.where(head, ids, 0)] > 0)).astype(np.int64))]
-                rare = [(k, w.decode(), c) for k, (_, _, others) in enumerate(parsed) for w, c in Counter(others).items()]
-                row = part.column(0)
-                own = len(n)
-                names = [f" {r}" for r in row.to_pylist()]  # no word has a space: meets nothing
+                # A row for each text and other word of it.
+                pairs, times = np.unique(text * len(names) + which, return_counts=True)
+                text, which = np.divmod(pairs, max(len(names), 1))
+                row, own, rare = part.column(0), len(n), len(pairs)
+                none = pa.array([f" {r}" for r in row.to_pylist()], pa.string())  # no word has a space: meets nothing
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.concat_arrays([row, row.take(pa.array([k for k, _, _ in rare], pa.int64()))]),
-                        pa.concat_arrays([part.column(1), pa.nulls(len(rare), pa.int64())]),
-                        pa.concat_arrays([part.column(3), pa.nulls(len(rare), pa.bool_())]),
-                        pa.array(names + [w for _, w, _ in rare], pa.string()),
-                        pa.array([0] * own + [c for _, _, c in rare], pa.int64()),
-                        pa.concat_arrays([pa.array(n.astype(np.int64)), pa.nulls(len(rare), pa.int64())]),
-                        pa.concat_arrays([pa.array(sums[2]), pa.nulls(len(rare), pa.int64())]),
-                        pa.concat_arrays([pa.array(sums[0]), pa.nulls(len(rare), pa.float64())]),
-                        pa.concat_arrays([pa.array(sums[1]), pa.nulls(len(rare), pa.float64())]),
+                        pa.concat_arrays([row, row.take(pa.array(text))]),
+                        pa.concat_arrays([part.column(1), pa.nulls(rare, pa.int64())]),
+                        pa.concat_arrays([part.column(3), pa.nulls(rare, pa.bool_())]),
+                        pa.concat_arrays([none, names.take(pa.array(which)).cast(pa.string())]),
+                        pa.array(np.concatenate((np.zeros(own, np.int64), times))),
+                        pa.concat_arrays([pa.array(n.astype(np.int64)), pa.nulls(rare, pa.int64())]),
+                        pa.concat_arrays([pa.array(sums[2]), pa.nulls(rare, pa.int64())]),
+                        pa.concat_arrays([pa.array(sums[0]), pa.nulls(rare, pa.float64())]),
+                        pa.concat_arrays([pa.array(sums[1]), pa.nulls(rare, pa.float64())]),
                     ],
                     ["row", "doc_id", "held_out", "word", "times", "n_tokens", "n_known", "base", "score"],
                 )
 
     schema = "row bigint, doc_id bigint, held_out boolean, word string, times bigint, n_tokens bigint, n_known bigint, base double, score double"
-    parts = base.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", "held_out").mapInArrow(score, schema)
-    tail = parts.join(counts, "word", "left")
+    scored = base.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", "held_out").mapInArrow(score, schema)
+    tail = scored.join(counts, "word", "left")
     gained = F.coalesce(F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 1)), F.lit(0.0))
     out = tail.groupBy("row").agg(
         F.max("doc_id").alias("doc_id"),

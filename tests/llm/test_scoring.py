@@ -205,6 +205,72 @@ def test_capacity_follows_the_vocabulary():
     assert LEVELS * FEATURES * ways_for(HEAD) << row_bits_for(1 << 30, ways_for(HEAD)) <= WEIGHTS
 
 
+def test_driver_has_no_copy_of_what_it_sends(spark, docs, monkeypatch):
+    """It never loads a broadcast, has no object for each word, and deletes the weights of a round
+    before it sends those of the next; shuffle files are Spark's again afterwards."""
+    from pyspark import Broadcast
+
+    from fieldbook.llm.maxent import Words
+    from fieldbook.llm.shared import CLEANUP
+
+    sent, gone, vocabularies = [], [], []
+    send, destroy = spark.sparkContext.broadcast, Broadcast.destroy
+
+    def broadcast(value):
+        vocabularies.extend([value] if isinstance(value, Words) else [])
+        sent.append(send(value))
+        assert len(sent) - len(gone) <= 2
+        return sent[-1]
+
+    def loaded(self):
+        raise AssertionError("loaded by the driver")
+
+    before = spark.conf.get(CLEANUP, "false")
+    monkeypatch.setattr(spark.sparkContext, "broadcast", broadcast)
+    monkeypatch.setattr(Broadcast, "destroy", lambda self, blocking=False: (gone.append(self), destroy(self, blocking))[1])
+    monkeypatch.setattr(Broadcast, "value", property(loaded))
+    assert score_texts(docs).count() == docs.count()
+    assert len(sent) == 5 and len(gone) == 3 and "ids" not in vars(vocabularies[0])
+    assert spark.conf.get(CLEANUP, "false") == before
+
+
+def test_segments_add_up_as_numpy_does():
+    import numpy as np
+
+    from fieldbook.llm.maxent import segment_sums
+
+    rng = np.random.default_rng(2)
+    for n, rows in ((1, 1), (7, 2), (500, 400), (3000, 60), (3000, 2500)):
+        at, values = rng.zipf(1.3, n) % rows, rng.normal(size=(n, 9)).astype(np.float32)
+        order = np.argsort(at, kind="stable")
+        starts = np.flatnonzero(np.append(True, np.diff(at[order]) != 0))
+        assert np.array_equal(segment_sums(values, order, starts), np.add.reduceat(values[order], starts, axis=0))
+
+
+def test_words_of_texts_against_plain_python(texts):
+    import pyarrow as pa
+
+    from fieldbook.llm.maxent import Tokens, Words, split_words
+
+    plain = ["", *[t or "" for _, t in texts], "\u00a0X\x1cy\x85 \x0bZ\x0c", " "]
+    want = [t.encode().lower().split() for t in plain]
+    column = pa.array(["before", *plain]).slice(1)
+    words, which, n = split_words(column)
+    names = words.to_pylist()
+    assert [names[k] for k in which] == [w for ws in want for w in ws] and n.tolist() == [len(ws) for ws in want]
+    head = Words([("more", 3), ("and", 2), ("né", 1)], 5)
+    ids, context, n, (text, which, _) = Tokens(head).of(column)
+    assert [head.ids.get(w, -1) for ws in want for w in [*ws, b""]] == [k if k < 4 else -1 for k in ids.tolist()]
+    assert n.sum() == len(ids) == len(context)
+    assert Counter((k, names[w]) for k, w in zip(text, which)) == Counter((k, w) for k, ws in enumerate(want) for w in ws if w not in head.ids)
+
+
+def test_shards_follow_the_texts():
+    from fieldbook.llm.maxent import SHARD, shards_for
+
+    assert shards_for(211, 3, 2 * SHARD + 1) == 2 and shards_for(9, 3, 100 * SHARD) == 3 and shards_for(0, 3, 0) == 1
+
+
 WRAPPED = [
     ("bsd", "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met"),
     ("gpl", "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation"),
