@@ -404,7 +404,7 @@ def train(texts: DataFrame, shared: Broadcast, ways: int, bits: int, rounds: int
         # As many rows as the tables have sheets, whatever the input; they come partition by partition.
         for row in keep(averages, "maxent-weights", shuffles=False).toLocalIterator():
             sheets[row["sheet"]] = bytes(row["w"])
-        common.destroy()
+        common.destroy(blocking=True)
         common = spark.sparkContext.broadcast(sheets)
     return common
 
@@ -452,7 +452,7 @@ def score_texts(
     mass[sorted(set(words.bound_leaves)), 0] += 1  # the unknown word of the leaf
     ways = words.ways
     shared = spark.sparkContext.broadcast((words, mass))
-    first.destroy()
+    first.destroy(blocking=True)
     weights = train(training, shared, ways, bits, rounds, rate, shards_for(training.rdd.getNumPartitions(), partitions_per_shard, total))
 
     everyone = np.log10(total + distinct + 1)
